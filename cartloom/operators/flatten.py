@@ -235,4 +235,4 @@ def entity_product(docs: DataFrame, strict: bool = False) -> DataFrame:
 def array_as_json(col, sort: bool = True) -> Column:
     """Array column -> JSON text for a flat file (FUN12); sorted for stable text."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.to_json(F.array_sort(c) if sort else c)
+    return F.to_json(F.sort_array(c) if sort else c)

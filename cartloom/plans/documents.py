@@ -168,30 +168,33 @@ def line_arrays(lineitem: DataFrame, max_items: int = MAX_ITEMS, products: bool
                 shipping: bool = True) -> DataFrame:
     """Per (order, doc_part): ``product_items``, ``shipments``, ``shipping_items``.
 
-    Two aggregation levels (per shipment group, then per document) share the
-    one exchange made by :func:`document_parts`.
+    With shipping, two aggregation levels (per shipment group, then per document)
+    share the one exchange made by :func:`document_parts`; products alone take
+    one level. Arrays are sorted with ``sort_array`` (a native comparison, not a
+    lambda comparator).
     """
     parts = document_parts(lineitem, max_items)
+    if not shipping:
+        return parts.groupBy("l_orderkey", "doc_part").agg(
+            F.max("l_shipdate").alias("_lm"),
+            F.sort_array(F.collect_list(_product_item())).alias("product_items"))
     grp = (F.col("l_suppkey") % 3).cast("string")
-    level1 = [F.max("l_shipdate").alias("_lm")]
+    level1 = [F.max("l_shipdate").alias("_lm"), F.collect_list(_adjustment()).alias("_adjs")]
     if products:
         level1.append(F.collect_list(_product_item()).alias("_prods"))
-    if shipping:
-        level1.append(F.collect_list(_adjustment()).alias("_adjs"))
     g = parts.groupBy("l_orderkey", "doc_part", grp.alias("grp")).agg(*level1)
-    level2 = [F.max("_lm").alias("_lm")]
+    adjs = F.when(F.size("_adjs") > 0, F.sort_array("_adjs"))
+    item = F.struct(F.lit("shipping_item").alias("_type"),
+                    F.concat(F.lit("SI"), F.col("grp")).alias("item_id"),
+                    F.concat(F.lit("S"), F.col("grp")).alias("shipment_id"),
+                    adjs.alias("price_adjustments"))
+    ship = F.struct(F.lit("shipment").alias("_type"),
+                    F.concat(F.lit("S"), F.col("grp")).alias("shipment_id"))
+    level2 = [F.max("_lm").alias("_lm"),
+              F.sort_array(F.collect_list(ship)).alias("shipments"),
+              F.sort_array(F.collect_list(item)).alias("shipping_items")]
     if products:
-        level2.append(F.array_sort(F.flatten(F.collect_list("_prods"))).alias("product_items"))
-    if shipping:
-        adjs = F.when(F.size("_adjs") > 0, F.array_sort("_adjs"))
-        item = F.struct(F.lit("shipping_item").alias("_type"),
-                        F.concat(F.lit("SI"), F.col("grp")).alias("item_id"),
-                        F.concat(F.lit("S"), F.col("grp")).alias("shipment_id"),
-                        adjs.alias("price_adjustments"))
-        ship = F.struct(F.lit("shipment").alias("_type"),
-                        F.concat(F.lit("S"), F.col("grp")).alias("shipment_id"))
-        level2 += [F.array_sort(F.collect_list(ship)).alias("shipments"),
-                   F.array_sort(F.collect_list(item)).alias("shipping_items")]
+        level2.append(F.sort_array(F.flatten(F.collect_list("_prods"))).alias("product_items"))
     return g.groupBy("l_orderkey", "doc_part").agg(*level2)
 
 
