@@ -1,9 +1,10 @@
 """Time functions (FUN2-FUN7, SRC7).
 
 All stamps are ``TIMESTAMP_NTZ`` holding UTC wall clock. Every helper here is
-independent of ``spark.sql.session.timeZone``: epoch arithmetic goes through
-``timestampdiff`` / ``timestampadd`` against an NTZ epoch instead of casts to
-the session-zoned ``TIMESTAMP`` type.
+independent of ``spark.sql.session.timeZone``: epoch seconds are read from the
+clock fields with an explicit ``UTC`` zone, and shifts are NTZ plus day-time
+interval arithmetic (``timestampdiff`` / ``timestampadd`` and casts to
+``TIMESTAMP`` would go through the session zone).
 """
 
 from __future__ import annotations
@@ -14,10 +15,6 @@ from pyspark.sql import functions as F
 from cartloom.schemas import PACIFIC
 
 
-def _epoch() -> Column:
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-
-
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
@@ -32,25 +29,48 @@ def parse_utc(col) -> Column:
     return F.to_timestamp_ntz(text)
 
 
+def _epoch() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
 def epoch_seconds(col) -> Column:
-    """Whole seconds since 1970-01-01 (floor for stamps after the epoch) (FUN7)."""
-    return F.timestamp_diff("SECOND", _epoch(), _c(col))
+    """Whole seconds since 1970-01-01 of an NTZ wall clock read as UTC (FUN7).
+
+    Built from the clock fields with an explicit ``UTC`` zone, so a DST gap of
+    the session zone cannot shift it (``timestampdiff`` on NTZ would).
+    """
+    c = _c(col)
+    utc = F.make_timestamp(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c),
+                           F.second(c), F.lit("UTC"))
+    return F.unix_seconds(utc)
+
+
+def epoch_micros(col) -> Column:
+    """Microseconds since 1970-01-01 (UTC reading of the wall clock)."""
+    return epoch_seconds(col) * 1000000 + F.date_format(_c(col), "SSSSSS").cast("bigint")
+
+
+def _interval_seconds(seconds) -> Column:
+    """A day-time interval of ``seconds`` (a column or an int)."""
+    n = seconds if isinstance(seconds, Column) else F.lit(int(seconds))
+    days = F.floor(n / F.lit(86400)).cast("int")
+    rest = (n - days.cast("bigint") * 86400).cast("decimal(18,6)")
+    return F.make_dt_interval(days=days, secs=rest)
 
 
 def from_epoch_seconds(col) -> Column:
     """Inverse of :func:`epoch_seconds`, as ``TIMESTAMP_NTZ``."""
-    return F.timestamp_add("SECOND", _c(col), _epoch())
+    return _epoch() + _interval_seconds(_c(col))
 
 
 def add_seconds(col, seconds) -> Column:
-    """``ts + seconds`` (FUN7); ``seconds`` may be a column or an int."""
-    amount = seconds if isinstance(seconds, Column) else F.lit(int(seconds))
-    return F.timestamp_add("SECOND", amount, _c(col))
+    """``ts + seconds`` (FUN7); NTZ plus a day-time interval is zone-free."""
+    return _c(col) + _interval_seconds(seconds)
 
 
 def seconds_between(start, end) -> Column:
-    """``end - start`` in whole seconds (FUN7)."""
-    return F.timestamp_diff("SECOND", _c(start), _c(end))
+    """``end - start`` in whole seconds of the two stamps (FUN7)."""
+    return epoch_seconds(end) - epoch_seconds(start)
 
 
 def floor_to(col, width_seconds: int) -> Column:
@@ -66,7 +86,8 @@ def to_pacific(col, zone: str = PACIFIC) -> Column:
 
 def utc_offset_minutes(col, zone: str = PACIFIC) -> Column:
     """Offset of ``zone`` from UTC at instant ``col``, in minutes (-480 or -420)."""
-    return F.timestamp_diff("MINUTE", _c(col), to_pacific(col, zone))
+    diff = epoch_seconds(to_pacific(col, zone)) - epoch_seconds(col)
+    return F.floor(diff / F.lit(60)).cast("int")
 
 
 def pacific_text(col, zone: str = PACIFIC) -> Column:

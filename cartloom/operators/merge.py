@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartloom.functions.timefmt import epoch_micros
 from cartloom.operators.conform import ref
 
 
@@ -41,8 +42,7 @@ def _sort_key(df: DataFrame, name: str, descending: bool) -> Column:
         return c
     dtype = df.schema[name].dataType
     if isinstance(dtype, (T.TimestampNTZType, T.TimestampType)):
-        return -F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
-                                 c.cast("timestamp_ntz"))
+        return -epoch_micros(c.cast("timestamp_ntz"))
     if isinstance(dtype, T.DateType):
         return -F.datediff(c, F.lit("1970-01-01").cast("date"))
     if isinstance(dtype, T.BooleanType):
