@@ -76,7 +76,7 @@ def order_tables(docs: DataFrame, sep: str = ".", compat: bool = False,
         F.col("order_no").alias("_order_no"),
         F.explode(F.array_compact(F.array_distinct(F.array(
             F.to_date(_stamp(docs, "creation_date")),
-            F.to_date(_stamp(docs, "last_modified")))))).alias("run_date"))
+            F.to_date(_stamp(docs, "last_modified")))))).alias("run_date")).distinct()
 
     products = FL.product_rows(docs, sep=sep, strict=strict)
     products = C.override_constant(products, "product_item_c_personalizationJson", "NAN")
@@ -106,8 +106,8 @@ def _stamp(docs: DataFrame, name: str) -> F.Column:
 
 
 def _join_days(rows: DataFrame, days: DataFrame, key: str) -> DataFrame:
-    """Attach run days by order number (an equi-join; a day has at most two rows
-    per order, so the right side never fans out)."""
+    """Attach run days by order number (an equi-join; the distinct day side has at
+    most two rows per order, so it never fans out)."""
     return rows.join(days, C.ref(key) == F.col("_order_no"), "inner").drop("_order_no")
 
 
@@ -171,11 +171,13 @@ def run_customers(docs: DataFrame, source: DataFrame, out: str | None = None) ->
     return run
 
 
-def source_totals_of(docs: DataFrame) -> DataFrame:
-    """Per-day totals of a document snapshot, as the service reports them."""
-    d = docs.select(_stamp(docs, "creation_date").alias("c"),
+def source_totals_of(docs: DataFrame, key: str = "order_no") -> DataFrame:
+    """Per-day totals of landed documents, as the service reports them: one
+    version per ``key`` (the latest modification), then counted per day."""
+    d = docs.select(C.ref(key).alias("k"), _stamp(docs, "creation_date").alias("c"),
                     _stamp(docs, "last_modified").alias("m"))
-    return Q.source_totals(d, "c", "m")
+    latest = M.dedup_first(d, ["k"], [("m", True), ("c", True)])
+    return Q.source_totals(latest, "c", "m")
 
 
 def backfill_payments(docs: DataFrame, first: str, last: str, sep: str = ".") -> DataFrame:
