@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartloom.functions.labels import day_file_name, path_part_from_end, slice_label
+from cartloom.functions.labels import (day_file_name, path_part_from_end, slice_label,
+                                      substitute_run_date)
 from cartloom.functions.metrics import metric_lines, metric_name, metric_value
 from cartloom.functions.timefmt import (add_seconds, day_text, pacific_text, parse_run_date,
                                         run_date_text, to_pacific)
@@ -1015,3 +1016,120 @@ def q_preview_top5(spark, d):
     docs = D.customer_documents(Tables(spark, d).customer)
     return docs.orderBy("customer_no").limit(5).select("customer_id", "customer_no", "email",
                                                        "company_name")
+
+
+# --------------------------------------------------------------------------
+# Merged day tables (the published outputs) and path templates
+# --------------------------------------------------------------------------
+DAY_PATH_TEMPLATE = "daily/RUN_DATE/orders/orders_data_RUN_DATE.csv"
+
+
+@register("day_paths", f"""
+SELECT DISTINCT strftime(o_orderdate, '%Y%m%d') AS run_date,
+       replace('{DAY_PATH_TEMPLATE}', 'RUN_DATE', strftime(o_orderdate, '%Y%m%d')) AS path
+FROM orders
+""")
+def q_day_paths(spark, d):
+    """Day file paths from a template with a ``RUN_DATE`` token (FUN10)."""
+    o = Tables(spark, d).orders
+    days = o.select(run_date_text("o_orderdate").alias("run_date")).distinct()
+    return days.select("run_date", substitute_run_date(F.lit(DAY_PATH_TEMPLATE), F.col("run_date"))
+                       .alias("path"))
+
+
+def _order_day_tables(spark, d) -> dict[str, DataFrame]:
+    from cartloom.plans.pipelines import order_tables
+
+    t = Tables(spark, d)
+    docs = D.order_documents(t.orders, t.lineitem, shipping=False)
+    return order_tables(docs, sep="_")
+
+
+ORDER_DAY_NULLS = [
+    "order_adjusted_merchandize_total_tax", "order_adjusted_shipping_total_tax",
+    "order_created_by", "order_export_status", "order_merchandize_total_tax",
+    "order_payment_status", "order_product_sub_total", "order_product_total",
+    "order_shipping_status", "order_shipping_total", "order_shipping_total_tax", "order_site_id",
+    "order_taxation", "order_tax_total", "order_c_ATCustomsDuty", "order_c_ATTax",
+    "order_c_mcOrderConfirmationStatusFailed", "order_c_IPAddress", "order_notes__type",
+    "order_notes_link"]
+
+
+@register("orders_day_table", f"""
+WITH {SQL_HEADERS},
+{SQL_DAY_ROWS},
+o AS (SELECT * FROM orders)
+SELECT strftime(f.d, '%Y-%m-%d') AS run_date,
+       'order' AS order__type,
+       o.o_orderpriority AS order_confirmation_status,
+       f.c AS order_creation_date,
+       (f.c AT TIME ZONE 'UTC') AT TIME ZONE 'US/Pacific' AS order_creation_pst_date,
+       'USD' AS order_currency,
+       f.m AS order_last_modified,
+       (f.m AT TIME ZONE 'UTC') AT TIME ZONE 'US/Pacific' AS order_last_modified_pst_date,
+       f.order_no AS order_order_no,
+       o.o_totalprice AS order_order_total,
+       o.o_orderstatus AS order_status,
+       'customer_info' AS order_customer_info__type,
+       CAST(o.o_custkey AS VARCHAR) AS order_customer_info_customer_id,
+       lpad(CAST(o.o_custkey AS VARCHAR), 8, '0') AS order_customer_info_customer_no,
+       sha256('customer' || CAST(o.o_custkey AS VARCHAR) || '@example.com') AS customer_emails,
+       'orders_data_' || strftime(f.d, '%Y%m%d') || '.csv' AS file_name,
+       {", ".join(f"CAST(NULL AS VARCHAR) AS {c}" for c in ORDER_DAY_NULLS)}
+FROM f JOIN o ON CAST(o.o_orderkey AS VARCHAR) = f.order_no
+""")
+def q_orders_day_table(spark, d):
+    """The merged order day table: 35 published columns (``_`` for ``.``), one row
+    per order and day, Pacific stamps, hashed e-mail, lineage (section 3.1)."""
+    t = _order_day_tables(spark, d)["orders"]
+    return t.withColumn("run_date", day_text("run_date"))
+
+
+@register("products_day_table", f"""
+WITH {SQL_HEADERS},
+{SQL_DAY_ROWS}
+SELECT DISTINCT strftime(f.d, '%Y-%m-%d') AS run_date, f.order_no AS order_order_no,
+       {SQL_ITEM_ID.format(a='l')} AS product_item_item_id,
+       CAST(l.l_partkey AS VARCHAR) AS product_item_product_id,
+       l.l_quantity AS product_item_quantity, l.l_extendedprice AS product_item_price,
+       'NAN' AS product_item_c_personalizationJson,
+       'products_data_' || strftime(f.d, '%Y%m%d') || '.csv' AS file_name
+FROM f JOIN lineitem l ON CAST(l.l_orderkey AS VARCHAR) = f.order_no
+""")
+def q_products_day_table(spark, d):
+    """The merged product-line day table: NAN personalisation, rows without a
+    product id dropped, distinct, lineage (section 3.1)."""
+    t = _order_day_tables(spark, d)["products"]
+    return t.select(day_text("run_date").alias("run_date"), "order_order_no",
+                    "product_item_item_id", "product_item_product_id", "product_item_quantity",
+                    "product_item_price", "product_item_c_personalizationJson", "file_name")
+
+
+BACKFILL_ORDERS = ("1996-06-01", "1996-06-17")
+
+
+@register("payments_backfill", f"""
+WITH o AS (SELECT *, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders
+           WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '{BACKFILL_ORDERS[0]}'
+                                               AND DATE '{BACKFILL_ORDERS[1]}')
+SELECT strftime(o_orderdate, '%Y-%m-%d') AS run_date, CAST(o_orderkey AS VARCHAR) AS order_order_no,
+       CAST(o_orderkey AS VARCHAR) || '-1' AS payment_inst_payment_instrument_id,
+       CAST(cents - cents // 4 AS DOUBLE) / 100 AS payment_inst_amount,
+       'payment_details_data_' || strftime(o_orderdate, '%Y%m%d') || '.csv' AS file_name
+FROM o
+UNION ALL
+SELECT strftime(o_orderdate, '%Y-%m-%d'), CAST(o_orderkey AS VARCHAR),
+       CAST(o_orderkey AS VARCHAR) || '-2', CAST(cents // 4 AS DOUBLE) / 100,
+       'payment_details_data_' || strftime(o_orderdate, '%Y%m%d') || '.csv'
+FROM o
+""")
+def q_payments_backfill(spark, d):
+    """17 days of payment instruments in one job, as the monthly backfill
+    (section 3.3, SRC6, JON2)."""
+    from cartloom.plans.pipelines import backfill_payments
+
+    t = Tables(spark, d)
+    docs = D.order_documents(t.orders, t.lineitem, products=False, shipping=False)
+    pays = backfill_payments(docs, *BACKFILL_ORDERS, sep="_")
+    return pays.select(day_text("run_date").alias("run_date"), "order_order_no",
+                       "payment_inst_payment_instrument_id", "payment_inst_amount", "file_name")
