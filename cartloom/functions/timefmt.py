@@ -36,13 +36,13 @@ def _epoch() -> Column:
 def epoch_seconds(col) -> Column:
     """Whole seconds since 1970-01-01 of an NTZ wall clock read as UTC (FUN7).
 
-    Built from the clock fields with an explicit ``UTC`` zone, so a DST gap of
-    the session zone cannot shift it (``timestampdiff`` on NTZ would).
+    Integer arithmetic on the clock fields (days since the epoch, hour, minute,
+    second), which read an NTZ value without any zone, so a DST gap of the
+    session zone cannot shift it (``timestampdiff`` on NTZ would).
     """
     c = _c(col)
-    utc = F.make_timestamp(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c),
-                           F.second(c), F.lit("UTC"))
-    return F.unix_seconds(utc)
+    days = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("bigint")
+    return days * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
 
 
 def epoch_micros(col) -> Column:
@@ -74,9 +74,20 @@ def seconds_between(start, end) -> Column:
 
 
 def floor_to(col, width_seconds: int) -> Column:
-    """Start of the ``width_seconds`` bucket holding ``col`` (epoch aligned)."""
-    secs = epoch_seconds(col)
-    return from_epoch_seconds(secs - F.pmod(secs, F.lit(int(width_seconds))))
+    """Start of the ``width_seconds`` bucket holding ``col`` (epoch aligned).
+
+    For widths dividing a day this is midnight plus the floored time of day: a
+    small expression on the clock fields, free of any zone.
+    """
+    w = int(width_seconds)
+    c = _c(col)
+    if 86400 % w == 0:
+        tod = F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
+        start = tod - F.pmod(tod, F.lit(w)) if w > 1 else tod
+        return F.to_date(c).cast("timestamp_ntz") + F.make_dt_interval(
+            secs=start.cast("decimal(18,6)"))
+    secs = epoch_seconds(c)
+    return from_epoch_seconds(secs - F.pmod(secs, F.lit(w)))
 
 
 def to_pacific(col, zone: str = PACIFIC) -> Column:
@@ -93,17 +104,19 @@ def utc_offset_minutes(col, zone: str = PACIFIC) -> Column:
 def pacific_text(col, zone: str = PACIFIC) -> Column:
     """Pacific wall time printed with its offset, e.g. ``2024-03-10 03:00:00-07:00`` (FUN5).
 
-    A fractional second is printed (6 digits) only when it is not zero.
+    A fractional second is printed (6 digits) only when it is not zero; null in,
+    null out (``concat`` of a null). Kept free of conditional wrappers so the
+    zone conversion is computed once per row (common-subexpression elimination
+    does not reach into conditional branches).
     """
     local = to_pacific(col, zone)
     off = utc_offset_minutes(col, zone)
-    frac = F.date_format(local, "SSSSSS")
-    frac_text = F.when(frac != F.lit("000000"), F.concat(F.lit("."), frac)).otherwise(F.lit(""))
-    sign = F.when(off < 0, F.lit("-")).otherwise(F.lit("+"))
-    hh = F.lpad((F.abs(off) / 60).cast("int").cast("string"), 2, "0")
+    stamp = F.date_format(local, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    text = F.regexp_replace(stamp, r"\.000000$", "")
+    sign = F.substring(F.lit("-+"), (F.signum(off) >= 0).cast("int") + 1, 1)
+    hh = F.lpad(F.floor(F.abs(off) / 60).cast("string"), 2, "0")
     mm = F.lpad(F.pmod(F.abs(off), F.lit(60)).cast("string"), 2, "0")
-    text = F.concat(F.date_format(local, "yyyy-MM-dd HH:mm:ss"), frac_text, sign, hh, F.lit(":"), mm)
-    return F.when(_c(col).isNotNull(), text)
+    return F.concat(text, sign, hh, F.lit(":"), mm)
 
 
 def day_text(col) -> Column:

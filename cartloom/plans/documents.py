@@ -266,3 +266,31 @@ def customer_documents(customer: DataFrame) -> DataFrame:
         unless("HOUSEHOLD", F.col("c_acctbal")).alias("c_pointsBalance"),
         seg.alias("segment"),
     )
+
+
+_LANDED: dict[tuple, str] = {}
+
+
+def landed_order_documents(spark, data_dir: str, max_items: int = MAX_ITEMS) -> DataFrame:
+    """The order documents of ``data_dir``, landed once per session as Parquet in
+    the shared checkpoint folder and read back.
+
+    Like landed search responses, the documents are written once and read by
+    every job that needs them; reads prune nested columns, so a job using only
+    ``product_items`` does not read the payment or shipping arrays. The written
+    table also cuts the lineage: a lost executor re-reads files instead of
+    re-running the nesting aggregation.
+    """
+    import os
+
+    from cartloom.session import scratch_path
+    from cartloom.sources.tables import Tables
+
+    key = (spark.sparkContext.applicationId, os.path.abspath(data_dir), int(max_items))
+    path = _LANDED.get(key)
+    if path is None:
+        t = Tables(spark, data_dir)
+        path = scratch_path(spark, "landed-order-documents")
+        order_documents(t.orders, t.lineitem, max_items=max_items).write.parquet(path)
+        _LANDED[key] = path
+    return spark.read.parquet(path)

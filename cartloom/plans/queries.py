@@ -160,10 +160,13 @@ PRODUCT_QUERY_COLS = [
     "product_item_c_Type", "product_item_c_isBackorder"]
 
 
+def _docs(spark, d) -> DataFrame:
+    """Order documents of ``d`` (landed once per session, then read)."""
+    return D.landed_order_documents(spark, d)
+
+
 def _product_rows(spark, d) -> DataFrame:
-    t = Tables(spark, d)
-    docs = D.order_documents(t.orders, t.lineitem, shipping=False, payments=False)
-    return FL.product_rows(docs, sep="_")
+    return FL.product_rows(_docs(spark, d), sep="_")
 
 
 @register("order_product_lines", f"""
@@ -204,9 +207,7 @@ LEFT JOIN a ON a.l_orderkey = o.o_orderkey
 def q_order_entity_product(spark, d):
     """Rows per order of the full product payments x shipments x shipping items x
     first-item adjustments x products (JON1)."""
-    t = Tables(spark, d)
-    docs = D.order_documents(t.orders, t.lineitem)
-    return FL.entity_product(docs).groupBy("order_no").agg(F.count(F.lit(1)).alias("n_rows"))
+    return FL.entity_product(_docs(spark, d)).groupBy("order_no").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 SQL_FIRST_ADJ = """
@@ -235,9 +236,7 @@ FROM orders o LEFT JOIN adj a ON a.l_orderkey = o.o_orderkey
 def q_first_item_adjustments(spark, d):
     """Adjustments of the first shipping item only, one null row when it has none
     (JON3); nested ``applied_discount`` flattened too."""
-    t = Tables(spark, d)
-    docs = D.order_documents(t.orders, t.lineitem, products=False, payments=False)
-    return FL.first_item_adjustments(docs, sep="_")
+    return FL.first_item_adjustments(_docs(spark, d), sep="_")
 
 
 OPTION_QUERY_COLS = [
@@ -266,9 +265,7 @@ WHERE l.l_discount > 0.05
 """)
 def q_option_items(spark, d):
     """Two-level explode product_items -> option_items with parent keys (FUN13)."""
-    t = Tables(spark, d)
-    docs = D.order_documents(t.orders, t.lineitem, shipping=False, payments=False)
-    return FL.option_item_rows(docs, sep="_").select(*OPTION_QUERY_COLS)
+    return FL.option_item_rows(_docs(spark, d), sep="_").select(*OPTION_QUERY_COLS)
 
 
 SQL_PAYMENTS = """
@@ -296,9 +293,7 @@ FROM o
 @register("payment_details", SQL_PAYMENTS)
 def q_payment_details(spark, d):
     """Payment instruments: order x instruments, distinct (JON2)."""
-    t = Tables(spark, d)
-    docs = D.order_documents(t.orders, t.lineitem, products=False, shipping=False)
-    return FL.payment_rows(docs, sep="_", file_name=F.lit("payments_data.csv"))
+    return FL.payment_rows(_docs(spark, d), sep="_", file_name=F.lit("payments_data.csv"))
 
 
 @register("array_to_json", """
@@ -325,8 +320,7 @@ FROM orders o LEFT JOIN agg a ON a.l_orderkey = o.o_orderkey
 def q_array_to_json(spark, d):
     """Array column written as JSON text (FUN12): element count, text length and a
     digest of the text of the sorted array."""
-    t = Tables(spark, d)
-    docs = D.order_documents(t.orders, t.lineitem, shipping=False, payments=False)
+    docs = _docs(spark, d)
     slim = F.transform("product_items", lambda p: F.struct(
         p.getField("item_id").alias("item_id"), p.getField("product_id").alias("product_id"),
         p.getField("shipment_id").alias("shipment_id"), p.getField("c_Type").alias("c_Type")))
@@ -1040,9 +1034,7 @@ def q_day_paths(spark, d):
 def _order_day_tables(spark, d) -> dict[str, DataFrame]:
     from cartloom.plans.pipelines import order_tables
 
-    t = Tables(spark, d)
-    docs = D.order_documents(t.orders, t.lineitem, shipping=False)
-    return order_tables(docs, sep="_")
+    return order_tables(_docs(spark, d), sep="_")
 
 
 ORDER_DAY_NULLS = [
@@ -1128,8 +1120,6 @@ def q_payments_backfill(spark, d):
     (section 3.3, SRC6, JON2)."""
     from cartloom.plans.pipelines import backfill_payments
 
-    t = Tables(spark, d)
-    docs = D.order_documents(t.orders, t.lineitem, products=False, shipping=False)
-    pays = backfill_payments(docs, *BACKFILL_ORDERS, sep="_")
+    pays = backfill_payments(_docs(spark, d), *BACKFILL_ORDERS, sep="_")
     return pays.select(day_text("run_date").alias("run_date"), "order_order_no",
                        "payment_inst_payment_instrument_id", "payment_inst_amount", "file_name")
