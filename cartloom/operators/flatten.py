@@ -73,6 +73,15 @@ def _has(df: DataFrame, name: str) -> bool:
     return name in _field_names(df)
 
 
+def _probe(df: DataFrame, name: str) -> Column:
+    """An array column reduced to one leaf field of its elements: same nullness
+    and size, but a Parquet scan then reads only that leaf (nested pruning)."""
+    dtype = df.schema[name].dataType
+    if isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.StructType):
+        return F.col(name).getField(dtype.elementType.fields[0].name)
+    return F.col(name)
+
+
 # --------------------------------------------------------------------------
 # Document validity: quarantine and strict filters (JON1 semantics)
 # --------------------------------------------------------------------------
@@ -81,11 +90,12 @@ def quarantine(docs: DataFrame) -> DataFrame:
     reasons = []
     for name in REQUIRED_ARRAYS:
         if _has(docs, name):
-            reasons.append(F.when(F.col(name).isNull(), F.lit(f"{name} absent")))
+            reasons.append(F.when(_probe(docs, name).isNull(), F.lit(f"{name} absent")))
         else:
             reasons.append(F.lit(f"{name} absent"))
     if _has(docs, "shipping_items"):
-        reasons.append(F.when(F.size("shipping_items") == 0, F.lit("shipping_items empty")))
+        reasons.append(F.when(F.size(_probe(docs, "shipping_items")) == 0,
+                              F.lit("shipping_items empty")))
     reason = F.coalesce(*reasons)
     return docs.select("order_no", reason.alias("reason")).filter(F.col("reason").isNotNull())
 
@@ -96,13 +106,14 @@ def valid_documents(docs: DataFrame, strict: bool = False) -> DataFrame:
     cond = F.lit(True)
     for name in REQUIRED_ARRAYS:
         if _has(docs, name):
-            cond = cond & F.col(name).isNotNull()
+            cond = cond & _probe(docs, name).isNotNull()
     if _has(docs, "shipping_items"):
-        cond = cond & (F.size("shipping_items") > 0)
+        cond = cond & (F.size(_probe(docs, "shipping_items")) > 0)
     if strict:
         for name in REQUIRED_ARRAYS + ("product_items",):
             if _has(docs, name):
-                cond = cond & (F.col(name).isNull() | (F.size(name) > 0))
+                probe = _probe(docs, name)
+                cond = cond & (probe.isNull() | (F.size(probe) > 0))
         if _has(docs, "shipping_items"):
             adj = F.get(F.col("shipping_items"), 0).getField("price_adjustments")
             cond = cond & (adj.isNull() | (F.size(adj) > 0))
@@ -152,52 +163,60 @@ def order_rows(docs: DataFrame, sep: str = "_", compat: bool = False,
     return out.dropDuplicates() if dedup else out
 
 
-def product_rows(docs: DataFrame, sep: str = "_", strict: bool = False) -> DataFrame:
+def product_rows(docs: DataFrame, sep: str = "_", strict: bool = False,
+                 carry: Iterable[str] = ()) -> DataFrame:
     """Product-line table of a slice (JON4): one row per product item, one null
     row for an order without ``product_items``; ``option_items`` kept as JSON
-    text (FUN12)."""
+    text (FUN12). ``carry`` document columns ride along at the end."""
+    carry = list(carry)
     docs = valid_documents(docs, strict)
     if not _has(docs, "product_items"):
         docs = docs.withColumn("product_items", F.lit(None).cast(
             T.ArrayType(schemas.PRODUCT_ITEM)))
-    rows = docs.select(F.col("order_no").alias("order_order_no"),
+    rows = docs.select(F.col("order_no").alias("order_order_no"), *carry,
                        F.explode_outer("product_items").alias("pi"))
-    flat = flatten_struct(rows, "pi", prefix="product_item_", sep=sep, keep=["order_order_no"])
+    flat = flatten_struct(rows, "pi", prefix="product_item_", sep=sep,
+                          keep=["order_order_no", *carry])
     if _has(flat, "product_item_option_items"):
         flat = flat.withColumn("product_item_option_items",
                                F.to_json(ref("product_item_option_items")))
-    return conform(flat, rename_separator(PRODUCT_SLICE_COLUMNS, sep))
+    return conform(flat, rename_separator(PRODUCT_SLICE_COLUMNS, sep) + carry)
 
 
-def option_item_rows(docs: DataFrame, sep: str = "_", strict: bool = False) -> DataFrame:
+def option_item_rows(docs: DataFrame, sep: str = "_", strict: bool = False,
+                     carry: Iterable[str] = ()) -> DataFrame:
     """Option-item table (FUN13 + PRJ10): two-level explode, parent order number,
     product id and item id copied onto every option; tax basis as text (PRJ8)."""
+    carry = list(carry)
     docs = valid_documents(docs, strict)
-    items = docs.select("order_no", F.explode("product_items").alias("pi"))
+    items = docs.select("order_no", *carry, F.explode("product_items").alias("pi"))
     opts = items.select(
-        F.col("order_no"),
+        F.col("order_no"), *carry,
         F.col("pi.product_id").alias("product_items_product_id"),
         F.col("pi.item_id").alias("product_item_item_id"),
         F.explode("pi.option_items").alias("oi"))
     flat = flatten_struct(opts, "oi", prefix="option_items_", sep=sep,
-                          keep=["order_no", "product_items_product_id", "product_item_item_id"])
+                          keep=["order_no", "product_items_product_id", "product_item_item_id",
+                                *carry])
     flat = as_text(flat, ["option_items_tax_basis"])
-    return conform(flat, rename_separator(OPTION_SLICE_COLUMNS, sep))
+    return conform(flat, rename_separator(OPTION_SLICE_COLUMNS, sep) + carry)
 
 
 def payment_rows(docs: DataFrame, sep: str = "_", file_name: Column | None = None,
-                 strict: bool = False) -> DataFrame:
+                 strict: bool = False, carry: Iterable[str] = ()) -> DataFrame:
     """Payment-instrument table (JON2): one row per instrument, distinct.
 
     ``file_name`` fills the lineage column (the published layout has it, N7).
     """
+    carry = list(carry)
     docs = valid_documents(docs, strict)
-    rows = docs.select(F.col("order_no").alias("order_order_no"),
+    rows = docs.select(F.col("order_no").alias("order_order_no"), *carry,
                        F.explode("payment_instruments").alias("p"))
-    flat = flatten_struct(rows, "p", prefix="payment_inst_", sep=sep, keep=["order_order_no"])
+    flat = flatten_struct(rows, "p", prefix="payment_inst_", sep=sep,
+                          keep=["order_order_no", *carry])
     flat = flat.withColumn("file_name", file_name if file_name is not None
                            else F.lit(None).cast("string"))
-    return conform(flat, rename_separator(schemas.PAYMENT_COLUMNS, sep)).dropDuplicates()
+    return conform(flat, rename_separator(schemas.PAYMENT_COLUMNS, sep) + carry).dropDuplicates()
 
 
 def first_item_adjustments(docs: DataFrame, sep: str = "_", strict: bool = False) -> DataFrame:

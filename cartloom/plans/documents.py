@@ -156,7 +156,8 @@ def document_parts(lineitem: DataFrame, max_items: int = MAX_ITEMS) -> DataFrame
     """Lines tagged with ``doc_part`` so that no document exceeds ~``max_items``
     lines; re-partitioned on (order, part) for the document aggregation."""
     lines = lineitem.select(*LINE_COLS)
-    counts = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_n"))
+    counts = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_n"),
+                                             F.max("l_shipdate").alias("_lm_order"))
     tagged = lines.join(counts, "l_orderkey")
     n_parts = F.ceil(F.col("_n") / F.lit(int(max_items)))
     part = F.when(F.col("_n") <= max_items, F.lit(0).cast("bigint")) \
@@ -176,10 +177,11 @@ def line_arrays(lineitem: DataFrame, max_items: int = MAX_ITEMS, products: bool
     parts = document_parts(lineitem, max_items)
     if not shipping:
         return parts.groupBy("l_orderkey", "doc_part").agg(
-            F.max("l_shipdate").alias("_lm"),
+            F.max("_lm_order").alias("_lm"),
             F.sort_array(F.collect_list(_product_item())).alias("product_items"))
     grp = (F.col("l_suppkey") % 3).cast("string")
-    level1 = [F.max("l_shipdate").alias("_lm"), F.collect_list(_adjustment()).alias("_adjs")]
+    # last_modified is the whole order's latest ship date, even for a split order
+    level1 = [F.max("_lm_order").alias("_lm"), F.collect_list(_adjustment()).alias("_adjs")]
     if products:
         level1.append(F.collect_list(_product_item()).alias("_prods"))
     g = parts.groupBy("l_orderkey", "doc_part", grp.alias("grp")).agg(*level1)

@@ -71,28 +71,29 @@ def order_tables(docs: DataFrame, sep: str = ".", compat: bool = False,
     orders = M.dedup_first(orders, subset, [("order_last_modified", True),
                                             ("order_creation_date", True)])
 
-    # The product and option tables are keyed by the order's run days too.
-    days = FL.valid_documents(docs, strict).select(
-        F.col("order_no").alias("_order_no"),
-        F.explode(F.array_compact(F.array_distinct(F.array(
-            F.to_date(_stamp(docs, "creation_date")),
-            F.to_date(_stamp(docs, "last_modified")))))).alias("run_date")).distinct()
-
-    products = FL.product_rows(docs, sep=sep, strict=strict)
+    # The product, option and payment tables are keyed by the order's run days
+    # too: the days ride along from the document and are exploded in the same
+    # projection (no join, no shuffle).
+    days = F.array_compact(F.array_distinct(F.array(
+        F.to_date(_stamp(docs, "creation_date")), F.to_date(_stamp(docs, "last_modified")))))
+    dated = docs.withColumn("_days", days)
+
+    def by_day(rows: DataFrame) -> DataFrame:
+        cols = [c for c in rows.columns if c != "_days"]
+        return rows.select(F.explode("_days").alias("run_date"), *[C.ref(c) for c in cols])
+
+    products = FL.product_rows(dated, sep=sep, strict=strict, carry=["_days"])
     products = C.override_constant(products, "product_item_c_personalizationJson", "NAN")
     products = M.drop_missing_key(products, "product_item_product_id")
-    products = _join_days(products, days, "order_order_no")
-    products = products.withColumn("file_name", _file_name("products"))
+    products = by_day(products).withColumn("file_name", _file_name("products"))
     products = M.dedup_all(C.conform(products, ["run_date"] + schemas.PRODUCT_COLUMNS))
 
-    options = FL.option_item_rows(docs, sep=sep, strict=strict)
-    options = _join_days(options, days, "order_no").withColumn("file_name",
-                                                               _file_name("option_items"))
+    options = by_day(FL.option_item_rows(dated, sep=sep, strict=strict, carry=["_days"]))
+    options = options.withColumn("file_name", _file_name("option_items"))
     options = M.dedup_all(C.conform(options, ["run_date"] + schemas.OPTION_ITEM_COLUMNS))
 
-    payments = FL.payment_rows(docs, sep=sep, strict=strict)
-    payments = _join_days(payments.drop("file_name"), days, "order_order_no") \
-        .withColumn("file_name", _file_name("payment_details"))
+    payments = by_day(FL.payment_rows(dated, sep=sep, strict=strict, carry=["_days"])
+                      .drop("file_name")).withColumn("file_name", _file_name("payment_details"))
     payments = M.dedup_all(C.conform(payments, ["run_date"] + C.rename_separator(
         schemas.PAYMENT_COLUMNS, sep)))
     return {"orders": orders, "products": products, "option_items": options,
@@ -105,12 +106,6 @@ def _stamp(docs: DataFrame, name: str) -> F.Column:
     return parse_utc(c) if isinstance(dtype, T.StringType) else c
 
 
-def _join_days(rows: DataFrame, days: DataFrame, key: str) -> DataFrame:
-    """Attach run days by order number (an equi-join; the distinct day side has at
-    most two rows per order, so it never fans out)."""
-    return rows.join(days, C.ref(key) == F.col("_order_no"), "inner").drop("_order_no")
-
-
 def customer_table(docs: DataFrame) -> DataFrame:
     """Merged day table of customers: defaults for absent keys, six Pacific columns,
     lineage, distinct (PRJ9, FUN4, PRJ6, AGG5). Personal fields pass through, as
@@ -185,9 +180,7 @@ def backfill_payments(docs: DataFrame, first: str, last: str, sep: str = ".") ->
     job (SRC6, JON2); rows carry their creation day as ``run_date``."""
     created = F.to_date(_stamp(docs, "creation_date"))
     in_range = docs.filter(created.between(F.to_date(F.lit(first)), F.to_date(F.lit(last))))
-    pays = FL.payment_rows(in_range.withColumn("_day", created), sep=sep)
-    days = in_range.select(F.col("order_no").alias("_order_no"), created.alias("run_date"))
-    pays = _join_days(pays.drop("file_name"), days, "order_order_no") \
-        .withColumn("file_name", _file_name("payment_details"))
+    pays = FL.payment_rows(in_range.withColumn("run_date", created), sep=sep, carry=["run_date"])
+    pays = pays.drop("file_name").withColumn("file_name", _file_name("payment_details"))
     return M.dedup_all(C.conform(pays, ["run_date"] + C.rename_separator(
         schemas.PAYMENT_COLUMNS, sep)))

@@ -15,7 +15,9 @@ from tests import golden
 def docs(spark, tmp_path_factory):
     folder = golden.write_envelopes(str(tmp_path_factory.mktemp("landing")),
                                     golden.order_documents())
-    return documents(read_order_envelopes(spark, folder)).cache()
+    df = documents(read_order_envelopes(spark, folder)).cache()
+    yield df
+    df.unpersist()
 
 
 def rows(df, *cols):

@@ -15,7 +15,9 @@ from tests.conftest import SF01
 
 @pytest.fixture(scope="module")
 def events(spark):
-    return spark.read.parquet(f"{SF01}/events.parquet").cache()
+    df = spark.read.parquet(f"{SF01}/events.parquet").cache()
+    yield df
+    df.unpersist()
 
 
 @pytest.mark.parametrize("ladder", [ORDER_LADDER, CUSTOMER_LADDER])
