@@ -251,6 +251,25 @@ def entity_product(docs: DataFrame, strict: bool = False) -> DataFrame:
                     "product_item"))
 
 
+def entity_product_size(docs: DataFrame, strict: bool = False) -> DataFrame:
+    """Rows each document contributes to :func:`entity_product`, without building
+    them: the product of ``max(1, size)`` of each array (``order_no``, ``n_rows``).
+
+    Use this to size or audit the full product; the product itself emits every
+    combination inside a document and is meant for single slices.
+    """
+    docs = valid_documents(docs, strict)
+
+    def factor(arr: Column) -> Column:
+        return F.greatest(F.lit(1), F.coalesce(F.size(arr), F.lit(0))).cast("bigint")
+
+    first_adj = F.get(F.col("shipping_items"), 0).getField("price_adjustments")
+    n = (factor(_probe(docs, "payment_instruments")) * factor(_probe(docs, "shipments"))
+         * factor(_probe(docs, "shipping_items")) * factor(first_adj.getField("_type"))
+         * factor(_probe(docs, "product_items")))
+    return docs.select("order_no", n.alias("n_rows"))
+
+
 def array_as_json(col, sort: bool = True) -> Column:
     """Array column -> JSON text for a flat file (FUN12); sorted for stable text."""
     c = F.col(col) if isinstance(col, str) else col

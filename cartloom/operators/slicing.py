@@ -220,7 +220,7 @@ def page_offsets(df: DataFrame, n_col: str, page_size: int = PAGE_SIZE,
 
 
 def row_numbers(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str],
-                name: str = "rn", materialize: bool = True) -> DataFrame:
+                name: str = "rn", materialize: bool = True, tiebreak: bool = True) -> DataFrame:
     """``row_number() over (partition by ... order by ...)`` without gathering a
     partition group in one task.
 
@@ -232,9 +232,15 @@ def row_numbers(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequen
 
     ``materialize`` checkpoints the range-partitioned rows to the shared
     checkpoint folder, so both uses see the same task boundaries and a lost
-    executor does not re-draw them. ``order_cols`` should end in a unique key.
+    executor does not re-draw them. ``tiebreak`` appends a row id taken before
+    the exchange to the sort keys, so identical copies of one key are still
+    split across tasks (their relative numbering is then arbitrary, as among
+    equal rows of any ``row_number``).
     """
     part, order = list(partition_cols), list(order_cols)
+    if tiebreak:
+        df = df.withColumn("_tb", F.monotonically_increasing_id())
+        order = order + ["_tb"]
     keys = part + order
     ranged = (df.repartitionByRange(*_cols(keys)).sortWithinPartitions(*_cols(keys))
               .withColumn("_pid", F.spark_partition_id())
@@ -264,7 +270,8 @@ def row_numbers(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequen
     local = ranged.withColumn("_rl", F.row_number().over(w))
     out = local.join(F.broadcast(carry), on="_pid", how="left")
     rn = F.col("_rl") + F.when(F.col("_g") == F.col("_first"), F.col("_carry")).otherwise(F.lit(0))
-    return out.withColumn(name, rn.cast("bigint")).drop("_pid", "_g", "_rl", "_first", "_carry")
+    return out.withColumn(name, rn.cast("bigint")).drop("_pid", "_g", "_rl", "_first", "_carry",
+                                                         "_tb")
 
 
 def assign_pages(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str],

@@ -154,15 +154,21 @@ def _adjustment() -> Column:
 
 def document_parts(lineitem: DataFrame, max_items: int = MAX_ITEMS) -> DataFrame:
     """Lines tagged with ``doc_part`` so that no document exceeds ~``max_items``
-    lines; re-partitioned on (order, part) for the document aggregation."""
-    lines = lineitem.select(*LINE_COLS)
+    lines; re-partitioned on (order, part) for the document aggregation.
+
+    A large order's lines are spread by a hash of a row id taken at the scan
+    (deterministic per file split), so even identical copies of one line are
+    split across parts.
+    """
+    lines = lineitem.select(*LINE_COLS).withColumn("_rid", F.monotonically_increasing_id())
     counts = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_n"),
                                              F.max("l_shipdate").alias("_lm_order"))
     tagged = lines.join(counts, "l_orderkey")
     n_parts = F.ceil(F.col("_n") / F.lit(int(max_items)))
     part = F.when(F.col("_n") <= max_items, F.lit(0).cast("bigint")) \
-        .otherwise(F.pmod(F.xxhash64(*[F.col(c) for c in LINE_COLS]), n_parts))
-    return tagged.withColumn("doc_part", part).drop("_n").repartition("l_orderkey", "doc_part")
+        .otherwise(F.pmod(F.xxhash64("_rid"), n_parts))
+    return (tagged.withColumn("doc_part", part).drop("_n", "_rid")
+            .repartition("l_orderkey", "doc_part"))
 
 
 def line_arrays(lineitem: DataFrame, max_items: int = MAX_ITEMS, products: bool = True,

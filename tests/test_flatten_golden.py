@@ -116,6 +116,8 @@ def test_entity_product_row_count(docs):
     counts = dict(rows(FL.entity_product(docs).groupBy("order_no").count(), "order_no", "count"))
     assert counts["1"] == 2 * 1 * 1 * 2 * 2
     assert counts["2"] == 2 * 1 * 1 * 2 * 1
+    sizes = FL.entity_product_size(docs).groupBy("order_no").agg(F.sum("n_rows").alias("n"))
+    assert dict(rows(sizes, "order_no", "n")) == counts
 
 
 def test_flatten_nested_names(spark):
