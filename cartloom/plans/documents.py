@@ -248,12 +248,14 @@ def order_documents(orders: DataFrame, lineitem: DataFrame, *, products: bool =
     return headers.select(*head, F.col("last_modified"), *tail)
 
 
-def customer_documents(customer: DataFrame) -> DataFrame:
+def customer_documents(customer: DataFrame, orders: DataFrame | None = None) -> DataFrame:
     """Customer documents: sparse keys, some absent by market segment.
 
     e-mail absent for AUTOMOBILE, company absent for BUILDING, home phone absent
     for FURNITURE, gender absent for MACHINERY, points balance absent for
-    HOUSEHOLD.
+    HOUSEHOLD. With ``orders``, ``creation_date`` / ``last_modified`` are the
+    customer's first and last order dates (a partial aggregate joined on the
+    customer key); customers without orders have no stamps.
     """
     cid = F.col("c_custkey").cast("string")
     seg = F.col("c_mktsegment")
@@ -261,7 +263,7 @@ def customer_documents(customer: DataFrame) -> DataFrame:
     def unless(segment: str, value: Column) -> Column:
         return F.when(seg != F.lit(segment), value)
 
-    return customer.select(
+    cols = [
         cid.alias("customer_id"),
         F.lpad(cid, 8, "0").alias("customer_no"),
         unless("AUTOMOBILE", F.concat(F.lit("customer"), cid, F.lit("@example.com"))).alias("email"),
@@ -273,7 +275,13 @@ def customer_documents(customer: DataFrame) -> DataFrame:
         unless("MACHINERY", (F.col("c_nationkey") % 3).cast("int")).alias("gender"),
         unless("HOUSEHOLD", F.col("c_acctbal")).alias("c_pointsBalance"),
         seg.alias("segment"),
-    )
+    ]
+    if orders is None:
+        return customer.select(*cols)
+    span = orders.groupBy("o_custkey").agg(F.min("o_orderdate").alias("creation_date"),
+                                           F.max("o_orderdate").alias("last_modified"))
+    joined = customer.join(span, F.col("c_custkey") == F.col("o_custkey"), "left")
+    return joined.select(*cols, "creation_date", "last_modified")
 
 
 _LANDED: dict[tuple, str] = {}

@@ -1125,3 +1125,97 @@ def q_payments_backfill(spark, d):
     pays = backfill_payments(_docs(spark, d), *BACKFILL_ORDERS, sep="_")
     return pays.select(day_text("run_date").alias("run_date"), "order_order_no",
                        "payment_inst_payment_instrument_id", "payment_inst_amount", "file_name")
+
+
+CUSTOMER_TEXT_NULLS = ["birthday", "phone_business", "phone_mobile", "c_cordialSubscribed",
+                       "c_cordialList", "c_cordialCID", "c_subscribed", "c_isLoyaltyMember",
+                       "c_vipStatus", "c_isLoyaltyProgramInitialized", "c_aListStatus",
+                       "c_freeEconomyShipping", "c_vipExpireStatus", "c_vipExtensionStatus"]
+CUSTOMER_STAMP_NULLS = ["last_login_time", "last_visit_time", "previous_login_time",
+                        "previous_visit_time"]
+
+
+@register("customers_day_table", f"""
+WITH cs AS (SELECT o_custkey, min(o_orderdate) AS c, max(o_orderdate) AS m
+            FROM orders GROUP BY o_custkey),
+b AS (SELECT cu.*, cs.c, cs.m FROM customer cu LEFT JOIN cs ON cs.o_custkey = cu.c_custkey),
+f AS (SELECT CAST(c AS DATE) AS d, * FROM b WHERE c IS NOT NULL
+      UNION
+      SELECT CAST(m AS DATE) AS d, * FROM b WHERE m IS NOT NULL)
+SELECT strftime(d, '%Y-%m-%d') AS run_date,
+       CAST(c_custkey AS VARCHAR) AS customer_id,
+       CASE WHEN c_mktsegment <> 'BUILDING' THEN c_mktsegment END AS company_name,
+       c AS creation_date,
+       (c AT TIME ZONE 'UTC') AT TIME ZONE 'US/Pacific' AS creation_date_pst,
+       lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS customer_no,
+       {SQL_CUSTOMER_EMAIL} AS email,
+       'Customer' AS first_name,
+       CASE WHEN c_mktsegment <> 'MACHINERY' THEN CAST(c_nationkey % 3 AS INTEGER) END AS gender,
+       m AS last_modified,
+       (m AT TIME ZONE 'UTC') AT TIME ZONE 'US/Pacific' AS last_modified_pst,
+       split_part(c_name, '#', 2) AS last_name,
+       CASE WHEN c_mktsegment <> 'FURNITURE'
+            THEN lpad(CAST(c_nationkey * 1000 + 7 AS VARCHAR), 10, '0') END AS phone_home,
+       coalesce(CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN c_acctbal END, CAST('NaN' AS DOUBLE))
+         AS c_pointsBalance,
+       CAST('NaN' AS DOUBLE) AS c_vipPointsNeeded,
+       CAST('NaN' AS DOUBLE) AS c_aListMembershipTier,
+       'customers_data_' || strftime(d, '%Y%m%d') || '.csv' AS file_name,
+       {", ".join(f"CAST(NULL AS VARCHAR) AS {c}" for c in CUSTOMER_TEXT_NULLS)},
+       {", ".join(f"CAST(NULL AS TIMESTAMP) AS {c}, CAST(NULL AS TIMESTAMP) AS {c}_pst"
+                  for c in CUSTOMER_STAMP_NULLS)}
+FROM f
+""")
+def q_customers_day_table(spark, d):
+    """The merged customer day table (section 3.2): 38 published columns, defaults
+    for absent keys, six Pacific columns, lineage, distinct."""
+    from cartloom.plans.pipelines import customer_table
+
+    t = Tables(spark, d)
+    docs = D.customer_documents(t.customer, t.orders)
+    return customer_table(docs).withColumn("run_date", day_text("run_date"))
+
+
+def sql_adaptive_compat(ladder, cap: int) -> str:
+    """Oracle for compat refinement: closed day end, truncated refined last slice,
+    per-second cut to ``cap``."""
+    k = len(ladder)
+    w0, w1 = ladder[0], ladder[1]
+    cut = (86400 - w0) + ((w0 - 1) // w1) * w1
+    parents = ",\n       ".join(
+        f"time_bucket(INTERVAL '{w} seconds', sec) AS p{i}" for i, w in enumerate(ladder))
+    sums = ",\n       ".join(f"sum(n2) OVER (PARTITION BY p{i}) AS c{i}" for i in range(1, k))
+    cases = " ".join(f"WHEN c{i} < {cap} THEN {i}" for i in range(k - 1))
+    widths = "[" + ", ".join(str(w) for w in ladder) + "]"
+    plist = "[" + ", ".join(f"p{i}" for i in range(k)) + "]"
+    return f"""
+WITH s AS (SELECT date_trunc('second', ts) AS sec,
+                  count(*) FILTER (WHERE ts = date_trunc('second', ts)) AS n_exact,
+                  count(*) FILTER (WHERE ts <> date_trunc('second', ts)) AS n_frac
+           FROM events GROUP BY 1),
+e AS (SELECT *, date_diff('second', CAST(CAST(sec AS DATE) AS TIMESTAMP), sec) AS off FROM s),
+p AS (SELECT *, n_exact + CASE WHEN off < 86399 THEN n_frac ELSE 0 END AS n,
+       {parents} FROM e),
+q AS (SELECT *, sum(n) OVER (PARTITION BY p0) AS c0 FROM p),
+r AS (SELECT *, CASE WHEN c0 >= {cap} AND off >= {cut} THEN 0 ELSE n END AS n2 FROM q),
+c AS (SELECT *,
+       {sums} FROM r),
+l AS (SELECT *, CASE {cases} ELSE {k - 1} END AS lvl FROM c WHERE n2 > 0),
+g AS (SELECT CAST({widths}[lvl + 1] AS INTEGER) AS level_seconds,
+             {plist}[lvl + 1] AS slice_start,
+             {plist}[lvl + 1] + to_seconds({widths}[lvl + 1]) AS slice_end,
+             CAST(sum(n2) AS BIGINT) AS n
+      FROM l GROUP BY 1, 2, 3)
+SELECT *, CASE WHEN level_seconds = {ladder[-1]} AND n > {cap} THEN CAST({cap} AS BIGINT)
+               ELSE n END AS n_captured
+FROM g
+"""
+
+
+@register("slice_adaptive_compat", sql_adaptive_compat(ORDER_LADDER, TEST_CAP))
+def q_slice_adaptive_compat(spark, d):
+    """Refinement as the reference's requests capture it: closed day end (N2), the
+    refined last slice's lost tail (N3) and seconds cut to the cap (N5)."""
+    s = SL.adaptive_slices(Tables(spark, d).events, "ts", ORDER_LADDER, cap=TEST_CAP,
+                           compat=True, cut_seconds=True)
+    return s.select("level_seconds", "slice_start", "slice_end", "n", "n_captured")
