@@ -31,6 +31,7 @@ from cartloom.functions.timefmt import (add_seconds, epoch_seconds, floor_to,
                                         from_epoch_seconds, seconds_between)
 from cartloom.operators.conform import ref
 from cartloom.schemas import ORDER_LADDER, PAGE_SIZE
+from cartloom.session import ensure_checkpoint_dir
 
 DAY = 86400
 
@@ -246,6 +247,7 @@ def row_numbers(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequen
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_g", F.struct(*_cols(part)) if part else F.lit(0)))
     if materialize:
+        ensure_checkpoint_dir(df.sparkSession)
         ranged = ranged.checkpoint(eager=True)
     # Rows per (task, group): at most groups + tasks rows, aggregated map-side.
     per = ranged.groupBy("_pid", "_g").agg(F.count(F.lit(1)).alias("_n"))
