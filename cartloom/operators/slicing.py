@@ -27,8 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartloom.functions.timefmt import (add_seconds, epoch_seconds, floor_to,
-                                        from_epoch_seconds, seconds_between)
+from cartloom.functions.timefmt import add_seconds, floor_to, seconds_between
 from cartloom.operators.conform import ref
 from cartloom.schemas import ORDER_LADDER, PAGE_SIZE
 from cartloom.session import ensure_checkpoint_dir
@@ -299,5 +298,4 @@ def cap_per_group(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequ
 
 
 __all__ = ["fixed_slices", "slice_grid", "sub_slices", "second_counts", "adaptive_slices",
-           "compat_capture", "page_offsets", "row_numbers", "assign_pages", "cap_per_group",
-           "epoch_seconds", "from_epoch_seconds"]
+           "compat_capture", "page_offsets", "row_numbers", "assign_pages", "cap_per_group"]

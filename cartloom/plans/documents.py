@@ -299,10 +299,10 @@ def landed_order_documents(spark, data_dir: str, max_items: int = MAX_ITEMS) ->
     """
     import os
 
-    from cartloom.session import scratch_path
+    from cartloom.session import scratch_path, session_key
     from cartloom.sources.tables import Tables
 
-    key = (spark.sparkContext.applicationId, os.path.abspath(data_dir), int(max_items))
+    key = (session_key(spark), os.path.abspath(data_dir), int(max_items))
     path = _LANDED.get(key)
     if path is None:
         t = Tables(spark, data_dir)

@@ -41,27 +41,50 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    sc = _context(spark)
+    if sc is not None:
+        sc.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder for checkpoints and intermediate tables.
 
     Reads ``spark.checkpoint.dir``; sets a local one only if the session has none
     (as in unit tests on ``local[*]``).
     """
-    current = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if sc is None:
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+        return configured
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         configured = tempfile.mkdtemp(prefix="cartloom-ckpt-")
-    spark.sparkContext.setCheckpointDir(configured)
-    return spark.sparkContext.getCheckpointDir()
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir()
+
+
+def session_key(spark: SparkSession) -> str:
+    """An id of the running application (or Connect session) for per-session memos."""
+    sc = _context(spark)
+    if sc is not None:
+        return sc.applicationId
+    return getattr(spark, "session_id", None) or str(id(spark))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -75,4 +98,4 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "local_path"]
+__all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "session_key", "local_path"]

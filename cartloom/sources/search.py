@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 from cartloom.schemas import PAGE_SIZE
 
 
+def ref(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def _lit_ts(value) -> Column:
     if isinstance(value, Column):
         return value
@@ -24,7 +28,7 @@ def _lit_ts(value) -> Column:
 def range_predicate(field: str, lo=None, hi=None, closed: bool = False) -> Column:
     """``lo <= field < hi`` (default) or ``lo <= field <= hi`` (``closed=True``, as the
     service's bare ``from`` / ``to`` bounds) (FLT1). ``None`` bounds are open."""
-    col = F.col(field)
+    col = ref(field)
     cond = F.lit(True)
     if lo is not None:
         cond = cond & (col >= _lit_ts(lo))
@@ -52,5 +56,6 @@ def search(df: DataFrame, field: str | None, lo=None, hi=None, *,
     matches = df if field is None else range_filter(df, field, lo, hi, closed)
     total = matches.select(F.count(F.lit(1))).scalar()
     order = list(sort) + [c for c in matches.columns if c not in sort]
-    page = matches.orderBy(*[F.col(c).asc_nulls_first() for c in order]).offset(int(start)).limit(int(count))
+    page = (matches.orderBy(*[ref(c).asc_nulls_first() for c in order])
+            .offset(int(start)).limit(int(count)))
     return page.withColumn("total", total)
