@@ -29,7 +29,7 @@ from cartloom.plans import documents as D
 from cartloom.schemas import CUSTOMER_LADDER, ORDER_LADDER
 from cartloom.session import scratch_path
 from cartloom.sources.calendar import day_spine, day_spine_of
-from cartloom.sources.envelope import explode_hits, parse_json_column
+from cartloom.sources.envelope import explode_hits, parse_json_column, read_envelopes
 from cartloom.sources.flatfiles import read_pipe_csv, write_pipe_csv
 from cartloom.sources.search import search
 from cartloom.sources.tables import Tables
@@ -103,8 +103,9 @@ FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, tex
       FROM conversations)
 """)
 def q_hits_explode(spark, d):
-    """Search responses (pages of at most 200 hits) per conversation, scanned back
-    into rows with their envelope ``total`` and ``count``."""
+    """Search responses (pages of at most 200 hits) per conversation, landed as
+    JSON Lines in the shared folder, scanned back with an explicit schema and
+    exploded into rows with their envelope ``total`` and ``count`` (SRC1)."""
     v = Tables(spark, d).conversations
     numbered = SL.row_numbers(v, ["conv_id"], ["turn", "role", "text"], "rn")
     pages = (numbered.withColumn("page", F.floor((F.col("rn") - 1) / 200))
@@ -113,8 +114,11 @@ def q_hits_explode(spark, d):
                   F.collect_list(F.struct(F.struct("turn", "role", "text").alias("data")))
                   .alias("hits")))
     totals = v.groupBy("conv_id").agg(F.count(F.lit(1)).alias("total"))
-    envelopes = pages.join(totals, "conv_id")
-    return explode_hits(envelopes, keep=("conv_id", "total", "count"))
+    envelopes = pages.join(totals, "conv_id").select("conv_id", "total", "count", "hits")
+    path = scratch_path(spark, "conversation-responses")
+    envelopes.write.json(path)
+    landed = read_envelopes(spark, path, envelopes.schema).drop("source_file")
+    return explode_hits(landed, keep=("conv_id", "total", "count"))
 
 
 # --------------------------------------------------------------------------

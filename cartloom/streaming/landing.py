@@ -13,6 +13,7 @@ row-local (explode), and deduplication happens in the day merge.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -48,9 +49,15 @@ def stream_order_slices(spark: SparkSession, landing: str, out: str,
     base = out.rstrip("/")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        for entity, table in slice_tables(batch, sep).items():
-            (table.write.mode("overwrite")
-             .parquet(f"{base}/{entity}/batch_id={batch_id}"))
+        # Five tables read the same batch: keep it for the duration of the batch
+        # (a lost executor recomputes its part from the landed files).
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for entity, table in slice_tables(batch, sep).items():
+                (table.write.mode("overwrite")
+                 .parquet(f"{base}/{entity}/batch_id={batch_id}"))
+        finally:
+            batch.unpersist()
 
     writer = (docs.writeStream.foreachBatch(write_batch)
               .option("checkpointLocation", checkpoint or scratch_path(spark, "landing-ckpt")))
