@@ -113,16 +113,10 @@ def _tail_cut(ladder: Sequence[int]) -> int:
     return last_start + ((w0 - 1) // w1) * w1
 
 
-def adaptive_slices(df: DataFrame, ts: str, ladder: Sequence[int] = ORDER_LADDER,
-                    cap: int = PAGE_SIZE, by: Sequence[str] = (), compat: bool = False,
-                    cut_seconds: bool = False, page_size: int = PAGE_SIZE) -> DataFrame:
-    """Slices a day is fetched in, chosen by refinement (WIN3/WIN4, N3-N5).
-
-    A slice with ``n >= cap`` is refined to the next ladder width; 1-s slices are
-    final. Columns: ``by..., level_seconds, slice_start, slice_end, n`` (records
-    in the slice), ``n_captured`` (records the requests return: ``n`` unless
-    ``compat`` and ``cut_seconds`` cut a 1-s slice to ``cap``) and ``n_pages``.
-    """
+def _second_levels(df: DataFrame, ts: str, ladder: Sequence[int], cap: int,
+                   by: Sequence[str], compat: bool) -> DataFrame:
+    """Per (by, second): records ``n`` (after compat losses) and the chosen slice
+    (``level_seconds``, ``slice_start``) of that second, plus ``p0``."""
     ladder = [int(w) for w in ladder]
     if any(DAY % w for w in ladder) or any(a % b for a, b in zip(ladder, ladder[1:])):
         raise ValueError("ladder widths must divide a day and each other")
@@ -152,8 +146,22 @@ def adaptive_slices(df: DataFrame, ts: str, ladder: Sequence[int] = ORDER_LADDER
     base = base.withColumn("lvl", level)
     width = F.element_at(F.array(*[F.lit(w) for w in ladder]), F.col("lvl") + 1)
     start = F.element_at(F.array(*[F.col(f"p{i}") for i in range(len(ladder))]), F.col("lvl") + 1)
-    chosen = base.select(*_cols(by), "p0", width.alias("level_seconds"),
-                         start.alias("slice_start"), "n")
+    return base.select(*_cols(by), "sec", "p0", width.alias("level_seconds"),
+                       start.alias("slice_start"), "n")
+
+
+def adaptive_slices(df: DataFrame, ts: str, ladder: Sequence[int] = ORDER_LADDER,
+                    cap: int = PAGE_SIZE, by: Sequence[str] = (), compat: bool = False,
+                    cut_seconds: bool = False, page_size: int = PAGE_SIZE) -> DataFrame:
+    """Slices a day is fetched in, chosen by refinement (WIN3/WIN4, N3-N5).
+
+    A slice with ``n >= cap`` is refined to the next ladder width; 1-s slices are
+    final. Columns: ``by..., level_seconds, slice_start, slice_end, n`` (records
+    in the slice), ``n_captured`` (records the requests return: ``n`` unless
+    ``compat`` and ``cut_seconds`` cut a 1-s slice to ``cap``) and ``n_pages``.
+    """
+    ladder = [int(w) for w in ladder]
+    chosen = _second_levels(df, ts, ladder, cap, by, compat)
     out = (chosen.groupBy(*_cols(by), "p0", "level_seconds", "slice_start")
            .agg(F.sum("n").alias("n"))
            .select(*_cols(by), "level_seconds", "slice_start",
@@ -167,6 +175,32 @@ def adaptive_slices(df: DataFrame, ts: str, ladder: Sequence[int] = ORDER_LADDER
     return out.withColumn("n_pages", pages.cast("bigint"))
 
 
+def assign_slices(df: DataFrame, ts: str, ladder: Sequence[int] = ORDER_LADDER,
+                  cap: int = PAGE_SIZE, by: Sequence[str] = (), sort: Sequence[str] = (),
+                  page_size: int = PAGE_SIZE) -> DataFrame:
+    """Every record with the slice whose request returns it and its page there
+    (the slice loop of an extraction; WIN3/WIN4 + WIN6).
+
+    Adds ``level_seconds, slice_start, slice_end, page_no``. Records are joined
+    to their second's chosen slice on ``(by, second)``; only records of 1-s
+    slices holding ``cap`` or more are numbered into pages, with the skew-safe
+    :func:`row_numbers` (a hot second spreads over many tasks).
+    """
+    ladder = [int(w) for w in ladder]
+    levels = _second_levels(df, ts, ladder, cap, by, compat=False).select(
+        *_cols(by), F.col("sec").alias("_sec"), "level_seconds", "slice_start", "n")
+    rows = df.withColumn("_sec", floor_to(ref(ts), 1))
+    joined = rows.join(levels, on=[*by, "_sec"], how="inner")
+    full = (F.col("level_seconds") == ladder[-1]) & (F.col("n") >= cap)
+    order = [c for c in sort] or [ts]
+    paged = assign_pages(joined.filter(full), [*by, "_sec"], order, page_size) \
+        .drop("page_start")
+    rest = joined.filter(~full).withColumn("page_no", F.lit(0).cast("bigint"))
+    out = paged.unionByName(rest)
+    return out.withColumn("slice_end", add_seconds(F.col("slice_start"), F.col("level_seconds"))) \
+        .drop("_sec", "n")
+
+
 def compat_capture(df: DataFrame, ts: str, ladder: Sequence[int] = ORDER_LADDER,
                    cap: int = PAGE_SIZE, by: Sequence[str] = (),
                    sort: Sequence[str] = (), cut_seconds: bool = True) -> DataFrame:
@@ -298,4 +332,5 @@ def cap_per_group(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequ
 
 
 __all__ = ["fixed_slices", "slice_grid", "sub_slices", "second_counts", "adaptive_slices",
-           "compat_capture", "page_offsets", "row_numbers", "assign_pages", "cap_per_group"]
+           "assign_slices", "compat_capture", "page_offsets", "row_numbers", "assign_pages",
+           "cap_per_group"]

@@ -1223,3 +1223,43 @@ def q_slice_adaptive_compat(spark, d):
     s = SL.adaptive_slices(Tables(spark, d).events, "ts", ORDER_LADDER, cap=TEST_CAP,
                            compat=True, cut_seconds=True)
     return s.select("level_seconds", "slice_start", "slice_end", "n", "n_captured")
+
+
+def sql_assignment(ladder, cap: int) -> str:
+    """Oracle for slice assignment: each event with its second's chosen slice."""
+    k = len(ladder)
+    parents = ",\n       ".join(
+        f"time_bucket(INTERVAL '{w} seconds', sec) AS p{i}" for i, w in enumerate(ladder))
+    sums = ",\n       ".join(f"sum(n) OVER (PARTITION BY p{i}) AS c{i}" for i in range(k))
+    cases = " ".join(f"WHEN c{i} < {cap} THEN {i}" for i in range(k - 1))
+    widths = "[" + ", ".join(str(w) for w in ladder) + "]"
+    plist = "[" + ", ".join(f"p{i}" for i in range(k)) + "]"
+    return f"""
+WITH s AS (SELECT date_trunc('second', ts) AS sec, count(*) AS n FROM events GROUP BY 1),
+p AS (SELECT sec, n,
+       {parents} FROM s),
+c AS (SELECT *,
+       {sums} FROM p),
+l AS (SELECT sec, CASE {cases} ELSE {k - 1} END AS lvl, c0, p0, p1, p2, p3 FROM c)
+SELECT e.event_id,
+       CAST({widths}[lvl + 1] AS INTEGER) AS level_seconds,
+       {plist}[lvl + 1] AS slice_start,
+       {plist}[lvl + 1] + to_seconds({widths}[lvl + 1]) AS slice_end,
+       CAST(0 AS BIGINT) AS page_no,
+       'events_on_ts_' || strftime({plist}[lvl + 1], '%Y-%m-%d') || '_'
+       || replace(strftime({plist}[lvl + 1], '%H:%M:%S'), ':', '_') || '_to_'
+       || replace(strftime({plist}[lvl + 1] + to_seconds({widths}[lvl + 1]), '%H:%M:%S'), ':', '_')
+       || '.csv' AS label
+FROM events e JOIN l ON l.sec = date_trunc('second', e.ts)
+"""
+
+
+@register("slice_assignment", sql_assignment(ORDER_LADDER, TEST_CAP))
+def q_slice_assignment(spark, d):
+    """Each event with the slice (and page) whose request returns it, and that
+    slice's file label: the slice loop of a day's extraction (WIN3, WIN6, FUN9)."""
+    e = Tables(spark, d).events.select("event_id", "ts")
+    a = SL.assign_slices(e, "ts", ORDER_LADDER, cap=TEST_CAP, sort=["ts", "event_id"])
+    return a.select("event_id", "level_seconds", "slice_start", "slice_end", "page_no",
+                    slice_label("events", "ts", F.col("slice_start"), F.col("slice_end"))
+                    .alias("label"))

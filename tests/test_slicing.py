@@ -123,3 +123,13 @@ def test_fixed_slices_and_grid(spark, events):
     grid = SL.slice_grid(days, "day", 900, closed_day_end=True).orderBy("slice_no").collect()
     assert len(grid) == 96
     assert grid[-1]["slice_end"] == dt.datetime(2024, 3, 10, 23, 59, 59)
+
+
+def test_assign_slices_pages_an_overfull_second(spark):
+    t = dt.datetime(2024, 3, 10, 12, 0, 0)
+    other = dt.datetime(2024, 3, 10, 13, 0, 0)
+    df = _stamps(spark, [t] * 7 + [other])
+    got = SL.assign_slices(df, "ts", ORDER_LADDER, cap=3, sort=["ts", "id"], page_size=2)
+    rows = sorted((r["id"], r["level_seconds"], r["page_no"]) for r in got.collect())
+    assert rows == [(0, 1, 0), (1, 1, 0), (2, 1, 1), (3, 1, 1), (4, 1, 2), (5, 1, 2), (6, 1, 3),
+                    (7, 900, 0)]
