@@ -142,21 +142,23 @@ def _stamps_to_ntz(df: DataFrame, names: Iterable[str]) -> DataFrame:
 
 
 def order_rows(docs: DataFrame, sep: str = "_", compat: bool = False,
-               strict: bool = False, dedup: bool = True) -> DataFrame:
+               strict: bool = False, dedup: bool = True, carry: Iterable[str] = ()) -> DataFrame:
     """Order table of a slice: order header fields flattened with prefix ``order_``,
     e-mail hashed into ``customer_emails``, personal fields dropped, conformed to
     the 32 slice columns, distinct (AGG5). Payments, shipments, adjustments and
     products never multiply the rows: the product is not built."""
+    carry = list(carry)
     docs = valid_documents(docs, strict)
     header = [f.name for f in docs.schema.fields
-              if not isinstance(f.dataType, T.ArrayType) and f.name != "source_file"]
-    flat = flatten(docs.select(*header), prefix="order_", sep=sep)
+              if not isinstance(f.dataType, T.ArrayType) and f.name != "source_file"
+              and f.name not in carry]
+    flat = flatten(docs.select(*header, *carry), prefix="order_", sep=sep, keep=carry)
     email = f"order_customer_info{sep}email"
     src = ref(email) if _has(flat, email) else F.lit(None).cast("string")
     flat = flat.withColumn("customer_emails", sha256_text(src, compat))
     flat = drop_columns(flat, rename_separator(schemas.ORDER_DROP_COLUMNS, sep))
     flat = _stamps_to_ntz(flat, ["order_creation_date", "order_last_modified"])
-    cols = rename_separator(ORDER_SLICE_COLUMNS, sep)
+    cols = rename_separator(ORDER_SLICE_COLUMNS, sep) + carry
     out = conform(flat, cols, {"order_creation_date": T.TimestampNTZType(),
                                "order_last_modified": T.TimestampNTZType()})
     out = as_text(out, [f"order_customer_info{sep}customer_no"])

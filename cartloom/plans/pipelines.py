@@ -184,3 +184,80 @@ def backfill_payments(docs: DataFrame, first: str, last: str, sep: str = ".") ->
     pays = pays.drop("file_name").withColumn("file_name", _file_name("payment_details"))
     return M.dedup_all(C.conform(pays, ["run_date"] + C.rename_separator(
         schemas.PAYMENT_COLUMNS, sep)))
+
+
+# --------------------------------------------------------------------------
+# The file-based flow: extract a day into slice files, merge the slice files
+# --------------------------------------------------------------------------
+ORDER_FIELDS = ("creation_date", "last_modified")
+
+
+def extract_day(docs: DataFrame, run_date: str, out: str, field: str = "creation_date", *,
+                ladder=schemas.ORDER_LADDER, cap: int = schemas.PAGE_SIZE,
+                compat: bool = False) -> None:
+    """One day's extraction on one stamp field, as the request loop lands it.
+
+    The documents whose ``field`` falls on ``run_date`` are assigned to the slice
+    whose request returns them (refining over-full slices; with ``compat`` the
+    reference's losses apply), flattened into the four entity slice tables and
+    written one folder per field and slice under ``out/<entity>/`` (SNK1).
+    """
+    from cartloom.operators import slicing as SL
+    from cartloom.sinks.publish import write_slices
+
+    stamp = _stamp(docs, field)
+    day = docs.withColumn("_ts", stamp).filter(F.to_date("_ts") == F.to_date(F.lit(run_date)))
+    if compat:
+        kept = SL.compat_capture(day, "_ts", ladder, cap, sort=["creation_date", "order_no"])
+        sliced = SL.assign_slices(kept, "_ts", ladder, cap, sort=["creation_date", "order_no"])
+    else:
+        sliced = SL.assign_slices(day, "_ts", ladder, cap, sort=["creation_date", "order_no"])
+    sliced = sliced.withColumn("extraction_field", F.lit(field)) \
+        .withColumn("slice_start", F.date_format("slice_start", "HH_mm_ss"))
+    carry = ["extraction_field", "slice_start"]
+    tables = {"orders": FL.order_rows(sliced, sep=".", carry=carry),
+              "products": FL.product_rows(sliced, sep=".", carry=carry),
+              "option_items": FL.option_item_rows(sliced, sep=".", carry=carry),
+              "payments": FL.payment_rows(sliced, sep=".", carry=carry)}
+    for entity, table in tables.items():
+        write_slices(table, f"{out.rstrip('/')}/{entity}/run_date={run_date}", keys=carry)
+
+
+def slice_schemas(docs: DataFrame) -> dict[str, T.StructType]:
+    """Schemas of the four slice tables (an explicit schema for the scans)."""
+    return {"orders": FL.order_rows(docs, sep=".").schema,
+            "products": FL.product_rows(docs, sep=".").schema,
+            "option_items": FL.option_item_rows(docs, sep=".").schema,
+            "payments": FL.payment_rows(docs, sep=".").schema}
+
+
+def merge_day_files(spark, out: str, run_date: str,
+                    schemas_by_entity: dict[str, T.StructType]) -> dict[str, DataFrame]:
+    """Scan every slice file of a day (SRC3/SRC4) and apply the merge rules: the
+    day's order, product, option and payment tables (section 3.1 merge step)."""
+    from cartloom.sources.flatfiles import read_pipe_csv
+
+    base = out.rstrip("/")
+    read = {e: read_pipe_csv(spark, f"{base}/{e}/run_date={run_date}", sch)
+            .withColumn("run_date", F.to_date(F.lit(run_date)))
+            for e, sch in schemas_by_entity.items()}
+    orders = (read["orders"]
+              .withColumn("order_creation_pst_date", to_pacific("order_creation_date"))
+              .withColumn("order_last_modified_pst_date", to_pacific("order_last_modified"))
+              .withColumn("file_name", _file_name("orders")))
+    order_cols = ["run_date"] + schemas.ORDER_COLUMNS
+    orders = C.conform(orders, order_cols)
+    subset = [c for c in order_cols if c not in schemas.ORDER_STAMP_COLUMNS]
+    orders = M.dedup_first(orders, subset, [("order_last_modified", True),
+                                            ("order_creation_date", True)])
+    products = C.override_constant(read["products"], "product_item_c_personalizationJson", "NAN")
+    products = M.drop_missing_key(products, "product_item_product_id") \
+        .withColumn("file_name", _file_name("products"))
+    products = M.dedup_all(C.conform(products, ["run_date"] + schemas.PRODUCT_COLUMNS))
+    options = read["option_items"].withColumn("file_name", _file_name("option_items"))
+    options = M.dedup_all(C.conform(options, ["run_date"] + schemas.OPTION_ITEM_COLUMNS))
+    payments = read["payments"].drop("file_name") \
+        .withColumn("file_name", _file_name("payment_details"))
+    payments = M.dedup_all(C.conform(payments, ["run_date"] + schemas.PAYMENT_COLUMNS))
+    return {"orders": orders, "products": products, "option_items": options,
+            "payments": payments}
