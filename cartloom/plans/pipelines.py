@@ -106,10 +106,15 @@ def _stamp(docs: DataFrame, name: str) -> F.Column:
     return parse_utc(c) if isinstance(dtype, T.StringType) else c
 
 
-def customer_table(docs: DataFrame) -> DataFrame:
-    """Merged day table of customers: defaults for absent keys, six Pacific columns,
-    lineage, distinct (PRJ9, FUN4, PRJ6, AGG5). Personal fields pass through, as
-    published (N18)."""
+CUSTOMER_SLICE_COLUMNS = [c for c in schemas.CUSTOMER_COLUMNS
+                          if not c.endswith("_pst") and c != "file_name"]
+
+
+def customer_slice_rows(docs: DataFrame, carry=()) -> DataFrame:
+    """Customer rows of a slice (31 columns): stamps parsed, text keys default to
+    '' and numeric keys to NaN, gender stays null (PRJ9). An absent text key is
+    published as null ('' reads back as null from a flat file), so it is null here."""
+    carry = list(carry)
     present = set(docs.columns)
     rows = docs
     for name in schemas.CUSTOMER_STAMP_COLUMNS:
@@ -118,22 +123,32 @@ def customer_table(docs: DataFrame) -> DataFrame:
     text_cols = [f.name for f in schemas.CUSTOMER_DOCUMENT.fields
                  if isinstance(f.dataType, T.StringType)
                  and f.name not in schemas.CUSTOMER_STAMP_COLUMNS]
-    rows = C.conform(rows, [f.name for f in schemas.CUSTOMER_DOCUMENT.fields],
+    rows = C.conform(rows, [f.name for f in schemas.CUSTOMER_DOCUMENT.fields] + carry,
                      {**{f.name: f.dataType for f in schemas.CUSTOMER_DOCUMENT.fields},
                       **{n: T.TimestampNTZType() for n in schemas.CUSTOMER_STAMP_COLUMNS}})
-    # Text keys default to '' and numeric keys to NaN; '' reads back as null from
-    # a flat file, so the published value of an absent text key is null.
     rows = C.fill_defaults(rows, {c: "" for c in text_cols})
     rows = C.fill_defaults(rows, {c: float("nan") for c in schemas.CUSTOMER_NUMERIC_COLUMNS})
     rows = rows.select(*[F.when(F.col(c) != "", F.col(c)).alias(c) if c in text_cols
                          else F.col(c) for c in rows.columns])
-    rows = _with_run_date(rows, "creation_date", "last_modified")
+    return C.conform(rows, CUSTOMER_SLICE_COLUMNS + carry)
+
+
+def _customer_merge(rows: DataFrame) -> DataFrame:
+    """Merge rules of a customer day: six Pacific columns, lineage, distinct."""
     for name in schemas.CUSTOMER_STAMP_COLUMNS:
         rows = rows.withColumn(f"{name}_pst", to_pacific(name))
     rows = rows.withColumn("file_name", _file_name("customers"))
     return M.dedup_all(C.conform(rows, ["run_date"] + schemas.CUSTOMER_COLUMNS))
 
 
+def customer_table(docs: DataFrame) -> DataFrame:
+    """Merged day table of customers: defaults for absent keys, six Pacific columns,
+    lineage, distinct (PRJ9, FUN4, PRJ6, AGG5). Personal fields pass through, as
+    published (N18)."""
+    rows = _with_run_date(customer_slice_rows(docs), "creation_date", "last_modified")
+    return _customer_merge(rows)
+
+
 def run_orders(docs: DataFrame, source: DataFrame, out: str | None = None, *,
                compat: bool = False, strict: bool = False, mode: str = "or") -> DayRun:
     """Orders for every day present in ``docs``.
@@ -261,3 +276,37 @@ def merge_day_files(spark, out: str, run_date: str,
     payments = M.dedup_all(C.conform(payments, ["run_date"] + schemas.PAYMENT_COLUMNS))
     return {"orders": orders, "products": products, "option_items": options,
             "payments": payments}
+
+
+def extract_customers_day(docs: DataFrame, run_date: str, out: str,
+                          field: str = "creation_date", *, ladder=schemas.CUSTOMER_LADDER,
+                          cap: int = schemas.PAGE_SIZE, page_size: int = schemas.PAGE_SIZE) -> None:
+    """One day's customer extraction on one stamp field: customers assigned to
+    slices (1 h refined down to 1 s) and pages, written one folder per field,
+    slice and page (the ``_P<page>`` files)."""
+    from cartloom.operators import slicing as SL
+    from cartloom.sinks.publish import write_slices
+
+    day = docs.withColumn("_ts", _stamp(docs, field)) \
+        .filter(F.to_date("_ts") == F.to_date(F.lit(run_date)))
+    sliced = SL.assign_slices(day, "_ts", ladder, cap, sort=["_ts", "customer_id"],
+                              page_size=page_size)
+    sliced = (sliced.withColumn("extraction_field", F.lit(field))
+              .withColumn("slice_start", F.date_format("slice_start", "HH_mm_ss")))
+    keys = ["extraction_field", "slice_start", "page_no"]
+    write_slices(customer_slice_rows(sliced, carry=keys),
+                 f"{out.rstrip('/')}/customers/run_date={run_date}", keys=keys)
+
+
+def merge_customer_files(spark, out: str, run_date: str) -> DataFrame:
+    """Scan every customer slice file of a day with an explicit schema (customer
+    number and phones as text) and apply the merge rules."""
+    from cartloom.sources.flatfiles import read_pipe_csv
+
+    schema = T.StructType([T.StructField(c, T.TimestampNTZType() if c in
+                                         schemas.CUSTOMER_STAMP_COLUMNS else
+                                         dict((f.name, f.dataType) for f in
+                                              schemas.CUSTOMER_DOCUMENT.fields)[c])
+                           for c in CUSTOMER_SLICE_COLUMNS])
+    rows = read_pipe_csv(spark, f"{out.rstrip('/')}/customers/run_date={run_date}", schema)
+    return _customer_merge(rows.withColumn("run_date", F.to_date(F.lit(run_date))))
