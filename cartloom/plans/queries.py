@@ -865,10 +865,9 @@ rec AS (
   FROM src s FULL JOIN dc ON dc.d = s.d)"""
 
 
-def _captured_day_rows(spark, d) -> DataFrame:
+def _captured_day_rows(h: DataFrame) -> DataFrame:
     """Day files as the reference would have built them: each stamp field sliced
     in compat mode (cap 3, closed day end, truncated last slice, 1-s cut)."""
-    h = _headers(Tables(spark, d))
     kw = dict(ladder=ORDER_LADDER, cap=TEST_CAP, sort=["creation_date", "order_no"])
     by_c = SL.compat_capture(h, "creation_date", **kw)
     by_m = SL.compat_capture(h, "last_modified", **kw)
@@ -877,12 +876,14 @@ def _captured_day_rows(spark, d) -> DataFrame:
     return M.dedup_all(rows.select("run_date", "order_no", "creation_date", "last_modified"))
 
 
-def _reconciled(spark, d, mode: str) -> DataFrame:
+def _reconciled(spark, d, mode: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(headers, source totals, captured day rows, verdicts), built once per query
+    so every use shares the same subplans."""
     h = _headers(Tables(spark, d))
     source = Q.source_totals(h, "creation_date", "last_modified")
-    files = Q.day_counts(_captured_day_rows(spark, d), "run_date", "order_no", "creation_date",
-                         "last_modified")
-    return Q.reconcile(source, files, "run_date", mode)
+    captured = _captured_day_rows(h)
+    files = Q.day_counts(captured, "run_date", "order_no", "creation_date", "last_modified")
+    return h, source, captured, Q.reconcile(source, files, "run_date", mode)
 
 
 def _verdict_out(df: DataFrame) -> DataFrame:
@@ -898,7 +899,7 @@ FROM rec
 """)
 def q_reconcile_all(spark, d):
     """Orders: a day fails only if created and modified counts both differ (DQ1)."""
-    return _verdict_out(_reconciled(spark, d, "and"))
+    return _verdict_out(_reconciled(spark, d, "and")[3])
 
 
 @register("reconcile_created", SQL_RECONCILE_BASE + """
@@ -908,7 +909,7 @@ FROM rec
 """)
 def q_reconcile_created(spark, d):
     """Customers' rule: a day fails if created counts differ (DQ2)."""
-    return _verdict_out(_reconciled(spark, d, "created"))
+    return _verdict_out(_reconciled(spark, d, "created")[3])
 
 
 @register("publish_gate", SQL_RECONCILE_BASE + """
@@ -919,8 +920,8 @@ FROM f SEMI JOIN rec ON rec.d = f.d
 """)
 def q_publish_gate(spark, d):
     """Rows of passing days only: a failed day is not published (DQ3)."""
-    verdicts = _reconciled(spark, d, "and")
-    rows = Q.publish_gate(_captured_day_rows(spark, d), verdicts)
+    _, _, captured, verdicts = _reconciled(spark, d, "and")
+    rows = Q.publish_gate(captured, verdicts)
     return rows.select(day_text("run_date").alias("run_date"), "order_no", "creation_date",
                        "last_modified")
 
@@ -938,12 +939,11 @@ FROM t WHERE total = 0 OR passed
 """)
 def q_trigger_rows(spark, d):
     """Day markers with the source total: empty days and passing days only (SNK5)."""
-    h = _headers(Tables(spark, d))
-    totals = Q.source_totals(h, "creation_date", "last_modified")
+    h, totals, _, verdicts = _reconciled(spark, d, "and")
     spine = day_spine_of(h.select(F.to_date("creation_date").alias("d")), "d", "run_date")
     all_days = spine.join(totals.select("run_date", "total_records"), "run_date", "left") \
         .fillna({"total_records": 0})
-    marks = Q.trigger_rows(all_days, _reconciled(spark, d, "and"))
+    marks = Q.trigger_rows(all_days, verdicts)
     return marks.select(day_text("run_date").alias("run_date"), "total", "state")
 
 
