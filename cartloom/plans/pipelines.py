@@ -238,6 +238,20 @@ def extract_day(docs: DataFrame, run_date: str, out: str, field: str = "creation
         write_slices(table, f"{out.rstrip('/')}/{entity}/run_date={run_date}", keys=carry)
 
 
+def _day_slices(spark, out: str, entity: str, run_date: str, schema: T.StructType) -> DataFrame:
+    """The slice files of one day: the entity folder is scanned with an explicit
+    schema and the day picked by a partition filter (pruned at file listing), so
+    a day without files gives an empty, typed frame (N15)."""
+    from cartloom.sources.flatfiles import read_pipe_csv
+
+    parts = T.StructType(list(schema.fields) + [
+        T.StructField("run_date", T.DateType()), T.StructField("extraction_field", T.StringType()),
+        T.StructField("slice_start", T.StringType()), T.StructField("page_no", T.LongType())])
+    rows = read_pipe_csv(spark, f"{out.rstrip('/')}/{entity}", parts)
+    day = rows.filter(F.col("run_date") == F.to_date(F.lit(run_date)))
+    return day.select(*[C.ref(f.name) for f in schema.fields], "run_date")
+
+
 def slice_schemas(docs: DataFrame) -> dict[str, T.StructType]:
     """Schemas of the four slice tables (an explicit schema for the scans)."""
     return {"orders": FL.order_rows(docs, sep=".").schema,
@@ -252,10 +266,7 @@ def merge_day_files(spark, out: str, run_date: str,
     day's order, product, option and payment tables (section 3.1 merge step)."""
     from cartloom.sources.flatfiles import read_pipe_csv
 
-    base = out.rstrip("/")
-    read = {e: read_pipe_csv(spark, f"{base}/{e}/run_date={run_date}", sch)
-            .withColumn("run_date", F.to_date(F.lit(run_date)))
-            for e, sch in schemas_by_entity.items()}
+    read = {e: _day_slices(spark, out, e, run_date, sch) for e, sch in schemas_by_entity.items()}
     orders = (read["orders"]
               .withColumn("order_creation_pst_date", to_pacific("order_creation_date"))
               .withColumn("order_last_modified_pst_date", to_pacific("order_last_modified"))
@@ -308,5 +319,4 @@ def merge_customer_files(spark, out: str, run_date: str) -> DataFrame:
                                          dict((f.name, f.dataType) for f in
                                               schemas.CUSTOMER_DOCUMENT.fields)[c])
                            for c in CUSTOMER_SLICE_COLUMNS])
-    rows = read_pipe_csv(spark, f"{out.rstrip('/')}/customers/run_date={run_date}", schema)
-    return _customer_merge(rows.withColumn("run_date", F.to_date(F.lit(run_date))))
+    return _customer_merge(_day_slices(spark, out, "customers", run_date, schema))

@@ -138,3 +138,12 @@ def test_customer_slice_files_then_merge_matches_direct_table(spark, tmp_path):
 
     assert norm(merged) == norm(direct)
     assert merged.filter(F.col("customer_no") == "00042").count() == 1
+
+
+def test_merge_of_a_day_without_files_is_empty_and_typed(spark, order_docs, tmp_dir):
+    out = os.path.join(tmp_dir, "extract")
+    valid = FL.valid_documents(order_docs)
+    P.extract_day(valid, "2024-03-10", out, "creation_date", cap=3)
+    merged = P.merge_day_files(spark, out, "2024-03-11", P.slice_schemas(valid))
+    assert merged["orders"].count() == 0
+    assert merged["orders"].columns == ["run_date"] + schemas.ORDER_COLUMNS
