@@ -68,9 +68,12 @@ def oracle_queries() -> dict[str, str]:
 # --------------------------------------------------------------------------
 # Shared pieces
 # --------------------------------------------------------------------------
-def _headers(t: Tables) -> DataFrame:
-    h = D.order_headers(t.orders, t.lineitem)
-    return h.select(D.order_no().alias("order_no"), "creation_date", "last_modified")
+def _headers(spark, d) -> DataFrame:
+    """Order headers (order number, creation and modification stamps) as the
+    landed documents carry them; parts of a split order share their header, so
+    the distinct over the three columns keeps one row per order."""
+    docs = D.landed_order_documents(spark, d)
+    return docs.select("order_no", "creation_date", "last_modified").dropDuplicates()
 
 
 SQL_HEADERS = """
@@ -495,7 +498,7 @@ SELECT strftime(CAST(m AS DATE), '%Y-%m-%d'), order_no, c, m FROM h WHERE m IS N
 """)
 def q_change_union(spark, d):
     """Created on D union modified on D, distinct, for every day (SET2)."""
-    feed = M.change_feed(_headers(Tables(spark, d)), "creation_date", "last_modified")
+    feed = M.change_feed(_headers(spark, d), "creation_date", "last_modified")
     return feed.select(day_text("run_date").alias("run_date"), "order_no", "creation_date",
                        "last_modified")
 
@@ -778,7 +781,7 @@ FROM src
 """)
 def q_source_totals(spark, d):
     """Matches per day on each stamp, their sum and the distinct count (AGG1, AGG2)."""
-    tot = Q.source_totals(_headers(Tables(spark, d)), "creation_date", "last_modified")
+    tot = Q.source_totals(_headers(spark, d), "creation_date", "last_modified")
     return tot.select(day_text("run_date").alias("run_date"), "total_created", "total_modified",
                       "total_distinct", "total_records")
 
@@ -799,7 +802,7 @@ dc AS (
 
 
 def _day_counts(spark, d) -> DataFrame:
-    feed = M.change_feed(_headers(Tables(spark, d)), "creation_date", "last_modified")
+    feed = M.change_feed(_headers(spark, d), "creation_date", "last_modified")
     return Q.day_counts(feed, "run_date", "order_no", "creation_date", "last_modified")
 
 
@@ -879,7 +882,7 @@ def _captured_day_rows(h: DataFrame) -> DataFrame:
 def _reconciled(spark, d, mode: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """(headers, source totals, captured day rows, verdicts), built once per query
     so every use shares the same subplans."""
-    h = _headers(Tables(spark, d))
+    h = _headers(spark, d)
     source = Q.source_totals(h, "creation_date", "last_modified")
     captured = _captured_day_rows(h)
     files = Q.day_counts(captured, "run_date", "order_no", "creation_date", "last_modified")
