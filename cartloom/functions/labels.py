@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from cartloom.schemas import DAY_FILE_FORMAT
+
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -36,7 +38,7 @@ def page_label(label, page_no) -> Column:
 
 def day_file_name(entity: str, run_date) -> Column:
     """Lineage value ``<entity>_data_<run_date>.csv`` (PRJ6)."""
-    return F.format_string("%s_data_%s.csv", F.lit(entity), _c(run_date))
+    return F.format_string(DAY_FILE_FORMAT, F.lit(entity), _c(run_date))
 
 
 def substitute_run_date(template, run_date) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from cartloom.schemas import MISSING_EMAIL_TEXT
+
 
 def sha256_text(col, compat: bool = False) -> Column:
     """SHA-256 hex of the text of ``col``.
@@ -14,5 +16,5 @@ def sha256_text(col, compat: bool = False) -> Column:
     """
     text = (F.col(col) if isinstance(col, str) else col).cast("string")
     if compat:
-        text = F.coalesce(text, F.lit("nan"))
+        text = F.coalesce(text, F.lit(MISSING_EMAIL_TEXT))
     return F.sha2(text, 256)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartloom.functions.masking import sha256_text
+from cartloom.schemas import PERSONALIZATION_OVERRIDE
 
 
 def ref(name: str) -> Column:
@@ -68,7 +69,8 @@ def with_constant(df: DataFrame, name: str, value, dtype: T.DataType | None = No
     return df.select(*[ref(n) for n in df.columns], c.alias(name))
 
 
-def override_constant(df: DataFrame, name: str, value: str = "NAN") -> DataFrame:
+def override_constant(df: DataFrame, name: str,
+                      value: str = PERSONALIZATION_OVERRIDE) -> DataFrame:
     """Replace a required column's content with a constant, keeping its position
     (PRJ4 + PRJ7: drop the existing column, then set the constant)."""
     drop_required(df, [name])

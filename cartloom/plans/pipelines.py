@@ -63,7 +63,7 @@ def order_tables(docs: DataFrame, sep: str = ".", compat: bool = False,
     orders = (orders
               .withColumn("order_creation_pst_date", to_pacific("order_creation_date"))
               .withColumn("order_last_modified_pst_date", to_pacific("order_last_modified"))
-              .withColumn("file_name", _file_name("orders")))
+              .withColumn("file_name", _file_name(schemas.ORDERS_FILE_WORD)))
     order_cols = ["run_date"] + C.rename_separator(schemas.ORDER_COLUMNS, sep)
     orders = C.conform(orders, order_cols)
     subset = [c for c in order_cols
@@ -83,17 +83,17 @@ def order_tables(docs: DataFrame, sep: str = ".", compat: bool = False,
         return rows.select(F.explode("_days").alias("run_date"), *[C.ref(c) for c in cols])
 
     products = FL.product_rows(dated, sep=sep, strict=strict, carry=["_days"])
-    products = C.override_constant(products, "product_item_c_personalizationJson", "NAN")
+    products = C.override_constant(products, "product_item_c_personalizationJson")
     products = M.drop_missing_key(products, "product_item_product_id")
-    products = by_day(products).withColumn("file_name", _file_name("products"))
+    products = by_day(products).withColumn("file_name", _file_name(schemas.PRODUCTS_FILE_WORD))
     products = M.dedup_all(C.conform(products, ["run_date"] + schemas.PRODUCT_COLUMNS))
 
     options = by_day(FL.option_item_rows(dated, sep=sep, strict=strict, carry=["_days"]))
-    options = options.withColumn("file_name", _file_name("option_items"))
+    options = options.withColumn("file_name", _file_name(schemas.OPTION_ITEMS_FILE_WORD))
     options = M.dedup_all(C.conform(options, ["run_date"] + schemas.OPTION_ITEM_COLUMNS))
 
     payments = by_day(FL.payment_rows(dated, sep=sep, strict=strict, carry=["_days"])
-                      .drop("file_name")).withColumn("file_name", _file_name("payment_details"))
+                      .drop("file_name")).withColumn("file_name", _file_name(schemas.PAYMENTS_FILE_WORD))
     payments = M.dedup_all(C.conform(payments, ["run_date"] + C.rename_separator(
         schemas.PAYMENT_COLUMNS, sep)))
     return {"orders": orders, "products": products, "option_items": options,
@@ -137,7 +137,7 @@ def _customer_merge(rows: DataFrame) -> DataFrame:
     """Merge rules of a customer day: six Pacific columns, lineage, distinct."""
     for name in schemas.CUSTOMER_STAMP_COLUMNS:
         rows = rows.withColumn(f"{name}_pst", to_pacific(name))
-    rows = rows.withColumn("file_name", _file_name("customers"))
+    rows = rows.withColumn("file_name", _file_name(schemas.CUSTOMERS_FILE_WORD))
     return M.dedup_all(C.conform(rows, ["run_date"] + schemas.CUSTOMER_COLUMNS))
 
 
@@ -196,7 +196,7 @@ def backfill_payments(docs: DataFrame, first: str, last: str, sep: str = ".") ->
     created = F.to_date(_stamp(docs, "creation_date"))
     in_range = docs.filter(created.between(F.to_date(F.lit(first)), F.to_date(F.lit(last))))
     pays = FL.payment_rows(in_range.withColumn("run_date", created), sep=sep, carry=["run_date"])
-    pays = pays.drop("file_name").withColumn("file_name", _file_name("payment_details"))
+    pays = pays.drop("file_name").withColumn("file_name", _file_name(schemas.PAYMENTS_FILE_WORD))
     return M.dedup_all(C.conform(pays, ["run_date"] + C.rename_separator(
         schemas.PAYMENT_COLUMNS, sep)))
 
@@ -270,20 +270,20 @@ def merge_day_files(spark, out: str, run_date: str,
     orders = (read["orders"]
               .withColumn("order_creation_pst_date", to_pacific("order_creation_date"))
               .withColumn("order_last_modified_pst_date", to_pacific("order_last_modified"))
-              .withColumn("file_name", _file_name("orders")))
+              .withColumn("file_name", _file_name(schemas.ORDERS_FILE_WORD)))
     order_cols = ["run_date"] + schemas.ORDER_COLUMNS
     orders = C.conform(orders, order_cols)
     subset = [c for c in order_cols if c not in schemas.ORDER_STAMP_COLUMNS]
     orders = M.dedup_first(orders, subset, [("order_last_modified", True),
                                             ("order_creation_date", True)])
-    products = C.override_constant(read["products"], "product_item_c_personalizationJson", "NAN")
+    products = C.override_constant(read["products"], "product_item_c_personalizationJson")
     products = M.drop_missing_key(products, "product_item_product_id") \
-        .withColumn("file_name", _file_name("products"))
+        .withColumn("file_name", _file_name(schemas.PRODUCTS_FILE_WORD))
     products = M.dedup_all(C.conform(products, ["run_date"] + schemas.PRODUCT_COLUMNS))
-    options = read["option_items"].withColumn("file_name", _file_name("option_items"))
+    options = read["option_items"].withColumn("file_name", _file_name(schemas.OPTION_ITEMS_FILE_WORD))
     options = M.dedup_all(C.conform(options, ["run_date"] + schemas.OPTION_ITEM_COLUMNS))
     payments = read["payments"].drop("file_name") \
-        .withColumn("file_name", _file_name("payment_details"))
+        .withColumn("file_name", _file_name(schemas.PAYMENTS_FILE_WORD))
     payments = M.dedup_all(C.conform(payments, ["run_date"] + schemas.PAYMENT_COLUMNS))
     return {"orders": orders, "products": products, "option_items": options,
             "payments": payments}

@@ -26,7 +26,7 @@ from cartloom.operators import merge as M
 from cartloom.operators import quality as Q
 from cartloom.operators import slicing as SL
 from cartloom.plans import documents as D
-from cartloom.schemas import CUSTOMER_LADDER, ORDER_LADDER
+from cartloom.schemas import CUSTOMER_LADDER, DAY_COUNT_LOG_KEYS, ORDER_LADDER
 from cartloom.session import scratch_path
 from cartloom.sources.calendar import day_spine, day_spine_of
 from cartloom.sources.envelope import explode_hits, parse_json_column, read_envelopes
@@ -425,7 +425,7 @@ FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey
 """)
 def q_override_column(spark, d):
     """Drop a column that must exist and set it to the constant 'NAN' (PRJ4, PRJ7)."""
-    rows = C.override_constant(_product_rows(spark, d), "product_item_c_personalizationJson", "NAN")
+    rows = C.override_constant(_product_rows(spark, d), "product_item_c_personalizationJson")
     return rows.select("order_order_no", "product_item_item_id",
                        "product_item_c_personalizationJson")
 
@@ -961,8 +961,7 @@ def q_manifest_paths(spark, d):
                     path_part_from_end("url", 2).alias("folder_name"))
 
 
-LOG_METRICS = [("total", "total_orders_today"), ("created", "orders_created_today"),
-               ("modified", "orders_modified_today"), ("total_modified", "total_modified")]
+LOG_METRICS = list(zip(["total", "created", "modified", "total_modified"], DAY_COUNT_LOG_KEYS))
 
 
 @register("log_metrics", f"""

@@ -208,6 +208,25 @@ CUSTOMER_STAMP_COLUMNS = ["creation_date", "last_login_time", "last_modified",
 # Customer keys and their defaults when absent: text '' , gender null, numbers NaN.
 CUSTOMER_NUMERIC_COLUMNS = ["c_pointsBalance", "c_vipPointsNeeded", "c_aListMembershipTier"]
 
+# Lineage column value of a merged day file: "<word>_data_<yyyyMMdd>.csv", with
+# the words below per table.
+DAY_FILE_FORMAT = "%s_data_%s.csv"
+ORDERS_FILE_WORD = "orders"
+PRODUCTS_FILE_WORD = "products"
+OPTION_ITEMS_FILE_WORD = "option_items"
+PAYMENTS_FILE_WORD = "payment_details"
+CUSTOMERS_FILE_WORD = "customers"
+
+# Constant written over the product personalisation text at the day merge.
+PERSONALIZATION_OVERRIDE = "NAN"
+
+# Text hashed for a missing e-mail by the compat mask.
+MISSING_EMAIL_TEXT = "nan"
+
+# Log keys of the day-file counts (total, created, modified-not-created, all modified).
+DAY_COUNT_LOG_KEYS = ["total_orders_today", "orders_created_today", "orders_modified_today",
+                      "total_modified"]
+
 # Page size and refinement threshold of the search service.
 PAGE_SIZE = 200
 
