@@ -193,10 +193,15 @@ def assign_slices(df: DataFrame, ts: str, ladder: Sequence[int] = ORDER_LADDER,
     joined = rows.join(levels, on=[*by, "_sec"], how="inner")
     full = (F.col("level_seconds") == ladder[-1]) & (F.col("n") >= cap)
     order = [c for c in sort] or [ts]
-    paged = assign_pages(joined.filter(full), [*by, "_sec"], order, page_size) \
-        .drop("page_start")
     rest = joined.filter(~full).withColumn("page_no", F.lit(0).cast("bigint"))
-    out = paged.unionByName(rest)
+    over = joined.filter(full)
+    # Only over-full seconds are paged; when there is none (the usual case at
+    # cap 200) the numbering jobs are skipped (one cheap probe decides).
+    if over.isEmpty():
+        out = rest
+    else:
+        out = assign_pages(over, [*by, "_sec"], order, page_size).drop("page_start") \
+            .unionByName(rest)
     return out.withColumn("slice_end", add_seconds(F.col("slice_start"), F.col("level_seconds"))) \
         .drop("_sec", "n")
 
