@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartloom.schemas import PAGE_SIZE
 
@@ -49,13 +50,16 @@ def search(df: DataFrame, field: str | None, lo=None, hi=None, *,
            count: int = PAGE_SIZE, closed: bool = False) -> DataFrame:
     """One page of a search, with ``total`` (all matches) on every row.
 
-    The sort is completed by every remaining column so a page is deterministic.
+    The sort is completed by the remaining atomic columns (nested ones are left
+    out: sorting on whole arrays is costly) so a page is deterministic.
     ``total`` is a scalar subquery: no join and no single-partition window; the
     page is a top-(start + count) per partition (``TakeOrderedAndProject``).
     """
     matches = df if field is None else range_filter(df, field, lo, hi, closed)
     total = matches.select(F.count(F.lit(1))).scalar()
-    order = list(sort) + [c for c in matches.columns if c not in sort]
+    atomic = [f.name for f in matches.schema.fields
+              if not isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType))]
+    order = list(sort) + [c for c in atomic if c not in sort]
     page = (matches.orderBy(*[ref(c).asc_nulls_first() for c in order])
             .offset(int(start)).limit(int(count)))
     return page.withColumn("total", total)
