@@ -147,3 +147,17 @@ def test_merge_of_a_day_without_files_is_empty_and_typed(spark, order_docs, tmp_
     merged = P.merge_day_files(spark, out, "2024-03-11", P.slice_schemas(valid))
     assert merged["orders"].count() == 0
     assert merged["orders"].columns == ["run_date"] + schemas.ORDER_COLUMNS
+
+
+def test_command_line_orders_job(spark, tmp_path):
+    from cartloom.__main__ import main
+
+    landing = tmp_path / "landing" / "20240310"
+    docs = [d for d in golden.order_documents() if d["order_no"] != "5"]  # no quarantine
+    golden.write_envelopes(str(landing), docs)
+    out = str(tmp_path / "published")
+    summary = main(["orders", "--landing", str(tmp_path / "landing"), "--out", out,
+                    "--date", "20240310"])
+    assert summary["verdict"][0]["passed"] is True
+    assert os.path.isdir(os.path.join(out, "orders", "run_date=2024-03-10"))
+    assert os.path.isdir(os.path.join(out, "_markers"))
