@@ -8,7 +8,8 @@ Jobs
   payments   payment instruments of orders created in a closed date range
 
 The run date defaults to yesterday. Landed responses are read from
-``<landing>/<yyyyMMdd>/`` when that folder exists, else from ``<landing>``.
+``<landing>`` or, with ``--per-day-folders``, from ``<landing>/<yyyyMMdd>/``
+(any Hadoop file system URI).
 """
 
 from __future__ import annotations
@@ -22,11 +23,6 @@ import sys
 from pyspark.sql import functions as F
 
 
-def _day_folder(landing: str, run_date: str) -> str:
-    candidate = os.path.join(landing, run_date)
-    return candidate if os.path.isdir(candidate) else landing
-
-
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="cartloom")
     sub = p.add_subparsers(dest="job", required=True)
@@ -37,6 +33,8 @@ def _parser() -> argparse.ArgumentParser:
         j.add_argument("--out", required=True, help="publish root")
         j.add_argument("--date", default=yesterday, help="run date yyyyMMdd (default yesterday)")
         j.add_argument("--multi-line", action="store_true", help="one response per file")
+        j.add_argument("--per-day-folders", action="store_true",
+                       help="read <landing>/<yyyyMMdd>/ instead of <landing>")
         if job == "orders":
             j.add_argument("--compat", action="store_true", help="hash a missing e-mail as 'nan'")
             j.add_argument("--strict", action="store_true", help="empty arrays drop the order")
@@ -62,7 +60,7 @@ def main(argv: list[str] | None = None) -> dict:
         write_day(P.backfill_payments(docs, args.first, args.last),
                   os.path.join(args.out, "payments"))
         return {"job": "payments", "out": os.path.join(args.out, "payments")}
-    folder = _day_folder(args.landing, args.date)
+    folder = f"{args.landing.rstrip('/')}/{args.date}" if args.per_day_folders else args.landing
     day = dt.datetime.strptime(args.date, "%Y%m%d").date()
     reader = read_order_envelopes if args.job == "orders" else read_customer_envelopes
     docs = documents(reader(spark, folder, multi_line=args.multi_line))

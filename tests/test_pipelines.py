@@ -157,7 +157,7 @@ def test_command_line_orders_job(spark, tmp_path):
     golden.write_envelopes(str(landing), docs)
     out = str(tmp_path / "published")
     summary = main(["orders", "--landing", str(tmp_path / "landing"), "--out", out,
-                    "--date", "20240310"])
+                    "--date", "20240310", "--per-day-folders"])
     assert summary["verdict"][0]["passed"] is True
     assert os.path.isdir(os.path.join(out, "orders", "run_date=2024-03-10"))
     assert os.path.isdir(os.path.join(out, "_markers"))
