@@ -205,10 +205,11 @@ def option_item_rows(docs: DataFrame, sep: str = "_", strict: bool = False,
 
 
 def payment_rows(docs: DataFrame, sep: str = "_", file_name: Column | None = None,
-                 strict: bool = False, carry: Iterable[str] = ()) -> DataFrame:
+                 strict: bool = False, carry: Iterable[str] = (), dedup: bool = True) -> DataFrame:
     """Payment-instrument table (JON2): one row per instrument, distinct.
 
-    ``file_name`` fills the lineage column (the published layout has it, N7).
+    ``file_name`` fills the lineage column (the published layout has it, N7);
+    ``dedup=False`` leaves the distinct to a later merge (one shuffle, not two).
     """
     carry = list(carry)
     docs = valid_documents(docs, strict)
@@ -218,7 +219,8 @@ def payment_rows(docs: DataFrame, sep: str = "_", file_name: Column | None = Non
                           keep=["order_order_no", *carry])
     flat = flat.withColumn("file_name", file_name if file_name is not None
                            else F.lit(None).cast("string"))
-    return conform(flat, rename_separator(schemas.PAYMENT_COLUMNS, sep) + carry).dropDuplicates()
+    out = conform(flat, rename_separator(schemas.PAYMENT_COLUMNS, sep) + carry)
+    return out.dropDuplicates() if dedup else out
 
 
 def first_item_adjustments(docs: DataFrame, sep: str = "_", strict: bool = False) -> DataFrame:

@@ -92,8 +92,9 @@ def order_tables(docs: DataFrame, sep: str = ".", compat: bool = False,
     options = options.withColumn("file_name", _file_name(schemas.OPTION_ITEMS_FILE_WORD))
     options = M.dedup_all(C.conform(options, ["run_date"] + schemas.OPTION_ITEM_COLUMNS))
 
-    payments = by_day(FL.payment_rows(dated, sep=sep, strict=strict, carry=["_days"])
-                      .drop("file_name")).withColumn("file_name", _file_name(schemas.PAYMENTS_FILE_WORD))
+    payments = by_day(FL.payment_rows(dated, sep=sep, strict=strict, carry=["_days"],
+                                      dedup=False).drop("file_name"))
+    payments = payments.withColumn("file_name", _file_name(schemas.PAYMENTS_FILE_WORD))
     payments = M.dedup_all(C.conform(payments, ["run_date"] + C.rename_separator(
         schemas.PAYMENT_COLUMNS, sep)))
     return {"orders": orders, "products": products, "option_items": options,
@@ -195,7 +196,8 @@ def backfill_payments(docs: DataFrame, first: str, last: str, sep: str = ".") ->
     job (SRC6, JON2); rows carry their creation day as ``run_date``."""
     created = F.to_date(_stamp(docs, "creation_date"))
     in_range = docs.filter(created.between(F.to_date(F.lit(first)), F.to_date(F.lit(last))))
-    pays = FL.payment_rows(in_range.withColumn("run_date", created), sep=sep, carry=["run_date"])
+    pays = FL.payment_rows(in_range.withColumn("run_date", created), sep=sep, carry=["run_date"],
+                           dedup=False)
     pays = pays.drop("file_name").withColumn("file_name", _file_name(schemas.PAYMENTS_FILE_WORD))
     return M.dedup_all(C.conform(pays, ["run_date"] + C.rename_separator(
         schemas.PAYMENT_COLUMNS, sep)))
