@@ -72,3 +72,23 @@ def test_labels_paths_and_metrics(spark):
 def test_day_spine(spark):
     days = [r["day"] for r in day_spine(spark, "2024-06-01", "2024-06-17").collect()]
     assert len(days) == 17 and days[0] == dt.date(2024, 6, 1)
+
+
+def test_metric_lines_scanned_from_log_text(spark, tmp_dir):
+    from cartloom.functions.metrics import read_metric_lines
+
+    path = os.path.join(tmp_dir, "run.log")
+    with open(path, "w") as fh:
+        fh.write("starting\ntotal_orders_today : 12\norders_created_today : 7\n"
+                 "state : complete\ntotal_modified : 3\n")
+    got = sorted((r["metric"], r["value"]) for r in read_metric_lines(spark, path).collect())
+    assert got == [("orders_created_today", 7), ("total_modified", 3), ("total_orders_today", 12)]
+
+
+def test_page_label(spark):
+    from cartloom.functions.labels import page_label
+
+    df = spark.createDataFrame([("customers_on_creation_date_2024-03-10_10_00_00_to_10_00_01.csv", 3)],
+                               "l string, p int")
+    assert df.select(page_label("l", "p").alias("x")).first()["x"] == \
+        "customers_on_creation_date_2024-03-10_10_00_00_to_10_00_01_P3.csv"
