@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as E
 from tests.conftest import SF01
-from tools.oracle_check import digest, duck
+from tools.oracle_check import digest, duck, type_classes_duck, type_classes_spark
 
 NAMES = sorted(E.queries())
 
@@ -27,6 +27,7 @@ def test_query_matches_oracle(spark, con, name):
     drows = cur.fetchall()
     dcols = [c[0] for c in cur.description]
     assert sorted(df.columns) == sorted(dcols)
+    assert type_classes_spark(df) == type_classes_duck(con, E.oracle_sql()[name])
     assert len(srows) == len(drows)
     assert digest(df.columns, srows)[0] == digest(dcols, drows)[0]
 
