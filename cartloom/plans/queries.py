@@ -640,27 +640,30 @@ def q_slice_fixed_hour(spark, d):
     return SL.fixed_slices(Tables(spark, d).events, "ts", 3600)
 
 
-def sql_adaptive(ladder, cap: int) -> str:
-    """Oracle for adaptive slicing: one ``sum() over`` per ladder level."""
+def sql_adaptive(ladder, cap: int, by: str | None = None) -> str:
+    """Oracle for adaptive slicing: one ``sum() over`` per ladder level (and per
+    ``by`` group when given)."""
     k = len(ladder)
+    g = f"{by}, " if by else ""
     parents = ",\n       ".join(
         f"time_bucket(INTERVAL '{w} seconds', sec) AS p{i}" for i, w in enumerate(ladder))
-    sums = ",\n       ".join(f"sum(n) OVER (PARTITION BY p{i}) AS c{i}" for i in range(k))
+    sums = ",\n       ".join(f"sum(n) OVER (PARTITION BY {g}p{i}) AS c{i}" for i in range(k))
     cases = " ".join(f"WHEN c{i} < {cap} THEN {i}" for i in range(k - 1))
     widths = "[" + ", ".join(str(w) for w in ladder) + "]"
     plist = "[" + ", ".join(f"p{i}" for i in range(k)) + "]"
     return f"""
-WITH s AS (SELECT date_trunc('second', ts) AS sec, count(*) AS n FROM events GROUP BY 1),
-p AS (SELECT sec, n,
+WITH s AS (SELECT {g}date_trunc('second', ts) AS sec, count(*) AS n FROM events
+           GROUP BY {g}date_trunc('second', ts)),
+p AS (SELECT {g}sec, n,
        {parents} FROM s),
 c AS (SELECT *,
        {sums} FROM p),
 l AS (SELECT *, CASE {cases} ELSE {k - 1} END AS lvl FROM c)
-SELECT CAST({widths}[lvl + 1] AS INTEGER) AS level_seconds,
+SELECT {g}CAST({widths}[lvl + 1] AS INTEGER) AS level_seconds,
        {plist}[lvl + 1] AS slice_start,
        {plist}[lvl + 1] + to_seconds({widths}[lvl + 1]) AS slice_end,
        CAST(sum(n) AS BIGINT) AS n
-FROM l GROUP BY 1, 2, 3
+FROM l GROUP BY ALL
 """
 
 
@@ -1265,3 +1268,13 @@ def q_slice_assignment(spark, d):
     return a.select("event_id", "level_seconds", "slice_start", "slice_end", "page_no",
                     slice_label("events", "ts", F.col("slice_start"), F.col("slice_end"))
                     .alias("label"))
+
+
+@register("slice_adaptive_fields", sql_adaptive(ORDER_LADDER, TEST_CAP, by="event_type"))
+def q_slice_adaptive_fields(spark, d):
+    """Refinement per extraction field in one job: every event type is sliced on
+    its own (the ``by`` key leads every window partition), as the creation and
+    modification fields are (WIN3)."""
+    s = SL.adaptive_slices(Tables(spark, d).events, "ts", ORDER_LADDER, cap=TEST_CAP,
+                           by=["event_type"])
+    return s.select("event_type", "level_seconds", "slice_start", "slice_end", "n")
