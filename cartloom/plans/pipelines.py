@@ -240,16 +240,23 @@ def extract_day(docs: DataFrame, run_date: str, out: str, field: str = "creation
         write_slices(table, f"{out.rstrip('/')}/{entity}/run_date={run_date}", keys=carry)
 
 
-def _day_slices(spark, out: str, entity: str, run_date: str, schema: T.StructType) -> DataFrame:
+def _day_slices(spark, out: str, entity: str, run_date: str, schema: T.StructType,
+                fmt: str = "csv") -> DataFrame:
     """The slice files of one day: the entity folder is scanned with an explicit
     schema and the day picked by a partition filter (pruned at file listing), so
-    a day without files gives an empty, typed frame (N15)."""
+    a day without files gives an empty, typed frame (N15). ``fmt="parquet"``
+    reads the streaming ingest's slice tables."""
     from cartloom.sources.flatfiles import read_pipe_csv
 
     parts = T.StructType(list(schema.fields) + [
         T.StructField("run_date", T.DateType()), T.StructField("extraction_field", T.StringType()),
-        T.StructField("slice_start", T.StringType()), T.StructField("page_no", T.LongType())])
-    rows = read_pipe_csv(spark, f"{out.rstrip('/')}/{entity}", parts)
+        T.StructField("slice_start", T.StringType()), T.StructField("page_no", T.LongType()),
+        T.StructField("batch_id", T.LongType())])
+    base = f"{out.rstrip('/')}/{entity}"
+    if fmt == "parquet":
+        rows = spark.read.parquet(base)
+    else:
+        rows = read_pipe_csv(spark, base, parts)
     day = rows.filter(F.col("run_date") == F.to_date(F.lit(run_date)))
     return day.select(*[C.ref(f.name) for f in schema.fields], "run_date")
 
@@ -263,12 +270,13 @@ def slice_schemas(docs: DataFrame) -> dict[str, T.StructType]:
 
 
 def merge_day_files(spark, out: str, run_date: str,
-                    schemas_by_entity: dict[str, T.StructType]) -> dict[str, DataFrame]:
+                    schemas_by_entity: dict[str, T.StructType],
+                    fmt: str = "csv") -> dict[str, DataFrame]:
     """Scan every slice file of a day (SRC3/SRC4) and apply the merge rules: the
-    day's order, product, option and payment tables (section 3.1 merge step)."""
-    from cartloom.sources.flatfiles import read_pipe_csv
-
-    read = {e: _day_slices(spark, out, e, run_date, sch) for e, sch in schemas_by_entity.items()}
+    day's order, product, option and payment tables (section 3.1 merge step).
+    ``fmt="parquet"`` merges the streaming ingest's slice tables instead."""
+    read = {e: _day_slices(spark, out, e, run_date, sch, fmt)
+            for e, sch in schemas_by_entity.items()}
     orders = (read["orders"]
               .withColumn("order_creation_pst_date", to_pacific("order_creation_date"))
               .withColumn("order_last_modified_pst_date", to_pacific("order_last_modified"))

@@ -8,7 +8,9 @@ day merge (:mod:`cartloom.plans.pipelines`) then reads those tables.
 Exactly once: the file source records processed files in the checkpoint, and
 each micro-batch overwrites only its own ``batch_id=<n>`` folder, so a replayed
 batch rewrites the same output. No state store is needed: flattening is
-row-local (explode), and deduplication happens in the day merge.
+row-local (explode), and deduplication happens in the day merge, which reads
+``<entity>/batch_id=*/run_date=<day>/`` through a partition filter
+(:func:`cartloom.plans.pipelines.merge_day_files` with ``fmt="parquet"``).
 """
 
 from __future__ import annotations
@@ -18,18 +20,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from cartloom.functions.timefmt import parse_utc
 from cartloom.operators import flatten as FL
+from cartloom.operators.conform import ref
 from cartloom.schemas import ORDER_ENVELOPE
 from cartloom.session import scratch_path
 from cartloom.sources.envelope import documents
 
 
 def slice_tables(docs: DataFrame, sep: str = ".") -> dict[str, DataFrame]:
-    """The four slice tables of a batch of order documents."""
-    return {"orders": FL.order_rows(docs, sep=sep),
-            "products": FL.product_rows(docs, sep=sep),
-            "option_items": FL.option_item_rows(docs, sep=sep),
-            "payments": FL.payment_rows(docs, sep=sep),
+    """The four slice tables of a batch of order documents, each row tagged with
+    the run day(s) of its order (creation and modification days, carried from the
+    document and exploded in the same projection), plus the quarantine."""
+    stamp = lambda name: parse_utc(F.col(name))  # noqa: E731 - landed stamps are ISO text
+    days = F.array_compact(F.array_distinct(F.array(F.to_date(stamp("creation_date")),
+                                                    F.to_date(stamp("last_modified")))))
+    dated = docs.withColumn("_days", days)
+
+    def by_day(rows: DataFrame) -> DataFrame:
+        cols = [c for c in rows.columns if c != "_days"]
+        return rows.select(F.explode("_days").alias("run_date"), *[ref(c) for c in cols])
+
+    return {"orders": by_day(FL.order_rows(dated, sep=sep, carry=["_days"])),
+            "products": by_day(FL.product_rows(dated, sep=sep, carry=["_days"])),
+            "option_items": by_day(FL.option_item_rows(dated, sep=sep, carry=["_days"])),
+            "payments": by_day(FL.payment_rows(dated, sep=sep, carry=["_days"])),
             "quarantine": FL.quarantine(docs)}
 
 
@@ -54,8 +69,10 @@ def stream_order_slices(spark: SparkSession, landing: str, out: str,
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for entity, table in slice_tables(batch, sep).items():
-                (table.write.mode("overwrite")
-                 .parquet(f"{base}/{entity}/batch_id={batch_id}"))
+                writer = table.write.mode("overwrite")
+                if "run_date" in table.columns:
+                    writer = writer.partitionBy("run_date")
+                writer.parquet(f"{base}/{entity}/batch_id={batch_id}")
         finally:
             batch.unpersist()
 
