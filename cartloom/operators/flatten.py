@@ -188,9 +188,15 @@ def product_rows(docs: DataFrame, sep: str = "_", strict: bool = False,
 def option_item_rows(docs: DataFrame, sep: str = "_", strict: bool = False,
                      carry: Iterable[str] = ()) -> DataFrame:
     """Option-item table (FUN13 + PRJ10): two-level explode, parent order number,
-    product id and item id copied onto every option; tax basis as text (PRJ8)."""
+    product id and item id copied onto every option; tax basis as text (PRJ8).
+
+    Options do not depend on the order's other arrays, so ``strict`` (empty
+    arrays drop the order from the order and product tables) does not apply here;
+    quarantined documents are left out as everywhere.
+    """
+    del strict
     carry = list(carry)
-    docs = valid_documents(docs, strict)
+    docs = valid_documents(docs, False)
     items = docs.select("order_no", *carry, F.explode("product_items").alias("pi"))
     opts = items.select(
         F.col("order_no"), *carry,
@@ -210,9 +216,12 @@ def payment_rows(docs: DataFrame, sep: str = "_", file_name: Column | None = Non
 
     ``file_name`` fills the lineage column (the published layout has it, N7);
     ``dedup=False`` leaves the distinct to a later merge (one shuffle, not two).
+    Payments pair the order with its instruments only, so ``strict`` does not
+    apply here; quarantined documents are left out as everywhere.
     """
+    del strict
     carry = list(carry)
-    docs = valid_documents(docs, strict)
+    docs = valid_documents(docs, False)
     rows = docs.select(F.col("order_no").alias("order_order_no"), *carry,
                        F.explode("payment_instruments").alias("p"))
     flat = flatten_struct(rows, "p", prefix="payment_inst_", sep=sep,

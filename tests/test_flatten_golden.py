@@ -124,3 +124,12 @@ def test_flatten_nested_names(spark):
     df = spark.createDataFrame([(1, (2, (3, "x")))], "a int, s struct<b:int,t:struct<c:int,d:string>>")
     assert FL.flatten(df, prefix="p_", sep=".").columns == ["p_a", "p_s.b", "p_s.t.c", "p_s.t.d"]
     assert FL.flatten(df, sep="_").columns == ["a", "s_b", "s_t_c", "s_t_d"]
+
+
+def test_strict_mode_spares_options_and_payments(docs):
+    strict_orders = {r["order_order_no"] for r in FL.order_rows(docs, strict=True).collect()}
+    assert "6" not in strict_orders
+    opts = {r["order_no"] for r in FL.option_item_rows(docs, strict=True).collect()}
+    pays = {r["order_order_no"] for r in FL.payment_rows(docs, strict=True).collect()}
+    assert "6" in opts and "6" in pays
+    assert "5" not in opts and "5" not in pays      # quarantined everywhere
