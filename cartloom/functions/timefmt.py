@@ -142,3 +142,21 @@ def default_run_date() -> Column:
 def day_start(day_col) -> Column:
     """Midnight (NTZ) of a DATE or ``yyyy-MM-dd`` text column."""
     return F.to_date(_c(day_col)).cast("timestamp_ntz")
+
+
+def utc_text(col) -> Column:
+    """UTC wall clock printed as the service sends it: ``2024-03-10T09:59:59.000Z``."""
+    return F.date_format(_c(col), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+
+
+def published_stamps(df, pairs) -> "DataFrame":  # noqa: F821 - DataFrame in annotations only
+    """Stamps as the published files print them: each ``(utc, pacific)`` pair
+    becomes ISO UTC text and Pacific text with its offset (FUN5), in place.
+    Applied at the sink only; tables stay typed before it."""
+    cols = {}
+    for utc, pst in pairs:
+        if utc in df.columns:
+            cols[utc] = utc_text(F.col(f"`{utc}`"))
+            if pst in df.columns:
+                cols[pst] = pacific_text(F.col(f"`{utc}`"))
+    return df.select(*[(cols[c].alias(c) if c in cols else F.col(f"`{c}`")) for c in df.columns])

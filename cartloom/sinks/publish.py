@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartloom.functions.labels import path_part_from_end
+from cartloom.functions.timefmt import published_stamps
+from cartloom.schemas import CUSTOMER_STAMP_COLUMNS
 from cartloom.operators.quality import publish_gate, trigger_rows
 from cartloom.sources.flatfiles import write_pipe_csv
 
@@ -32,12 +34,24 @@ def write_day(df: DataFrame, path: str, day_col: str = "run_date") -> None:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
 
 
+PUBLISHED_STAMPS = {
+    "orders": [("order_creation_date", "order_creation_pst_date"),
+               ("order_last_modified", "order_last_modified_pst_date")],
+    "customers": [(s, f"{s}_pst") for s in CUSTOMER_STAMP_COLUMNS],
+}
+
+
 def publish_days(tables: dict[str, DataFrame], verdicts: DataFrame, base: str,
                  day_col: str = "run_date") -> dict[str, str]:
-    """Write each entity's rows of passing days to ``<base>/<entity>/`` (SNK3, DQ3)."""
+    """Write each entity's rows of passing days to ``<base>/<entity>/`` (SNK3, DQ3).
+
+    Stamps are printed as the published files carry them (ISO UTC text, Pacific
+    text with offset); the tables themselves stay typed.
+    """
     written = {}
     for entity, rows in tables.items():
         target = f"{base.rstrip('/')}/{entity}"
+        rows = published_stamps(rows, PUBLISHED_STAMPS.get(entity, []))
         write_day(publish_gate(rows, verdicts, day_col), target, day_col)
         written[entity] = target
     return written

@@ -61,11 +61,19 @@ def test_run_orders_publishes_passing_day_with_marker(spark, order_docs, tmp_dir
     assert [(m["run_date"], m["state"]) for m in marks] == [(D, "published")]
     files = manifest(spark, os.path.join(tmp_dir, "orders"))
     assert {r["folder_name"] for r in files.collect()} == {"run_date=2024-03-10"}
-    back = read_pipe_csv(spark, os.path.join(tmp_dir, "orders"),
-                         run.tables["orders"].drop("run_date").schema)
+    from pyspark.sql import types as T
+
+    text_schema = T.StructType([T.StructField(f.name, T.StringType() if "date" in f.name
+                                              else f.dataType)
+                                for f in run.tables["orders"].drop("run_date").schema.fields])
+    back = read_pipe_csv(spark, os.path.join(tmp_dir, "orders"), text_schema)
     assert back.count() == run.tables["orders"].count()
     nos = {r["order_customer_info.customer_no"] for r in back.collect()}
     assert "007" in nos
+    o1 = back.filter(F.col("order_order_no") == "1").first()
+    assert o1["order_creation_date"] == "2024-03-10T09:59:59.000Z"
+    assert o1["order_creation_pst_date"] == "2024-03-10 01:59:59-08:00"
+    assert o1["order_last_modified_pst_date"] == "2024-03-10 03:00:00-07:00"
 
 
 def test_run_orders_withholds_a_mismatched_day(spark, order_docs, tmp_dir):
