@@ -196,8 +196,9 @@ def assign_slices(df: DataFrame, ts: str, ladder: Sequence[int] = ORDER_LADDER,
     rest = joined.filter(~full).withColumn("page_no", F.lit(0).cast("bigint"))
     over = joined.filter(full)
     # Only over-full seconds are paged; when there is none (the usual case at
-    # cap 200) the numbering jobs are skipped (one cheap probe decides).
-    if over.isEmpty():
+    # cap 200) the numbering jobs are skipped. The probe reads the per-second
+    # table (one row per second), not the records.
+    if levels.filter(full).isEmpty():
         out = rest
     else:
         out = assign_pages(over, [*by, "_sec"], order, page_size).drop("page_start") \
