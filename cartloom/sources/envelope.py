@@ -57,3 +57,27 @@ def parse_json_column(col, schema) -> Column:
     """Parse a JSON text column with a DDL or ``StructType`` schema (nulls when malformed)."""
     c = F.col(col) if isinstance(col, str) else col
     return F.from_json(c, schema)
+
+
+def _probe_schema() -> T.StructType:
+    return T.StructType([T.StructField("total", T.LongType()), T.StructField("count", T.LongType()),
+                         T.StructField("field", T.StringType()),
+                         T.StructField("run_date", T.DateType())])
+
+
+def read_probe_totals(spark: SparkSession, path: str) -> DataFrame:
+    """Source totals from landed probe responses (AGG1, AGG2).
+
+    A probe is the whole-day request on one stamp field; its response's ``total``
+    is what the service reports. Responses are landed under
+    ``<path>/field=<creation_date|last_modified>/run_date=<yyyy-MM-dd>/``; the
+    result has one row per day: ``run_date, total_created, total_modified,
+    total_records`` (their sum, as reported).
+    """
+    probes = spark.read.schema(_probe_schema()).json(path)
+    per_day = probes.groupBy("run_date").agg(
+        F.sum(F.when(F.col("field") == "creation_date", F.col("total")).otherwise(F.lit(0)))
+        .alias("total_created"),
+        F.sum(F.when(F.col("field") == "last_modified", F.col("total")).otherwise(F.lit(0)))
+        .alias("total_modified"))
+    return per_day.withColumn("total_records", F.col("total_created") + F.col("total_modified"))

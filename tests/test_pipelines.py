@@ -169,3 +169,20 @@ def test_command_line_orders_job(spark, tmp_path):
     assert summary["verdict"][0]["passed"] is True
     assert os.path.isdir(os.path.join(out, "orders", "run_date=2024-03-10"))
     assert os.path.isdir(os.path.join(out, "_markers"))
+
+
+def test_probe_totals_feed_the_reconciliation(spark, order_docs, tmp_path):
+    import json as _json
+
+    from cartloom.sources.envelope import read_probe_totals
+
+    for field, total in (("creation_date", 10), ("last_modified", 10)):
+        folder = tmp_path / "probes" / f"field={field}" / "run_date=2024-03-10"
+        folder.mkdir(parents=True)
+        (folder / "response.json").write_text(_json.dumps({"total": total, "count": 200}) + "\n")
+    source = read_probe_totals(spark, str(tmp_path / "probes"))
+    r = source.first()
+    assert (r["run_date"], r["total_created"], r["total_modified"], r["total_records"]) == \
+        (D, 10, 10, 20)
+    run = P.run_orders(order_docs, source)
+    assert [v["passed"] for v in run.verdicts.collect()] == [True]
