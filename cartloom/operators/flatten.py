@@ -12,8 +12,10 @@ Array semantics
   (``explode_outer``);
 * absent ``payment_instruments`` / ``shipments`` / ``shipping_items`` -> the
   document is quarantined with a reason (:func:`quarantine`);
-* a present but empty array -> ``strict=True`` drops the whole order, as a
-  product with an empty factor does; ``strict=False`` (default) keeps it.
+* a present but empty array -> ``strict=True`` drops the order from the order
+  and product tables (both come from the full product, where an empty factor
+  empties everything); option items and payments are written separately and
+  keep it. ``strict=False`` (default) keeps the order everywhere.
 """
 
 from __future__ import annotations

@@ -6,7 +6,7 @@ down a ladder of widths to 1 s; an over-full second is paged (or, for orders in
 ``compat`` mode, cut to ``cap``). Here the whole ladder is one aggregation:
 
 1. count records per second (a partial aggregate, so any hot key is reduced
-   map-side; a second holds at most one row per group afterwards);
+   map-side; a second holds one row per group afterwards, 86,400 per day at most);
 2. roll the 1-s counts up to every level with window sums whose partition keys
    all start with the coarsest slice, so one exchange serves every level and a
    window partition never holds more than ``width0`` rows;
