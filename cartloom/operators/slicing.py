@@ -243,20 +243,29 @@ def compat_capture(df: DataFrame, ts: str, ladder: Sequence[int] = ORDER_LADDER,
 # --------------------------------------------------------------------------
 # Paging (WIN5, WIN6, WIN7, SRT3)
 # --------------------------------------------------------------------------
+PAGE_CHUNK = 4096
+
+
 def page_offsets(df: DataFrame, n_col: str, page_size: int = PAGE_SIZE,
                  keep: Sequence[str] = ()) -> DataFrame:
     """Offsets ``0, p, 2p, ...`` below ``n`` (WIN5); nothing for ``n = 0``.
 
-    Columns: ``keep..., n_col, page_no, start``.
+    Columns: ``keep..., n_col, page_no, start``. Pages are generated in two
+    bounded levels — chunks of ``PAGE_CHUNK`` pages, re-partitioned, then the
+    pages of each chunk — so no array exceeds ``PAGE_CHUNK`` elements and a group
+    with a huge count spreads its pages over many tasks.
     """
     p = int(page_size)
     n = ref(n_col)
-    offsets = F.filter(F.transform(F.sequence(F.lit(0), F.floor(n / F.lit(p)).cast("int")),
-                                   lambda i: i * p),
-                       lambda x: x < n)
-    return df.select(*_cols(keep), n, F.posexplode(offsets).alias("page_no", "start")) \
-        .withColumn("page_no", F.col("page_no").cast("bigint")) \
-        .withColumn("start", F.col("start").cast("bigint"))
+    n_pages = F.ceil(n / F.lit(p)).cast("bigint")
+    n_chunks = F.ceil(n_pages / F.lit(PAGE_CHUNK)).cast("bigint")
+    chunks = F.when(n_pages > 0, F.sequence(F.lit(0).cast("bigint"), n_chunks - 1))
+    rows = df.select(*_cols(keep), n, n_pages.alias("_pages"), F.explode(chunks).alias("_chunk"))
+    rows = rows.repartition(*_cols(keep), F.col("_chunk"))
+    first = F.col("_chunk") * PAGE_CHUNK
+    last = F.least(first + PAGE_CHUNK, F.col("_pages")) - 1
+    pages = rows.select(*_cols(keep), n, F.explode(F.sequence(first, last)).alias("page_no"))
+    return pages.withColumn("start", (F.col("page_no") * p).cast("bigint"))
 
 
 def row_numbers(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str],

@@ -133,3 +133,13 @@ def test_assign_slices_pages_an_overfull_second(spark):
     rows = sorted((r["id"], r["level_seconds"], r["page_no"]) for r in got.collect())
     assert rows == [(0, 1, 0), (1, 1, 0), (2, 1, 1), (3, 1, 1), (4, 1, 2), (5, 1, 2), (6, 1, 3),
                     (7, 900, 0)]
+
+
+def test_page_offsets_cross_chunks(spark):
+    n = SL.PAGE_CHUNK * 2 * 3 + 5                      # three pages per record block
+    df = spark.createDataFrame([(1, n)], "k int, n long")
+    got = SL.page_offsets(df, "n", 2, keep=["k"])
+    rows = sorted((r["page_no"], r["start"]) for r in got.collect())
+    assert len(rows) == (n + 1) // 2
+    assert rows[0] == (0, 0) and rows[-1] == ((n + 1) // 2 - 1, ((n + 1) // 2 - 1) * 2)
+    assert [p for p, _ in rows] == list(range(len(rows)))
