@@ -1278,3 +1278,61 @@ def q_slice_adaptive_fields(spark, d):
     s = SL.adaptive_slices(Tables(spark, d).events, "ts", ORDER_LADDER, cap=TEST_CAP,
                            by=["event_type"])
     return s.select("event_type", "level_seconds", "slice_start", "slice_end", "n")
+
+
+CUSTOMER_PAGE = 2
+
+
+def _sql_customer_pages(ladder, cap: int, page: int) -> str:
+    k = len(ladder)
+    parents = ",\n       ".join(
+        f"time_bucket(INTERVAL '{w} seconds', sec) AS p{i}" for i, w in enumerate(ladder))
+    sums = ",\n       ".join(f"sum(n) OVER (PARTITION BY p{i}) AS c{i}" for i in range(k))
+    cases = " ".join(f"WHEN c{i} < {cap} THEN {i}" for i in range(k - 1))
+    widths = "[" + ", ".join(str(w) for w in ladder) + "]"
+    plist = "[" + ", ".join(f"p{i}" for i in range(k)) + "]"
+    return f"""
+WITH cs AS (SELECT o_custkey, min(o_orderdate) AS ts FROM orders GROUP BY o_custkey),
+r AS (SELECT CAST(c.c_custkey AS VARCHAR) AS customer_id, cs.ts
+      FROM customer c JOIN cs ON cs.o_custkey = c.c_custkey),
+s AS (SELECT date_trunc('second', ts) AS sec, count(*) AS n FROM r GROUP BY 1),
+p AS (SELECT sec, n,
+       {parents} FROM s),
+c AS (SELECT *,
+       {sums} FROM p),
+l AS (SELECT sec, n, CASE {cases} ELSE {k - 1} END AS lvl, {", ".join(f"p{i}" for i in range(k))}
+      FROM c),
+a AS (SELECT r.customer_id, r.ts, l.*,
+             CAST({widths}[lvl + 1] AS INTEGER) AS level_seconds,
+             {plist}[lvl + 1] AS slice_start,
+             {plist}[lvl + 1] + to_seconds({widths}[lvl + 1]) AS slice_end,
+             CASE WHEN lvl = {k - 1} AND n >= {cap}
+                  THEN CAST((row_number() OVER (PARTITION BY l.sec ORDER BY r.ts, r.customer_id)
+                             - 1) // {page} AS BIGINT)
+                  ELSE CAST(0 AS BIGINT) END AS page_no
+      FROM r JOIN l ON l.sec = date_trunc('second', r.ts))
+SELECT customer_id, level_seconds, slice_start, slice_end, page_no,
+       'customers_on_creation_date_' || strftime(slice_start, '%Y-%m-%d') || '_'
+       || replace(strftime(slice_start, '%H:%M:%S'), ':', '_') || '_to_'
+       || replace(strftime(slice_end, '%H:%M:%S'), ':', '_')
+       || '_P' || CAST(page_no AS VARCHAR) || '.csv' AS file_label
+FROM a
+"""
+
+
+@register("customer_pages", _sql_customer_pages(CUSTOMER_LADDER, TEST_CAP, CUSTOMER_PAGE))
+def q_customer_pages(spark, d):
+    """Customers assigned to the slice and page whose request returns them on the
+    customer ladder (1 h -> 1 s), over-full seconds paged, with their ``_P<page>``
+    file labels (WIN4, WIN6, FUN9). Creation stamps are first order dates, so many
+    customers share a midnight second and are paged."""
+    from cartloom.functions.labels import page_label
+
+    t = Tables(spark, d)
+    docs = D.customer_documents(t.customer, t.orders).filter(F.col("creation_date").isNotNull())
+    a = SL.assign_slices(docs.select("customer_id", F.col("creation_date").alias("ts")), "ts",
+                         CUSTOMER_LADDER, cap=TEST_CAP, sort=["ts", "customer_id"],
+                         page_size=CUSTOMER_PAGE)
+    label = slice_label("customers", "creation_date", F.col("slice_start"), F.col("slice_end"))
+    return a.select("customer_id", "level_seconds", "slice_start", "slice_end", "page_no",
+                    page_label(label, F.col("page_no")).alias("file_label"))
