@@ -143,3 +143,21 @@ def test_page_offsets_cross_chunks(spark):
     assert len(rows) == (n + 1) // 2
     assert rows[0] == (0, 0) and rows[-1] == ((n + 1) // 2 - 1, ((n + 1) // 2 - 1) * 2)
     assert [p for p, _ in rows] == list(range(len(rows)))
+
+
+def test_compat_capture_per_field_is_independent(spark):
+    d = dt.datetime(2024, 3, 10)
+    at = lambda h, m, s: d + dt.timedelta(hours=h, minutes=m, seconds=s)
+    busy = [("a", at(23, 46, 0)), ("a", at(23, 47, 0)), ("a", at(23, 51, 0)), ("a", at(23, 56, 0))]
+    quiet = [("b", at(23, 46, 0)), ("b", at(23, 56, 0))]
+    df = spark.createDataFrame([(i, f, t) for i, (f, t) in enumerate(busy + quiet)],
+                               "id long, field string, ts timestamp_ntz")
+    kept = SL.compat_capture(df, "ts", ORDER_LADDER, cap=3, by=["field"], cut_seconds=False)
+    got = sorted((r["field"], r["id"]) for r in kept.collect())
+    # field a: last slice holds 4 >= 3, refined, 23:56 lost; field b: 2 < 3, kept whole
+    assert got == [("a", 0), ("a", 1), ("a", 2), ("b", 4), ("b", 5)]
+    s = SL.adaptive_slices(df, "ts", ORDER_LADDER, cap=3, by=["field"], compat=True)
+    per = {r["field"]: 0 for r in s.collect()}
+    for r in s.collect():
+        per[r["field"]] += r["n"]
+    assert per == {"a": 3, "b": 2}
