@@ -186,3 +186,16 @@ def test_probe_totals_feed_the_reconciliation(spark, order_docs, tmp_path):
         (D, 10, 10, 20)
     run = P.run_orders(order_docs, source)
     assert [v["passed"] for v in run.verdicts.collect()] == [True]
+
+
+def test_command_line_payments_backfill(spark, tmp_path):
+    from cartloom.__main__ import main
+
+    landing = tmp_path / "landing"
+    golden.write_envelopes(str(landing), golden.order_documents())
+    out = str(tmp_path / "backfill")
+    main(["payments", "--landing", str(landing), "--out", out,
+          "--first", "2024-03-10", "--last", "2024-03-10"])
+    back = spark.read.option("header", "true").option("sep", "|").csv(os.path.join(out, "payments"))
+    assert back.filter(F.col("order_order_no") == "1").count() == 2
+    assert {r["run_date"] for r in back.select("run_date").collect()} == {D}
