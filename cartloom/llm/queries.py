@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cartloom.llm.decontaminate import OP6_SQL, op6_decontamination
+from cartloom.llm.url_filter import op5_url_filter
 from cartloom.llm.warc import OP3_SQL, op3_warc
 
 
@@ -13,9 +15,11 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One query per operator, over its whole table."""
     return {
         "op3_warc": op3_warc,
+        "op5_url_filter": op5_url_filter,
+        "op6_decontamination": op6_decontamination,
     }
 
 
 def oracle_queries() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
-    return {"op3_warc": OP3_SQL}
+    return {"op3_warc": OP3_SQL, "op6_decontamination": OP6_SQL}
