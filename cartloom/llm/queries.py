@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cartloom.llm.decontaminate import OP6_SQL, op6_decontamination
+from cartloom.llm.language_id import op1_language_id
+from cartloom.llm.mixing import op4_mixing
 from cartloom.llm.url_filter import op5_url_filter
 from cartloom.llm.warc import OP3_SQL, op3_warc
 
@@ -14,7 +16,9 @@ from cartloom.llm.warc import OP3_SQL, op3_warc
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One query per operator, over its whole table."""
     return {
+        "op1_language_id": op1_language_id,
         "op3_warc": op3_warc,
+        "op4_mixing": op4_mixing,
         "op5_url_filter": op5_url_filter,
         "op6_decontamination": op6_decontamination,
     }
