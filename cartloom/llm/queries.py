@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from cartloom.llm.decontaminate import OP6_SQL, op6_decontamination
 from cartloom.llm.language_id import op1_language_id
 from cartloom.llm.mixing import op4_mixing
+from cartloom.llm.substring_dedup import OP10_SQL, op10_substring_dedup
+from cartloom.llm.suffix_dedup import op9_suffix_dedup
 from cartloom.llm.url_filter import op5_url_filter
 from cartloom.llm.warc import OP3_SQL, op3_warc
 
@@ -21,9 +23,12 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_mixing": op4_mixing,
         "op5_url_filter": op5_url_filter,
         "op6_decontamination": op6_decontamination,
+        "op9_suffix_dedup": op9_suffix_dedup,
+        "op10_substring_dedup": op10_substring_dedup,
     }
 
 
 def oracle_queries() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
-    return {"op3_warc": OP3_SQL, "op6_decontamination": OP6_SQL}
+    return {"op3_warc": OP3_SQL, "op6_decontamination": OP6_SQL,
+            "op10_substring_dedup": OP10_SQL}
