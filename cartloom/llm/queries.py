@@ -11,6 +11,7 @@ from cartloom.llm.language_id import op1_language_id
 from cartloom.llm.mixing import op4_mixing
 from cartloom.llm.substring_dedup import OP10_SQL, op10_substring_dedup
 from cartloom.llm.suffix_dedup import op9_suffix_dedup
+from cartloom.llm.toxicity import op8_toxicity
 from cartloom.llm.url_filter import op5_url_filter
 from cartloom.llm.warc import OP3_SQL, op3_warc
 
@@ -23,6 +24,7 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_mixing": op4_mixing,
         "op5_url_filter": op5_url_filter,
         "op6_decontamination": op6_decontamination,
+        "op8_toxicity": op8_toxicity,
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_substring_dedup": op10_substring_dedup,
     }
