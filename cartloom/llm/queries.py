@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cartloom.llm.ann import op7_ann
 from cartloom.llm.decontaminate import OP6_SQL, op6_decontamination
 from cartloom.llm.language_id import op1_language_id
 from cartloom.llm.mixing import op4_mixing
@@ -24,6 +25,7 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_mixing": op4_mixing,
         "op5_url_filter": op5_url_filter,
         "op6_decontamination": op6_decontamination,
+        "op7_ann": op7_ann,
         "op8_toxicity": op8_toxicity,
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_substring_dedup": op10_substring_dedup,
