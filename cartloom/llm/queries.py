@@ -10,6 +10,7 @@ from cartloom.llm.ann import op7_ann
 from cartloom.llm.decontaminate import OP6_SQL, op6_decontamination
 from cartloom.llm.language_id import op1_language_id
 from cartloom.llm.mixing import op4_mixing
+from cartloom.llm.ngram_join import op2_ngram_jaccard
 from cartloom.llm.substring_dedup import OP10_SQL, op10_substring_dedup
 from cartloom.llm.suffix_dedup import op9_suffix_dedup
 from cartloom.llm.toxicity import op8_toxicity
@@ -21,6 +22,7 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One query per operator, over its whole table."""
     return {
         "op1_language_id": op1_language_id,
+        "op2_ngram_jaccard": op2_ngram_jaccard,
         "op3_warc": op3_warc,
         "op4_mixing": op4_mixing,
         "op5_url_filter": op5_url_filter,
