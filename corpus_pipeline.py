@@ -5,21 +5,71 @@ last returns the columns of ``documents``."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from cartloom.llm.common import table
+from cartloom.llm.decontaminate import find_contamination
+from cartloom.llm.language_id import classify, fit
+from cartloom.llm.mixing import mix
+from cartloom.llm.ngram_join import jaccard_classes
+from cartloom.llm.substring_dedup import dedup_texts
 from cartloom.session import scratch_path
 
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents in no known language (and those without a letter); learns from the
+    labelled documents."""
+    model = fit(docs)
+    return (docs.withColumn("_p", classify(model, F.col("text"))).where(~F.col("_p.rejected"))
+            .select(*docs.columns))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document with the smallest id of every class of near copies (and of equal
+    rows one); rows without an id stay."""
+    spare = jaccard_classes(docs).where("doc_id <> class_id").select("doc_id").distinct()
+    return docs.join(spare, "doc_id", "left_anti").select(*docs.columns).dropDuplicates(["doc_id", "text"])
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut passages of 13 and more words that a document with a smaller id holds; every
+    document stays, with its number of characters."""
+    cut = dedup_texts(docs)
+    return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold a window of a benchmark item."""
+    _, hits = find_contamination(docs, table(spark, sf_dir, "benchmark"))
+    found = hits.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_th"))
+    return docs.join(found, same, "left_anti")
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Place all documents so that the sources' shares follow their target weights."""
+    return mix(docs)
+
+
 #: (name, function(spark, docs, sf_dir) -> DataFrame), in order of work.
-STAGES: list = []
+STAGES = [
+    ("language_id", language_id),
+    ("near_duplicates", near_duplicates),
+    ("substring_dedup", substring_dedup),
+    ("decontamination", decontamination),
+    ("mixing", mixing),
+]
 
-#: DuckDB SQL for the rows of ``run``; None: SQL cannot express the trained and hashed stages.
+#: DuckDB SQL for the rows of ``run``; None: SQL cannot express the trained first stage and
+#: the schedule of the last.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to ``documents``; every result is landed before the next stage."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.mode("overwrite").parquet(path)
+        stage(spark, docs, sf_dir).write.mode("overwrite").option("compression", "zstd").parquet(path)
         docs = spark.read.parquet(path)
     return docs
