@@ -19,7 +19,7 @@ tasks) and a join with the schedule.
 Edge cases: null sources form one source of their own; a null or repeated id is placed like
 any other row (equal rows are told apart by their place within a task's order, which cannot
 be seen in the result); sources that have no target get ``1`` part; an empty table gives an
-empty result. Extra columns are kept by ``mix`` and may have any name but the added ones.
+empty result. Extra columns are kept by ``mix`` and may have any name but those of its two results.
 """
 
 from __future__ import annotations
@@ -119,8 +119,10 @@ def mix(docs: DataFrame, parts: dict | None = None, id_col: str = "doc_id",
     ids = [F.col(f"`{c}`") for c in dict.fromkeys((id_col, "text")) if c in names]
     digest = F.when(ids[0].isNull(), F.xxhash64(*ids)).otherwise(F.xxhash64(ids[0]))
     source = F.col(f"`{source_col}`").cast("string")
-    rows = docs.select("*", digest.alias("_h"), source.isNull().alias("_null"),
-                       F.coalesce(source, F.lit("")).alias("_s"))
+    # The input's columns travel as one struct, so their names cannot clash with the added ones.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), digest.alias("_h"),
+                       source.isNull().alias("_null"), F.coalesce(source, F.lit("")).alias("_s"))
+    ids = [F.col(f"_row.`{c}`") for c in dict.fromkeys((id_col, "text")) if c in names]
     rows = rows.withColumn("_b", F.shiftrightunsigned("_h", 64 - spread) if spread
                            else F.lit(0).cast("long"))
     key = ["_null", "_s", "_b"]
@@ -146,7 +148,7 @@ def mix(docs: DataFrame, parts: dict | None = None, id_col: str = "doc_id",
         lambda acc, g: acc + F.when(g["t"] < F.col("mix_slot"), g["n"]).otherwise(F.lit(0).cast("long")))
     position = F.col("mix_slot") * block + F.col("_rank") % block - missing
     return ranked.withColumn("mix_position", position).select(
-        *[F.col(f"`{c}`") for c in names], "mix_slot", "mix_position")
+        *[F.col(f"_row.`{c}`") for c in names], "mix_slot", "mix_position")
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,8 +20,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents in no known language (and those without a letter); learns from the
     labelled documents."""
     model = fit(docs)
-    return (docs.withColumn("_p", classify(model, F.col("text"))).where(~F.col("_p.rejected"))
-            .select(*docs.columns))
+    return docs.where(~classify(model, F.col("text"))["rejected"])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,9 +40,9 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a window of a benchmark item."""
     _, hits = find_contamination(docs, table(spark, sf_dir, "benchmark"))
-    found = hits.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_th"))
-    return docs.join(found, same, "left_anti")
+    found = hits.select("doc_id", "th").distinct().alias("f")
+    same = F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.xxhash64("d.text") == F.col("f.th"))
+    return docs.alias("d").join(found, same, "left_anti")
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
