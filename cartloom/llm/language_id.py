@@ -137,7 +137,7 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
                     df += gram_counts(text) > 0
                     langs[lang] = langs.get(lang, 0) + 1
         held = np.flatnonzero(df)
-        yield pd.DataFrame({"lang": [None] * len(held) + list(langs),
+        yield pd.DataFrame({"lang": pd.Series([None] * len(held) + list(langs), dtype=object),
                             "dim": [*held.tolist(), *[-1] * len(langs)],
                             "n": [*df[held].tolist(), *langs.values()]})
 

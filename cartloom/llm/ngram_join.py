@@ -54,7 +54,9 @@ def banding(threshold: float = THRESHOLD, recall: float = RECALL, most: int = MA
     best = (most, 1)
     for rows in range(1, most + 1):
         chance = threshold ** rows
-        bands = math.ceil(math.log(1 - recall) / math.log(1 - chance)) if chance < 1 else 1
+        if chance < 1e-9:
+            break
+        bands = math.ceil(math.log(1 - recall) / math.log1p(-chance)) if chance < 1 else 1
         if bands * rows <= most:
             best = (bands, rows)
     return best
