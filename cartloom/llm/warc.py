@@ -80,12 +80,13 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", uri_col:
          .write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/headers"))
     # A payload is kept by its owner's row; bytes move once, keyed by (id, content), and rows
     # that repeat the owner's id, which hold the same bytes, fold into one.
-    owners = facts.groupBy("content").agg(F.max("record").alias("owner"))
-    body = facts.select("record", "content", "payload").alias("b")
-    kept = body.join(owners.alias("o"), (F.col("b.content") == F.col("o.content"))
-                     & F.col("b.record").eqNullSafe(F.col("o.owner")))
-    (kept.select("b.record", "b.content", "payload").dropDuplicates(["record", "content"])
-         .select("content", "payload")
+    # The id takes part as text, null as none, so that the join and the folding share their keys
+    # and one exchange serves both.
+    key = F.coalesce(F.col("record").cast("string"), F.lit(""))
+    owners = (facts.groupBy("content").agg(F.max("record").alias("record"))
+              .select("content", key.alias("key")))
+    kept = facts.select("content", key.alias("key"), "payload").join(owners, ["content", "key"])
+    (kept.dropDuplicates(["content", "key"]).select("content", "payload")
          .write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/payloads"))
     return path
 
