@@ -7,7 +7,8 @@ Jobs
   customers  landed customer responses -> customer day table, reconciled, published
   payments   payment instruments of orders created in a closed date range
 
-The run date defaults to yesterday. Landed responses are read from
+The run date defaults to yesterday; only this day is judged and published, against the
+totals of its landed probe responses (``--probes``). Landed responses are read from
 ``<landing>`` or, with ``--per-day-folders``, from ``<landing>/<yyyyMMdd>/``
 (any Hadoop file system URI).
 """
@@ -20,18 +21,17 @@ import json
 import os
 import sys
 
-from pyspark.sql import functions as F
-
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="cartloom")
     sub = p.add_subparsers(dest="job", required=True)
-    yesterday = (dt.date.today() - dt.timedelta(days=1)).strftime("%Y%m%d")
     for job in ("orders", "customers"):
         j = sub.add_parser(job)
         j.add_argument("--landing", required=True, help="folder of landed responses")
         j.add_argument("--out", required=True, help="publish root")
-        j.add_argument("--date", default=yesterday, help="run date yyyyMMdd (default yesterday)")
+        j.add_argument("--date", help="run date yyyyMMdd (default yesterday)")
+        j.add_argument("--probes", required=True,
+                       help="folder of landed whole-day probe responses (field=/run_date=)")
         j.add_argument("--multi-line", action="store_true", help="one response per file")
         j.add_argument("--per-day-folders", action="store_true",
                        help="read <landing>/<yyyyMMdd>/ instead of <landing>")
@@ -49,10 +49,12 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> dict:
     args = _parser().parse_args(argv)
+    from cartloom.functions.timefmt import default_run_date
     from cartloom.plans import pipelines as P
     from cartloom.session import build_session
     from cartloom.sinks.publish import write_day
-    from cartloom.sources.envelope import documents, read_customer_envelopes, read_order_envelopes
+    from cartloom.sources.envelope import (documents, read_customer_envelopes, read_order_envelopes,
+                                           read_probe_totals)
 
     spark = build_session()
     if args.job == "payments":
@@ -60,19 +62,19 @@ def main(argv: list[str] | None = None) -> dict:
         write_day(P.backfill_payments(docs, args.first, args.last),
                   os.path.join(args.out, "payments"))
         return {"job": "payments", "out": os.path.join(args.out, "payments")}
-    folder = f"{args.landing.rstrip('/')}/{args.date}" if args.per_day_folders else args.landing
-    day = dt.datetime.strptime(args.date, "%Y%m%d").date()
+    day = (dt.datetime.strptime(args.date, "%Y%m%d").date() if args.date
+           else spark.range(1).select(default_run_date()).first()[0])
+    folder = f"{args.landing.rstrip('/')}/{day:%Y%m%d}" if args.per_day_folders else args.landing
     reader = read_order_envelopes if args.job == "orders" else read_customer_envelopes
-    docs = documents(reader(spark, folder, multi_line=args.multi_line))
+    envelopes = reader(spark, folder, multi_line=args.multi_line)
+    docs, source = documents(envelopes), read_probe_totals(spark, args.probes)
     if args.job == "orders":
-        source = P.source_totals_of(docs)
-        run = P.run_orders(docs, source, args.out, compat=args.compat, strict=args.strict,
-                           mode=args.mode)
+        run = P.run_orders(docs, source, args.out, run_dates=[day], envelopes=envelopes,
+                           compat=args.compat, strict=args.strict, mode=args.mode)
     else:
-        source = P.source_totals_of(docs, key="customer_id")
-        run = P.run_customers(docs, source, args.out)
-    verdict = [r.asDict() for r in run.verdicts.filter(F.col("run_date") == F.lit(day)).collect()]
-    summary = {"job": args.job, "run_date": args.date,
+        run = P.run_customers(docs, source, args.out, run_dates=[day], envelopes=envelopes)
+    verdict = [r.asDict() for r in run.verdicts.collect()]  # one row: the run date's
+    summary = {"job": args.job, "run_date": f"{day:%Y%m%d}",
                "verdict": json.loads(json.dumps(verdict, default=str)), "written": run.written}
     print(json.dumps(summary, default=str))
     return summary

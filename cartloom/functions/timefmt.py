@@ -20,13 +20,26 @@ def _c(col) -> Column:
 
 
 def parse_utc(col) -> Column:
-    """ISO text in UTC (``2024-03-10T09:59:59.000Z``) -> ``TIMESTAMP_NTZ`` (FUN3).
+    """ISO text (``2024-03-10T09:59:59.000Z``) -> UTC wall clock as ``TIMESTAMP_NTZ`` (FUN3).
 
-    The service sends UTC only; the ``Z`` / ``+00:00`` suffix is removed and the
-    wall clock kept.
+    ``Z``, no suffix and ``+00:00`` are UTC; another offset is taken off, so
+    ``2024-03-10T09:00:00-07:00`` is 16:00 UTC. Malformed text gives null.
     """
-    text = F.regexp_replace(_c(col), r"(Z|[+-]00:?00)$", "")
-    return F.to_timestamp_ntz(text)
+    text = F.trim(_c(col))
+    offset = r"([+-])(\d{2}):?(\d{2})$"
+    zoned = text.rlike(r"\d{2}:\d{2}(:\d{2}(\.\d+)?)?" + offset)
+    clock = (F.when(zoned, F.regexp_replace(text, offset, ""))
+             .otherwise(F.regexp_replace(text, "Z$", ""))).try_cast("timestamp_ntz")
+    minutes = (F.regexp_extract(text, offset, 2).try_cast("int") * 60
+               + F.regexp_extract(text, offset, 3).try_cast("int"))
+    signed = F.when(F.regexp_extract(text, offset, 1) == "-", -minutes).otherwise(minutes)
+    shift = F.when(zoned, signed).otherwise(F.lit(0))
+    return clock - F.make_dt_interval(F.lit(0), F.lit(0), shift, F.lit(0))
+
+
+def bad_stamp(col) -> Column:
+    """Whether stamp text is present but cannot be parsed."""
+    return _c(col).isNotNull() & parse_utc(col).isNull()
 
 
 def _epoch() -> Column:
@@ -134,9 +147,9 @@ def parse_run_date(col) -> Column:
     return F.try_to_date(_c(col), "yyyyMMdd")
 
 
-def default_run_date() -> Column:
-    """The day to load when none is given: yesterday (SRC7)."""
-    return F.date_sub(F.current_date(), 1)
+def default_run_date(as_of=None) -> Column:
+    """The day to load when none is given: the day before ``as_of`` (today) (SRC7)."""
+    return F.date_sub(F.current_date() if as_of is None else F.to_date(_c(as_of)), 1)
 
 
 def day_start(day_col) -> Column:

@@ -78,10 +78,12 @@ def override_constant(df: DataFrame, name: str,
 
 
 def as_text(df: DataFrame, names: Iterable[str]) -> DataFrame:
-    """Cast chosen columns to text; null stays null (PRJ8)."""
+    """Cast chosen columns to text; null stays null (PRJ8). Decimals print as the number
+    they are (``100.0``), not with the digits of their type (``100.00``)."""
     names = set(names)
-    return df.select(*[(ref(n).cast("string").alias(n) if n in names else ref(n))
-                       for n in df.columns])
+    decimal = {f.name for f in df.schema.fields if isinstance(f.dataType, T.DecimalType)}
+    return df.select(*[((ref(n).cast("double") if n in decimal else ref(n)).cast("string").alias(n)
+                        if n in names else ref(n)) for n in df.columns])
 
 
 def fill_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:

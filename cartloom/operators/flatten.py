@@ -158,7 +158,7 @@ def order_rows(docs: DataFrame, sep: str = "_", compat: bool = False,
     email = f"order_customer_info{sep}email"
     src = ref(email) if _has(flat, email) else F.lit(None).cast("string")
     flat = flat.withColumn("customer_emails", sha256_text(src, compat))
-    flat = drop_columns(flat, rename_separator(schemas.ORDER_DROP_COLUMNS, sep))
+    # Personal fields go with the conform step: only the listed columns are published.
     flat = _stamps_to_ntz(flat, ["order_creation_date", "order_last_modified"])
     cols = rename_separator(ORDER_SLICE_COLUMNS, sep) + carry
     out = conform(flat, cols, {"order_creation_date": T.TimestampNTZType(),
@@ -234,14 +234,36 @@ def payment_rows(docs: DataFrame, sep: str = "_", file_name: Column | None = Non
     return out.dropDuplicates() if dedup else out
 
 
+def _first_item(docs: DataFrame) -> DataFrame:
+    """Per order its first shipping item and how many adjustments that item has, over all
+    parts of the order: ``order_no, item_id, n_adj`` (partial aggregates)."""
+    first = F.get(F.col("shipping_items"), 0)
+    n_adj = F.coalesce(F.size(first.getField("price_adjustments").getField("_type")), F.lit(0))
+    parts = docs.select("order_no", first.getField("item_id").alias("item_id"),
+                        F.greatest(n_adj, F.lit(0)).alias("n"))
+    items = parts.groupBy("order_no", "item_id").agg(F.sum("n").alias("n_adj"))
+    return items.groupBy("order_no").agg(F.min(F.struct("item_id", "n_adj")).alias("f")) \
+        .select("order_no", "f.item_id", "f.n_adj")
+
+
 def first_item_adjustments(docs: DataFrame, sep: str = "_", strict: bool = False) -> DataFrame:
     """Price adjustments of the **first** shipping item only (JON3): one null row
-    when that item has none; later items' adjustments are ignored."""
+    when that item has none; later items' adjustments are ignored.
+
+    A large order may come as several documents: its first item is the one with the least
+    id, its adjustments are those of all documents, and the null row is one per order."""
     docs = valid_documents(docs, strict)
     first = F.get(F.col("shipping_items"), 0)
-    rows = docs.select(F.col("order_no").alias("order_order_no"),
-                       F.explode_outer(first.getField("price_adjustments")).alias("pa"))
-    return flatten_struct(rows, "pa", prefix="price_adjustments_", sep=sep,
+    items = docs.select("order_no", first.getField("item_id").alias("item_id"),
+                        first.getField("price_adjustments").alias("adjustments"))
+    chosen = _first_item(docs)
+    same = F.col("i.order_no").eqNullSafe(F.col("f.order_no")) & \
+        F.col("i.item_id").eqNullSafe(F.col("f.item_id"))
+    some = items.alias("i").join(chosen.filter("n_adj > 0").alias("f"), same).select(
+        F.col("i.order_no").alias("order_order_no"), F.explode("adjustments").alias("pa"))
+    none = chosen.filter("n_adj = 0").select(F.col("order_no").alias("order_order_no"),
+                                             F.lit(None).cast(some.schema["pa"].dataType).alias("pa"))
+    return flatten_struct(some.unionByName(none), "pa", prefix="price_adjustments_", sep=sep,
                           keep=["order_order_no"])
 
 
@@ -267,22 +289,35 @@ def entity_product(docs: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def entity_product_size(docs: DataFrame, strict: bool = False) -> DataFrame:
-    """Rows each document contributes to :func:`entity_product`, without building
+    """Rows each order contributes to :func:`entity_product`, without building
     them: the product of ``max(1, size)`` of each array (``order_no``, ``n_rows``).
 
-    Use this to size or audit the full product; the product itself emits every
+    A large order may come as several documents: lines and first-item adjustments are summed
+    over them, payments and the ids of shipments and shipping items are the order's, each
+    counted once. Use this to size or audit the full product; the product itself emits every
     combination inside a document and is meant for single slices.
     """
     docs = valid_documents(docs, strict)
-
-    def factor(arr: Column) -> Column:
-        return F.greatest(F.lit(1), F.coalesce(F.size(arr), F.lit(0))).cast("bigint")
-
-    first_adj = F.get(F.col("shipping_items"), 0).getField("price_adjustments")
-    n = (factor(_probe(docs, "payment_instruments")) * factor(_probe(docs, "shipments"))
-         * factor(_probe(docs, "shipping_items")) * factor(first_adj.getField("_type"))
-         * factor(_probe(docs, "product_items")))
-    return docs.select("order_no", n.alias("n_rows"))
+    size = lambda arr: F.greatest(F.coalesce(F.size(arr), F.lit(0)), F.lit(0))
+    ids = lambda arr, name: F.array_sort(F.coalesce(
+        F.col(arr).getField(name), F.array().cast("array<string>")))
+    parts = docs.select("order_no", size(_probe(docs, "payment_instruments")).alias("pay"),
+                        ids("shipments", "shipment_id").alias("ships"),
+                        ids("shipping_items", "item_id").alias("items"),
+                        size(_probe(docs, "product_items")).alias("lines"))
+    sizes = parts.groupBy("order_no").agg(
+        F.max("pay").alias("pay"), F.collect_set("ships").alias("ships"),
+        F.collect_set("items").alias("items"), F.count(F.lit(1)).alias("parts"),
+        F.sum(F.size("ships")).alias("n_ships"), F.sum(F.size("items")).alias("n_items"),
+        F.sum("lines").alias("lines"))
+    # One document: its arrays as they are; several: what they hold together.
+    together = lambda c, n: F.when(F.col("parts") == 1, F.col(n)).otherwise(
+        F.size(F.array_distinct(F.flatten(c))))
+    first = _first_item(docs).withColumnRenamed("order_no", "k")
+    factor = lambda c: F.greatest(F.lit(1), c).cast("bigint")
+    n = (factor(F.col("pay")) * factor(together("ships", "n_ships"))
+         * factor(together("items", "n_items")) * factor(F.col("n_adj")) * factor(F.col("lines")))
+    return sizes.join(first, F.col("order_no").eqNullSafe(F.col("k"))).select("order_no", n.alias("n_rows"))
 
 
 def array_as_json(col, sort: bool = True) -> Column:

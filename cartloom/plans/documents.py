@@ -18,7 +18,9 @@ Derivation (every rule is data-driven, so the work grows with the tables):
 * ``product_items``: one per line (absent without lines); a line with
   ``l_discount > 0.05`` has ``l_linenumber % 3 + 1`` option items.
 
-Bounded documents: an order's lines are grouped into documents of at most about
+Bounded documents are a matter of storage only: every query gives the same rows whether
+an order comes as one document or as several (lines and adjustments are summed, header
+values counted once). An order's lines are grouped into documents of at most about
 ``max_items`` lines (``doc_part``), using the per-order line count from a
 partial aggregate, and rows are re-partitioned on ``(order, doc_part)`` before
 ``collect_list``. A hot order therefore becomes many bounded documents spread
@@ -297,12 +299,14 @@ def landed_order_documents(spark, data_dir: str, max_items: int = MAX_ITEMS) ->
     table also cuts the lineage: a lost executor re-reads files instead of
     re-running the nesting aggregation.
     """
-    import os
-
     from cartloom.session import scratch_path, session_key
     from cartloom.sources.tables import Tables
 
-    key = (session_key(spark), os.path.abspath(data_dir), int(max_items))
+    # The files' times and sizes are part of the key: changed tables are landed again.
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .load([f"{data_dir}/orders.parquet", f"{data_dir}/lineitem.parquet"])
+             .select("path", "modificationTime", "length").collect())
+    key = (session_key(spark), data_dir, int(max_items), tuple(sorted(map(tuple, files))))
     path = _LANDED.get(key)
     if path is None:
         t = Tables(spark, data_dir)

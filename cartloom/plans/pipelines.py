@@ -23,7 +23,8 @@ from cartloom.operators import conform as C
 from cartloom.operators import flatten as FL
 from cartloom.operators import merge as M
 from cartloom.operators import quality as Q
-from cartloom.sinks.publish import publish_days, write_markers
+from cartloom.sinks.publish import land_verdicts, publish_days, write_markers
+from cartloom.sources.envelope import broken_responses, envelope_audit
 
 
 @dataclass
@@ -37,9 +38,11 @@ class DayRun:
     written: dict[str, str] = field(default_factory=dict)
 
 
-def _with_run_date(df: DataFrame, created: str, modified: str) -> DataFrame:
-    """Attach the run day(s) a row belongs to: its creation and modification days."""
-    return M.change_feed(df, created, modified, "run_date")
+def _with_run_date(df: DataFrame, created: str, modified: str, run_dates=None) -> DataFrame:
+    """Attach the run day(s) a row belongs to: its creation and modification days, of
+    which only ``run_dates`` are kept if given."""
+    rows = M.change_feed(df, created, modified, "run_date")
+    return rows.filter(F.col("run_date").isin(list(run_dates))) if run_dates else rows
 
 
 def _file_name(entity: str) -> F.Column:
@@ -47,8 +50,9 @@ def _file_name(entity: str) -> F.Column:
 
 
 def order_tables(docs: DataFrame, sep: str = ".", compat: bool = False,
-                 strict: bool = False) -> dict[str, DataFrame]:
-    """Merged day tables of orders, product lines, option items and payments.
+                 strict: bool = False, run_dates=None) -> dict[str, DataFrame]:
+    """Merged day tables of orders, product lines, option items and payments, of all
+    days or of ``run_dates`` only (chosen before any shuffle).
 
     * orders: slice rows + two Pacific columns + lineage, one row per order and
       day; among versions differing only in their stamps the latest
@@ -59,7 +63,7 @@ def order_tables(docs: DataFrame, sep: str = ".", compat: bool = False,
     """
     stamps = ["order_creation_date", "order_last_modified"]
     orders = FL.order_rows(docs, sep=sep, compat=compat, strict=strict, dedup=False)
-    orders = _with_run_date(orders, *stamps)
+    orders = _with_run_date(orders, *stamps, run_dates)
     orders = (orders
               .withColumn("order_creation_pst_date", to_pacific("order_creation_date"))
               .withColumn("order_last_modified_pst_date", to_pacific("order_last_modified"))
@@ -76,7 +80,9 @@ def order_tables(docs: DataFrame, sep: str = ".", compat: bool = False,
     # projection (no join, no shuffle).
     days = F.array_compact(F.array_distinct(F.array(
         F.to_date(_stamp(docs, "creation_date")), F.to_date(_stamp(docs, "last_modified")))))
-    dated = docs.withColumn("_days", days)
+    if run_dates:
+        days = F.filter(days, lambda d: d.isin(list(run_dates)))
+    dated = docs.withColumn("_days", days).filter(F.size("_days") > 0)
 
     def by_day(rows: DataFrame) -> DataFrame:
         cols = [c for c in rows.columns if c != "_days"]
@@ -142,44 +148,74 @@ def _customer_merge(rows: DataFrame) -> DataFrame:
     return M.dedup_all(C.conform(rows, ["run_date"] + schemas.CUSTOMER_COLUMNS))
 
 
-def customer_table(docs: DataFrame) -> DataFrame:
+def customer_table(docs: DataFrame, run_dates=None) -> DataFrame:
     """Merged day table of customers: defaults for absent keys, six Pacific columns,
     lineage, distinct (PRJ9, FUN4, PRJ6, AGG5). Personal fields pass through, as
     published (N18)."""
-    rows = _with_run_date(customer_slice_rows(docs), "creation_date", "last_modified")
+    rows = _with_run_date(customer_slice_rows(docs), "creation_date", "last_modified", run_dates)
     return _customer_merge(rows)
 
 
+def _publish(run: DayRun, source: DataFrame, out: str | None, entity: str, run_dates,
+             envelopes: DataFrame | None) -> DayRun:
+    """Judge the run's days and, with ``out``, publish those that pass.
+
+    Only ``run_dates`` are judged and written (required with ``out``): rows of other days
+    in the documents are that day's business. A run whose landed responses are not whole
+    (a broken page, or fewer hits than the service reports) passes no day.
+    """
+    days = sorted(run_dates or ())
+    if out and not days:
+        raise ValueError("publishing needs the run dates")
+    if days:
+        run.verdicts = run.verdicts.filter(F.col("run_date").isin(days))
+    if envelopes is not None:
+        lost = envelope_audit(envelopes).agg(F.count_if(~F.col("whole"))).scalar()
+        run.verdicts = run.verdicts.withColumn("passed", F.col("passed") & (lost == 0))
+    if out:
+        base = out.rstrip("/")
+        run.verdicts = land_verdicts(run.verdicts, f"{base}/_verdicts", entity, days)
+        run.written = publish_days(run.tables, run.verdicts, base)
+        in_run = source.filter(F.col("run_date").isin(days))
+        write_markers(in_run, run.verdicts, f"{base}/_markers", entity, days)
+        stamp = "-".join(f"{d:%Y%m%d}" for d in (days[0], days[-1]))
+        rejected = {"documents": run.quarantined,
+                    "responses": broken_responses(envelopes) if envelopes is not None else None}
+        for kind, rows in rejected.items():
+            if rows is not None:
+                rows.write.mode("overwrite").parquet(f"{base}/_quarantine/{entity}/{kind}/{stamp}")
+    return run
+
+
 def run_orders(docs: DataFrame, source: DataFrame, out: str | None = None, *,
+               run_dates=None, envelopes: DataFrame | None = None,
                compat: bool = False, strict: bool = False, mode: str = "or") -> DayRun:
-    """Orders for every day present in ``docs``.
+    """Orders of the run dates (without them: of every day present in ``docs``).
 
     ``source``: the service's per-day totals (``run_date, total_created,
-    total_modified, total_records``), e.g. from :func:`source_totals_of`.
-    With ``out`` the passing days are published under ``out/<entity>/`` and
-    markers written to ``out/_markers``.
+    total_modified, total_records``), from its probe responses
+    (:func:`~cartloom.sources.envelope.read_probe_totals`). With ``envelopes`` (the landed
+    responses the documents come from) the run also fails if these are not whole. With
+    ``out`` the passing run dates are published under ``out/<entity>/``, verdicts under
+    ``out/_verdicts``, markers under ``out/_markers`` and rejected documents and responses
+    under ``out/_quarantine``; files and markers of other days stay as they are.
     """
-    tables = order_tables(docs, sep=".", compat=compat, strict=strict)
+    tables = order_tables(docs, sep=".", compat=compat, strict=strict, run_dates=run_dates)
     audit = Q.day_counts(tables["orders"], "run_date", "order_order_no", "order_creation_date",
                          "order_last_modified")
     verdicts = Q.reconcile(source, audit, "run_date", mode)
     run = DayRun(tables, audit, verdicts, FL.quarantine(docs))
-    if out:
-        run.written = publish_days(tables, verdicts, f"{out.rstrip('/')}")
-        write_markers(source, verdicts, f"{out.rstrip('/')}/_markers")
-    return run
+    return _publish(run, source, out, "orders", run_dates, envelopes)
 
 
-def run_customers(docs: DataFrame, source: DataFrame, out: str | None = None) -> DayRun:
-    """Customers for every day present in ``docs``; created counts decide (DQ2)."""
-    table = customer_table(docs)
+def run_customers(docs: DataFrame, source: DataFrame, out: str | None = None, *,
+                  run_dates=None, envelopes: DataFrame | None = None) -> DayRun:
+    """Customers of the run dates; created counts decide (DQ2). See :func:`run_orders`."""
+    table = customer_table(docs, run_dates)
     audit = Q.day_counts(table, "run_date", "customer_no", "creation_date", "last_modified")
     verdicts = Q.reconcile(source, audit, "run_date", "created")
     run = DayRun({"customers": table}, audit, verdicts)
-    if out:
-        run.written = publish_days(run.tables, verdicts, out)
-        write_markers(source, verdicts, f"{out.rstrip('/')}/_markers")
-    return run
+    return _publish(run, source, out, "customers", run_dates, envelopes)
 
 
 def source_totals_of(docs: DataFrame, key: str = "order_no") -> DataFrame:
@@ -210,13 +246,11 @@ ORDER_FIELDS = ("creation_date", "last_modified")
 
 
 def extract_day(docs: DataFrame, run_date: str, out: str, field: str = "creation_date", *,
-                ladder=schemas.ORDER_LADDER, cap: int = schemas.PAGE_SIZE,
-                compat: bool = False) -> None:
+                ladder=schemas.ORDER_LADDER, cap: int = schemas.PAGE_SIZE) -> None:
     """One day's extraction on one stamp field, as the request loop lands it.
 
     The documents whose ``field`` falls on ``run_date`` are assigned to the slice
-    whose request returns them (refining over-full slices; with ``compat`` the
-    reference's losses apply), flattened into the four entity slice tables and
+    whose request returns them (refining over-full slices), flattened into the four entity slice tables and
     written one folder per field and slice under ``out/<entity>/`` (SNK1).
     """
     from cartloom.operators import slicing as SL
@@ -224,20 +258,16 @@ def extract_day(docs: DataFrame, run_date: str, out: str, field: str = "creation
 
     stamp = _stamp(docs, field)
     day = docs.withColumn("_ts", stamp).filter(F.to_date("_ts") == F.to_date(F.lit(run_date)))
-    if compat:
-        kept = SL.compat_capture(day, "_ts", ladder, cap, sort=["creation_date", "order_no"])
-        sliced = SL.assign_slices(kept, "_ts", ladder, cap, sort=["creation_date", "order_no"])
-    else:
-        sliced = SL.assign_slices(day, "_ts", ladder, cap, sort=["creation_date", "order_no"])
-    sliced = sliced.withColumn("extraction_field", F.lit(field)) \
-        .withColumn("slice_start", F.date_format("slice_start", "HH_mm_ss"))
-    carry = ["extraction_field", "slice_start"]
+    sliced = SL.assign_slices(day, "_ts", ladder, cap, sort=["creation_date", "order_no"])
+    sliced = sliced.withColumn("slice_start", F.date_format("slice_start", "HH_mm_ss"))
+    carry = ["slice_start"]
     tables = {"orders": FL.order_rows(sliced, sep=".", carry=carry),
               "products": FL.product_rows(sliced, sep=".", carry=carry),
               "option_items": FL.option_item_rows(sliced, sep=".", carry=carry),
               "payments": FL.payment_rows(sliced, sep=".", carry=carry)}
     for entity, table in tables.items():
-        write_slices(table, f"{out.rstrip('/')}/{entity}/run_date={run_date}", keys=carry)
+        write_slices(table, f"{out.rstrip('/')}/{entity}/run_date={run_date}/extraction_field={field}",
+                     keys=carry)
 
 
 def _day_slices(spark, out: str, entity: str, run_date: str, schema: T.StructType,
@@ -250,8 +280,8 @@ def _day_slices(spark, out: str, entity: str, run_date: str, schema: T.StructTyp
 
     parts = T.StructType(list(schema.fields) + [
         T.StructField("run_date", T.DateType()), T.StructField("extraction_field", T.StringType()),
-        T.StructField("slice_start", T.StringType()), T.StructField("page_no", T.LongType()),
-        T.StructField("batch_id", T.LongType())])
+        T.StructField("slice_start", T.StringType())]
+        + ([T.StructField("page_no", T.LongType())] if entity == "customers" else []))
     base = f"{out.rstrip('/')}/{entity}"
     if fmt == "parquet":
         rows = spark.read.parquet(base)
@@ -312,11 +342,10 @@ def extract_customers_day(docs: DataFrame, run_date: str, out: str,
         .filter(F.to_date("_ts") == F.to_date(F.lit(run_date)))
     sliced = SL.assign_slices(day, "_ts", ladder, cap, sort=["_ts", "customer_id"],
                               page_size=page_size)
-    sliced = (sliced.withColumn("extraction_field", F.lit(field))
-              .withColumn("slice_start", F.date_format("slice_start", "HH_mm_ss")))
-    keys = ["extraction_field", "slice_start", "page_no"]
+    sliced = sliced.withColumn("slice_start", F.date_format("slice_start", "HH_mm_ss"))
+    keys = ["slice_start", "page_no"]
     write_slices(customer_slice_rows(sliced, carry=keys),
-                 f"{out.rstrip('/')}/customers/run_date={run_date}", keys=keys)
+                 f"{out.rstrip('/')}/customers/run_date={run_date}/extraction_field={field}", keys=keys)
 
 
 def merge_customer_files(spark, out: str, run_date: str) -> DataFrame:

@@ -9,6 +9,7 @@ same values. Money is split in integer cents and only then turned into doubles.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,18 +19,23 @@ from pyspark.sql import types as T
 from cartloom.functions.labels import (day_file_name, path_part_from_end, slice_label,
                                       substitute_run_date)
 from cartloom.functions.metrics import metric_lines, metric_name, metric_value
-from cartloom.functions.timefmt import (add_seconds, day_text, pacific_text, parse_run_date,
-                                        run_date_text, to_pacific)
+from cartloom.functions.timefmt import (add_seconds, bad_stamp, day_text, default_run_date,
+                                        pacific_text, parse_run_date, parse_utc, run_date_text,
+                                        to_pacific, utc_text)
 from cartloom.operators import conform as C
 from cartloom.operators import flatten as FL
 from cartloom.operators import merge as M
 from cartloom.operators import quality as Q
 from cartloom.operators import slicing as SL
 from cartloom.plans import documents as D
+from cartloom.plans.pipelines import (backfill_payments, customer_table, extract_day,
+                                      merge_day_files, order_tables, run_orders, slice_schemas,
+                                      source_totals_of)
 from cartloom.schemas import CUSTOMER_LADDER, DAY_COUNT_LOG_KEYS, ORDER_LADDER
 from cartloom.session import scratch_path
 from cartloom.sources.calendar import day_spine, day_spine_of
-from cartloom.sources.envelope import explode_hits, parse_json_column, read_envelopes
+from cartloom.sources.envelope import (envelope_audit, explode_hits, parse_json_column,
+                                       read_envelopes)
 from cartloom.sources.flatfiles import read_pipe_csv, write_pipe_csv
 from cartloom.sources.search import search
 from cartloom.sources.tables import Tables
@@ -43,6 +49,10 @@ OFFSET_PAGE = 25
 BACKFILL_FIRST, BACKFILL_LAST = "2024-01-10", "2024-01-26"
 SEARCH_LO, SEARCH_HI = "2024-01-10 00:00:00", "2024-01-11 00:00:00"
 SEARCH_START = 200
+RUN_DAY = "1996-09-17"
+PRODUCT_DAY = "1996-09-17"
+#: Conversation turns of one remainder class are taken as lost in landing.
+LOST_TURNS = 17
 
 _SPARK: dict[str, QueryFn] = {}
 _SQL: dict[str, str] = {}
@@ -124,6 +134,28 @@ def q_hits_explode(spark, d):
     return explode_hits(landed, keep=("conv_id", "total", "count"))
 
 
+@register("envelope_audit", f"""
+WITH p AS (SELECT conv_id, turn % {LOST_TURNS} = 5 AS lost,
+                  (row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1) // 200 AS page
+           FROM conversations)
+SELECT conv_id, CAST(count(DISTINCT page) AS BIGINT) AS n_responses, CAST(0 AS BIGINT) AS n_corrupt,
+       count(*) AS expected, count(*) FILTER (WHERE NOT coalesce(lost, false)) AS landed,
+       count(*) FILTER (WHERE lost) = 0 AS whole
+FROM p GROUP BY conv_id
+""")
+def q_envelope_audit(spark, d):
+    """Whether the landed responses of every conversation hold the hits that the service
+    reports (AGG1); turns of one remainder class are taken as lost."""
+    v = Tables(spark, d).conversations
+    numbered = SL.row_numbers(v, ["conv_id"], ["turn", "role", "text"], "rn")
+    lost = F.coalesce(F.col("turn") % LOST_TURNS == 5, F.lit(False))
+    pages = (numbered.withColumn("start", F.floor((F.col("rn") - 1) / 200) * 200)
+             .groupBy("conv_id", "start").agg(F.collect_list(F.when(~lost, F.struct(
+                 F.struct("turn", "role").alias("data")))).alias("hits")))
+    totals = v.groupBy("conv_id").agg(F.count(F.lit(1)).alias("total"))
+    return envelope_audit(pages.join(totals, "conv_id"), by=("conv_id",))
+
+
 # --------------------------------------------------------------------------
 # Flatten family (PRJ1, PRJ2, PRJ10, JON1-JON4, FUN12, FUN13)
 # --------------------------------------------------------------------------
@@ -145,9 +177,7 @@ def q_flatten_prefix(spark, d):
     """Order with a nested ``customer_info`` (itself holding a ``nation`` struct)
     flattened to prefixed names; ``_`` separates levels here, ``.`` in files."""
     t = Tables(spark, d)
-    # nation has 25 rows by definition of the schema: a bounded broadcast.
-    cust = t.customer.join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey"),
-                           "left")
+    cust = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     cid = F.col("o_custkey").cast("string")
     info = F.struct(F.lit("customer_info").alias("_type"), cid.alias("customer_id"),
                     F.lpad(cid, 8, "0").alias("customer_no"), F.col("c_name").alias("customer_name"),
@@ -214,9 +244,41 @@ LEFT JOIN a ON a.l_orderkey = o.o_orderkey
 def q_order_entity_product(spark, d):
     """Rows per order of the full product payments x shipments x shipping items x
     first-item adjustments x products (JON1), from the array sizes: the product
-    itself is never materialised (a split order sums its documents)."""
-    sizes = FL.entity_product_size(_docs(spark, d))
-    return sizes.groupBy("order_no").agg(F.sum("n_rows").alias("n_rows"))
+    itself is never materialised."""
+    return FL.entity_product_size(_docs(spark, d))
+
+
+@register("entity_product_slice", f"""
+WITH o AS (SELECT * FROM orders WHERE CAST(o_orderdate AS DATE) = DATE '{PRODUCT_DAY}'),
+l AS (SELECT l.*, l_suppkey % 3 AS g FROM lineitem l JOIN o ON o.o_orderkey = l.l_orderkey),
+g AS (SELECT DISTINCT l_orderkey, 'S' || CAST(g AS VARCHAR) AS ship, 'SI' || CAST(g AS VARCHAR) AS item
+      FROM l),
+adj AS (SELECT l.l_orderkey, CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)
+               || '-' || CAST(l_partkey AS VARCHAR) AS adj
+        FROM l JOIN (SELECT l_orderkey, min(g) AS g FROM l GROUP BY 1) f
+          ON f.l_orderkey = l.l_orderkey AND f.g = l.g
+        WHERE l_discount > 0.05)
+SELECT CAST(o.o_orderkey AS VARCHAR) AS order_no,
+       CAST(o.o_orderkey AS VARCHAR) || '-' || CAST(p.i AS VARCHAR) AS payment,
+       coalesce(s.ship, 'S0') AS shipment, coalesce(t.item, 'SI0') AS shipping_item,
+       adj.adj AS price_adjustment,
+       CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS product_item
+FROM o CROSS JOIN (SELECT unnest([1, 2]) AS i) p
+LEFT JOIN g s ON s.l_orderkey = o.o_orderkey
+LEFT JOIN g t ON t.l_orderkey = o.o_orderkey
+LEFT JOIN adj ON adj.l_orderkey = o.o_orderkey
+LEFT JOIN l ON l.l_orderkey = o.o_orderkey
+""")
+def q_entity_product_slice(spark, d):
+    """The full product payments x shipments x shipping items x first-item adjustments x
+    products, built for the orders of one day (JON1)."""
+    day = F.to_date("creation_date") == F.to_date(F.lit(PRODUCT_DAY))
+    rows = FL.entity_product(_docs(spark, d).filter(day))
+    return rows.select("order_no", F.col("payment.payment_instrument_id").alias("payment"),
+                       F.col("shipment.shipment_id").alias("shipment"),
+                       F.col("shipping_item.item_id").alias("shipping_item"),
+                       F.col("price_adjustment.price_adjustment_id").alias("price_adjustment"),
+                       F.col("product_item.item_id").alias("product_item"))
 
 
 SQL_FIRST_ADJ = """
@@ -306,40 +368,34 @@ def q_payment_details(spark, d):
 
 
 @register("array_to_json", """
-WITH items AS (
-  SELECT l_orderkey,
-         '{"item_id":"' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)
-         || '","product_id":"' || CAST(l_partkey AS VARCHAR)
-         || '","shipment_id":"S' || CAST(l_suppkey % 3 AS VARCHAR)
-         || '","c_Type":"' || l_returnflag || '"}' AS js,
-         CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS k1,
-         CAST(l_partkey AS VARCHAR) AS k2, 'S' || CAST(l_suppkey % 3 AS VARCHAR) AS k3,
-         l_returnflag AS k4
-  FROM lineitem),
-agg AS (
-  SELECT l_orderkey, count(*) AS n,
-         '[' || string_agg(js, ',' ORDER BY k1, k2, k3, k4) || ']' AS doc
-  FROM items GROUP BY l_orderkey)
-SELECT CAST(o.o_orderkey AS VARCHAR) AS order_no,
-       CAST(coalesce(a.n, 0) AS BIGINT) AS n_items,
-       CAST(length(a.doc) AS BIGINT) AS json_length,
-       sha256(a.doc) AS json_sha256
-FROM orders o LEFT JOIN agg a ON a.l_orderkey = o.o_orderkey
+WITH opts AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_discount, s.i,
+         CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS item
+  FROM lineitem, LATERAL (SELECT unnest(generate_series(1, l_linenumber % 3 + 1)) AS i) s),
+js AS (
+  SELECT item, l_partkey, l_discount, '[' || string_agg(
+           '{"item_id":"' || item || '-' || CAST(i AS VARCHAR) || '","option_id":"opt-'
+           || CAST(i AS VARCHAR) || '","option_value_id":"val-' || CAST(l_partkey AS VARCHAR)
+           || '"}', ',' ORDER BY i) || ']' AS doc, count(*) AS n
+  FROM (SELECT DISTINCT item, l_partkey, l_discount, i FROM opts) GROUP BY ALL)
+SELECT CAST(l.l_orderkey AS VARCHAR) AS order_no, js.item AS item_id,
+       CASE WHEN l.l_discount > 0.05 THEN js.n ELSE 0 END AS n_options,
+       CASE WHEN l.l_discount > 0.05 THEN js.doc END AS options_json
+FROM lineitem l JOIN js
+  ON js.item = CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR)
+ AND js.l_partkey = l.l_partkey AND js.l_discount = l.l_discount
 """)
 def q_array_to_json(spark, d):
-    """Array column written as JSON text (FUN12): element count, text length and a
-    digest of the text of the sorted array."""
-    docs = _docs(spark, d)
-    slim = F.transform("product_items", lambda p: F.struct(
-        p.getField("item_id").alias("item_id"), p.getField("product_id").alias("product_id"),
-        p.getField("shipment_id").alias("shipment_id"), p.getField("c_Type").alias("c_Type")))
-    js = FL.array_as_json(slim)
-    return docs.select(
-        "order_no",
-        F.when(F.col("product_items").isNull(), F.lit(0))
-        .otherwise(F.size("product_items")).cast("bigint").alias("n_items"),
-        F.length(js).cast("bigint").alias("json_length"),
-        F.sha2(js, 256).alias("json_sha256"))
+    """Array column written as JSON text (FUN12): the option list of every product
+    line, as the product files carry it."""
+    lines = _docs(spark, d).select("order_no", F.explode("product_items").alias("p"))
+    slim = F.transform("p.option_items", lambda o: F.struct(
+        o.getField("item_id").alias("item_id"), o.getField("option_id").alias("option_id"),
+        o.getField("option_value_id").alias("option_value_id")))
+    return lines.select(
+        "order_no", F.col("p.item_id").alias("item_id"),
+        F.coalesce(F.size("p.option_items"), F.lit(0)).cast("bigint").alias("n_options"),
+        FL.array_as_json(slim).alias("options_json"))
 
 
 # --------------------------------------------------------------------------
@@ -504,20 +560,17 @@ def q_change_union(spark, d):
 
 
 @register("csv_roundtrip", """
-SELECT CAST(o_orderkey AS VARCHAR) AS order_no,
-       lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS customer_no,
-       o_orderdate AS creation_date, o_totalprice AS order_total, o_orderstatus AS status
-FROM orders
+SELECT doc_id, lpad(CAST(doc_id AS VARCHAR), 8, '0') AS doc_no, nullif(text, '') AS text, source,
+       n_chars
+FROM documents
 """)
 def q_csv_roundtrip(spark, d):
-    """Write ``|`` files with header, scan them back with an explicit schema: the
-    customer number keeps its leading zeros (SNK1/SRC3/SRC4/SRC5)."""
-    o = Tables(spark, d).orders
-    flat = o.select(D.order_no().alias("order_no"),
-                    F.lpad(F.col("o_custkey").cast("string"), 8, "0").alias("customer_no"),
-                    F.col("o_orderdate").alias("creation_date"),
-                    F.col("o_totalprice").alias("order_total"),
-                    F.col("o_orderstatus").alias("status"))
+    """Write ``|`` files with header, scan them back with an explicit schema: numbers kept
+    as text keep their leading zeros, texts their line breaks, quotes and separators
+    (SNK1/SRC3/SRC4/SRC5)."""
+    t = Tables(spark, d).documents
+    flat = t.select("doc_id", F.lpad(F.col("doc_id").cast("string"), 8, "0").alias("doc_no"), "text",
+                    "source", "n_chars")
     path = scratch_path(spark, "csv-roundtrip")
     write_pipe_csv(flat, path)
     return read_pipe_csv(spark, path, flat.schema)
@@ -529,6 +582,37 @@ def q_csv_roundtrip(spark, d):
 SQL_PST = "(ts AT TIME ZONE 'UTC') AT TIME ZONE 'US/Pacific'"
 
 
+@register("parse_stamps", """
+SELECT event_id, CASE WHEN event_id % 101 = 7 THEN NULL ELSE date_trunc('millisecond', ts) END AS ts,
+       event_id % 101 = 7 AS bad
+FROM events
+""")
+def q_parse_stamps(spark, d):
+    """Stamp text with ``Z``, offsets or no zone parsed to UTC; malformed text becomes null
+    and is marked (FUN3)."""
+    e = Tables(spark, d).events
+    zones = [("Z", 0), ("+00:00", 0), ("-07:00", -25200), ("+0530", 19800), ("", 0)]
+    kind = F.pmod("event_id", F.lit(len(zones)))
+    text = F.lit(None).cast("string")
+    for i, (suffix, seconds) in enumerate(zones):
+        local = F.date_format(add_seconds("ts", seconds), "yyyy-MM-dd'T'HH:mm:ss.SSS")
+        text = F.when(kind == i, F.concat(local, F.lit(suffix))).otherwise(text)
+    text = F.when(F.col("event_id") % 101 == 7, F.lit("2024-13-45T99:00:00Z")).otherwise(text)
+    landed = e.select("event_id", text.alias("stamp"))
+    return landed.select("event_id", parse_utc("stamp").alias("ts"), bad_stamp("stamp").alias("bad"))
+
+
+@register("default_day", """
+SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS as_of,
+       strftime(CAST(ts AS DATE) - INTERVAL 1 DAY, '%Y%m%d') AS run_date
+FROM events
+""")
+def q_default_day(spark, d):
+    """The day a job loads when it starts on a day and none is given: the day before (SRC7)."""
+    days = Tables(spark, d).events.select(day_text("ts").alias("as_of")).distinct()
+    return days.select("as_of", run_date_text(default_run_date("as_of")).alias("run_date"))
+
+
 @register("tz_convert", f"""
 SELECT event_id, ts, {SQL_PST} AS ts_pst FROM events
 """)
@@ -710,13 +794,24 @@ def q_page_assign(spark, d):
 
 
 @register("page_cap", """
-SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, ts FROM events
-QUALIFY row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY ts, event_id) <= 200
+SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, ts,
+       row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY ts, event_id) <= 200 AS in_page
+FROM events
 """)
 def q_page_cap(spark, d):
-    """First 200 records of each day in sort order (WIN7, SRT3)."""
+    """Whether a day's first request (200 records in sort order) returns a record (WIN7,
+    SRT3); the others are kept and marked, for the next pages."""
     e = Tables(spark, d).events.select("event_id", day_text("ts").alias("day"), "ts")
-    return SL.cap_per_group(e, ["day"], ["ts", "event_id"], 200)
+    paged = SL.assign_pages(e, ["day"], ["ts", "event_id"], 200)
+    return paged.select("event_id", "day", "ts", (F.col("page_no") == 0).alias("in_page"))
+
+
+@register("search_all", """
+SELECT *, (SELECT count(*) FROM events) AS total FROM events ORDER BY ts, event_id LIMIT 200
+""")
+def q_search_all(spark, d):
+    """A match-all search: first page of 200 in sort order, and the total (FLT2)."""
+    return search(Tables(spark, d).events, None, sort=("ts", "event_id"), count=200)
 
 
 @register("search_page", f"""
@@ -833,34 +928,17 @@ def q_nonnull_count(spark, d):
     return Q.nonnull_counts(_product_rows(spark, d), ["order_order_no", "product_item_product_id"])
 
 
-def _sql_capture(field: str, cap: int) -> str:
-    """Rows the reference's requests capture on one stamp field (compat, orders)."""
-    w0, w1 = ORDER_LADDER[0], ORDER_LADDER[1]
-    last_start = 86400 - w0
-    cut = last_start + ((w0 - 1) // w1) * w1
-    return f"""
-  SELECT order_no, c, m FROM (
-    SELECT r.*, row_number() OVER (PARTITION BY date_trunc('second', r.{field})
-                                   ORDER BY r.c, r.order_no) AS rn
-    FROM (SELECT h.*, CAST(h.{field} AS DATE) AS d FROM h WHERE h.{field} IS NOT NULL) r
-    LEFT JOIN (SELECT CAST({field} AS DATE) AS d, count(*) AS c0 FROM h
-               WHERE {field} IS NOT NULL
-                 AND {field} >= CAST({field} AS DATE) + INTERVAL {last_start} SECOND
-                 AND {field} <= CAST({field} AS DATE) + INTERVAL 86399 SECOND
-               GROUP BY 1) l ON l.d = r.d
-    WHERE r.{field} <= r.d + INTERVAL 86399 SECOND
-      AND NOT (coalesce(l.c0, 0) >= {cap} AND r.{field} >= r.d + INTERVAL {cut} SECOND))
-  WHERE rn <= {cap}"""
-
+#: Mismatching days for the gate: orders of this remainder class (of their number modulo
+#: ``LOST_OF``) are taken as missing from the merged files.
+LOST_OF, LOST_CLASS = 997, 5
 
 SQL_RECONCILE_BASE = f"""
 WITH {SQL_HEADERS},
 {SQL_SOURCE},
-cap_c AS ({_sql_capture('c', TEST_CAP)}),
-cap_m AS ({_sql_capture('m', TEST_CAP)}),
-f AS (SELECT CAST(c AS DATE) AS d, order_no, c, m FROM cap_c
-      UNION
-      SELECT CAST(m AS DATE), order_no, c, m FROM cap_m),
+f AS (SELECT * FROM (SELECT CAST(c AS DATE) AS d, order_no, c, m FROM h
+                     UNION
+                     SELECT CAST(m AS DATE), order_no, c, m FROM h WHERE m IS NOT NULL)
+      WHERE CAST(order_no AS BIGINT) % {LOST_OF} <> {LOST_CLASS}),
 {SQL_DAY_COUNTS.strip()},
 rec AS (
   SELECT coalesce(s.d, dc.d) AS d,
@@ -871,25 +949,15 @@ rec AS (
   FROM src s FULL JOIN dc ON dc.d = s.d)"""
 
 
-def _captured_day_rows(h: DataFrame) -> DataFrame:
-    """Day files as the reference would have built them: each stamp field sliced
-    in compat mode (cap 3, closed day end, truncated last slice, 1-s cut)."""
-    kw = dict(ladder=ORDER_LADDER, cap=TEST_CAP, sort=["creation_date", "order_no"])
-    by_c = SL.compat_capture(h, "creation_date", **kw)
-    by_m = SL.compat_capture(h, "last_modified", **kw)
-    rows = M.union_by_name(by_c.withColumn("run_date", F.to_date("creation_date")),
-                           by_m.withColumn("run_date", F.to_date("last_modified")))
-    return M.dedup_all(rows.select("run_date", "order_no", "creation_date", "last_modified"))
-
-
 def _reconciled(spark, d, mode: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """(headers, source totals, captured day rows, verdicts), built once per query
-    so every use shares the same subplans."""
+    """(headers, source totals, day rows of the files, verdicts). The files lack the orders
+    of one remainder class; totals and counts come from one pass over the headers each."""
     h = _headers(spark, d)
     source = Q.source_totals(h, "creation_date", "last_modified")
-    captured = _captured_day_rows(h)
-    files = Q.day_counts(captured, "run_date", "order_no", "creation_date", "last_modified")
-    return h, source, captured, Q.reconcile(source, files, "run_date", mode)
+    merged = M.change_feed(h, "creation_date", "last_modified").filter(
+        F.col("order_no").cast("bigint") % LOST_OF != LOST_CLASS)
+    files = Q.day_counts(merged, "run_date", "order_no", "creation_date", "last_modified")
+    return h, source, merged, Q.reconcile(source, files, "run_date", mode)
 
 
 def _verdict_out(df: DataFrame) -> DataFrame:
@@ -933,8 +1001,10 @@ def q_publish_gate(spark, d):
 
 
 @register("trigger_rows", SQL_RECONCILE_BASE + """,
-spine AS (SELECT CAST(unnest(generate_series(min(CAST(c AS DATE)), max(CAST(c AS DATE)),
-                                             INTERVAL 1 DAY)) AS DATE) AS d FROM h),
+spine AS (SELECT CAST(unnest(generate_series(
+             least(min(CAST(c AS DATE)), min(CAST(m AS DATE))),
+             greatest(max(CAST(c AS DATE)), max(CAST(m AS DATE))), INTERVAL 1 DAY)) AS DATE) AS d
+           FROM h),
 t AS (SELECT spine.d, CAST(coalesce(src.total_created + src.total_modified, 0) AS BIGINT) AS total,
              coalesce((rec.source_created = rec.file_created)
                       OR (rec.source_modified = rec.file_total_modified), false) AS passed
@@ -946,13 +1016,49 @@ FROM t WHERE total = 0 OR passed
 def q_trigger_rows(spark, d):
     """Day markers with the source total: empty days and passing days only (SNK5)."""
     h, totals, _, verdicts = _reconciled(spark, d, "and")
-    spine = day_spine_of(h.select(F.to_date("creation_date").alias("d")), "d", "run_date")
+    days = h.select(F.explode(F.array(F.to_date("creation_date"), F.to_date("last_modified"))).alias("d"))
+    spine = day_spine_of(days, "d", "run_date")
     all_days = spine.join(totals.select("run_date", "total_records"), "run_date", "left") \
         .fillna({"total_records": 0})
     marks = Q.trigger_rows(all_days, verdicts)
     return marks.select(day_text("run_date").alias("run_date"), "total", "state")
 
 
+SQL_RUN_DAY = f"""
+WITH {SQL_HEADERS}
+SELECT order_no AS order_order_no, strftime(c, '%Y-%m-%dT%H:%M:%S.%gZ') AS order_creation_date,
+       strftime(m, '%Y-%m-%dT%H:%M:%S.%gZ') AS order_last_modified
+FROM h WHERE CAST(c AS DATE) = DATE '{RUN_DAY}' OR CAST(m AS DATE) = DATE '{RUN_DAY}'
+"""
+
+
+@register("publish_run_day", SQL_RUN_DAY)
+def q_publish_run_day(spark, d):
+    """The daily order job for one run date: only that day's rows are merged, judged
+    against the source totals, published as flat files and read back (DQ3, SNK2, SNK3)."""
+    docs, day = _docs(spark, d), dt.date.fromisoformat(RUN_DAY)
+    out = scratch_path(spark, "publish-run-day")
+    run = run_orders(docs, source_totals_of(docs), out, run_dates=[day], mode="and")
+    table = run.tables["orders"].drop("run_date")
+    printed = T.StructType([T.StructField(f.name, T.StringType() if "date" in f.name
+                                          or "modified" in f.name else f.dataType)
+                            for f in table.schema.fields])
+    back = read_pipe_csv(spark, f"{run.written['orders']}/run_date={RUN_DAY}", printed)
+    return back.select("order_order_no", "order_creation_date", "order_last_modified")
+
+
+@register("slice_files_merge", SQL_RUN_DAY)
+def q_slice_files_merge(spark, d):
+    """The file-based flow for one day: both stamp fields extracted into one folder per
+    field and slice, then merged (SNK1, SRC3, SET2)."""
+    docs, out = _docs(spark, d), scratch_path(spark, "slice-files")
+    for field in ("creation_date", "last_modified"):
+        extract_day(docs, RUN_DAY, out, field)
+    orders = merge_day_files(spark, out, RUN_DAY, slice_schemas(docs))["orders"]
+    return orders.select("order_order_no", utc_text("order_creation_date").alias("order_creation_date"),
+                         utc_text("order_last_modified").alias("order_last_modified"))
+
+
 @register("manifest_paths", """
 SELECT page_id, string_split(url, '/')[-1] AS file_name, string_split(url, '/')[-2] AS folder_name
 FROM pages
@@ -1043,8 +1149,6 @@ def q_day_paths(spark, d):
 
 
 def _order_day_tables(spark, d) -> dict[str, DataFrame]:
-    from cartloom.plans.pipelines import order_tables
-
     return order_tables(_docs(spark, d), sep="_")
 
 
@@ -1129,8 +1233,6 @@ FROM o
 def q_payments_backfill(spark, d):
     """17 days of payment instruments in one job, as the monthly backfill
     (section 3.3, SRC6, JON2)."""
-    from cartloom.plans.pipelines import backfill_payments
-
     pays = backfill_payments(_docs(spark, d), *BACKFILL_ORDERS, sep="_")
     return pays.select(day_text("run_date").alias("run_date"), "order_order_no",
                        "payment_inst_payment_instrument_id", "payment_inst_amount", "file_name")
@@ -1178,8 +1280,6 @@ FROM f
 def q_customers_day_table(spark, d):
     """The merged customer day table (section 3.2): 38 published columns, defaults
     for absent keys, six Pacific columns, lineage, distinct."""
-    from cartloom.plans.pipelines import customer_table
-
     t = Tables(spark, d)
     docs = D.customer_documents(t.customer, t.orders)
     return customer_table(docs).withColumn("run_date", day_text("run_date"))

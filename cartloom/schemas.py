@@ -105,8 +105,8 @@ CUSTOMER_DOCUMENT = _struct(
 
 
 def envelope_schema(document: T.StructType) -> T.StructType:
-    """Search response: ``{total, count, hits: [{data: document}]}``."""
-    return _struct(("total", L), ("count", L),
+    """Search response: ``{total, count, start, hits: [{data: document}]}``."""
+    return _struct(("total", L), ("count", L), ("start", L),
                    ("hits", T.ArrayType(_struct(("data", document)))))
 
 
@@ -183,24 +183,6 @@ CUSTOMER_COLUMNS = [
 ORDER_STAMP_COLUMNS = ["order_creation_date", "order_creation_pst_date",
                        "order_last_modified", "order_last_modified_pst_date"]
 
-# Personal and card fields dropped from the order slice tables.
-ORDER_DROP_COLUMNS = [
-    "order_customer_name", "order_order_token", "order_billing_address.address1",
-    "order_billing_address.first_name", "order_billing_address.full_name",
-    "order_billing_address.id", "order_billing_address.last_name",
-    "order_billing_address.phone", "order_customer_info.customer_name",
-    "order_customer_info.email", "payment_inst_payment_instrument_id",
-    "payment_inst_c_customerPaymentProfileId", "payment_inst_c_customerProfileId",
-    "payment_inst_payment_card._type", "payment_inst_payment_card.card_type",
-    "payment_inst_payment_card.credit_card_expired",
-    "payment_inst_payment_card.credit_card_token", "payment_inst_payment_card.expiration_month",
-    "payment_inst_payment_card.expiration_year", "payment_inst_payment_card.holder",
-    "payment_inst_payment_card.masked_number", "payment_inst_payment_card.number_last_digits",
-    "shipments_shipping_address.address1", "shipments_shipping_address.first_name",
-    "shipments_shipping_address.full_name", "shipments_shipping_address.id",
-    "shipments_shipping_address.last_name", "shipments_shipping_address.phone",
-]
-
 # Customer stamps converted to Pacific time, each gaining a ``<name>_pst`` column.
 CUSTOMER_STAMP_COLUMNS = ["creation_date", "last_login_time", "last_modified",
                           "last_visit_time", "previous_login_time", "previous_visit_time"]

@@ -9,6 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Settings that matter at scale; all are plain Spark SQL confs.
@@ -30,13 +31,18 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
                   app_name: str = "cartloom", extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the engine's defaults.
 
-    ``master`` is only set when given, so ``spark-submit`` keeps control on a cluster.
+    Defaults are set only where the submission has not set them, and not at all on a
+    running session; ``master`` is only set when given, so ``spark-submit`` keeps
+    control on a cluster. ``extra`` is set as given.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    conf = {}
+    if SparkSession.getActiveSession() is None:
+        submitted = SparkConf()  # what spark-submit and the defaults file have set
+        defaults = DEFAULT_CONF | {"spark.sql.shuffle.partitions": str(shuffle_partitions)}
+        conf = {k: v for k, v in defaults.items() if not submitted.contains(k)}
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -8,8 +8,11 @@ commit protocol, so a lost executor's task is simply re-run.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartloom.functions.labels import path_part_from_end
 from cartloom.functions.timefmt import published_stamps
@@ -19,19 +22,14 @@ from cartloom.sources.flatfiles import write_pipe_csv
 
 
 def write_slices(df: DataFrame, path: str, keys=("extraction_field", "slice_start")) -> None:
-    """One folder per extraction field and slice (SNK1)."""
-    write_pipe_csv(df, path, partition_by=list(keys), mode="append")
+    """One folder per key, replacing all slices under ``path``: a re-run neither doubles
+    a slice nor leaves one of an earlier layout (SNK1)."""
+    write_pipe_csv(df, path, partition_by=list(keys), mode="overwrite")
 
 
 def write_day(df: DataFrame, path: str, day_col: str = "run_date") -> None:
     """Merged day files, one folder per day, replacing only the days written (SNK2)."""
-    spark = df.sparkSession
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        write_pipe_csv(df, path, partition_by=[day_col], mode="overwrite")
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    write_pipe_csv(df, path, partition_by=[day_col], mode="overwrite", dynamic=True)
 
 
 PUBLISHED_STAMPS = {
@@ -57,12 +55,32 @@ def publish_days(tables: dict[str, DataFrame], verdicts: DataFrame, base: str,
     return written
 
 
-def write_markers(totals: DataFrame, verdicts: DataFrame, path: str,
-                  day_col: str = "run_date", total_col: str = "total_records") -> DataFrame:
-    """Day-complete markers with the source total (SNK5); returns what was written."""
-    markers = trigger_rows(totals, verdicts, day_col, total_col)
-    markers.write.mode("overwrite").parquet(path)
-    return markers
+def _keyed(df: DataFrame, path: str, entity: str, day_col: str = "run_date") -> None:
+    """Write rows under ``path/entity=/day=``, replacing only the days written."""
+    (df.withColumn("entity", F.lit(entity)).write.mode("overwrite")
+       .option("partitionOverwriteMode", "dynamic").partitionBy("entity", day_col).parquet(path))
+
+
+def land_verdicts(verdicts: DataFrame, path: str, entity: str, run_dates: list[dt.date],
+                  day_col: str = "run_date") -> DataFrame:
+    """Write the verdicts of the run dates once and read them back, so that every entity
+    and the markers are published by the same verdict."""
+    spark, schema = verdicts.sparkSession, verdicts.schema
+    _keyed(verdicts, path, entity, day_col)
+    kept = spark.read.schema(T.StructType([*schema.fields, T.StructField("entity", T.StringType())])).parquet(path)
+    return kept.filter((F.col("entity") == entity) & F.col(day_col).isin(run_dates)).select(*schema.names)
+
+
+def write_markers(totals: DataFrame, verdicts: DataFrame, path: str, entity: str,
+                  run_dates: list[dt.date], day_col: str = "run_date",
+                  total_col: str = "total_records") -> None:
+    """Day-complete markers of the run dates with the source total (SNK5), keyed by entity
+    and day: a date without records gets an ``empty`` one, other dates keep theirs."""
+    spark = totals.sparkSession
+    days = spark.createDataFrame([(d,) for d in run_dates], f"{day_col} date")
+    spine = (days.join(totals.select(day_col, total_col), day_col, "left")
+             .fillna({total_col: 0}))
+    _keyed(trigger_rows(spine, verdicts, day_col, total_col), path, entity, day_col)
 
 
 def manifest(spark: SparkSession, path: str, path_glob: str = "*.csv") -> DataFrame:

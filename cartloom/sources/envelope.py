@@ -16,8 +16,12 @@ from cartloom.schemas import CUSTOMER_ENVELOPE, ORDER_ENVELOPE
 
 def read_envelopes(spark: SparkSession, path: str, schema: T.StructType = ORDER_ENVELOPE,
                    multi_line: bool = False, path_glob: str | None = None) -> DataFrame:
-    """Scan landed responses with an explicit schema; adds ``source_file``."""
-    reader = spark.read.schema(schema).option("mode", "PERMISSIVE")
+    """Scan landed responses with an explicit schema; adds ``source_file`` and keeps the
+    text of a response that cannot be parsed in ``corrupt`` (its hits are lost, so the
+    audit fails; see :func:`envelope_audit`)."""
+    schema = T.StructType([*schema.fields, T.StructField("corrupt", T.StringType())])
+    reader = (spark.read.schema(schema).option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", "corrupt"))
     if multi_line:
         reader = reader.option("multiLine", "true")
     if path_glob:
@@ -49,10 +53,34 @@ def explode_hits(envelopes: DataFrame, keep: tuple[str, ...] = ("total", "count"
 
 
 def documents(envelopes: DataFrame) -> DataFrame:
-    """The documents of all hits, as top-level columns."""
+    """The documents of all hits, as top-level columns (none of broken responses)."""
+    if "corrupt" in envelopes.columns:
+        envelopes = envelopes.filter(F.col("corrupt").isNull())
     return explode_hits(envelopes, keep=())
 
 
+def envelope_audit(envelopes: DataFrame, by: tuple[str, ...] = ("source_file",)) -> DataFrame:
+    """Whether the landed responses are whole, per ``by`` (AGG1): ``n_responses``,
+    ``n_corrupt``, ``expected`` (the totals that first pages report), ``landed`` (hits
+    received) and ``whole``."""
+    broken = F.col("corrupt").isNotNull() if "corrupt" in envelopes.columns else F.lit(False)
+    start = F.coalesce(F.col("start"), F.lit(0)) if "start" in envelopes.columns else F.lit(0)
+    hits = F.greatest(F.coalesce(F.size("hits"), F.lit(0)), F.lit(0))
+    per = envelopes.select(*by, broken.alias("broken"),
+                           F.when(~broken & (start == 0), F.coalesce("total", F.lit(0))).alias("first_total"),
+                           F.when(broken, F.lit(0)).otherwise(hits).alias("n_hits"))
+    sums = per.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n_responses"), F.count_if("broken").alias("n_corrupt"),
+        F.coalesce(F.sum("first_total"), F.lit(0)).cast("bigint").alias("expected"),
+        F.sum("n_hits").cast("bigint").alias("landed"))
+    return sums.withColumn("whole", (F.col("n_corrupt") == 0) & (F.col("expected") == F.col("landed")))
+
+
+def broken_responses(envelopes: DataFrame) -> DataFrame:
+    """Text of the responses that cannot be parsed, with their file and reported total."""
+    return envelopes.filter(F.col("corrupt").isNotNull()).select("source_file", "total", "corrupt")
+
+
 def parse_json_column(col, schema) -> Column:
     """Parse a JSON text column with a DDL or ``StructType`` schema (nulls when malformed)."""
     c = F.col(col) if isinstance(col, str) else col

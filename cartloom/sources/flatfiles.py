@@ -11,17 +11,25 @@ from pyspark.sql import types as T
 
 NTZ_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 OPTIONS = {"sep": "|", "header": "true", "timestampNTZFormat": NTZ_FORMAT,
-           "escape": '"', "multiLine": "false"}
+           "escape": '"'}
+#: Quoted text may hold line breaks, so a file is read by one task (the sinks bound the size of
+#: a file); a header that does not name the schema's columns fails the scan.
+READ_OPTIONS = {**OPTIONS, "multiLine": "true", "enforceSchema": "false"}
 
 
 def write_pipe_csv(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                   mode: str = "overwrite") -> None:
+                   mode: str = "overwrite", dynamic: bool = False) -> None:
     """Write ``|``-separated text with header; ``partition_by`` folders per key.
 
-    With ``mode='overwrite'`` and dynamic partition overwrite, only the written
-    partitions (days) are replaced.
+    Rows are brought together by folder first, so a folder gets few files; Spark splits
+    a large folder over several tasks and files (``rebalance``). With ``dynamic`` only
+    the folders that are written are replaced.
     """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).options(**OPTIONS)
+    if dynamic:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.csv(path)
@@ -30,7 +38,7 @@ def write_pipe_csv(df: DataFrame, path: str, partition_by: list[str] | None = No
 def read_pipe_csv(spark: SparkSession, path: str, schema: T.StructType,
                   path_glob: str | None = "*.csv") -> DataFrame:
     """Scan every ``|`` file of a folder (recursively through partition folders)."""
-    reader = spark.read.schema(schema).options(**OPTIONS)
+    reader = spark.read.schema(schema).options(**READ_OPTIONS)
     if path_glob:
         reader = reader.option("pathGlobFilter", path_glob)
     return reader.csv(path)

@@ -24,7 +24,6 @@ from cartloom.functions.timefmt import parse_utc
 from cartloom.operators import flatten as FL
 from cartloom.operators.conform import ref
 from cartloom.schemas import ORDER_ENVELOPE
-from cartloom.session import scratch_path
 from cartloom.sources.envelope import documents
 
 
@@ -49,9 +48,10 @@ def slice_tables(docs: DataFrame, sep: str = ".") -> dict[str, DataFrame]:
 
 
 def stream_order_slices(spark: SparkSession, landing: str, out: str,
-                        checkpoint: str | None = None, files_per_batch: int = 1000,
+                        checkpoint: str, files_per_batch: int = 1000,
                         available_now: bool = True, sep: str = ".") -> StreamingQuery:
-    """Start the ingestion; returns the running query.
+    """Start the ingestion; returns the running query. ``checkpoint`` belongs to ``out``:
+    the next run over both goes on where this one stops.
 
     ``available_now`` processes what has landed and stops (a scheduled run);
     otherwise it keeps polling the landing folder.
@@ -77,7 +77,7 @@ def stream_order_slices(spark: SparkSession, landing: str, out: str,
             batch.unpersist()
 
     writer = (docs.writeStream.foreachBatch(write_batch)
-              .option("checkpointLocation", checkpoint or scratch_path(spark, "landing-ckpt")))
+              .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now \
         else writer.trigger(processingTime="10 seconds")
     return writer.start()

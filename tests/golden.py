@@ -109,6 +109,6 @@ def write_envelopes(folder: str, docs, page_size: int = 5) -> str:
     with open(path, "w") as fh:
         for i in range(0, len(docs), page_size):
             page = docs[i:i + page_size]
-            fh.write(json.dumps({"total": len(docs), "count": len(page),
+            fh.write(json.dumps({"total": len(docs), "count": len(page), "start": i,
                                  "hits": [{"data": d} for d in page]}) + "\n")
     return folder

@@ -77,3 +77,12 @@ def test_source_totals_count_twice_when_created_and_modified(spark):
     got = {r["run_date"]: (r["total_created"], r["total_modified"], r["total_records"],
                            r["total_distinct"]) for r in Q.source_totals(df, "c", "m").collect()}
     assert got == {D: (2, 1, 3, 2), D + dt.timedelta(1): (0, 1, 1, 1)}
+
+
+def test_dedup_first_has_no_sort_aggregate(spark):
+    from cartloom.plans.queries import spark_queries
+    from tests.conftest import SF001
+
+    for name in ("dedup_subset", "orders_day_table"):
+        plan = spark_queries()[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and "WindowGroupLimit" in plan, name

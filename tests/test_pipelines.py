@@ -51,14 +51,15 @@ def test_order_tables_shapes_and_rules(order_docs):
 
 def test_run_orders_publishes_passing_day_with_marker(spark, order_docs, tmp_dir):
     source = P.source_totals_of(order_docs.filter(F.col("order_no") != "5"))
-    run = P.run_orders(order_docs, source, out=tmp_dir)
+    run = P.run_orders(order_docs, source, out=tmp_dir, run_dates=[D])
     verdict = {r["run_date"]: r["passed"] for r in run.verdicts.collect()}
     assert verdict == {D: True}
     assert [r["order_no"] for r in run.quarantined.collect()] == ["5"]
     for entity in ("orders", "products", "option_items", "payments"):
         assert os.path.isdir(os.path.join(tmp_dir, entity, "run_date=2024-03-10"))
     marks = spark.read.parquet(os.path.join(tmp_dir, "_markers")).collect()
-    assert [(m["run_date"], m["state"]) for m in marks] == [(D, "published")]
+    assert [(m["entity"], m["run_date"], m["state"]) for m in marks] == [("orders", D, "published")]
+    assert spark.read.parquet(os.path.join(tmp_dir, "_quarantine/orders/documents/*")).count() == 1
     files = manifest(spark, os.path.join(tmp_dir, "orders"))
     assert {r["folder_name"] for r in files.collect()} == {"run_date=2024-03-10"}
     from pyspark.sql import types as T
@@ -79,10 +80,69 @@ def test_run_orders_publishes_passing_day_with_marker(spark, order_docs, tmp_dir
 def test_run_orders_withholds_a_mismatched_day(spark, order_docs, tmp_dir):
     source = P.source_totals_of(order_docs).withColumn("total_created", F.lit(99).cast("long")) \
         .withColumn("total_modified", F.lit(99).cast("long"))
-    run = P.run_orders(order_docs, source, out=tmp_dir)
+    run = P.run_orders(order_docs, source, out=tmp_dir, run_dates=[D])
     assert [r["passed"] for r in run.verdicts.collect()] == [False]
     assert not os.path.exists(os.path.join(tmp_dir, "orders", "run_date=2024-03-10"))
-    assert spark.read.parquet(os.path.join(tmp_dir, "_markers")).count() == 0
+    assert not os.path.exists(os.path.join(tmp_dir, "_markers", "entity=orders"))
+
+
+def published(folder):
+    """Bytes of all files below a folder, without checksums and commit marks."""
+    return {os.path.relpath(os.path.join(d, f), folder): open(os.path.join(d, f), "rb").read()
+            for d, _, files in os.walk(folder) for f in files if not f.startswith((".", "_"))}
+
+
+def test_a_later_run_leaves_earlier_days_as_they_are(spark, tmp_path):
+    """An order of day 1 changes on day 2: the second run writes day 2 only."""
+    day2 = dt.date(2024, 3, 12)
+    docs = [d for d in golden.order_documents() if d["order_no"] != "5"]
+    first = documents(read_order_envelopes(spark, golden.write_envelopes(str(tmp_path / "1"), docs)))
+    out = str(tmp_path / "out")
+    P.run_orders(first, P.source_totals_of(first), out, run_dates=[D])
+    before = {e: published(f"{out}/{e}/run_date={D}") for e in ("orders", "products", "payments")}
+    marker = published(f"{out}/_markers/entity=orders/run_date={D}")
+    assert all(before.values()) and marker
+    changed = dict(docs[0], last_modified="2024-03-12T08:00:00.000Z")
+    second = documents(read_order_envelopes(spark, golden.write_envelopes(str(tmp_path / "2"), [changed])))
+    source = P.source_totals_of(second).filter(F.col("run_date") == day2)
+    run = P.run_orders(second, source, out, run_dates=[day2, dt.date(2024, 3, 13)])
+    assert {r["run_date"]: r["passed"] for r in run.verdicts.collect()}[day2]
+    assert {e: published(f"{out}/{e}/run_date={D}") for e in before} == before
+    assert published(f"{out}/_markers/entity=orders/run_date={D}") == marker
+    marks = {(m["run_date"], m["total"], m["state"]) for m in spark.read.parquet(f"{out}/_markers").collect()}
+    assert (day2, 1, "published") in marks and (dt.date(2024, 3, 13), 0, "empty") in marks
+    assert published(f"{out}/orders/run_date={day2}")
+
+
+@pytest.mark.parametrize("damage", ["missing hit", "cut page", "none"])
+def test_a_run_over_broken_responses_passes_no_day(spark, tmp_path, damage):
+    import json as _json
+
+    docs = [d for d in golden.order_documents() if d["order_no"] != "5"]
+    folder = golden.write_envelopes(str(tmp_path / "landing"), docs)
+    path = os.path.join(folder, "responses.json")
+    lines = open(path).read().splitlines()
+    if damage == "missing hit":
+        page = _json.loads(lines[0])
+        page["hits"] = page["hits"][:-1]
+        lines[0] = _json.dumps(page)
+    elif damage == "cut page":
+        lines[-1] = lines[-1][:len(lines[-1]) // 2]
+    open(path, "w").write("\n".join(lines) + "\n")
+    envelopes = read_order_envelopes(spark, folder)
+    found = documents(envelopes)
+    out = str(tmp_path / "out")
+    # Totals counted from the documents themselves would agree: the audit must not.
+    run = P.run_orders(found, P.source_totals_of(found), out, run_dates=[D], envelopes=envelopes)
+    assert [r["passed"] for r in run.verdicts.collect()] == [damage == "none"]
+    assert os.path.exists(os.path.join(out, "orders", f"run_date={D}")) == (damage == "none")
+    kept = spark.read.parquet(f"{out}/_quarantine/orders/responses/*").count()
+    assert kept == (damage == "cut page")
+
+
+def test_publishing_needs_run_dates(order_docs, tmp_dir):
+    with pytest.raises(ValueError):
+        P.run_orders(order_docs, P.source_totals_of(order_docs), out=tmp_dir)
 
 
 def test_customers_defaults_and_pacific_columns(spark, tmp_path):
@@ -164,8 +224,14 @@ def test_command_line_orders_job(spark, tmp_path):
     docs = [d for d in golden.order_documents() if d["order_no"] != "5"]  # no quarantine
     golden.write_envelopes(str(landing), docs)
     out = str(tmp_path / "published")
-    summary = main(["orders", "--landing", str(tmp_path / "landing"), "--out", out,
-                    "--date", "20240310", "--per-day-folders"])
+    totals = P.source_totals_of(documents(read_order_envelopes(spark, str(landing)))).collect()
+    for r in totals:
+        for field, n in (("creation_date", r["total_created"]), ("last_modified", r["total_modified"])):
+            folder = tmp_path / "probes" / f"field={field}" / f"run_date={r['run_date']}"
+            folder.mkdir(parents=True)
+            (folder / "response.json").write_text(f'{{"total": {n}, "count": 1}}\n')
+    summary = main(["orders", "--landing", str(tmp_path / "landing"), "--out", out, "--date", "20240310",
+                    "--per-day-folders", "--probes", str(tmp_path / "probes")])
     assert summary["verdict"][0]["passed"] is True
     assert os.path.isdir(os.path.join(out, "orders", "run_date=2024-03-10"))
     assert os.path.isdir(os.path.join(out, "_markers"))

@@ -92,3 +92,45 @@ def test_page_label(spark):
                                "l string, p int")
     assert df.select(page_label("l", "p").alias("x")).first()["x"] == \
         "customers_on_creation_date_2024-03-10_10_00_00_to_10_00_01_P3.csv"
+
+
+def test_flat_files_keep_line_breaks_and_check_headers(spark, tmp_dir):
+    from cartloom.sources.flatfiles import write_pipe_csv
+
+    rows = [("1", 'a "quoted"\nline | pipe'), ("2", "cr\r\nlf"), ("3", "back\\slash"), ("4", None)]
+    df = spark.createDataFrame(rows, "no string, text string")
+    path = os.path.join(tmp_dir, "flat")
+    write_pipe_csv(df, path)
+    back = {tuple(r) for r in read_pipe_csv(spark, path, df.schema).collect()}
+    assert {no: t and t.replace("\r\n", "\n") for no, t in back} == \
+        {no: t and t.replace("\r\n", "\n") for no, t in rows}
+    wrong = spark.createDataFrame([], "text string, no string").schema
+    try:
+        read_pipe_csv(spark, path, wrong).collect()
+    except Exception as error:  # noqa: BLE001 - Spark's own error class varies
+        assert "header" in str(error).lower()
+    else:
+        raise AssertionError("a wrong header must fail the scan")
+
+
+def test_a_second_slice_run_replaces_the_first(spark, tmp_dir):
+    df = spark.createDataFrame([("creation_date", "00_15_00", "1")],
+                               "extraction_field string, slice_start string, order_no string")
+    path = os.path.join(tmp_dir, "again")
+    write_slices(df, path)
+    write_slices(df, path)
+    assert read_pipe_csv(spark, path, df.select("order_no").schema).count() == 1
+
+
+def test_submitted_settings_stay(tmp_path):
+    import subprocess
+    import sys
+
+    code = ("from cartloom.session import build_session\n"
+            "s = build_session('local[1]')\n"
+            "print('N', s.conf.get('spark.sql.shuffle.partitions'))")
+    env = dict(os.environ, PYTHONPATH=os.getcwd(),
+               PYSPARK_SUBMIT_ARGS="--conf spark.sql.shuffle.partitions=4000 pyspark-shell")
+    out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=120,
+                         cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    assert "N 4000" in out.stdout, out.stderr[-500:]

@@ -56,3 +56,18 @@ def test_epoch_helpers_ignore_session_zone(spark):
         assert r["e"] == int((ts - dt.datetime(1970, 1, 1)).total_seconds())
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_parse_utc_offsets_and_malformed_text(spark):
+    parse = TF.parse_utc
+    assert one(spark, parse, "2024-03-10T09:00:00-07:00") == dt.datetime(2024, 3, 10, 16)
+    assert one(spark, parse, "2024-03-10T09:00:00.250+0530") == dt.datetime(2024, 3, 10, 3, 30, 0, 250000)
+    assert one(spark, parse, "2024-03-10T09:00:00+00:00") == dt.datetime(2024, 3, 10, 9)
+    assert one(spark, parse, "2024-03-10") == dt.datetime(2024, 3, 10)
+    for bad in ("yesterday", "2024-13-45T99:00:00Z", ""):
+        assert one(spark, parse, bad) is None and one(spark, TF.bad_stamp, bad) is True
+    assert one(spark, TF.bad_stamp, None) is False
+
+
+def test_default_run_date(spark):
+    assert one(spark, TF.default_run_date, "2024-03-01") == dt.date(2024, 2, 29)
