@@ -30,6 +30,18 @@ def slot_array(df: DataFrame, slot: str, values: dict[str, Column], slots: int)
     return rows.agg(F.transform(whole, lambda x: x["vs"]).alias("model")).scalar()
 
 
+def long_array(df: DataFrame, slot: str, value: Column, slots: int) -> Column:
+    """A scalar subquery: one plain array of longs, slot i at [i]. ``value`` gives the long
+    of a slot (over the columns of ``df``, null for a slot without a row)."""
+    every = df.sparkSession.range(slots).withColumnRenamed("id", slot)
+    filled = every.join(df, slot, "left").select(F.col(slot), value.alias("v"))
+    part = F.sort_array(F.collect_list(F.struct(slot, "v")))
+    rows = filled.groupBy((F.col(slot) / ROW).cast("long").alias("hi")).agg(
+        F.transform(part, lambda x: x["v"]).alias("vs"))
+    whole = F.sort_array(F.collect_list(F.struct("hi", "vs")))
+    return rows.agg(F.flatten(F.transform(whole, lambda x: x["vs"])).alias("model")).scalar()
+
+
 def at(model: Column, slot: Column) -> Column:
     """The struct of ``slot``."""
     return F.get(F.get(model, (F.shiftright(slot, 8)).cast("int")),
