@@ -21,6 +21,7 @@ Array semantics
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ from pyspark.sql import types as T
 from cartloom import schemas
 from cartloom.functions.masking import sha256_text
 from cartloom.functions.timefmt import parse_utc
-from cartloom.operators.conform import as_text, conform, drop_columns, ref, rename_separator
+from cartloom.operators.conform import as_text, conform, ref, rename_separator
 
 REQUIRED_ARRAYS = ("payment_instruments", "shipments", "shipping_items")
 
@@ -234,16 +235,27 @@ def payment_rows(docs: DataFrame, sep: str = "_", file_name: Column | None = Non
     return out.dropDuplicates() if dedup else out
 
 
+def _version(docs: DataFrame) -> list[str]:
+    """What the parts of one order share and its versions do not: number and stamps."""
+    return ["order_no", *[c for c in ("creation_date", "last_modified") if c in docs.columns]]
+
+
+def _same_version(docs: DataFrame, a: str, b: str) -> Column:
+    return reduce(lambda x, y: x & y, [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}"))
+                                       for c in _version(docs)])
+
+
 def _first_item(docs: DataFrame) -> DataFrame:
-    """Per order its first shipping item and how many adjustments that item has, over all
-    parts of the order: ``order_no, item_id, n_adj`` (partial aggregates)."""
+    """Per order (version) its first shipping item and how many adjustments that item has,
+    over all parts: version columns, ``item_id, n_adj`` (partial aggregates)."""
+    version = _version(docs)
     first = F.get(F.col("shipping_items"), 0)
     n_adj = F.coalesce(F.size(first.getField("price_adjustments").getField("_type")), F.lit(0))
-    parts = docs.select("order_no", first.getField("item_id").alias("item_id"),
+    parts = docs.select(*version, first.getField("item_id").alias("item_id"),
                         F.greatest(n_adj, F.lit(0)).alias("n"))
-    items = parts.groupBy("order_no", "item_id").agg(F.sum("n").alias("n_adj"))
-    return items.groupBy("order_no").agg(F.min(F.struct("item_id", "n_adj")).alias("f")) \
-        .select("order_no", "f.item_id", "f.n_adj")
+    items = parts.groupBy(*version, "item_id").agg(F.sum("n").alias("n_adj"))
+    return items.groupBy(*version).agg(F.min(F.struct("item_id", "n_adj")).alias("f")) \
+        .select(*version, "f.item_id", "f.n_adj")
 
 
 def first_item_adjustments(docs: DataFrame, sep: str = "_", strict: bool = False) -> DataFrame:
@@ -254,11 +266,10 @@ def first_item_adjustments(docs: DataFrame, sep: str = "_", strict: bool = False
     id, its adjustments are those of all documents, and the null row is one per order."""
     docs = valid_documents(docs, strict)
     first = F.get(F.col("shipping_items"), 0)
-    items = docs.select("order_no", first.getField("item_id").alias("item_id"),
+    items = docs.select(*_version(docs), first.getField("item_id").alias("item_id"),
                         first.getField("price_adjustments").alias("adjustments"))
     chosen = _first_item(docs)
-    same = F.col("i.order_no").eqNullSafe(F.col("f.order_no")) & \
-        F.col("i.item_id").eqNullSafe(F.col("f.item_id"))
+    same = _same_version(docs, "i", "f") & F.col("i.item_id").eqNullSafe(F.col("f.item_id"))
     some = items.alias("i").join(chosen.filter("n_adj > 0").alias("f"), same).select(
         F.col("i.order_no").alias("order_order_no"), F.explode("adjustments").alias("pa"))
     none = chosen.filter("n_adj = 0").select(F.col("order_no").alias("order_order_no"),
@@ -289,8 +300,8 @@ def entity_product(docs: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def entity_product_size(docs: DataFrame, strict: bool = False) -> DataFrame:
-    """Rows each order contributes to :func:`entity_product`, without building
-    them: the product of ``max(1, size)`` of each array (``order_no``, ``n_rows``).
+    """Rows each order (each version of it) contributes to :func:`entity_product`, without
+    building them: the product of ``max(1, size)`` of each array (``order_no``, ``n_rows``).
 
     A large order may come as several documents: lines and first-item adjustments are summed
     over them, payments and the ids of shipments and shipping items are the order's, each
@@ -301,11 +312,12 @@ def entity_product_size(docs: DataFrame, strict: bool = False) -> DataFrame:
     size = lambda arr: F.greatest(F.coalesce(F.size(arr), F.lit(0)), F.lit(0))
     ids = lambda arr, name: F.array_sort(F.coalesce(
         F.col(arr).getField(name), F.array().cast("array<string>")))
-    parts = docs.select("order_no", size(_probe(docs, "payment_instruments")).alias("pay"),
+    version = _version(docs)
+    parts = docs.select(*version, size(_probe(docs, "payment_instruments")).alias("pay"),
                         ids("shipments", "shipment_id").alias("ships"),
                         ids("shipping_items", "item_id").alias("items"),
                         size(_probe(docs, "product_items")).alias("lines"))
-    sizes = parts.groupBy("order_no").agg(
+    sizes = parts.groupBy(*version).agg(
         F.max("pay").alias("pay"), F.collect_set("ships").alias("ships"),
         F.collect_set("items").alias("items"), F.count(F.lit(1)).alias("parts"),
         F.sum(F.size("ships")).alias("n_ships"), F.sum(F.size("items")).alias("n_items"),
@@ -313,11 +325,12 @@ def entity_product_size(docs: DataFrame, strict: bool = False) -> DataFrame:
     # One document: its arrays as they are; several: what they hold together.
     together = lambda c, n: F.when(F.col("parts") == 1, F.col(n)).otherwise(
         F.size(F.array_distinct(F.flatten(c))))
-    first = _first_item(docs).withColumnRenamed("order_no", "k")
+    first = _first_item(docs)
     factor = lambda c: F.greatest(F.lit(1), c).cast("bigint")
     n = (factor(F.col("pay")) * factor(together("ships", "n_ships"))
          * factor(together("items", "n_items")) * factor(F.col("n_adj")) * factor(F.col("lines")))
-    return sizes.join(first, F.col("order_no").eqNullSafe(F.col("k"))).select("order_no", n.alias("n_rows"))
+    return (sizes.alias("s").join(first.alias("f"), _same_version(docs, "s", "f"))
+            .select("s.order_no", n.alias("n_rows")))
 
 
 def array_as_json(col, sort: bool = True) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark import SparkConf
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 # Settings that matter at scale; all are plain Spark SQL confs.
@@ -40,7 +40,8 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         builder = builder.master(master)
     conf = {}
     if SparkSession.getActiveSession() is None:
-        submitted = SparkConf()  # what spark-submit and the defaults file have set
+        SparkContext._ensure_initialized()  # so that SparkConf sees the submission
+        submitted = SparkConf()
         defaults = DEFAULT_CONF | {"spark.sql.shuffle.partitions": str(shuffle_partitions)}
         conf = {k: v for k, v in defaults.items() if not submitted.contains(k)}
     conf.update(extra or {})
