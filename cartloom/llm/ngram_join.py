@@ -7,13 +7,16 @@ than space and 0x09-0x0D; a text of fewer words than a shingle has one n-gram, a
 1. Equal sets are folded into one by a 128-bit digest of the set.
 2. ``banding`` chooses the least costly bands and rows that find a pair at the threshold with
    probability ``RECALL``; sets that share a band's hash meet in a bucket.
-3. In each bucket every set is compared with the bucket's least one on the full n-gram sets,
-   and verified links are joined to classes (large-star and small-star rounds).
+3. In each bucket every set is compared with the bucket's most central one (the one that
+   shares its buckets with the most sets) on the full n-gram sets, and verified links are
+   joined to classes (large-star and small-star rounds).
 4. Sets of one bucket that are in different classes are compared with each other too, so that
-   a class is never split by the choice of step 3: of the bucket's classes all but the largest
-   bring their sets to all sets of other classes. Sets of one class need no further
-   comparison, so a group of many near copies costs one comparison per member and bucket
-   representative, not one per pair.
+   a class is never split by the choice of step 3. Blocks of ``BLOCK`` signatures (one byte of
+   each of ``HASHES`` MinHash values) meet in numpy, and only pairs whose estimate is at most
+   ``DEVIATIONS`` standard deviations below the threshold (one true link in 300,000 is farther)
+   are handed on to the comparison of the full sets.
+   Sets of one class need no further comparison, so a group of many near copies costs one
+   comparison per member and bucket representative, not one per pair.
 
 Result per document: ``class_id`` (least id of its class), ``n_links`` (verified links of its
 n-gram set to other sets: step 3 and 4 verify enough links to connect a class, not all pairs
@@ -45,7 +48,12 @@ from cartloom.llm.tokens import SPACES, Words, groups, mix64, slide
 SHINGLE = 5
 THRESHOLD = 0.8
 RECALL = 0.999
+#: Most MinHash values that bands may use, and how many a signature keeps a byte of.
 MAX_HASHES = 128
+HASHES = 512
+DEVIATIONS = 4.5
+#: Sets of one bucket whose signatures are compared at once.
+BLOCK = 1024
 
 
 def banding(threshold: float = THRESHOLD, recall: float = RECALL, most: int = MAX_HASHES) -> tuple[int, int]:
@@ -82,11 +90,12 @@ class Hasher:
     def __init__(self, bands: int, rows: int):
         rng = np.random.default_rng(5)
         self.bands, self.rows = bands, rows
-        self.mul = rng.integers(0, 1 << 32, bands * rows, dtype=np.uint32) | np.uint32(1)
-        self.add = rng.integers(0, 1 << 32, bands * rows, dtype=np.uint32)
+        n = max(HASHES, bands * rows)
+        self.mul = rng.integers(0, 1 << 32, n, dtype=np.uint32) | np.uint32(1)
+        self.add = rng.integers(0, 1 << 32, n, dtype=np.uint32)
 
-    def __call__(self, values: np.ndarray) -> np.ndarray:
-        """One 64-bit key per band."""
+    def __call__(self, values: np.ndarray) -> tuple[np.ndarray, bytes]:
+        """One 64-bit key per band, and the signature."""
         x = (values >> np.uint64(32)).astype(np.uint32)
         least = np.full(len(self.mul), 0xFFFFFFFF, np.uint32)
         for at in range(0, len(x), 4096):
@@ -94,9 +103,22 @@ class Hasher:
             part += self.add
             np.minimum(least, part.min(axis=0), out=least)
         key = np.arange(self.bands, dtype=np.uint64)
+        banded = least[:self.bands * self.rows]
         for r in range(self.rows):
-            key = mix64(key + least[r::self.rows].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        return key
+            key = mix64(key + banded[r::self.rows].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        return key, mix64(least.astype(np.uint64)).astype(np.uint8).tobytes()
+
+
+def alike(a: np.ndarray, b: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of two signature blocks (rows of bytes) whose similarity may reach the
+    threshold: those not more than ``DEVIATIONS`` below it."""
+    n = a.shape[1]
+    least = n * (threshold - DEVIATIONS * math.sqrt(threshold * (1 - threshold) / n))
+    step = max(1, (1 << 24) // max(1, b.size))
+    for at in range(0, len(a), step):
+        same = (a[at:at + step, None, :] == b[None, :, :]).sum(axis=2, dtype=np.int32)
+        x, y = np.nonzero(same >= least)
+        yield x + at, y
 
 
 def set_digest(values: np.ndarray) -> bytes:
@@ -130,21 +152,25 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def signatures(docs: DataFrame, bands: int, rows: int, size: int) -> DataFrame:
-    """``doc_id, sid`` (digest of the set; null without words) and ``bands`` of every document."""
+    """``doc_id, sid`` (digest of the set; null without words), ``bands`` and ``signature`` of
+    every document."""
     hasher = Hasher(bands, rows)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sids, keys = [], []
+            sids, keys, signs = [], [], []
             for _, _, raws in groups(batch.column("text").to_pylist()):
                 for values in shingle_sets(raws, size):
-                    sids.append(set_digest(values) if len(values) else None)
-                    keys.append(hasher(values).view(np.int64).tolist() if len(values) else None)
+                    key, signature = hasher(values) if len(values) else (None, None)
+                    sids.append(None if key is None else set_digest(values))
+                    keys.append(None if key is None else key.view(np.int64).tolist())
+                    signs.append(signature)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sids, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["doc_id", "sid", "bands"])
+                [batch.column("doc_id"), pa.array(sids, pa.binary()),
+                 pa.array(keys, pa.list_(pa.int64())), pa.array(signs, pa.binary())],
+                names=["doc_id", "sid", "bands", "signature"])
 
-    return docs.mapInArrow(sign, "doc_id long, sid binary, bands array<long>")
+    return docs.mapInArrow(sign, "doc_id long, sid binary, bands array<long>, signature binary")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -199,11 +225,16 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signed = landed(signatures(texts, *banding(threshold, recall), size), "join-signatures")
     use = signed.where("doc_id IS NOT NULL AND sid IS NOT NULL")
     sets = landed(use.groupBy("sid").agg(F.min("doc_id").alias("rep"), F.countDistinct("doc_id").alias("copies"),
-                                         F.first("bands").alias("bands")), "join-sets")
+                                         F.first("bands").alias("bands"),
+                                         F.first("signature").alias("signature")), "join-sets")
     member = sets.select("sid", F.explode("bands").alias("key"))
-    shared = landed(member.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("sid").alias("pivot"))
-                    .where("n > 1").select("key", "pivot"), "join-buckets")
-    bucket = landed(member.join(shared, "key").select("key", "sid", "pivot"), "join-members")
+    shared = landed(member.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "join-buckets")
+    meeting = landed(member.join(shared, "key"), "join-meeting")
+    scored = landed(meeting.join(meeting.groupBy("sid").agg(F.sum("n").alias("score")), "sid")
+                    .select("key", "sid", "score"), "join-scored")
+    pivots = landed(scored.groupBy("key").agg(F.max(F.struct("score", "sid")).alias("m"))
+                    .select("key", F.col("m.sid").alias("pivot")), "join-pivots")
+    bucket = landed(scored.join(pivots, "key").select("key", "sid", "pivot"), "join-members")
     # Full n-gram sets of everything that shares a bucket.
     wanted = bucket.select("sid").distinct().join(sets.select("sid", "rep"), "sid")
 
@@ -222,21 +253,42 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = (texts.join(wanted.withColumnRenamed("rep", "doc_id"), "doc_id")
              .select("sid", "text").mapInArrow(full_sets, "sid binary, blob binary"))
     full = landed(found, "join-full-sets")
-    star = bucket.where("sid <> pivot").select(F.col("pivot").alias("a"), F.col("sid").alias("b")).distinct()
+    star = bucket.where("sid <> pivot").select(F.least("pivot", "sid").alias("a"),
+                                               F.greatest("pivot", "sid").alias("b")).distinct()
     star = landed(star, "join-star")
     links = landed(_verified(star, full, threshold), "join-links")
     label = landed(components(links), "join-labels")
-    # Sets of one bucket in different classes: all but the bucket's largest class meet the rest.
+    # Sets of one bucket in different classes, in blocks of signatures.
     placed = bucket.select("key", "sid").join(label.withColumnRenamed("node", "sid"), "sid", "left").select(
         "key", "sid", F.coalesce("label", "sid").alias("label"))
-    mixed = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-    placed = landed(placed.join(mixed, "key"), "join-mixed")
-    largest = (placed.groupBy("key", "label").count().groupBy("key")
-               .agg(F.max(F.struct("count", "label")).alias("m")).select("key", F.col("m.label").alias("most")))
-    rest = landed(placed.join(largest, "key").where("label <> most").select(
-        "key", F.col("sid").alias("x"), F.col("label").alias("x_label")), "join-rest")
-    across = (rest.join(placed, "key").where("x_label <> label")
-              .select(F.least("x", "sid").alias("a"), F.greatest("x", "sid").alias("b")).distinct()
+    mixed = landed(placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
+                                             F.count(F.lit(1)).alias("n")).where("lo <> hi")
+                   .select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "join-mixed")
+    block = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
+    sided = (landed(placed.join(mixed, "key"), "join-placed").withColumn("own", block)
+             .join(sets.select("sid", "signature"), "sid")
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
+                     "own", "sid", "label", "signature"))
+
+    def meet(key: tuple, rows: pa.Table) -> pa.Table:
+        own, y = rows.column("own").to_numpy(), key[2].as_py()
+        # Sets of one class at a time cannot pair up: leave these groups at once.
+        _, klass = np.unique(np.array(rows.column("label").to_pylist(), object), return_inverse=True)
+        sid = np.array(rows.column("sid").to_pylist(), object)
+        found_a, found_b = [], []
+        if klass.min() != klass.max():
+            signs = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint8).reshape(len(own), -1)
+            left, right = np.flatnonzero(own == key[1].as_py()), np.flatnonzero(own == y)
+            for i, j in alike(signs[left], signs[right], threshold):
+                i, j = left[i], right[j]
+                apart = klass[i] != klass[j]
+                for a, b in zip(sid[i[apart]], sid[j[apart]], strict=True):
+                    found_a.append(min(a, b))
+                    found_b.append(max(a, b))
+        return pa.table({"a": pa.array(found_a, pa.binary()), "b": pa.array(found_b, pa.binary())})
+
+    across = (sided.groupBy("key", "x", "y").applyInArrow(meet, "a binary, b binary").distinct()
               .join(star, ["a", "b"], "left_anti"))
     more = landed(_verified(across, full, threshold), "join-links-across")
     every = links.unionByName(more)
