@@ -266,10 +266,10 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                    .select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "join-mixed")
     block = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
     sided = (landed(placed.join(mixed, "key"), "join-placed").withColumn("own", block)
-             .join(sets.select("sid", "signature"), "sid")
+             .join(sets.select("sid", "signature", "bands"), "sid")
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
-                     "own", "sid", "label", "signature"))
+                     "own", "sid", "label", "signature", "bands"))
 
     def meet(key: tuple, rows: pa.Table) -> pa.Table:
         own, y = rows.column("own").to_numpy(), key[2].as_py()
@@ -279,11 +279,16 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         found_a, found_b = [], []
         if klass.min() != klass.max():
             signs = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint8).reshape(len(own), -1)
+            bands = rows.column("bands").combine_chunks().flatten().to_numpy().reshape(len(own), -1)
             left, right = np.flatnonzero(own == key[1].as_py()), np.flatnonzero(own == y)
             for i, j in alike(signs[left], signs[right], threshold):
                 i, j = left[i], right[j]
-                apart = klass[i] != klass[j]
-                for a, b in zip(sid[i[apart]], sid[j[apart]], strict=True):
+                # A pair of different classes, once: in the first bucket that both are in.
+                shared_key = bands[i] == bands[j]
+                first = bands[i, np.argmax(shared_key, axis=1)] == key[0].as_py()
+                once = (klass[i] != klass[j]) & first & (sid[i] < sid[j]) if y == key[1].as_py() else \
+                    (klass[i] != klass[j]) & first
+                for a, b in zip(sid[i[once]], sid[j[once]], strict=True):
                     found_a.append(min(a, b))
                     found_b.append(max(a, b))
         return pa.table({"a": pa.array(found_a, pa.binary()), "b": pa.array(found_b, pa.binary())})
