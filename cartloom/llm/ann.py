@@ -10,9 +10,9 @@ the true neighbours of held-back sample vectors. Visited leaves are compared exa
 Nearness is the cosine in double precision, ties go to the smaller id. Queries are the rows
 whose id is divisible by ``EVERY``; a query's own row is no candidate.
 
-Scale: leaves and the queries that visit them are compared in blocks of ``CHUNK`` vectors and
-``QUERIES`` queries, so a leaf that holds a third of all vectors is spread over many tasks;
-each block hands on only the best of each query. The driver holds the sample, the tree and one
+Scale: leaves and the queries that visit them are compared in blocks of about ``CHUNK`` vectors
+(several small leaves or a part of a large one) and ``QUERIES`` queries, so a leaf that holds a
+third of all vectors is spread over many tasks; each block hands on only the best of each query. The driver holds the sample, the tree and one
 count per leaf (leaves are at most ``FIT`` / 16).
 
 Edge cases: vectors that are null, empty, zero or hold null or non-finite components, rows with
@@ -146,6 +146,29 @@ def valid_vectors(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return usable.groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
+def parts_of(sizes: np.ndarray) -> np.ndarray:
+    """Number of the block of every leaf: consecutive leaves of together at most ``CHUNK``
+    vectors share one."""
+    part, held, out = 0, 0, []
+    for n in sizes.tolist():
+        if held and held + n > CHUNK:
+            part, held = part + 1, 0
+        held += n
+        out.append(part)
+    return np.array(out, np.int64)
+
+
+def best(query: np.ndarray, vec: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """The ``k`` rows of every query with the largest scores, ties to smaller ids."""
+    order = np.lexsort((vec, -score, query))
+    query, vec, score = query[order], vec[order], score[order]
+    new = np.ones(len(query), bool)
+    new[1:] = query[1:] != query[:-1]
+    at = np.flatnonzero(new)
+    keep = np.arange(len(query)) - at[np.cumsum(new) - 1] < k if len(query) else new
+    return query[keep], vec[keep], score[keep]
+
+
 def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(np.float64)
 
@@ -193,40 +216,41 @@ def nearest_neighbours(rows: DataFrame, id_col: str = "vec_id", vector_col: str
     asked = np.zeros(tree.leaves, np.int64)
     for r in walked.groupBy("leaf").count().collect():
         asked[r["leaf"]] = r["count"]
-    # Every block of a leaf's vectors meets every block of its queries.
-    chunks, blocks = -(-sizes // CHUNK), np.maximum(1, -(-asked // QUERIES))
+    # Every block of vectors meets every block of the queries that visit its leaves.
+    parts = parts_of(sizes)
+    chunks = np.maximum(1, -(-sizes // CHUNK))
+    blocks = np.maximum(1, -(-np.bincount(parts, weights=asked).astype(np.int64) // QUERIES))[parts]
     per_leaf = lambda counts: F.array(*[F.lit(int(n)) for n in counts])
     n_chunks, n_blocks = F.get(per_leaf(chunks), F.col("leaf")), F.get(per_leaf(blocks), F.col("leaf"))
+    part = F.get(per_leaf(parts), F.col("leaf"))
     up_to = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
     index = (placed.join(walked.select("leaf").distinct(), "leaf", "left_semi")
-             .withColumn("chunk", F.pmod(F.xxhash64("vec_id"), n_chunks))
+             .withColumn("part", part).withColumn("chunk", F.pmod(F.xxhash64("vec_id"), n_chunks))
              .withColumn("block", up_to(n_blocks)))
-    asking = (walked.withColumn("block", F.pmod(F.xxhash64("query_id"), n_blocks).cast("int"))
+    asking = (walked.withColumn("part", part).withColumn("block", F.pmod(F.xxhash64("query_id"), n_blocks).cast("int"))
               .withColumn("chunk", up_to(n_chunks)).withColumn("chunk", F.col("chunk").cast("long")))
 
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+        found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
         left = left.sort_values("vec_id")
-        ids, v = left["vec_id"].to_numpy(), _matrix(left["v"])
-        q_ids, q = right["query_id"].to_numpy(), _matrix(right["v"])
-        rough = normalised(q) @ normalised(v).T
-        out = []
-        vv, qq = (v * v).sum(1), (q * q).sum(1)
-        for i, q_id in enumerate(q_ids):
-            row = rough[i]
-            row[ids == q_id] = -np.inf
-            n = min(k, int((row > -np.inf).sum()))
-            if not n:
-                continue
-            # The matrix product may round equal vectors apart: score its best again, one by one.
-            near = np.flatnonzero(row >= np.partition(row, len(row) - n)[len(row) - n] - 1e-9)
-            exact = (v[near] * q[i]).sum(1) / np.sqrt(vv[near] * qq[i])
-            best = np.lexsort((ids[near], -exact))[:n]
-            out.append(pd.DataFrame({"query_id": q_id, "vec_id": ids[near][best], "score": exact[best]}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-
-    keys = ["leaf", "chunk", "block"]
+        for leaf in np.intersect1d(left["leaf"], right["leaf"]):
+            here, asks = left[left["leaf"] == leaf], right[right["leaf"] == leaf]
+            ids, v = here["vec_id"].to_numpy(np.int64), _matrix(here["v"])
+            q_ids, q = asks["query_id"].to_numpy(np.int64), _matrix(asks["v"])
+            vv, qq, unit = (v * v).sum(1), (q * q).sum(1), normalised(v).T
+            for at in range(0, len(q), 16):
+                rough = normalised(q[at:at + 16]) @ unit
+                rough[q_ids[at:at + 16, None] == ids[None, :]] = -np.inf
+                n = min(k, len(ids))
+                # The matrix product may round equal vectors apart: score its best again.
+                least = np.partition(rough, len(ids) - n, axis=1)[:, len(ids) - n, None] - 1e-9
+                i, j = np.nonzero((rough >= least) & (rough > -np.inf))
+                exact = (v[j] * q[at + i]).sum(1) / np.sqrt(vv[j] * qq[at + i])
+                found.append(best(q_ids[at + i], ids[j], exact, k))
+        query, vec, score = best(*[np.concatenate(c) for c in zip(*found, strict=True)], k)
+        return pd.DataFrame({"query_id": query, "vec_id": vec, "score": score})
+
+    keys = ["part", "chunk", "block"]
     found = index.groupBy(*keys).cogroup(asking.groupBy(*keys)).applyInPandas(
         compare, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
