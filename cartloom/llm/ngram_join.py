@@ -15,12 +15,14 @@ than space and 0x09-0x0D; a text of fewer words than a shingle has one n-gram, a
    each of ``HASHES`` MinHash values) meet in numpy, and only pairs whose estimate is at most
    ``DEVIATIONS`` standard deviations below the threshold (one true link in 300,000 is farther)
    are handed on to the comparison of the full sets.
-   Sets of one class need no further comparison, so a group of many near copies costs one
-   comparison per member and bucket representative, not one per pair.
+   Sets of one class need no further comparison to find the classes.
+5. All links lie within classes, so the links of a set are counted there: ``LINK_BLOCK`` sets
+   of a class meet as many others at once, and the sizes of all intersections of their full
+   sets come from products of indicator matrices (``link_counts``). Counts are handed on, one
+   per set and block, never pairs; the work grows with the square of a class, the rows do not.
 
-Result per document: ``class_id`` (least id of its class), ``n_links`` (verified links of its
-n-gram set to other sets: step 3 and 4 verify enough links to connect a class, not all pairs
-within it) and ``n_copies`` (other documents with an equal set).
+Result per document: ``class_id`` (least id of its class), ``n_links`` (all other sets that are
+similar enough to its n-gram set) and ``n_copies`` (other documents with an equal set).
 
 Edge cases: texts that are null or have no word, and rows with a null id, form no link: their
 class is their own id. Rows that repeat an id with the same text count as one document, with
@@ -54,6 +56,9 @@ HASHES = 512
 DEVIATIONS = 4.5
 #: Sets of one bucket whose signatures are compared at once.
 BLOCK = 1024
+#: Sets of one class whose links are counted at once, and the bytes of packed sets they may hold.
+LINK_BLOCK = 2048
+LINK_BYTES = 1 << 25
 
 
 def banding(threshold: float = THRESHOLD, recall: float = RECALL, most: int = MAX_HASHES) -> tuple[int, int]:
@@ -151,6 +156,70 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both)
 
 
+def link_counts(a: list[np.ndarray], b: list[np.ndarray] | None, threshold: float) -> np.ndarray:
+    """Links of every set of ``a``, then of every set of ``b``, to the sets of the other list;
+    without ``b`` the links of the sets of ``a`` to each other."""
+    sets = a + (b or [])
+    of = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    every = np.concatenate(sets)
+    order = np.argsort(every, kind="stable")
+    every, of = every[order], of[order]
+    new = np.concatenate(([True], every[1:] != every[:-1]))
+    starts = np.flatnonzero(new)
+    held = np.diff(np.append(starts, len(every)))
+    # A hash that one set alone holds is in no intersection.
+    column = np.where(held > 1, np.cumsum(held > 1) - 1, -1)[np.cumsum(new) - 1]
+    of, column = of[column >= 0], column[column >= 0]
+    n, size = len(a), np.array([len(x) for x in sets], np.int64)
+    both = np.zeros((n, len(b) if b is not None else n), np.int64)
+    width = max(64, (1 << 24) // len(sets))
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        lo, hi = np.searchsorted(column, [at, at + width])
+        part = np.zeros((len(sets), width), np.float32)
+        part[of[lo:hi], column[lo:hi] - at] = 1
+        both += (part[:n] @ (part[n:] if b is not None else part).T).astype(np.int64)
+    other = size[n:] if b is not None else size
+    linked = both / (size[:n, None] + other[None, :] - both) >= threshold
+    if b is None:
+        np.fill_diagonal(linked, False)
+        return linked.sum(axis=1)
+    return np.concatenate((linked.sum(axis=1), linked.sum(axis=0)))
+
+
+def degrees(label: DataFrame, full: DataFrame, threshold: float) -> DataFrame:
+    """``sid, n_links`` of every set that is in a class (``node, label``) with others."""
+    placed = landed(label.withColumnRenamed("node", "sid")
+                    .join(full.select("sid", F.length("blob").alias("size")), "sid"), "join-class-members")
+    classes = landed(placed.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
+                     .select("label", "n", F.ceil(F.greatest(F.col("n") / LINK_BLOCK, F.col("size") / LINK_BYTES))
+                             .cast("int").alias("blocks")), "join-class-sizes")
+    known = landed(placed.join(classes, "label").select("sid", "label", "n", "blocks"), "join-class-blocks")
+    own = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
+    sided = (known.where("n > 2").withColumn("own", own).join(full, "sid")
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("label", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
+                     "own", "sid", "blob"))
+
+    def count(key: tuple, rows: pa.Table) -> pa.Table:
+        sid = rows.column("sid").to_pylist()
+        sets = [unpack_set(x) for x in rows.column("blob").to_pylist()]
+        x, y = key[1].as_py(), key[2].as_py()
+        own = rows.column("own").to_numpy()
+        first, second = np.flatnonzero(own == x).tolist(), np.flatnonzero(own == y).tolist()
+        if x == y:
+            second = []
+        n = np.zeros(0, np.int64)
+        if first and (second or x == y):
+            n = link_counts([sets[i] for i in first], None if x == y else [sets[i] for i in second], threshold)
+        return pa.table({"sid": pa.array([sid[i] for i in first + second][:len(n)], pa.binary()),
+                         "n": pa.array(n, pa.int64())})
+
+    counted = sided.groupBy("label", "x", "y").applyInArrow(count, "sid binary, n long")
+    # Two sets are one class by their link.
+    return (counted.unionByName(known.where("n = 2").select("sid", F.lit(1).cast("long").alias("n")))
+            .groupBy("sid").agg(F.sum("n").alias("n_links")))
+
+
 def signatures(docs: DataFrame, bands: int, rows: int, size: int) -> DataFrame:
     """``doc_id, sid`` (digest of the set; null without words), ``bands`` and ``signature`` of
     every document."""
@@ -298,8 +367,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     more = landed(_verified(across, full, threshold), "join-links-across")
     every = links.unionByName(more)
     label = landed(components(every), "join-classes")
-    degree = (every.select(F.explode(F.array("a", "b")).alias("sid")).groupBy("sid")
-              .agg(F.count(F.lit(1)).alias("n_links")))
+    degree = landed(degrees(label, full, threshold), "join-degrees")
     classed = (sets.select("sid", "rep", "copies").join(label.withColumnRenamed("node", "sid"), "sid", "left")
                .withColumn("label", F.coalesce("label", "sid")))
     least = landed(classed.groupBy("label").agg(F.min("rep").alias("class_id")), "join-least")

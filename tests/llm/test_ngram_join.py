@@ -2,6 +2,7 @@
 
 import random
 
+from cartloom.llm import ngram_join
 from cartloom.llm.ngram_join import banding, components, jaccard_classes
 from tests.llm import brute
 
@@ -66,3 +67,15 @@ def test_components_of_chains_and_stars(spark):
     got = {r["node"]: r["label"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     want = {i: 0 for i in range(41)} | {j: 100 for j in range(100, 140)} | {200: 200, 201: 200}
     assert got == want
+
+
+def test_links_are_all_links_of_a_set(spark, monkeypatch):
+    """Also those between different texts of one class, over several blocks of a class."""
+    monkeypatch.setattr(ngram_join, "LINK_BLOCK", 16)
+    rows = corpus()
+    df = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], SCHEMA)
+    sets = {i: brute.shingles(t) for i, t in rows}
+    different = set(sets.values())
+    want = {i: sum(len(a & b) / len(a | b) >= 0.8 for b in different if b != a) for i, a in sets.items()}
+    assert {r["doc_id"]: r["n_links"] for r in jaccard_classes(df).collect()} == want
+    assert max(want.values()) >= 55
