@@ -6,9 +6,11 @@ orders ``ORDER`` to 0). The score of a URL is the difference of the two log-like
 divided by its length; it is accepted from a threshold on, which is calibrated on a fold of
 accepted URLs that the models have not seen.
 
-Only DataFrame expressions are used. Counts come from all URLs that a rule decides; the
-counts of a context and a character are kept in ``SLOTS`` hashed slots per order, so the
-models are constants of a proven size and scoring needs no shuffle.
+Only DataFrame expressions are used. Counts come from all URLs that a rule decides and are
+exact: one row per gram (a context and its character) in landed tables that grow with the
+grams there are. Every different gram of the URLs gets its log-likelihood difference once, by
+joins with the counts of its shorter ones; the characters of every different URL are joined
+with these and summed.
 
 Edge cases: a null URL, or one without ``://``, has an empty host and path, fits no rule and
 is scored as its whole text (null: the empty text). Repeated rows are judged alike. Without
@@ -23,10 +25,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartloom.llm.common import UPPER, table
-from cartloom.llm.lookup import at, let, slot_array
+from cartloom.llm.common import UPPER, landed, table
 
 ORDER = 3
+#: Without effect since counts are exact; callers that set it still may.
 SLOTS = 1 << 14
 #: One URL in this many (by checksum of its id) calibrates the threshold and trains nothing.
 FOLDS = 4
@@ -64,82 +66,57 @@ def _padded(url: Column) -> Column:
     return F.concat(F.array_repeat(F.lit(START), ORDER), letters, F.array(F.lit(END)))
 
 
-def _slot(order: int, *letters: Column) -> Column:
-    """Slot of a context (and character) of ``order``; the names of both tables differ by
-    the number of letters that are hashed."""
-    return F.lit(order * SLOTS) + F.pmod(F.xxhash64(F.lit(order), *letters), F.lit(SLOTS))
-
-
-def _models(train: DataFrame) -> tuple[Column, Column]:
-    """Slot arrays of ``train`` (url, accepted 0/1): counts of context and character, and of
-    contexts (total and number of different characters), each for both classes."""
-    letters = [f"c{k}" for k in range(ORDER, -1, -1)]
-    padded = train.select("accepted", _padded(F.col("url")).alias("p"))
-    grams = padded.select("accepted", F.explode(F.transform(
-        F.sequence(F.lit(ORDER), F.size("p") - 1),
-        lambda i: F.struct(*[F.get(F.col("p"), i - k).alias(f"c{k}") for k in range(ORDER, -1, -1)]))).alias("g"))
-    grams = (grams.groupBy(*[F.col(f"g.{c}").alias(c) for c in letters])
-             .agg(F.sum("accepted").alias("a"), F.sum(1 - F.col("accepted")).alias("r")))
-    # Every order's counts follow from the longest: an order keeps its last letters.
-    blank = F.lit(None).cast("string")
-    orders = F.explode(F.array(*[F.struct(F.lit(o).alias("o"), *[
-        (F.col(f"c{k}") if k <= o else blank).alias(f"c{k}") for k in range(ORDER, -1, -1)])
-        for o in range(ORDER + 1)])).alias("x")
-    counts = (grams.select("a", "r", orders).groupBy("x.o", *[f"x.{c}" for c in letters])
-              .agg(F.sum("a").alias("a"), F.sum("r").alias("r")))
-    contexts = counts.groupBy("o", *letters[:-1]).agg(
-        F.sum("a").alias("ca"), F.sum("r").alias("cr"),
-        F.sum((F.col("a") > 0).cast("int")).alias("ta"), F.sum((F.col("r") > 0).cast("int")).alias("tr"))
-    # xxhash64 passes over nulls, so the blanks of a low order do not count.
-    slot = (F.col("o") * SLOTS + F.pmod(F.xxhash64("o", *letters), F.lit(SLOTS))).cast("long").alias("slot")
-    held = (F.col("o") * SLOTS + F.pmod(F.xxhash64("o", *letters[:-1]), F.lit(SLOTS))).cast("long").alias("slot")
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("double")
-    n = SLOTS * (ORDER + 1)
-    gram_model = slot_array(
-        counts.groupBy(slot).agg(F.sum("a").alias("a"), F.sum("r").alias("r")), "slot",
-        {"a": zero("a"), "r": zero("r")}, n)
-    # An unseen context hands all weight to the shorter one: total 0, one kind.
-    kinds = lambda t, c: F.when(zero(c) > 0, zero(t)).otherwise(F.lit(1.0))
-    context_model = slot_array(
-        contexts.groupBy(held).agg(*[F.sum(c).alias(c) for c in ("ca", "cr", "ta", "tr")]), "slot",
-        {"ca": zero("ca"), "cr": zero("cr"), "ta": kinds("ta", "ca"), "tr": kinds("tr", "cr")}, n)
-    return gram_model, context_model
-
-
-def _score(url: Column, models: Column) -> Column:
-    """Mean log-likelihood difference per character (the end mark counts as one)."""
-
-    def both(p: Column, i: Column, m: Column, order: int, lower: Column | None) -> Column:
-        context = [F.get(p, i - k) for k in range(order, 0, -1)]
-
-        def blend(s: Column) -> Column:
-            g, c = s["g"], s["c"]
-            if lower is None:  # order 0, with one more kind for characters never seen
-                return F.struct(((g["a"] + 1) / (c["ca"] + c["ta"] + 1)).alias("pa"),
-                                ((g["r"] + 1) / (c["cr"] + c["tr"] + 1)).alias("pr"))
-            return F.struct(((g["a"] + c["ta"] * lower["pa"]) / (c["ca"] + c["ta"])).alias("pa"),
-                            ((g["r"] + c["tr"] * lower["pr"]) / (c["cr"] + c["tr"])).alias("pr"))
-
-        found = F.struct(at(m["grams"], _slot(order, *context, F.get(p, i))).alias("g"),
-                         at(m["contexts"], _slot(order, *context)).alias("c"))
-        if order == ORDER:
-            return let(found, lambda s: let(blend(s), lambda q: F.log(q["pa"]) - F.log(q["pr"])))
-        return let(found, lambda s: let(blend(s), lambda q: both(p, i, m, order + 1, q)))
-
-    def whole(x: Column) -> Column:
-        p, m = x["p"], x["m"]
-        total = F.aggregate(F.sequence(F.lit(ORDER), F.size(p) - 1), F.lit(0.0),
-                            lambda acc, i: acc + both(p, i, m, 0, None))
-        return total / (F.size(p) - ORDER)
-
-    return let(F.struct(_padded(url).alias("p"), models.alias("m")), whole)
-
-
-def _scored(urls: DataFrame, models: Column) -> DataFrame:
-    """``urls`` with their score. Subqueries may not stand inside a lambda's call, so the
-    models pass through a column; it is used once, and Catalyst folds it into its use."""
-    return (urls.withColumn("models", models)
-            .withColumn("score", _score(F.col("url"), F.col("models"))).drop("models"))
+def _grams(urls: DataFrame) -> DataFrame:
+    """One row per character of every URL (column ``url``): it and the ``ORDER`` before it as
+    an array ``g``, other columns kept."""
+    every = F.transform(F.sequence(F.lit(ORDER), F.size("p") - 1),
+                        lambda i: F.slice(F.col("p"), i - ORDER + 1, ORDER + 1))
+    return urls.withColumn("p", _padded(F.col("url"))).withColumn("g", F.explode(every)).drop("p")
+
+
+def _ratios(urls: DataFrame) -> DataFrame:
+    """``g, ratio``: the log-likelihood difference of the last character of every different
+    gram of ``urls`` (url, a, r: accepted and rejected training rows with this URL)."""
+    grams = landed(_grams(urls.select("url", "a", "r")).groupBy("g").agg(F.sum("a").alias("a"), F.sum("r").alias("r")), "url-grams")
+    known, blended = grams, grams.select("g")
+    for order in range(ORDER + 1):
+        # Counts of the last ``order`` characters before, with and without the character itself.
+        counts = landed(known.where("a > 0 OR r > 0")
+                        .groupBy(F.slice("g", ORDER + 1 - order, order + 1).alias("k"))
+                        .agg(F.sum("a").alias("a"), F.sum("r").alias("r")), f"url-counts-{order}")
+        contexts = landed(counts.groupBy(F.slice("k", 1, order).alias("c")).agg(
+            F.sum("a").alias("ca"), F.sum("r").alias("cr"),
+            F.sum((F.col("a") > 0).cast("int")).alias("ta"),
+            F.sum((F.col("r") > 0).cast("int")).alias("tr")), f"url-contexts-{order}")
+        held = (blended.withColumn("k", F.slice("g", ORDER + 1 - order, order + 1))
+                .withColumn("c", F.slice("g", ORDER + 1 - order, order))
+                .join(counts, "k", "left").join(contexts, "c", "left"))
+        zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("double")
+        # An unseen context hands all weight to the shorter one: total 0, one kind.
+        kinds = lambda t, c: F.when(zero(c) > 0, zero(t)).otherwise(F.lit(1.0))
+        ta, tr = kinds("ta", "ca"), kinds("tr", "cr")
+        if order == 0:  # with one more kind for characters never seen
+            pa, pr = (zero("a") + 1) / (zero("ca") + ta + 1), (zero("r") + 1) / (zero("cr") + tr + 1)
+        else:
+            pa = (zero("a") + ta * F.col("pa")) / (zero("ca") + ta)
+            pr = (zero("r") + tr * F.col("pr")) / (zero("cr") + tr)
+        blended = landed(held.select("g", pa.alias("pa"), pr.alias("pr")), f"url-blended-{order}")
+    return landed(blended.select("g", (F.log("pa") - F.log("pr")).alias("ratio")), "url-ratios")
+
+
+def _scores(urls: DataFrame) -> DataFrame:
+    """``key, score`` of every different URL (``key``: the URL, null as the empty text): mean
+    log-likelihood difference per character (the end mark counts as one)."""
+    train = (F.col("action").isNotNull() & ~F.col("held")).cast("long")
+    accepted = (F.col("action") == "allow").cast("long")
+    distinct = landed(urls.groupBy(F.coalesce("url", F.lit("")).alias("url")).agg(
+        F.sum(F.coalesce(train * accepted, F.lit(0))).alias("a"),
+        F.sum(F.coalesce(train * (1 - accepted), F.lit(0))).alias("r"))
+        .withColumn("n", F.monotonically_increasing_id()), "url-distinct")
+    # Long URLs do not travel with each of their characters; landed, their numbers are fixed.
+    score = (_grams(distinct.select("n", "url")).select("n", "g").join(_ratios(distinct), "g").groupBy("n")
+             .agg((F.sum("ratio") / F.count(F.lit(1))).alias("score")))
+    return landed(distinct.select("n", F.col("url").alias("key")).join(score, "n").select("key", "score"), "url-scores")
 
 
 def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
@@ -151,16 +128,15 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
             .select("page_id", "url", host.alias("host"), path.alias("path")))
     rule, action = rule_of(F.col("host"), F.col("path"), rules)
     urls = urls.select("*", rule.alias("rule"), action.alias("action"))
-    ruled = urls.where("action IS NOT NULL").select(
-        "url", (F.col("action") == "allow").cast("int").alias("accepted"),
-        (F.pmod(F.crc32(F.coalesce(F.col("page_id").cast("string"), F.lit(""))), F.lit(FOLDS)) == 0).alias("held"))
-    grams, contexts = _models(ruled.where(~F.col("held")))
-    models = F.struct(grams.alias("grams"), contexts.alias("contexts"))
-    threshold = (_scored(ruled.where(F.col("held") & (F.col("accepted") == 1)), models)
+    held = F.pmod(F.crc32(F.coalesce(F.col("page_id").cast("string"), F.lit(""))), F.lit(FOLDS)) == 0
+    urls = urls.select("*", held.alias("held"), F.coalesce("url", F.lit("")).alias("key"))
+    scores = _scores(urls)
+    scored = urls.join(scores, "key")
+    threshold = (scored.where(F.col("held") & (F.col("action") == "allow"))
                  .agg(F.coalesce(F.percentile_approx("score", F.lit(MISS), F.lit(10000)), F.lit(0.0))
                       .alias("threshold"))).scalar()
     judged = F.when(F.col("score") >= threshold, F.lit("allow")).otherwise(F.lit("block"))
-    return _scored(urls, models).select(
+    return scored.select(
         "page_id", "host", "path", "rule", F.coalesce("action", judged).alias("verdict"), "score")
 
 

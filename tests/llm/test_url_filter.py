@@ -1,6 +1,7 @@
 """URL parts, rules and language models."""
 
 import math
+import random
 from collections import Counter, defaultdict
 
 import pytest
@@ -113,3 +114,18 @@ def test_models_tell_rule_classes_apart(spark):
     assert pairs > 0.9
     assert not any("Python" in x or "Pandas" in x for x in [
         op5_url_filter(spark, "/root/testdata/sf0.01")._jdf.queryExecution().toString()])
+
+
+def test_many_grams_keep_exact_counts(spark):
+    """More different grams than the slots of the former hashed tables, as set in production."""
+    rng = random.Random(3)
+    part = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789-_", k=n))
+    rows = [(i, f"http://{part(8)}.{rng.choice(('com/', 'net/es/', 'net/fr/', 'org/'))}{part(40)}") for i in range(1500)]
+    df = spark.createDataFrame([(i, u, "h", 1) for i, u in rows], SCHEMA)
+    held = {r["i"] for r in spark.range(len(rows)).select(F.col("id").alias("i"), (F.pmod(F.crc32(
+        F.col("id").cast("string")), F.lit(url_filter.FOLDS)) == 0).alias("h")).where("h").collect()}
+    actions = {i: rule(*parts(u), RULES)[1] for i, u in rows}
+    score = models([(int(actions[i] == "allow"), u) for i, u in rows if actions[i] and i not in held])
+    assert len({u[k:k + ORDER + 1] for _, u in rows for k in range(len(u) - ORDER)}) > 20_000
+    got = {r["page_id"]: r["score"] for r in filter_urls(df).collect()}
+    assert all(got[i] == pytest.approx(score(u), abs=1e-9) for i, u in rows)
