@@ -6,8 +6,8 @@ log(1 + count) times the inverse document frequency and normalised. Every langua
 The nearest centroid by cosine names the language; a text that is farther from it than the
 language's calibrated distance is rejected.
 
-Document frequencies are counted over all training texts. The sample (``SAMPLE`` texts per
-language, chosen by the hash of the text) only fits centroids and distances; it is a stated
+Document frequencies are counted over all training texts. The sample (``SAMPLE`` different
+texts per language, those of the smallest hashes) only fits centroids and distances; it is a stated
 bound, and a language with any number of texts costs the same.
 
 Edge cases: a text that is null or has no letter is ``und`` with score 0, and rejected; a
@@ -152,10 +152,15 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     idf = np.log((1 + n) / (1 + df)).astype(np.float32) + np.float32(0.1)
     if not sizes:
         return Model([], np.zeros((0, DIMS), np.float32), np.zeros(0, int), np.zeros((0, 16)), idf)
-    # The sample: first a hash threshold per language, then an exact bound.
-    share = F.create_map(*[F.lit(x) for s, m in sizes.items() for x in (s, min(1.0, 2.0 * SAMPLE / m))])
-    draw = F.shiftrightunsigned(F.xxhash64("text", F.lit(1)), 11) / F.lit(float(1 << 53))
-    near = (rows.withColumn("draw", draw).where(F.col("draw") < F.try_element_at(share, F.col("lang")))
+    # The sample: first a hash threshold per language, then an exact bound, over different texts.
+    # Characters that Java does not know may be letters to Python.
+    rows = rows.where(F.col("text").rlike(r"[\p{L}\p{Cn}]")).withColumn(
+        "draw", F.shiftrightunsigned(F.xxhash64("text", F.lit(1)), 11))
+    different = {r["lang"]: r["m"] for r in
+                 rows.groupBy("lang").agg(F.approx_count_distinct("draw").alias("m")).collect()}
+    share = F.create_map(*[F.lit(x) for s in sizes for x in (s, min(1.0, 2.0 * SAMPLE / max(1, different.get(s, 1))))])
+    near = (rows.where(F.col("draw") / F.lit(float(1 << 53)) <= F.try_element_at(share, F.col("lang")))
+            .dropDuplicates(["lang", "text"])
             .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("draw", "text")))
             .where(F.col("rank") <= SAMPLE).select("lang", "text"))
 
@@ -180,6 +185,8 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     fitted = (near.groupBy("lang").applyInPandas(fit_language, "lang string, centroids binary, least binary")
               .collect())
     fitted = sorted(fitted, key=lambda r: r["lang"])
+    if not fitted:
+        return Model([], np.zeros((0, DIMS), np.float32), np.zeros(0, int), np.zeros((0, 16)), idf)
     cs = [np.frombuffer(r["centroids"], np.float32).reshape(-1, DIMS) for r in fitted]
     return Model([r["lang"] for r in fitted], np.concatenate(cs),
                  np.repeat(np.arange(len(cs)), [len(c) for c in cs]),

@@ -124,3 +124,18 @@ def test_ann_tree_search_and_equal_vectors(spark, monkeypatch, tmp_path):
 def test_ann_few_rows(spark, rows):
     got = ann.nearest_neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
     assert len(got) == sum(len(rows) - 1 for i, _ in rows if i % 50 == 0)
+
+
+def fit_parts(spark, rows):
+    return language_id.fit(spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, lang string"))
+
+
+def test_language_of_copies_is_learned_from_its_other_texts(spark):
+    """One copied text has nearly all rows of a language."""
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").where("lang IN ('de', 'en')").select("text", "lang").collect()
+    de = [r["text"] for r in docs if r["lang"] == "de"]
+    model = fit_parts(spark, [("xyzzy plugh qwrt", "de")] * 40_000 + [(t, "de") for t in de[:30]]
+                      + [(r["text"], "en") for r in docs if r["lang"] == "en"])
+    assert sorted(model.langs) == ["de", "en"]
+    langs, _, rejected = model.predict(de[30:])
+    assert np.mean([x == "de" for x in langs]) > 0.97 and np.mean(rejected) < 0.05
