@@ -6,9 +6,15 @@ log(1 + count) times the inverse document frequency and normalised. Every langua
 The nearest centroid by cosine names the language; a text that is farther from it than the
 language's calibrated distance is rejected.
 
-Document frequencies are counted over all training texts. The sample (``SAMPLE`` different
-texts per language, those of the smallest hashes) only fits centroids and distances; it is a stated
-bound, and a language with any number of texts costs the same.
+Document frequencies are counted over all training texts. The sample (``SAMPLE`` different texts
+per language, those of the smallest hashes) only fits centroids; it is a stated bound. Copies
+of a text count once, so no group of copies hides or fills a language.
+
+The rejection distances come from all different labelled texts. Every text gives its cosine to
+the centroids of its language at its own length class, and a piece out of its middle that of a
+shorter class chosen by its hash. Texts of the sample are compared with centroids fitted
+without them (``CROSS`` folds). A language with fewer than ``FEW`` cosines of a class takes
+those of all languages, a class with fewer altogether those of all classes.
 
 Edge cases: a text that is null or has no letter is ``und`` with score 0, and rejected; a
 null language trains nothing; without any training text everything is ``und``. Texts are
@@ -29,11 +35,15 @@ from cartloom.llm.common import table
 
 DIMS = 1 << 12
 CLUSTERS = 3
-#: Labelled texts per language that fit centroids and rejection distances.
+#: Different labelled texts per language that fit centroids.
 SAMPLE = 256
-#: A text is rejected below this share of the cosine that all but 1 % of the sample reach; the
-#: sample's texts are compared at the text's own length class.
+#: A text is rejected below this share of the cosine that all but 1 % of the labelled texts
+#: reach at the text's own length class.
 REJECT = 0.5
+#: Fewest cosines that a language's or a length class's own distance is taken from.
+FEW = 20
+#: Folds of the sample that are compared with the centroids of the others; steps of a cosine.
+CROSS, STEPS = 4, 1000
 PIECE = 1 << 18
 _MUL = [np.uint32(m) for m in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)]
 _SHIFT = np.uint32(20)  # leaves log2(DIMS) bits
@@ -86,6 +96,44 @@ def length_class(text: str) -> int:
     return min(15, len(text).bit_length())
 
 
+def trials(x: np.ndarray, texts: list[str], draws: list[int], idf: np.ndarray,
+           centroids: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """``draw, class, step`` of the best cosine of every text (rows of ``x``) and of a shorter
+    piece out of its middle."""
+    def steps(rows: np.ndarray) -> list[int]:
+        best = np.max(rows @ centroids.T, axis=1)
+        return np.clip(np.floor(best * STEPS), 0, STEPS).astype(int).tolist()
+
+    for text, draw, step in zip(texts, draws, steps(x), strict=True):
+        yield draw, length_class(text), step
+    cut = []
+    for text, draw in zip(texts, draws, strict=True):
+        k = draw % max(1, length_class(text) - 1)
+        piece = text[len(text) // 2:][:1 << k]
+        if has_letter(piece):
+            cut.append((draw, piece))
+    if cut:
+        for (draw, piece), step in zip(cut, steps(vectors([t for _, t in cut], idf)), strict=True):
+            yield draw, length_class(piece), step
+
+
+def quantile(counts: np.ndarray, share: float = 0.01) -> float:
+    """Cosine that all but ``share`` of the counted steps reach."""
+    return int(np.searchsorted(np.cumsum(counts), share * counts.sum(), side="right")) / STEPS
+
+
+def least_cosines(counts: np.ndarray) -> np.ndarray:
+    """Bounds by language and length class from counts by language, class and step."""
+    langs = len(counts)
+    every, whole = counts.sum(axis=0), counts.sum(axis=(0, 1))
+    least = np.zeros((langs, 16))
+    for i in range(langs):
+        for k in range(16):
+            own = next((c for c in (counts[i, k], every[k], whole) if c.sum() >= FEW), whole)
+            least[i, k] = REJECT * quantile(own) if own.sum() else 0.0
+    return least
+
+
 def k_means(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     """Spherical k-means; starts from the text nearest to the mean, then the farthest ones."""
     centers = [x[np.argmax(x @ x.mean(0))]]
@@ -162,35 +210,56 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     near = (rows.where(F.col("draw") / F.lit(float(1 << 53)) <= F.try_element_at(share, F.col("lang")))
             .dropDuplicates(["lang", "text"])
             .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("draw", "text")))
-            .where(F.col("rank") <= SAMPLE).select("lang", "text"))
+            .where(F.col("rank") <= SAMPLE).select("lang", "text", "draw"))
 
     def fit_language(part: pd.DataFrame) -> pd.DataFrame:
-        texts = [t for t in part["text"] if has_letter(t)]
-        if not texts:
-            return pd.DataFrame({"lang": [], "centroids": [], "least": []})
+        held = [(t, d) for t, d in zip(part["text"], part["draw"], strict=True) if has_letter(t)]
+        if not held:
+            return pd.DataFrame({"lang": [], "centroids": [], "tried": [], "last": []})
+        texts, draws = [t for t, _ in held], [int(d) for _, d in held]
         x = vectors(texts, idf)
-        c = k_means(x, CLUSTERS)
-        cosines = np.max(x @ c.T, axis=1)
-        # The least usual cosine per length class, from pieces of that length out of the middle
-        # of the sample's texts: short texts have few grams and are held to what such reach.
-        least = np.empty(16)
-        for k in range(16):
-            cut = [t[len(t) // 2:][:1 << k] for t in texts if len(t) >= 2 << k]
-            cut = [t for t in cut if has_letter(t)]
-            own = np.max(vectors(cut, idf) @ c.T, axis=1) if len(cut) >= 20 else cosines
-            least[k] = REJECT * np.quantile(own, 0.01)
-        return pd.DataFrame({"lang": [part["lang"].iloc[0]], "centroids": [c.astype(np.float32).tobytes()],
-                             "least": [least.tobytes()]})
-
-    fitted = (near.groupBy("lang").applyInPandas(fit_language, "lang string, centroids binary, least binary")
-              .collect())
+        folds, tried = np.arange(len(texts)) % CROSS, []
+        for f in range(min(CROSS, len(texts)) if len(texts) > 1 else 0):
+            out = np.flatnonzero(folds == f)
+            tried += trials(x[out], [texts[i] for i in out], [draws[i] for i in out], idf,
+                            k_means(x[folds != f], CLUSTERS))
+        return pd.DataFrame({"lang": [part["lang"].iloc[0]],
+                             "centroids": [k_means(x, CLUSTERS).astype(np.float32).tobytes()],
+                             "tried": [np.array([t[1:] for t in tried], np.int64).tobytes()],
+                             "last": [int(part["draw"].max())]})
+
+    fitted = (near.groupBy("lang").applyInPandas(
+        fit_language, "lang string, centroids binary, tried binary, last long").collect())
     fitted = sorted(fitted, key=lambda r: r["lang"])
-    if not fitted:
+    langs = {r["lang"]: i for i, r in enumerate(fitted)}
+    if not langs:
         return Model([], np.zeros((0, DIMS), np.float32), np.zeros(0, int), np.zeros((0, 16)), idf)
     cs = [np.frombuffer(r["centroids"], np.float32).reshape(-1, DIMS) for r in fitted]
-    return Model([r["lang"] for r in fitted], np.concatenate(cs),
-                 np.repeat(np.arange(len(cs)), [len(c) for c in cs]),
-                 np.stack([np.frombuffer(r["least"]) for r in fitted]), idf)
+    counts = np.zeros((len(langs), 16, STEPS + 1), np.int64)
+    for i, r in enumerate(fitted):
+        for k, step in np.frombuffer(r["tried"], np.int64).reshape(-1, 2):
+            counts[i, k, step] += 1
+
+    def try_rest(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            out = []
+            for lang, of in part.groupby("lang"):
+                held = [(t, int(d)) for t, d in zip(of["text"], of["draw"], strict=True) if has_letter(t)]
+                for at in range(0, len(held), 256):
+                    texts, draws = zip(*held[at:at + 256], strict=True)
+                    out += [(lang, *t) for t in trials(vectors(list(texts), idf), list(texts), list(draws), idf,
+                                                       cs[langs[lang]])]
+            yield pd.DataFrame(out, columns=["lang", "draw", "k", "step"])
+
+    # The sample holds all texts up to its last draw.
+    last = F.create_map(*[F.lit(x) for r in fitted for x in (r["lang"], r["last"])])
+    rest = rows.where(F.col("draw") > F.try_element_at(last, F.col("lang"))).select("lang", "text", "draw")
+    tried = (rest.mapInPandas(try_rest, "lang string, draw long, k int, step int").distinct()
+             .groupBy("lang", "k", "step").agg(F.count(F.lit(1)).alias("n")).collect())
+    for r in tried:
+        counts[langs[r["lang"]], r["k"], r["step"]] += r["n"]
+    return Model(list(langs), np.concatenate(cs),
+                 np.repeat(np.arange(len(cs)), [len(c) for c in cs]), least_cosines(counts), idf)
 
 
 def classify(model: Model, text: Column) -> Column:

@@ -139,3 +139,23 @@ def test_language_of_copies_is_learned_from_its_other_texts(spark):
     assert sorted(model.langs) == ["de", "en"]
     langs, _, rejected = model.predict(de[30:])
     assert np.mean([x == "de" for x in langs]) > 0.97 and np.mean(rejected) < 0.05
+
+
+def test_language_with_few_texts_is_held_to_what_others_reach(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").where("lang IN ('de', 'en', 'fr')").select("text", "lang").collect()
+    de = [r["text"] for r in docs if r["lang"] == "de"]
+    model = fit_parts(spark, [(t, "de") for t in de[:2]] + [(r["text"], r["lang"]) for r in docs if r["lang"] != "de"])
+    at = model.langs.index("de")
+    assert model.least[at].max() < 0.5 - 1e-3  # its own texts as centroids would give 0.5
+
+
+def test_language_bounds_cover_texts_outside_the_sample(spark, monkeypatch):
+    """Half of the texts are of another kind; a sample of a few of them must not set the bound alone."""
+    seen = []
+    held = language_id.least_cosines
+    monkeypatch.setattr(language_id, "least_cosines", lambda counts: seen.append(counts) or held(counts))
+    monkeypatch.setattr(language_id, "SAMPLE", 16)
+    texts = [f"the number {i} is a day of the week {i * i} and {'so ' * (i % 9)}" for i in range(500)]
+    fit_parts(spark, [(t, "en") for t in texts + texts[:100]])
+    # Every different text once at its own class (pieces may have no letter and are not counted).
+    assert 500 <= seen[0].sum() <= 1000
