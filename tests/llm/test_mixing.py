@@ -74,3 +74,30 @@ def test_no_rows_and_bounds(spark, monkeypatch):
     monkeypatch.setattr(mixing, "MAX_SOURCES", 1)
     with pytest.raises(ValueError):
         mix(spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, source string"))
+
+
+def test_more_sources_than_one_schedule_holds(spark):
+    """With the production setting: every row is placed once, in blocks, without gaps."""
+    rows = [(10_000 * s + i, f"host{s}") for s in range(700) for i in range(1 + s % 41)]
+    rows += [(9_000_000 + i, None) for i in range(333)]
+    got = mix(spark.createDataFrame(rows, "doc_id long, source string")).collect()
+    assert sorted(((r["doc_id"], r["source"]) for r in got), key=str) == sorted(rows, key=str)
+    assert sorted(r["mix_position"] for r in got) == list(range(len(rows)))
+    by_slot = {}
+    for r in sorted(got, key=lambda r: r["mix_position"]):
+        by_slot.setdefault(r["mix_slot"], []).append(r["source"])
+    assert list(by_slot) == list(range(len(by_slot))) and all(len(set(x)) == 1 for x in by_slot.values())
+    assert max(map(len, by_slot.values())) == mixing.BLOCK
+
+
+def test_levels_keep_shares_on_every_level(monkeypatch):
+    monkeypatch.setattr(mixing, "FAN", 3)
+    blocks, parts = {f"s{i}": 40 * (1 + i % 3) for i in range(20)}, {f"s{i}": 1 + i % 3 for i in range(20)}
+    plans = mixing.levels(blocks, parts)
+    assert len(plans) == 3
+    at = {mixing.placed(plans, s, k): s for s, n in blocks.items() for k in range(n)}
+    assert sorted(at) == list(range(sum(blocks.values())))
+    got = Counter()
+    for t in range(len(at)):
+        got[at[t]] += 1
+        assert all(abs(got[s] - Fraction(a * (t + 1), sum(parts.values()))) < len(plans) for s, a in parts.items())
