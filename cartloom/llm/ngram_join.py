@@ -221,8 +221,8 @@ def degrees(label: DataFrame, full: DataFrame, threshold: float) -> DataFrame:
 
 
 def signatures(docs: DataFrame, bands: int, rows: int, size: int) -> DataFrame:
-    """``doc_id, sid`` (digest of the set; null without words), ``bands`` and ``signature`` of
-    every document."""
+    """``doc_id, th`` (as given), ``sid`` (digest of the set; null without words), ``bands`` and
+    ``signature`` of every document."""
     hasher = Hasher(bands, rows)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,11 +235,11 @@ def signatures(docs: DataFrame, bands: int, rows: int, size: int) -> DataFrame:
                     keys.append(None if key is None else key.view(np.int64).tolist())
                     signs.append(signature)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sids, pa.binary()),
+                [batch.column("doc_id"), batch.column("th"), pa.array(sids, pa.binary()),
                  pa.array(keys, pa.list_(pa.int64())), pa.array(signs, pa.binary())],
-                names=["doc_id", "sid", "bands", "signature"])
+                names=["doc_id", "th", "sid", "bands", "signature"])
 
-    return docs.mapInArrow(sign, "doc_id long, sid binary, bands array<long>, signature binary")
+    return docs.mapInArrow(sign, "doc_id long, th long, sid binary, bands array<long>, signature binary")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -287,11 +287,12 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     size: int = SHINGLE, threshold: float = THRESHOLD,
-                    recall: float = RECALL) -> DataFrame:
-    """``doc_id, class_id, n_links, n_copies``, one row per document."""
+                    recall: float = RECALL, with_text: bool = False) -> DataFrame:
+    """``doc_id, class_id, n_links, n_copies``, one row per document; ``with_text`` adds ``th``,
+    a hash of its text that tells documents of one id apart."""
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                         F.col(f"`{text_col}`").cast("string").alias("text"))
-    signed = landed(signatures(texts, *banding(threshold, recall), size), "join-signatures")
+    signed = landed(signatures(texts.withColumn("th", F.xxhash64("text")), *banding(threshold, recall), size), "join-signatures")
     use = signed.where("doc_id IS NOT NULL AND sid IS NOT NULL")
     sets = landed(use.groupBy("sid").agg(F.min("doc_id").alias("rep"), F.countDistinct("doc_id").alias("copies"),
                                          F.first("bands").alias("bands"),
@@ -374,12 +375,13 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = landed(landed(classed, "join-classed").join(least, "label").join(degree, "sid", "left")
                    .select("sid", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), "copies"), "join-known")
     # Rows without an id or a word take no part and must not all meet on the null key.
-    out = use.select("doc_id", "sid").join(known, "sid").select(
-        "doc_id", "class_id", "n_links", (F.col("copies") - 1).alias("n_copies"))
+    out = use.select("doc_id", "th", "sid").join(known, "sid").select(
+        "doc_id", "class_id", "n_links", (F.col("copies") - 1).alias("n_copies"), "th")
     alone = signed.where("doc_id IS NULL OR sid IS NULL").select(
         "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"),
-        F.lit(0).cast("long").alias("n_copies"))
-    return out.unionByName(alone)
+        F.lit(0).cast("long").alias("n_copies"), "th")
+    every = out.unionByName(alone)
+    return every if with_text else every.drop("th")
 
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

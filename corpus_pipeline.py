@@ -25,9 +25,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of every class of near copies (and of equal
-    rows one); rows without an id stay."""
-    spare = jaccard_classes(docs).where("doc_id <> class_id").select("doc_id").distinct()
-    return docs.join(spare, "doc_id", "left_anti").select(*docs.columns).dropDuplicates(["doc_id", "text"])
+    rows one); rows without an id stay. Another text of a dropped id stays with its own class."""
+    spare = jaccard_classes(docs, with_text=True).where("doc_id <> class_id").select("doc_id", "th").distinct().alias("s")
+    same = (F.col("d.doc_id") == F.col("s.doc_id")) & (F.xxhash64("d.text") == F.col("s.th"))
+    return docs.alias("d").join(spare, same, "left_anti").dropDuplicates(["doc_id", "text"])
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -72,3 +72,12 @@ def test_empty_table(spark, data, tmp_path):
     for name, stage in P.STAGES:
         out = stage(spark, none, folder)
         assert out.count() == 0 and out.columns[:5] == none.columns, name
+
+
+def test_another_text_of_a_dropped_id_stays(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(40)) for c in "xy")
+    rows = [(1, a, "en", "s", 1), (2, a, "en", "s", 1), (2, b, "en", "s", 1), (3, b, "en", "s", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = P.near_duplicates(spark, df, "")
+    assert got.columns == df.columns
+    assert sorted(tuple(r) for r in got.collect()) == [rows[0], rows[2]]
