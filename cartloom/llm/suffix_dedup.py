@@ -1,11 +1,10 @@
-"""Exact byte-substring dedup by distributed prefix doubling.
+"""Exact byte-substring dedup by winnowed anchors and window hashes.
 
 Texts are UTF-8 bytes. Every byte covered by a ``WIDTH``-byte string that also starts in a
 document with a smaller id is removed.
 
-Prefix doubling ranks the suffixes of all texts by prefixes of growing length: the rank of a
-prefix of 2k bytes follows from the ranks of its two halves, and a suffix whose rank is unique
-(here: occurs in no other document) leaves the next rounds. The rounds here are:
+This replaces distributed prefix doubling: no position is ranked from the ranks of two halves,
+and lengths do not double. Strings are found by their hashes in three rounds:
 
 * length 25: suffixes are grouped by their first 25 bytes. A 50-byte string holds 26 such
   prefixes; it is enough to follow the one with the smallest hash, which is the same one
@@ -16,7 +15,7 @@ prefix of 2k bytes follows from the ranks of its two halves, and a suffix whose
 * length 50: at the positions that are neither unique nor settled, where repeats begin and
   end, the single 50-byte windows are ranked.
 
-Ranks are names (hashes) that Spark brings together bucket by bucket, where they are sorted;
+"Ranks" are hashes that Spark brings together bucket by bucket, where they are sorted;
 the rounds are described in ``repeats``. Ranking every byte position would shuffle more than
 twenty bytes for each byte of text.
 
