@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cartloom.llm.ann import op7_ann
 from cartloom.llm.decontaminate import OP6_SQL, op6_decontamination
+from cartloom.llm.hard_negatives import OP11_SQL, op11_hard_negatives
 from cartloom.llm.language_id import op1_language_id
 from cartloom.llm.mixing import op4_mixing
 from cartloom.llm.ngram_join import op2_ngram_jaccard
@@ -31,10 +32,11 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": op8_toxicity,
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_substring_dedup": op10_substring_dedup,
+        "op11_hard_negatives": op11_hard_negatives,
     }
 
 
 def oracle_queries() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
     return {"op3_warc": OP3_SQL, "op6_decontamination": OP6_SQL,
-            "op10_substring_dedup": OP10_SQL}
+            "op10_substring_dedup": OP10_SQL, "op11_hard_negatives": OP11_SQL}
