@@ -12,6 +12,7 @@ from cartloom.llm.hard_negatives import OP11_SQL, op11_hard_negatives
 from cartloom.llm.language_id import op1_language_id
 from cartloom.llm.mixing import op4_mixing
 from cartloom.llm.ngram_join import op2_ngram_jaccard
+from cartloom.llm.secret_scan import OP13_SQL, op13_secret_scan
 from cartloom.llm.substring_dedup import OP10_SQL, op10_substring_dedup
 from cartloom.llm.suffix_dedup import op9_suffix_dedup
 from cartloom.llm.toxicity import op8_toxicity
@@ -33,10 +34,12 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_substring_dedup": op10_substring_dedup,
         "op11_hard_negatives": op11_hard_negatives,
+        "op13_secret_scan": op13_secret_scan,
     }
 
 
 def oracle_queries() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
     return {"op3_warc": OP3_SQL, "op6_decontamination": OP6_SQL,
-            "op10_substring_dedup": OP10_SQL, "op11_hard_negatives": OP11_SQL}
+            "op10_substring_dedup": OP10_SQL, "op11_hard_negatives": OP11_SQL,
+            "op13_secret_scan": OP13_SQL}
