@@ -15,6 +15,7 @@ from cartloom.llm.ngram_join import op2_ngram_jaccard
 from cartloom.llm.secret_scan import OP13_SQL, op13_secret_scan
 from cartloom.llm.substring_dedup import OP10_SQL, op10_substring_dedup
 from cartloom.llm.suffix_dedup import op9_suffix_dedup
+from cartloom.llm.token_alignment import op12_token_alignment
 from cartloom.llm.toxicity import op8_toxicity
 from cartloom.llm.url_filter import op5_url_filter
 from cartloom.llm.warc import OP3_SQL, op3_warc
@@ -34,6 +35,7 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_substring_dedup": op10_substring_dedup,
         "op11_hard_negatives": op11_hard_negatives,
+        "op12_token_alignment": op12_token_alignment,
         "op13_secret_scan": op13_secret_scan,
     }
 
