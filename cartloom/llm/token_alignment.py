@@ -34,8 +34,10 @@ from __future__ import annotations
 
 import hashlib
 import json
-import string
+import os
+import re
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -50,16 +52,14 @@ from cartloom.llm.common import landed, table
 #: Folder of the two vocabulary files, readable by Spark.
 TOKENIZERS = "/opt/tokenizers"
 FILE_A, FILE_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
-#: Bytes of text that a block ends after, and that are multiplied at once.
-BLOCK, AT_ONCE = 1 << 24, 1 << 21
-#: Pieces of at most so many characters are kept by a worker, so many of them.
-SHORT, KEPT = 64, 100_000
+#: Characters of text that a block ends after, and that are multiplied at once.
+BLOCK, AT_ONCE = 1 << 23, 1 << 18
 #: Product entries that are written out at once.
 PART = 1 << 20
 
-LATIN = "".join(chr(c) for c in range(0xC0, 0x100) if c not in (0xD7, 0xF7))
-LETTERS = frozenset(string.ascii_letters + LATIN)
-VISIBLE = frozenset(chr(c) for c in range(0x21, 0x7F)) | frozenset(LATIN)
+LATIN = "\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF"
+#: A blank after a visible character and before a letter.
+SEAM = re.compile(f" (?=[A-Za-z{LATIN}])(?<=[!-~{LATIN}] )")
 
 
 class Csr(NamedTuple):
@@ -147,13 +147,15 @@ class Alignment:
             at = stop
 
 
-class Piece(NamedTuple):
-    """What a piece adds to each text that holds it; ``pairs`` are id pairs, ``times`` their links."""
+class Pieces(NamedTuple):
+    """What each of several pieces adds to a text that holds it. Row p of ``links`` has the id
+    pairs of piece p (columns are places in ``pairs``) with their numbers of links."""
 
-    numbers: tuple[int, int, int, int, int]
-    groups: bytes
+    fine: np.ndarray
+    numbers: np.ndarray
+    groups: list[bytes]
+    links: Csr
     pairs: np.ndarray
-    times: np.ndarray
 
 
 class Tokenizers:
@@ -163,6 +165,7 @@ class Tokenizers:
         import sentencepiece
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.a = Tokenizer.from_str(a.decode())
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b)
@@ -182,91 +185,86 @@ class Tokenizers:
         wide = len(str(ids))
         text = [str(i).rjust(wide) + " " for i in range(ids)]
         self.digits = np.frombuffer("".join(text).encode(), np.uint8).reshape(ids, wide + 1)
-        self.pieces: dict[str, Piece | None] = {}
+        self.flat_a, self.flat_b = (np.frombuffer(b"".join(t), np.uint8) for t in (self.bytes_a, self.bytes_b))
+        self.at_a, self.at_b = ends(self.sizes_a), ends(self.sizes_b)
 
     def split(self, text: str) -> list[str]:
         """The pieces; each follows a blank, the first the one that is put before the text."""
-        if not self.apart:
-            return [text]
-        out: list[str] = []
-        piece: list[str] = []
-        closed = False
-        for word in text.split(" "):
-            if closed and word and word[0] in LETTERS:
-                out.append(piece[0] if len(piece) == 1 else " ".join(piece))
-                piece = [word]
-            else:
-                piece.append(word)
-            closed = bool(word) and word[-1] in VISIBLE
-        out.append(" ".join(piece))
-        return out
-
-    def pair(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return a * len(self.bytes_b) + b
-
-    def align(self, pieces: list[str]) -> list[Piece | None]:
-        """Each piece's block; None if its tokens are not the bytes of blank and piece."""
+        return SEAM.split(text) if self.apart else [text]
+
+    def align(self, pieces: list[str]) -> Pieces:
+        """The blocks of pieces; one whose tokens are not the bytes of blank and piece is not
+        fine and adds nothing."""
+        n = len(pieces)
         ids_a = [e.ids for e in self.a.encode_batch_fast([" " + p for p in pieces], add_special_tokens=False)]
         ids_b = self.b.encode(pieces, num_threads=1)
-        fine = []
-        for n, p in enumerate(pieces):
-            whole = (" " + p).encode()
-            if b"".join([self.bytes_a[i] for i in ids_a[n]]) == whole == b"".join([self.bytes_b[i] for i in ids_b[n]]):
-                fine.append(n)
-        out: list[Piece | None] = [None] * len(pieces)
-        if not fine:
-            return out
-        of_a, of_b = (np.repeat(np.arange(len(fine)), [len(ids[n]) for n in fine]) for ids in (ids_a, ids_b))
-        a, b = (np.fromiter((i for n in fine for i in ids[n]), np.int64) for ids in (ids_a, ids_b))
+        (a, of_a), (b, of_b) = (
+            (np.fromiter(chain.from_iterable(ids), np.int64), np.repeat(np.arange(n), [len(x) for x in ids])) for ids in (ids_a, ids_b))
+        del ids_a, ids_b
+        fine = self.checked(pieces, a, of_a, b, of_b)
+        in_a, in_b = fine[of_a], fine[of_b]
+        a, of_a, b, of_b = a[in_a], of_a[in_a], b[in_b], of_b[in_b]
         found = Alignment(self.sizes_a[a], self.sizes_b[b])
         row = found.links.rows
-        starts_a = ends(np.bincount(of_a, minlength=len(fine)))
-        group_of = of_a[np.searchsorted(found.a.indptr[1:], found.cuts)]
         # Links of a piece, by id pair.
-        key = of_a[row] * (len(self.bytes_a) * len(self.bytes_b)) + self.pair(a[row], b[found.links.indices])
-        key, times = np.unique(key, return_counts=True)
-        of_pair, pair = np.divmod(key, len(self.bytes_a) * len(self.bytes_b))
-        numbers = np.stack([np.bincount(of_a, minlength=len(fine)), np.bincount(of_b, minlength=len(fine)),
-                            np.bincount(group_of, minlength=len(fine)), np.bincount(of_a[row], minlength=len(fine)),
-                            row_sums(starts_a, found.shared())], axis=1).tolist()
-        cut = ends(np.bincount(of_pair, minlength=len(fine)))
-        text, at = self.written(found, a, b, of_a, of_b)
-        for n, i in enumerate(fine):
-            out[i] = Piece(tuple(numbers[n]), text[at[n]:at[n + 1]], pair[cut[n]:cut[n + 1]].copy(), times[cut[n]:cut[n + 1]].copy())
-        return out
-
-    def written(self, found: Alignment, a: np.ndarray, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray) -> tuple[bytes, np.ndarray]:
-        """``a1,a2|b1;a3|b2`` of all pieces, and where each piece's text starts."""
+        wide = len(self.bytes_a) * len(self.bytes_b)
+        key, times = np.unique(of_a[row] * wide + a[row] * len(self.bytes_b) + b[found.links.indices], return_counts=True)
+        of_pair, pair = np.divmod(key, wide)
+        pairs, place = np.unique(pair, return_inverse=True)
+        group_of = of_a[np.searchsorted(found.a.indptr[1:], found.cuts)]
+        per = [np.bincount(x, minlength=n) for x in (of_a, of_b, group_of, of_a[row])]
+        per.append(row_sums(ends(per[0]), found.shared()))
+        links = Csr(ends(np.bincount(of_pair, minlength=n)), place, times, len(pairs))
+        return Pieces(fine, np.stack(per, axis=1), self.written(found, a, b, of_a, of_b, n), links, pairs)
+
+    def checked(self, pieces: list[str], a: np.ndarray, of_a: np.ndarray, b: np.ndarray, of_b: np.ndarray) -> np.ndarray:
+        """Which pieces' tokens are the bytes of blank and piece."""
+        raw = np.frombuffer((" " + " ".join(pieces)).encode(), np.uint8)
+        sizes = np.array([len(p.encode()) + 1 for p in pieces], np.int64)
+        fine = np.ones(len(pieces), bool)
+        for ids, of, own, at, flat in ((a, of_a, self.sizes_a, self.at_a, self.flat_a), (b, of_b, self.sizes_b, self.at_b, self.flat_b)):
+            fine &= np.bincount(of, weights=own[ids], minlength=len(pieces)).astype(np.int64) == sizes
+            kept = ids[fine[of]]
+            place = np.repeat(at[kept] - ends(own[kept])[:-1], own[kept])
+            place += np.arange(len(place))
+            same = np.repeat(fine, sizes)
+            other = flat[place] != raw[same]
+            if other.any():
+                fine[np.unique(np.repeat(np.arange(len(pieces)), sizes)[same][other])] = False
+        return fine
+
+    def written(self, found: Alignment, a: np.ndarray, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray, n: int) -> list[bytes]:
+        """``a1,a2|b1;a3|b2`` of each of ``n`` pieces."""
         side = np.concatenate([2 * found.group_a.indices, 2 * found.group_b.indices + 1])
         order = np.argsort(side, kind="stable")
         ids, side, of = np.concatenate([a, b])[order], side[order], np.concatenate([of_a, of_b])[order]
-        last = np.append(of[1:] != of[:-1], True)
-        step = np.append(side[1:] - side[:-1], 0)
+        last = np.append(of[1:] != of[:-1], True)[:len(of)]
+        step = np.append(side[1:] - side[:-1], 0)[:len(of)]
         lines = self.digits[ids]
         # The next token is of the same side, of the other side, or of the next group.
         lines[:, -1] = np.where(last, 32, np.where(step == 0, ord(","), np.where(side % 2 == 0, ord("|"), ord(";"))))
         kept = lines != 32
-        return lines[kept].tobytes(), ends(np.bincount(of, weights=kept.sum(axis=1)).astype(np.int64))
-
-    def blocks_of(self, pieces: list[str]) -> list[Piece | None]:
-        """``align`` of different pieces, some of them kept from earlier."""
-        known = self.pieces
-        if len(known) > KEPT:
-            known.clear()
-        found = [known.get(p, False) for p in pieces]
-        todo = [n for n, x in enumerate(found) if x is False]
-        at = 0
-        while at < len(todo):
+        text = lines[kept].tobytes()
+        at = ends(np.bincount(of, weights=kept.sum(axis=1), minlength=n).astype(np.int64)).tolist()
+        return [text[s:e] for s, e in zip(at[:-1], at[1:], strict=True)]
+
+    def align_all(self, pieces: list[str]) -> Pieces:
+        """``align`` in parts of bounded size."""
+        parts, at = [], 0
+        while at < len(pieces) or not parts:
             stop, size = at, 0
-            while stop < len(todo) and (stop == at or size < AT_ONCE):
-                size += len(pieces[todo[stop]])
+            while stop < len(pieces) and (stop == at or size < AT_ONCE):
+                size += len(pieces[stop])
                 stop += 1
-            for n, x in zip(todo[at:stop], self.align([pieces[n] for n in todo[at:stop]]), strict=True):
-                found[n] = x
-                if len(pieces[n]) <= SHORT:
-                    known[pieces[n]] = x
-            at = stop
-        return found
+            parts.append(self.align(pieces[at:stop]))
+            at = max(stop, 1)
+        if len(parts) == 1:
+            return parts[0]
+        pairs, place = np.unique(np.concatenate([p.pairs[p.links.indices] for p in parts]), return_inverse=True)
+        links = Csr(ends(np.concatenate([np.diff(p.links.indptr) for p in parts])), place,
+                    np.concatenate([p.links.data for p in parts]), len(pairs))
+        return Pieces(np.concatenate([p.fine for p in parts]), np.concatenate([p.numbers for p in parts]),
+                      list(chain.from_iterable(p.groups for p in parts)), links, pairs)
 
 
 def byte_of() -> dict[str, int]:
@@ -296,39 +294,50 @@ DDL = ("block long, doc_id long, " + ", ".join(f"{n} long" for n in NUMBERS) + "
        "pairs array<long>, counts array<long>, starts array<int>, places array<int>, links array<int>")
 
 
-def block_rows(tok: Tokenizers, block: int, docs: list[tuple[int | None, str | None]]) -> Iterator[pa.RecordBatch]:
+def _lists(starts: np.ndarray, values: np.ndarray, kind: pa.DataType) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(values, kind))
+
+
+def block_rows(tok: Tokenizers, block: int, ids: list[pa.Array], texts: list[pa.Array]) -> Iterator[pa.RecordBatch]:
     """A row per text and one with the id pairs of the block: ``words`` and ``times`` number a text's
     pieces; row p of the CSR matrix (``starts``, ``places``, ``links``) holds the links of piece p by
     place in ``pairs``, ``counts`` are the pairs' links in all texts."""
-    number: dict[str, int] = {}
-    texts = [[number.setdefault(p, len(number)) for p in tok.split(t)] if t else [] for _, t in docs]
-    found = tok.blocks_of(list(number))
-    fine = np.array([p is not None for p in found], bool)
-    numbers = np.array([p.numbers if p else (0,) * len(NUMBERS) for p in found], np.int64).reshape(-1, len(NUMBERS))
-    used = np.zeros(len(found), np.int64)
-    rows: list[dict] = []
-    for (doc_id, _), order in zip(docs, texts, strict=True):
-        row = {"block": block, "doc_id": doc_id, "groups_sha256": "", "words": [], "times": []} | dict.fromkeys(NUMBERS, 0)
-        if order:
-            words, times = np.unique(np.array(order), return_counts=True)
-            if fine[words].all():
-                used[words] += times
-                row |= dict(zip(NUMBERS, (times @ numbers[words]).tolist(), strict=True))
-                row |= {"words": words, "times": times, "groups_sha256": hashlib.sha256(b";".join([found[w].groups for w in order])).hexdigest()}
-        rows.append(row)
-        if len(rows) == 1024:
-            yield pa.RecordBatch.from_pylist(rows, SCHEMA)
-            rows = []
-    live = [found[w] if used[w] else None for w in range(len(found))]
-    none = [np.zeros(0, np.int64)]
-    pair = np.concatenate([p.pairs for p in live if p] or none)
-    links = np.concatenate([p.times for p in live if p] or none)
-    sizes = np.array([len(p.pairs) if p else 0 for p in live], np.int64)
-    pairs, places = np.unique(pair, return_inverse=True)
-    counts = np.zeros(len(pairs), np.int64)
-    np.add.at(counts, places, links * np.repeat(used, sizes))
-    rows.append({"block": block, "pairs": pairs, "counts": counts, "starts": ends(sizes), "places": places, "links": links})
-    yield pa.RecordBatch.from_pylist(rows, SCHEMA)
+    sizes, cut = [], []
+    for part in texts:
+        flat: list[str] = []
+        for text in part.to_pylist():
+            own = tok.split(text) if text else []
+            sizes.append(len(own))
+            flat += own
+        cut.append(pa.array(flat, pa.large_string()))
+    coded = pa.concat_arrays(cut).dictionary_encode()
+    del cut
+    word = coded.indices.to_numpy().astype(np.int64)
+    found = tok.align_all(coded.dictionary.to_pylist())
+    del coded
+    starts, n = ends(np.array(sizes, np.int64)), len(sizes)
+    of = np.repeat(np.arange(n), sizes)
+    fine = (np.bincount(of[~found.fine[word]], minlength=n) == 0) & (np.diff(starts) > 0)
+    kept = fine[of]
+    key, times = np.unique(of[kept] * len(found.fine) + word[kept], return_counts=True)
+    of_word, words = np.divmod(key, max(1, len(found.fine)))
+    held = ends(np.bincount(of_word, minlength=n))
+    numbers = np.stack([row_sums(held, found.numbers[words, c] * times) for c in range(len(NUMBERS))], axis=1)
+    groups = found.groups
+    order = word.tolist()
+    digests = [hashlib.sha256(b";".join([groups[w] for w in order[starts[i]:starts[i + 1]]])).hexdigest() if fine[i] else "" for i in range(n)]
+    empty = [pa.nulls(n, SCHEMA.field(c).type) for c in SCHEMA.names[-5:]]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(np.full(n, block), pa.int64()), pa.concat_arrays(ids), *[pa.array(numbers[:, c], pa.int64()) for c in range(len(NUMBERS))],
+         pa.array(digests, pa.string()), _lists(held, words, pa.int32()), _lists(held, times, pa.int32()), *empty], schema=SCHEMA)
+    used = np.bincount(words, weights=times, minlength=len(found.fine)).astype(np.int64)
+    counts = np.zeros(len(found.pairs), np.int64)
+    np.add.at(counts, found.links.indices, found.links.data * used[found.links.rows])
+    one = lambda x, kind: _lists(np.array([0, len(x)]), x, kind)
+    rest = [pa.nulls(1, t) for t in SCHEMA.types[1:-5]]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([block], pa.int64()), *rest, one(found.pairs, pa.int64()), one(counts, pa.int64()), one(found.links.indptr, pa.int32()),
+         one(found.links.indices, pa.int32()), one(found.links.data, pa.int32())], schema=SCHEMA)
 
 
 def encode(a: bytes, b: bytes):
@@ -336,18 +345,20 @@ def encode(a: bytes, b: bytes):
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = load(a, b)
-        block, size, docs = TaskContext.get().partitionId() << 32, 0, []
+        block, size, ids, texts = TaskContext.get().partitionId() << 32, 0, [], []
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    docs.append((doc_id, text))
-                    size += len(text or "") + 64
-                    if size >= BLOCK:
-                        yield from block_rows(tok, block, docs)
-                        block, size, docs = block + 1, 0, []
-        if docs:
-            yield from block_rows(tok, block, docs)
+            at = 0
+            while at < batch.num_rows:
+                part = batch.slice(at, 64)
+                ids.append(part.column(0))
+                texts.append(part.column(1))
+                size += part.column(1).nbytes
+                at += 64
+                if size >= BLOCK:
+                    yield from block_rows(tok, block, ids, texts)
+                    block, size, ids, texts = block + 1, 0, [], []
+        if ids:
+            yield from block_rows(tok, block, ids, texts)
 
     return work
 
@@ -358,11 +369,12 @@ RESULT = ["doc_id", *NUMBERS, "groups_sha256", "n_best", "count_sum"]
 def finish(left: pa.Table, right: pa.Table) -> pa.Table:
     """The texts of a block with the corpus-wide counts of its id pairs."""
     left = left.combine_chunks()
-    summary = left.filter(pc.is_valid(left["pairs"])).to_pylist()
+    summary = left.filter(pc.is_valid(left["pairs"]))
     docs = left.filter(pc.is_null(left["pairs"])).combine_chunks()
-    right = right.sort_by("pair")
-    best, total = (right[c].to_numpy().astype(np.int64) for c in ("best", "total"))
-    starts, places, links = (np.array(summary[0][c], np.int64) for c in ("starts", "places", "links"))
+    pairs, starts, places, links = (summary[c].combine_chunks().flatten().to_numpy().astype(np.int64) for c in ("pairs", "starts", "places", "links"))
+    place = np.searchsorted(pairs, right["pair"].to_numpy())
+    best, total = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), np.int64)
+    best[place], total[place] = right["best"].to_numpy(), right["total"].to_numpy()
     words, times = (docs[c].combine_chunks().flatten().to_numpy().astype(np.int64) for c in ("words", "times"))
     cut = ends(np.array([len(x) for x in docs["words"]], np.int64)) if len(docs) else np.zeros(1, np.int64)
     out = [row_sums(cut, row_sums(starts, links * of[places])[words] * times) for of in (best, total)]
@@ -377,7 +389,7 @@ def align_documents(docs: DataFrame, tokenizers: str = TOKENIZERS) -> DataFrame:
     vocabulary_b = len(load(a, b).bytes_b)
     rows = landed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(encode(a, b), DDL), "alignment")
     held = rows.where("pairs IS NOT NULL").select("block", F.explode(F.arrays_zip("pairs", "counts")).alias("x")).select(
-        "block", F.col("x.pairs").alias("pair"), F.col("x.counts").alias("n"))
+        "block", F.col("x.pairs").alias("pair"), F.col("x.counts").alias("n")).where("n > 0")
     totals = held.groupBy("pair").agg(F.sum("n").alias("total")).withColumn("id_b", F.col("pair") % vocabulary_b)
     most = totals.groupBy("id_b").agg(F.max("total").alias("most"))
     judged = totals.join(most, "id_b").select("pair", "total", (F.col("total") == F.col("most")).cast("int").alias("best"))

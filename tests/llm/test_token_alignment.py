@@ -78,18 +78,21 @@ def test_documents_equal_brute_force(spark, tok, monkeypatch):
     assert T.align_documents(df.limit(0)).collect() == []
 
 
-def test_a_whole_text_equals_its_pieces(spark, tok):
+def test_a_whole_text_equals_its_pieces(spark, tok, monkeypatch):
     rows = spark.read.parquet(f"{SF001}/documents.parquet").select("text").limit(40).collect()
+    def links_of(found, tok):
+        return Counter(dict(zip(found.pairs.tolist(), np.bincount(found.links.indices, found.links.data, len(found.pairs)).astype(int).tolist(), strict=True)))
+
     for text in [t for _, t in ODD if t] + [r["text"] for r in rows]:
-        (whole,), parts = tok.align([text]), tok.align(tok.split(text))
-        assert (whole is None) == any(p is None for p in parts)
-        if whole:
-            links = Counter()
-            for p in parts:
-                links.update(dict(zip(p.pairs.tolist(), p.times.tolist(), strict=True)))
-            assert whole.numbers == tuple(map(sum, zip(*[p.numbers for p in parts], strict=True)))
-            assert whole.groups == b";".join(p.groups for p in parts)
-            assert dict(zip(whole.pairs.tolist(), whole.times.tolist(), strict=True)) == links
+        whole, parts = tok.align([text]), tok.align(tok.split(text))
+        assert whole.fine[0] == parts.fine.all()
+        if whole.fine[0]:
+            assert (whole.numbers[0] == parts.numbers.sum(axis=0)).all()
+            assert whole.groups[0] == b";".join(parts.groups)
+            assert links_of(whole, tok) == links_of(parts, tok)
+        monkeypatch.setattr(T, "AT_ONCE", 5)
+        again = tok.align_all(tok.split(text))
+        assert again.groups == parts.groups and (again.numbers == parts.numbers).all() and links_of(again, tok) == links_of(parts, tok)
 
 
 def test_pieces_and_whole_texts_have_the_same_tokens(tok):
