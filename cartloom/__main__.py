@@ -53,8 +53,8 @@ def main(argv: list[str] | None = None) -> dict:
     from cartloom.plans import pipelines as P
     from cartloom.session import build_session
     from cartloom.sinks.publish import write_day
-    from cartloom.sources.envelope import (documents, read_customer_envelopes, read_order_envelopes,
-                                           read_probe_totals)
+    from cartloom.sources.envelope import (documents, latest_pages, read_customer_envelopes,
+                                           read_order_envelopes, read_probe_totals)
 
     spark = build_session()
     if args.job == "payments":
@@ -67,7 +67,7 @@ def main(argv: list[str] | None = None) -> dict:
     folder = f"{args.landing.rstrip('/')}/{day:%Y%m%d}" if args.per_day_folders else args.landing
     reader = read_order_envelopes if args.job == "orders" else read_customer_envelopes
     envelopes = reader(spark, folder, multi_line=args.multi_line)
-    docs, source = documents(envelopes), read_probe_totals(spark, args.probes)
+    docs, source = documents(latest_pages(envelopes)), read_probe_totals(spark, args.probes)
     if args.job == "orders":
         run = P.run_orders(docs, source, args.out, run_dates=[day], envelopes=envelopes,
                            compat=args.compat, strict=args.strict, mode=args.mode)
@@ -75,7 +75,8 @@ def main(argv: list[str] | None = None) -> dict:
         run = P.run_customers(docs, source, args.out, run_dates=[day], envelopes=envelopes)
     verdict = [r.asDict() for r in run.verdicts.collect()]  # one row: the run date's
     summary = {"job": args.job, "run_date": f"{day:%Y%m%d}",
-               "verdict": json.loads(json.dumps(verdict, default=str)), "written": run.written}
+               "verdict": json.loads(json.dumps(verdict, default=str)), "written": run.written,
+               "version": run.version}
     print(json.dumps(summary, default=str))
     return summary
 

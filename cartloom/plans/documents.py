@@ -290,8 +290,13 @@ _LANDED: dict[tuple, str] = {}
 
 
 def landed_order_documents(spark, data_dir: str, max_items: int = MAX_ITEMS) -> DataFrame:
-    """The order documents of ``data_dir``, landed once per session as Parquet in
-    the shared checkpoint folder and read back.
+    """The order documents of ``data_dir``, read from :func:`landed_order_path`."""
+    return spark.read.parquet(landed_order_path(spark, data_dir, max_items))
+
+
+def landed_order_path(spark, data_dir: str, max_items: int = MAX_ITEMS) -> str:
+    """Folder of the order documents of ``data_dir``, landed once per session as Parquet
+    in the shared checkpoint folder.
 
     Like landed search responses, the documents are written once and read by
     every job that needs them; reads prune nested columns, so a job using only
@@ -313,4 +318,4 @@ def landed_order_documents(spark, data_dir: str, max_items: int = MAX_ITEMS) ->
         path = scratch_path(spark, "landed-order-documents")
         order_documents(t.orders, t.lineitem, max_items=max_items).write.parquet(path)
         _LANDED[key] = path
-    return spark.read.parquet(path)
+    return path

@@ -23,8 +23,8 @@ from cartloom.operators import conform as C
 from cartloom.operators import flatten as FL
 from cartloom.operators import merge as M
 from cartloom.operators import quality as Q
-from cartloom.sinks.publish import land_verdicts, publish_days, write_markers
-from cartloom.sources.envelope import broken_responses, envelope_audit
+from cartloom.sinks.publish import commit_days, land_verdicts, new_version, publish_days
+from cartloom.sources.envelope import broken_responses, request_audit
 
 
 @dataclass
@@ -36,6 +36,7 @@ class DayRun:
     verdicts: DataFrame
     quarantined: DataFrame | None = None
     written: dict[str, str] = field(default_factory=dict)
+    version: str | None = None
 
 
 def _with_run_date(df: DataFrame, created: str, modified: str, run_dates=None) -> DataFrame:
@@ -158,11 +159,13 @@ def customer_table(docs: DataFrame, run_dates=None) -> DataFrame:
 
 def _publish(run: DayRun, source: DataFrame, out: str | None, entity: str, run_dates,
              envelopes: DataFrame | None) -> DayRun:
-    """Judge the run's days and, with ``out``, publish those that pass.
+    """Judge the run's days and, with ``out``, publish those that pass as one commit.
 
     Only ``run_dates`` are judged and written (required with ``out``): rows of other days
-    in the documents are that day's business. A run whose landed responses are not whole
-    (a broken page, or fewer hits than the service reports) passes no day.
+    in the documents are that day's business. A day passes only if all its requests landed
+    whole (:func:`~cartloom.sources.envelope.request_audit`); a request of unknown day counts
+    against every day. The markers, written last, make the run's version the valid one of its
+    days; a day that does not pass is retracted.
     """
     days = sorted(run_dates or ())
     if out and not days:
@@ -170,20 +173,23 @@ def _publish(run: DayRun, source: DataFrame, out: str | None, entity: str, run_d
     if days:
         run.verdicts = run.verdicts.filter(F.col("run_date").isin(days))
     if envelopes is not None:
-        lost = envelope_audit(envelopes).agg(F.count_if(~F.col("whole"))).scalar()
-        run.verdicts = run.verdicts.withColumn("passed", F.col("passed") & (lost == 0))
+        lost = request_audit(envelopes).filter(~F.col("whole")).groupBy("request_day").agg(F.count(F.lit(1)).alias("n_lost"))
+        anywhere = lost.filter(F.col("request_day").isNull()).agg(F.coalesce(F.sum("n_lost"), F.lit(0))).scalar()
+        columns = run.verdicts.columns
+        run.verdicts = (run.verdicts.join(lost, run.verdicts["run_date"] == lost["request_day"], "left")
+                        .withColumn("passed", F.col("passed") & F.col("n_lost").isNull() & (anywhere == 0)).select(*columns))
     if out:
-        base = out.rstrip("/")
-        run.verdicts = land_verdicts(run.verdicts, f"{base}/_verdicts", entity, days)
-        run.written = publish_days(run.tables, run.verdicts, base)
-        in_run = source.filter(F.col("run_date").isin(days))
-        write_markers(in_run, run.verdicts, f"{base}/_markers", entity, days)
+        base, run.version = out.rstrip("/"), new_version()
+        run.verdicts = land_verdicts(run.verdicts, f"{base}/_verdicts", entity, run.version)
+        run.written = publish_days(run.tables, run.verdicts, base, version=run.version)
         stamp = "-".join(f"{d:%Y%m%d}" for d in (days[0], days[-1]))
         rejected = {"documents": run.quarantined,
                     "responses": broken_responses(envelopes) if envelopes is not None else None}
         for kind, rows in rejected.items():
             if rows is not None:
                 rows.write.mode("overwrite").parquet(f"{base}/_quarantine/{entity}/{kind}/{stamp}")
+        in_run = source.filter(F.col("run_date").isin(days))
+        commit_days(in_run, run.verdicts, base, entity, run.version, days, list(run.tables))
     return run
 
 
@@ -195,10 +201,11 @@ def run_orders(docs: DataFrame, source: DataFrame, out: str | None = None, *,
     ``source``: the service's per-day totals (``run_date, total_created,
     total_modified, total_records``), from its probe responses
     (:func:`~cartloom.sources.envelope.read_probe_totals`). With ``envelopes`` (the landed
-    responses the documents come from) the run also fails if these are not whole. With
-    ``out`` the passing run dates are published under ``out/<entity>/``, verdicts under
+    responses the documents come from) a day also fails if one of its requests is not whole.
+    With ``out`` the passing run dates are published under ``out/<entity>/``, verdicts under
     ``out/_verdicts``, markers under ``out/_markers`` and rejected documents and responses
-    under ``out/_quarantine``; files and markers of other days stay as they are.
+    under ``out/_quarantine``; files and markers of other days stay as they are. Read the
+    published rows with :func:`~cartloom.sinks.publish.read_published`.
     """
     tables = order_tables(docs, sep=".", compat=compat, strict=strict, run_dates=run_dates)
     audit = Q.day_counts(tables["orders"], "run_date", "order_order_no", "order_creation_date",

@@ -31,11 +31,13 @@ from cartloom.plans import documents as D
 from cartloom.plans.pipelines import (backfill_payments, customer_table, extract_day,
                                       merge_day_files, order_tables, run_orders, slice_schemas,
                                       source_totals_of)
-from cartloom.schemas import CUSTOMER_LADDER, DAY_COUNT_LOG_KEYS, ORDER_LADDER
-from cartloom.session import scratch_path
+from cartloom.schemas import (CUSTOMER_LADDER, DAY_COUNT_LOG_KEYS, ORDER_COLUMNS, ORDER_LADDER,
+                              REQUEST_ECHO)
+from cartloom.session import scratch_path, session_key
 from cartloom.sources.calendar import day_spine, day_spine_of
-from cartloom.sources.envelope import (envelope_audit, explode_hits, parse_json_column,
-                                       read_envelopes)
+from cartloom.sinks.publish import current_markers, published_files, read_published
+from cartloom.sources.envelope import (envelope_audit, explode_hits, latest_pages, parse_json_column,
+                                       read_envelopes, request_audit)
 from cartloom.sources.flatfiles import read_pipe_csv, write_pipe_csv
 from cartloom.sources.search import search
 from cartloom.sources.tables import Tables
@@ -156,6 +158,64 @@ def q_envelope_audit(spark, d):
     return envelope_audit(pages.join(totals, "conv_id"), by=("conv_id",))
 
 
+#: Requests of the conversations: pages of so many turns; the second page is lost for one
+#: remainder class and landed late for a part of it, the first one landed twice for another.
+REQUEST_PAGE, LOST_PAGE_OF, LATE_PAGE_OF, TWICE_OF = 2, 17, 34, 5
+
+
+def _landed_requests(spark, d) -> DataFrame:
+    """Conversations landed as the pages of one request each, in two landings."""
+    v = Tables(spark, d).conversations
+    numbered = SL.row_numbers(v, ["conv_id"], ["turn", "role", "text"], "rn")
+    page = F.floor((F.col("rn") - 1) / REQUEST_PAGE).cast("bigint")
+    pages = (numbered.groupBy("conv_id", page.alias("page"))
+             .agg(F.count(F.lit(1)).alias("count"), F.collect_list(F.struct(F.struct("turn", "role", "text").alias("data"))).alias("hits")))
+    totals = v.groupBy("conv_id").agg(F.count(F.lit(1)).alias("total"))
+    span = F.struct(F.lit("conversation").alias("field"), F.col("conv_id").cast("string").alias("from"), F.col("conv_id").cast("string").alias("to"))
+    query = F.struct(F.struct(F.struct(span.alias("range_filter")).alias("filter")).alias("filtered_query"))
+    responses = pages.join(totals, "conv_id").select(
+        "conv_id", "page", "total", "count", (F.col("page") * REQUEST_PAGE).alias("start"), query.alias("query"), "hits")
+    lost = (F.col("page") == 1) & (F.col("conv_id") % LOST_PAGE_OF == 5)
+    late = (lost & (F.col("conv_id") % LATE_PAGE_OF == 5)) | ((F.col("page") == 0) & (F.col("conv_id") % TWICE_OF == 2))
+    path = scratch_path(spark, "conversation-requests")
+    for name, rows in (("first", responses.filter(~lost)), ("second", responses.filter(late))):
+        rows.drop("conv_id", "page").write.json(f"{path}/{name}")
+    schema = T.StructType([f for f in responses.schema.fields if f.name in ("total", "count", "start", "hits")]
+                          + [T.StructField("query", REQUEST_ECHO)])
+    return read_envelopes(spark, f"{path}/*", schema)
+
+
+SQL_REQUESTS = f"""
+WITH p AS (SELECT *, (row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1) // {REQUEST_PAGE} AS page
+           FROM conversations),
+k AS (SELECT * FROM p WHERE NOT (page = 1 AND conv_id % {LOST_PAGE_OF} = 5 AND conv_id % {LATE_PAGE_OF} <> 5))"""
+
+
+@register("request_audit", SQL_REQUESTS + f""",
+t AS (SELECT conv_id, count(*) AS expected, max(page) AS pages FROM p GROUP BY conv_id),
+l AS (SELECT conv_id, count(DISTINCT page) AS n_pages, count(*) AS landed FROM k GROUP BY conv_id)
+SELECT CAST(conv_id AS VARCHAR) AS conversation, n_pages,
+       CASE WHEN conv_id % {TWICE_OF} = 2 THEN 1 ELSE 0 END
+         + CAST(0 AS BIGINT) AS n_repeats, expected, landed,
+       CAST(CASE WHEN landed < expected THEN 2 ELSE 0 END AS BIGINT) AS n_breaks, landed = expected AS whole
+FROM t JOIN l USING (conv_id)
+""")
+def q_request_audit(spark, d):
+    """Completeness of every request over its landed files: contiguous offsets, the last
+    landing of a page counts (SRC1, AGG1)."""
+    audit = request_audit(_landed_requests(spark, d))
+    return audit.select(F.split("request", " ")[1].alias("conversation"), "n_pages", "n_repeats", "expected", "landed",
+                        "n_breaks", "whole")
+
+
+@register("request_hits", SQL_REQUESTS + """
+SELECT turn, role, text FROM k
+""")
+def q_request_hits(spark, d):
+    """Hits of the last landing of every page (SRC1)."""
+    return explode_hits(latest_pages(_landed_requests(spark, d)), keep=())
+
+
 # --------------------------------------------------------------------------
 # Flatten family (PRJ1, PRJ2, PRJ10, JON1-JON4, FUN12, FUN13)
 # --------------------------------------------------------------------------
@@ -1047,6 +1107,82 @@ def q_publish_run_day(spark, d):
     return back.select("order_order_no", "order_creation_date", "order_last_modified")
 
 
+#: A re-run of three days: the first fails now, of the second one remainder class of orders
+#: (of their number modulo ``GONE_OF``) is gone, the third is not part of it.
+RERUN_DAYS = ("1996-09-17", "1996-09-18", "1996-09-19")
+GONE_OF = 3
+
+
+_RERUN: dict[tuple[str, str], str] = {}
+
+
+def _rerun(spark, d) -> str:
+    """The order job for three days, then again for two of them; the folder published to
+    (once per session and landed documents)."""
+    key = (session_key(spark), D.landed_order_path(spark, d))
+    if key not in _RERUN:
+        _RERUN[key] = _published_twice(spark, _docs(spark, d))
+    return _RERUN[key]
+
+
+def _published_twice(spark, docs) -> str:
+    out = scratch_path(spark, "publish-rerun")
+    days = [dt.date.fromisoformat(x) for x in RERUN_DAYS]
+    stamps = [F.to_date(F.col(c)).isin(days) for c in ("creation_date", "last_modified")]
+    docs = docs.filter(stamps[0] | stamps[1])
+    run_orders(docs, source_totals_of(docs), out, run_dates=days, mode="and")
+    fewer = docs.filter(F.col("order_no").cast("bigint") % GONE_OF != 0)
+    wrong = F.when(F.col("run_date") == F.lit(days[0]), F.lit(1).cast("bigint")).otherwise(F.lit(0))
+    totals = source_totals_of(fewer)
+    totals = totals.withColumn("total_created", F.col("total_created") + wrong).withColumn("total_modified", F.col("total_modified") + wrong)
+    run_orders(fewer, totals, out, run_dates=days[:2], mode="and")
+    return out
+
+
+SQL_RERUN = f"""
+WITH {SQL_HEADERS},
+f AS (SELECT CAST(c AS DATE) AS d, order_no FROM h UNION SELECT CAST(m AS DATE), order_no FROM h WHERE m IS NOT NULL),
+s AS (SELECT * FROM f WHERE d = DATE '{RERUN_DAYS[2]}'
+      UNION ALL SELECT * FROM f WHERE d = DATE '{RERUN_DAYS[1]}' AND CAST(order_no AS BIGINT) % {GONE_OF} <> 0)"""
+
+
+@register("publish_rerun", SQL_RERUN + """
+SELECT strftime(d, '%Y-%m-%d') AS run_date, order_no AS order_order_no FROM s
+""")
+def q_publish_rerun(spark, d):
+    """What readers see after a re-run: the retracted day is gone, the repeated one shows its
+    new version only, the other one stays (SNK2, SNK3, DQ3)."""
+    out = _rerun(spark, d)
+    text = T.StructType([T.StructField(c, T.StringType()) for c in ORDER_COLUMNS])
+    rows = read_published(spark, out, "orders", text)
+    return rows.select(day_text("run_date").alias("run_date"), "order_order_no")
+
+
+@register("publish_markers", SQL_RERUN + f""",
+t AS (SELECT d, CAST(sum(n) AS BIGINT) AS total FROM (
+        SELECT CAST(c AS DATE) AS d, order_no, 1 AS n FROM h UNION ALL SELECT CAST(m AS DATE), order_no, 1 FROM h WHERE m IS NOT NULL)
+      WHERE d = DATE '{RERUN_DAYS[2]}' OR (d = DATE '{RERUN_DAYS[1]}' AND CAST(order_no AS BIGINT) % {GONE_OF} <> 0) GROUP BY d)
+SELECT strftime(d, '%Y-%m-%d') AS run_date, total, 'published' AS state,
+       CAST(CASE WHEN d = DATE '{RERUN_DAYS[1]}' THEN 2 ELSE 1 END AS BIGINT) AS seq
+FROM t
+""")
+def q_publish_markers(spark, d):
+    """Markers that hold after a re-run, with the number of the day's commits (SNK5)."""
+    marks = current_markers(spark, _rerun(spark, d))
+    return marks.select(day_text("run_date").alias("run_date"), "total", "state", "seq")
+
+
+@register("publish_manifest", SQL_RERUN + """
+SELECT strftime(d, '%Y-%m-%d') AS run_date, 'orders' AS table_name, true AS has_bytes FROM s GROUP BY d
+""")
+def q_publish_manifest(spark, d):
+    """Days with files of the published order table, by the metadata of its folder (SNK4)."""
+    files = published_files(spark, _rerun(spark, d), "orders")
+    table = F.regexp_extract("file_path", "/([^/]+)/run_date=", 1)
+    return (files.groupBy(day_text("run_date").alias("run_date"), table.alias("table_name"))
+            .agg((F.sum("n_bytes") > 0).alias("has_bytes")))
+
+
 @register("slice_files_merge", SQL_RUN_DAY)
 def q_slice_files_merge(spark, d):
     """The file-based flow for one day: both stamp fields extracted into one folder per

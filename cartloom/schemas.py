@@ -105,11 +105,17 @@ CUSTOMER_DOCUMENT = _struct(
 
 
 def envelope_schema(document: T.StructType) -> T.StructType:
-    """Search response: ``{total, count, start, hits: [{data: document}]}``."""
-    return _struct(("total", L), ("count", L), ("start", L),
+    """Search response: ``{total, count, start, hits: [{data: document}]}``, with the request's
+    range filter if the response repeats it (``query``)."""
+    return _struct(("total", L), ("count", L), ("start", L), ("query", REQUEST_ECHO),
                    ("hits", T.ArrayType(_struct(("data", document)))))
 
 
+#: The range filter of a request as its response repeats it.
+REQUEST_ECHO = _struct(("filtered_query", _struct(("filter", _struct(
+    ("range_filter", _struct(("field", S), ("from", S), ("to", S))))))))
+
+
 ORDER_ENVELOPE = envelope_schema(ORDER_DOCUMENT)
 CUSTOMER_ENVELOPE = envelope_schema(CUSTOMER_DOCUMENT)
 

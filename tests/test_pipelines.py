@@ -61,7 +61,8 @@ def test_run_orders_publishes_passing_day_with_marker(spark, order_docs, tmp_dir
     assert [(m["entity"], m["run_date"], m["state"]) for m in marks] == [("orders", D, "published")]
     assert spark.read.parquet(os.path.join(tmp_dir, "_quarantine/orders/documents/*")).count() == 1
     files = manifest(spark, os.path.join(tmp_dir, "orders"))
-    assert {r["folder_name"] for r in files.collect()} == {"run_date=2024-03-10"}
+    assert {(r["run_date"], r["folder_name"]) for r in files.collect()} == {(D, f"version={run.version}")}
+    assert all(r["n_bytes"] == os.path.getsize(r["file_path"].removeprefix("file:")) for r in files.collect())
     from pyspark.sql import types as T
 
     text_schema = T.StructType([T.StructField(f.name, T.StringType() if "date" in f.name
