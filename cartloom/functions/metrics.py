@@ -43,3 +43,26 @@ def read_metric_lines(spark, path: str) -> DataFrame:
     lines = spark.read.text(path)
     return (lines.select(metric_name("value").alias("metric"), metric_value("value").alias("value"))
             .filter(F.col("value").isNotNull()))
+
+
+#: The run that a log file belongs to: the first day in its path.
+RUN_IN_PATH = r"(\d{4}-?\d{2}-?\d{2})"
+
+
+def read_run_metrics(spark, path: str, run: str = RUN_IN_PATH) -> DataFrame:
+    """Counts of log files, one row per run and metric (FUN14): ``run, metric, value, n_values``.
+
+    ``run`` is a pattern whose first group names the run in a file's path; files without it are
+    runs of their own (by path). Of a metric that a run logged several times the last line
+    counts: of the file that was modified last, the last one in the file (by split, then by
+    line), so a re-run's counts win. One scan and one partial aggregate; lines are not moved.
+    """
+    at = "_metadata."
+    lines = spark.read.text(path).select(
+        "value", F.monotonically_increasing_id().alias("row"), F.col(f"{at}file_path").alias("file"),
+        F.col(f"{at}file_modification_time").alias("written"), F.col(f"{at}file_block_start").alias("split"))
+    found = lines.select("row", "file", "written", "split", metric_name("value").alias("metric"), metric_value("value").alias("value"))
+    key = F.coalesce(F.nullif(F.regexp_extract("file", run, 1), F.lit("")), F.col("file"))
+    return (found.filter(F.col("value").isNotNull()).groupBy(key.alias("run"), "metric")
+            .agg(F.max_by("value", F.struct("written", "file", "split", "row")).alias("value"),
+                 F.count(F.lit(1)).alias("n_values")))

@@ -77,13 +77,28 @@ def override_constant(df: DataFrame, name: str,
     return with_constant(df, name, value, T.StringType())
 
 
+def number_text(value: Column, dtype: T.DataType) -> Column:
+    """The plain text of a number, as a float prints: ``100.0`` for a decimal 100.00,
+    ``12345678.5`` (no exponent from 0.0001 up to 1e16); whole types as they are."""
+    if isinstance(dtype, T.DecimalType):
+        text = value.cast("string")
+    elif isinstance(dtype, (T.DoubleType, T.FloatType)):
+        size = F.abs(value)
+        plain = (size >= 1e-4) & (size < 1e16)
+        # The shortest digits of the number, written out.
+        text = F.when(plain, value.cast("string").try_cast("decimal(38,21)").cast("string")).otherwise(value.cast("string"))
+    else:
+        return value.cast("string")
+    text = F.regexp_replace(text, r"(\.\d+?)0+$", "$1")
+    return F.when(text.rlike(r"^-?\d+$"), F.concat(text, F.lit(".0"))).otherwise(text)
+
+
 def as_text(df: DataFrame, names: Iterable[str]) -> DataFrame:
-    """Cast chosen columns to text; null stays null (PRJ8). Decimals print as the number
-    they are (``100.0``), not with the digits of their type (``100.00``)."""
+    """Cast chosen columns to text; null stays null (PRJ8). Numbers with a fraction print
+    as :func:`number_text` does."""
     names = set(names)
-    decimal = {f.name for f in df.schema.fields if isinstance(f.dataType, T.DecimalType)}
-    return df.select(*[((ref(n).cast("double") if n in decimal else ref(n)).cast("string").alias(n)
-                        if n in names else ref(n)) for n in df.columns])
+    return df.select(*[number_text(ref(n), df.schema[n].dataType).alias(n) if n in names else ref(n)
+                       for n in df.columns])
 
 
 def fill_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:

@@ -258,13 +258,32 @@ def _first_item(docs: DataFrame) -> DataFrame:
         .select(*version, "f.item_id", "f.n_adj")
 
 
+def _by_parts(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Documents that are a whole order, and those that are a part of one (``doc_parts``)."""
+    if "doc_parts" not in docs.columns:
+        return docs, None
+    part = F.coalesce(F.col("doc_parts") > 1, F.lit(False))
+    return docs.filter(~part), docs.filter(part)
+
+
 def first_item_adjustments(docs: DataFrame, sep: str = "_", strict: bool = False) -> DataFrame:
     """Price adjustments of the **first** shipping item only (JON3): one null row
     when that item has none; later items' adjustments are ignored.
 
-    A large order may come as several documents: its first item is the one with the least
+    A document is an order, so this is one ``explode_outer`` without a shuffle. Only orders
+    that come as several documents are aggregated: their first item is the one with the least
     id, its adjustments are those of all documents, and the null row is one per order."""
-    docs = valid_documents(docs, strict)
+    whole, parts = _by_parts(valid_documents(docs, strict))
+    first = F.get(F.col("shipping_items"), 0)
+    rows = whole.select(F.col("order_no").alias("order_order_no"),
+                        F.explode_outer(first.getField("price_adjustments")).alias("pa"))
+    if parts is not None:
+        rows = rows.unionByName(_joined_adjustments(parts))
+    return flatten_struct(rows, "pa", prefix="price_adjustments_", sep=sep, keep=["order_order_no"])
+
+
+def _joined_adjustments(docs: DataFrame) -> DataFrame:
+    """First-item adjustments of orders in parts: ``order_order_no, pa``."""
     first = F.get(F.col("shipping_items"), 0)
     items = docs.select(*_version(docs), first.getField("item_id").alias("item_id"),
                         first.getField("price_adjustments").alias("adjustments"))
@@ -274,8 +293,7 @@ def first_item_adjustments(docs: DataFrame, sep: str = "_", strict: bool = False
         F.col("i.order_no").alias("order_order_no"), F.explode("adjustments").alias("pa"))
     none = chosen.filter("n_adj = 0").select(F.col("order_no").alias("order_order_no"),
                                              F.lit(None).cast(some.schema["pa"].dataType).alias("pa"))
-    return flatten_struct(some.unionByName(none), "pa", prefix="price_adjustments_", sep=sep,
-                          keep=["order_order_no"])
+    return some.unionByName(none)
 
 
 def entity_product(docs: DataFrame, strict: bool = False) -> DataFrame:
@@ -308,7 +326,17 @@ def entity_product_size(docs: DataFrame, strict: bool = False) -> DataFrame:
     counted once. Use this to size or audit the full product; the product itself emits every
     combination inside a document and is meant for single slices.
     """
-    docs = valid_documents(docs, strict)
+    whole, parts = _by_parts(valid_documents(docs, strict))
+    size = lambda arr: F.greatest(F.coalesce(F.size(arr), F.lit(0)), F.lit(1)).cast("bigint")
+    first = F.get(F.col("shipping_items"), 0).getField("price_adjustments")
+    n = (size(_probe(whole, "payment_instruments")) * size(_probe(whole, "shipments"))
+         * size(_probe(whole, "shipping_items")) * size(first.getField("_type")) * size(_probe(whole, "product_items")))
+    rows = whole.select("order_no", n.alias("n_rows"))
+    return rows if parts is None else rows.unionByName(_joined_product_size(parts))
+
+
+def _joined_product_size(docs: DataFrame) -> DataFrame:
+    """:func:`entity_product_size` of orders in parts."""
     size = lambda arr: F.greatest(F.coalesce(F.size(arr), F.lit(0)), F.lit(0))
     ids = lambda arr, name: F.array_sort(F.coalesce(
         F.col(arr).getField(name), F.array().cast("array<string>")))

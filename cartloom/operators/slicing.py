@@ -17,7 +17,9 @@ down a ladder of widths to 1 s; an over-full second is paged (or, for orders in
 ends at 23:59:59 (closed), a refined last slice loses its tail (``int(899/300)``
 sub-slices), and orders over ``cap`` in one second are cut to ``cap``.
 Refinement decisions count half-open slices (a stamp exactly on a boundary is
-counted once, in the later slice).
+counted once, in the later slice), or with ``closed=True`` the closed ranges that
+the requests ask for: a stamp exactly on a boundary counts in both neighbours, and
+:func:`closed_capture` returns it from both requests.
 """
 
 from __future__ import annotations
@@ -114,9 +116,15 @@ def _tail_cut(ladder: Sequence[int]) -> int:
 
 
 def _second_levels(df: DataFrame, ts: str, ladder: Sequence[int], cap: int,
-                   by: Sequence[str], compat: bool) -> DataFrame:
+                   by: Sequence[str], compat: bool, closed: bool = False) -> DataFrame:
     """Per (by, second): records ``n`` (after compat losses) and the chosen slice
-    (``level_seconds``, ``slice_start``) of that second, plus ``p0``."""
+    (``level_seconds``, ``slice_start``) of that second, plus ``p0``.
+
+    With ``closed`` (N1) the records exactly on a second also get a row in the second
+    before it, with that stamp as ``edge``: there they count for every slice that ends at
+    the stamp, at any level, by sums over the same windows. Rows whose chosen slice does
+    not end at their edge are left out.
+    """
     ladder = [int(w) for w in ladder]
     if any(DAY % w for w in ladder) or any(a % b for a, b in zip(ladder, ladder[1:])):
         raise ValueError("ladder widths must divide a day and each other")
@@ -128,9 +136,24 @@ def _second_levels(df: DataFrame, ts: str, ladder: Sequence[int], cap: int,
     # N2: the closed day end 23:59:59 drops what follows it in the last second.
     n_eff = (F.col("n_exact") + F.when(off < DAY - 1, F.col("n_frac")).otherwise(F.lit(0))) \
         if compat else n_all
-    base = sc.select(*_cols(by), "sec", off.alias("off"), n_eff.alias("n"), *parents)
+    no_edge = F.lit(None).cast("timestamp_ntz")
+    base = sc.select(*_cols(by), "sec", off.alias("off"), n_eff.alias("n"), no_edge.alias("edge"))
+    if closed:
+        edges = sc.filter((F.col("n_exact") > 0) & (off > 0)).select(
+            *_cols(by), add_seconds(F.col("sec"), -1).alias("sec"), (off - 1).alias("off"), F.col("n_exact").alias("n"),
+            F.col("sec").alias("edge"))
+        base = base.unionByName(edges)
+    base = base.select("*", *parents)
     key0 = [*_cols(by), F.col("p0")]
-    base = base.withColumn("c0", F.sum("n").over(Window.partitionBy(*key0)))
+
+    def in_slice(i: int) -> Column:
+        """What a row counts for its slice of level i."""
+        if not closed:
+            return F.col("n")
+        ends_here = F.col("edge").isNull() | (F.col("edge") == add_seconds(F.col(f"p{i}"), ladder[i]))
+        return F.when(ends_here, F.col("n")).otherwise(F.lit(0))
+
+    base = base.withColumn("c0", F.sum(in_slice(0)).over(Window.partitionBy(*key0)))
     if compat and len(ladder) > 1:
         # N3: a refined last slice is cut into int((w0 - 1) / w1) parts; the tail is lost.
         cut = _tail_cut(ladder)
@@ -138,7 +161,7 @@ def _second_levels(df: DataFrame, ts: str, ladder: Sequence[int], cap: int,
         base = base.withColumn("n", F.when(lost, F.lit(0)).otherwise(F.col("n")))
     for i in range(1, len(ladder)):
         key = key0 + [F.col(f"p{j}") for j in range(1, i + 1)]
-        base = base.withColumn(f"c{i}", F.sum("n").over(Window.partitionBy(*key)))
+        base = base.withColumn(f"c{i}", F.sum(in_slice(i)).over(Window.partitionBy(*key)))
     base = base.filter(F.col("n") > 0)
     level = F.lit(len(ladder) - 1)
     for i in reversed(range(len(ladder) - 1)):
@@ -146,22 +169,29 @@ def _second_levels(df: DataFrame, ts: str, ladder: Sequence[int], cap: int,
     base = base.withColumn("lvl", level)
     width = F.element_at(F.array(*[F.lit(w) for w in ladder]), F.col("lvl") + 1)
     start = F.element_at(F.array(*[F.col(f"p{i}") for i in range(len(ladder))]), F.col("lvl") + 1)
-    return base.select(*_cols(by), "sec", "p0", width.alias("level_seconds"),
-                       start.alias("slice_start"), "n")
+    out = base.select(*_cols(by), "sec", "p0", width.alias("level_seconds"),
+                      start.alias("slice_start"), "n", "edge")
+    if not closed:
+        return out.drop("edge")
+    return out.filter(F.col("edge").isNull() | (F.col("edge") == add_seconds(F.col("slice_start"), F.col("level_seconds"))))
 
 
 def adaptive_slices(df: DataFrame, ts: str, ladder: Sequence[int] = ORDER_LADDER,
                     cap: int = PAGE_SIZE, by: Sequence[str] = (), compat: bool = False,
-                    cut_seconds: bool = False, page_size: int = PAGE_SIZE) -> DataFrame:
-    """Slices a day is fetched in, chosen by refinement (WIN3/WIN4, N3-N5).
+                    cut_seconds: bool = False, page_size: int = PAGE_SIZE,
+                    closed: bool = False) -> DataFrame:
+    """Slices a day is fetched in, chosen by refinement (WIN3/WIN4, N1, N3-N5).
 
     A slice with ``n >= cap`` is refined to the next ladder width; 1-s slices are
     final. Columns: ``by..., level_seconds, slice_start, slice_end, n`` (records
     in the slice), ``n_captured`` (records the requests return: ``n`` unless
     ``compat`` and ``cut_seconds`` cut a 1-s slice to ``cap``) and ``n_pages``.
+    ``closed`` counts ranges with both bounds, as the service is asked (``compat`` only).
     """
+    if closed and not compat:
+        raise ValueError("closed bounds are part of compat mode")
     ladder = [int(w) for w in ladder]
-    chosen = _second_levels(df, ts, ladder, cap, by, compat)
+    chosen = _second_levels(df, ts, ladder, cap, by, compat, closed)
     out = (chosen.groupBy(*_cols(by), "p0", "level_seconds", "slice_start")
            .agg(F.sum("n").alias("n"))
            .select(*_cols(by), "level_seconds", "slice_start",
@@ -240,6 +270,31 @@ def compat_capture(df: DataFrame, ts: str, ladder: Sequence[int] = ORDER_LADDER,
     return rows.drop("_day")
 
 
+def closed_capture(df: DataFrame, ts: str, ladder: Sequence[int] = ORDER_LADDER,
+                   cap: int = PAGE_SIZE, by: Sequence[str] = (), sort: Sequence[str] = (),
+                   cut_seconds: bool = True) -> DataFrame:
+    """Every record as often as the reference's requests return it (N1-N3, N5): once per
+    request whose closed range holds it, so twice if it lies exactly on the boundary of two.
+
+    Adds ``level_seconds, slice_start, slice_end``. Records meet the slices of their own
+    second, and of the second before if they end at the record's stamp, in one equi-join on
+    (by, second). ``cut_seconds`` keeps the first ``cap`` records (by ``sort``) of a 1-s request.
+    """
+    ladder = [int(w) for w in ladder]
+    levels = _second_levels(df, ts, ladder, cap, by, compat=True, closed=True).select(
+        *_cols(by), F.coalesce("edge", "sec").alias("_sec"), F.col("edge").isNotNull().alias("_edge"),
+        "level_seconds", "slice_start")
+    t = ref(ts)
+    rows = df.filter(t <= add_seconds(floor_to(t, DAY), DAY - 1)).withColumn("_sec", floor_to(t, 1))
+    out = rows.join(levels, on=[*by, "_sec"]).filter(~F.col("_edge") | (t == F.col("_sec")))
+    out = out.drop("_sec", "_edge")
+    if cut_seconds:
+        second = F.col("level_seconds") == ladder[-1]
+        cut = cap_per_group(out.filter(second), [*by, "slice_start"], list(sort) or [ts], cap)
+        out = out.filter(~second).unionByName(cut)
+    return out.withColumn("slice_end", add_seconds(F.col("slice_start"), F.col("level_seconds")))
+
+
 # --------------------------------------------------------------------------
 # Paging (WIN5, WIN6, WIN7, SRT3)
 # --------------------------------------------------------------------------
@@ -347,5 +402,5 @@ def cap_per_group(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequ
 
 
 __all__ = ["fixed_slices", "slice_grid", "sub_slices", "second_counts", "adaptive_slices",
-           "assign_slices", "compat_capture", "page_offsets", "row_numbers", "assign_pages",
+           "assign_slices", "compat_capture", "closed_capture", "page_offsets", "row_numbers", "assign_pages",
            "cap_per_group"]

@@ -169,7 +169,7 @@ def document_parts(lineitem: DataFrame, max_items: int = MAX_ITEMS) -> DataFrame
     n_parts = F.ceil(F.col("_n") / F.lit(int(max_items)))
     part = F.when(F.col("_n") <= max_items, F.lit(0).cast("bigint")) \
         .otherwise(F.pmod(F.xxhash64("_rid"), n_parts))
-    return (tagged.withColumn("doc_part", part).drop("_n", "_rid")
+    return (tagged.withColumn("doc_part", part).withColumn("doc_parts", n_parts.cast("bigint")).drop("_n", "_rid")
             .repartition("l_orderkey", "doc_part"))
 
 
@@ -185,11 +185,12 @@ def line_arrays(lineitem: DataFrame, max_items: int = MAX_ITEMS, products: bool
     parts = document_parts(lineitem, max_items)
     if not shipping:
         return parts.groupBy("l_orderkey", "doc_part").agg(
-            F.max("_lm_order").alias("_lm"),
+            F.max("_lm_order").alias("_lm"), F.max("doc_parts").alias("doc_parts"),
             F.sort_array(F.collect_list(_product_item())).alias("product_items"))
     grp = (F.col("l_suppkey") % 3).cast("string")
     # last_modified is the whole order's latest ship date, even for a split order
-    level1 = [F.max("_lm_order").alias("_lm"), F.collect_list(_adjustment()).alias("_adjs")]
+    level1 = [F.max("_lm_order").alias("_lm"), F.max("doc_parts").alias("doc_parts"),
+              F.collect_list(_adjustment()).alias("_adjs")]
     if products:
         level1.append(F.collect_list(_product_item()).alias("_prods"))
     g = parts.groupBy("l_orderkey", "doc_part", grp.alias("grp")).agg(*level1)
@@ -200,7 +201,7 @@ def line_arrays(lineitem: DataFrame, max_items: int = MAX_ITEMS, products: bool
                     adjs.alias("price_adjustments"))
     ship = F.struct(F.lit("shipment").alias("_type"),
                     F.concat(F.lit("S"), F.col("grp")).alias("shipment_id"))
-    level2 = [F.max("_lm").alias("_lm"),
+    level2 = [F.max("_lm").alias("_lm"), F.max("doc_parts").alias("doc_parts"),
               F.sort_array(F.collect_list(ship)).alias("shipments"),
               F.sort_array(F.collect_list(item)).alias("shipping_items")]
     if products:
@@ -238,7 +239,7 @@ def order_documents(orders: DataFrame, lineitem: DataFrame, *, products: bool =
     if products or shipping:
         arrays = line_arrays(lineitem, max_items, products, shipping)
         docs = orders.join(arrays, orders.o_orderkey == arrays.l_orderkey, "left")
-        cols = head + [F.col("_lm").alias("last_modified")] + tail
+        cols = head + [F.col("_lm").alias("last_modified"), F.coalesce("doc_parts", F.lit(1)).alias("doc_parts")] + tail
         if shipping:
             d_ship, d_item = _default_shipping()
             cols += [F.coalesce(F.col("shipments"), d_ship).alias("shipments"),

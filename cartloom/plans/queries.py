@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from cartloom.functions.labels import (day_file_name, path_part_from_end, slice_label,
                                       substitute_run_date)
-from cartloom.functions.metrics import metric_lines, metric_name, metric_value
+from cartloom.functions.metrics import metric_lines, metric_name, metric_value, read_run_metrics
 from cartloom.functions.timefmt import (add_seconds, bad_stamp, day_text, default_run_date,
                                         pacific_text, parse_run_date, parse_utc, run_date_text,
                                         to_pacific, utc_text)
@@ -27,19 +27,20 @@ from cartloom.operators import flatten as FL
 from cartloom.operators import merge as M
 from cartloom.operators import quality as Q
 from cartloom.operators import slicing as SL
+from cartloom.operators.drift import document_keys, key_drift, read_variants
 from cartloom.plans import documents as D
 from cartloom.plans.pipelines import (backfill_payments, customer_table, extract_day,
                                       merge_day_files, order_tables, run_orders, slice_schemas,
                                       source_totals_of)
-from cartloom.schemas import (CUSTOMER_LADDER, DAY_COUNT_LOG_KEYS, ORDER_COLUMNS, ORDER_LADDER,
-                              REQUEST_ECHO)
+from cartloom.schemas import (CUSTOMER_LADDER, DAY_COUNT_LOG_KEYS, ORDER_COLUMNS, ORDER_DOCUMENT,
+                              ORDER_LADDER, REQUEST_ECHO)
 from cartloom.session import scratch_path, session_key
 from cartloom.sources.calendar import day_spine, day_spine_of
 from cartloom.sinks.publish import current_markers, published_files, read_published
 from cartloom.sources.envelope import (envelope_audit, explode_hits, latest_pages, parse_json_column,
                                        read_envelopes, request_audit)
-from cartloom.sources.flatfiles import read_pipe_csv, write_pipe_csv
-from cartloom.sources.search import search
+from cartloom.sources.flatfiles import read_pipe_csv, read_pipe_csv_by_name, write_pipe_csv
+from cartloom.sources.search import deep_page, search
 from cartloom.sources.tables import Tables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -578,6 +579,28 @@ def q_union_by_name(spark, d):
     return M.union_by_name(a, b)
 
 
+@register("union_files", """
+SELECT event_id, ts, user_id, value, CAST(NULL AS VARCHAR) AS event_type, CAST(NULL AS VARCHAR) AS props,
+       CAST(NULL AS VARCHAR) AS edition FROM events WHERE event_type IN ('click', 'view')
+UNION ALL
+SELECT event_id, ts, CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE), event_type, props, NULL
+FROM events WHERE event_type NOT IN ('click', 'view') AND event_id % 3 <> 0
+UNION ALL
+SELECT event_id, ts, user_id, CAST(NULL AS DOUBLE), event_type, CAST(NULL AS VARCHAR), 'second'
+FROM events WHERE event_type NOT IN ('click', 'view') AND event_id % 3 = 0
+""")
+def q_union_files(spark, d):
+    """Slice files of three layouts in one folder (columns reordered, absent and new), united
+    by name with typed nulls (SET1, SRC3)."""
+    e = Tables(spark, d).events
+    first, third = F.col("event_type").isin("click", "view"), F.col("event_id") % 3 == 0
+    path = scratch_path(spark, "union-files")
+    write_pipe_csv(e.filter(first).select("event_id", "ts", "user_id", "value"), f"{path}/a")
+    write_pipe_csv(e.filter(~first & ~third).select("props", "event_type", "ts", "event_id"), f"{path}/b")
+    write_pipe_csv(e.filter(~first & third).select("event_id", "user_id", F.lit("second").alias("edition"), "event_type", "ts"), f"{path}/c")
+    return read_pipe_csv_by_name(spark, path, e.schema)
+
+
 LINE_COLS = ", ".join(D.LINE_COLS)
 
 
@@ -866,6 +889,27 @@ def q_page_cap(spark, d):
     return paged.select("event_id", "day", "ts", (F.col("page_no") == 0).alias("in_page"))
 
 
+@register("page_first", """
+SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, ts FROM events
+QUALIFY row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY ts, event_id) <= 20
+""")
+def q_page_first(spark, d):
+    """The first 20 records of every day: a group limit before the exchange (WIN7, SRT3)."""
+    e = Tables(spark, d).events.select("event_id", day_text("ts").alias("day"), "ts")
+    return SL.cap_per_group(e, ["day"], ["ts", "event_id"], 20)
+
+
+@register("search_deep", """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, count(*) OVER () AS total, row_number() OVER (ORDER BY ts, event_id) AS rn FROM events)
+WHERE rn > total * 9 // 10 AND rn <= total * 9 // 10 + 200
+""")
+def q_search_deep(spark, d):
+    """A page of 200 at nine tenths of all events, found by counts of ranges (SRC2, SRT4)."""
+    e = Tables(spark, d).events
+    return deep_page(e, ["ts", "event_id"], e.count() * 9 // 10, 200)
+
+
 @register("search_all", """
 SELECT *, (SELECT count(*) FROM events) AS total FROM events ORDER BY ts, event_id LIMIT 200
 """)
@@ -1183,6 +1227,37 @@ def q_publish_manifest(spark, d):
             .agg((F.sum("n_bytes") > 0).alias("has_bytes")))
 
 
+#: Drift put into landed order documents: a new key, a new nested key and a retyped one, for
+#: orders of a remainder class each.
+NEW_KEY_OF, NESTED_KEY_OF, RETYPED_OF = 97, 89, 83
+
+
+@register("key_drift", f"""
+WITH c AS (SELECT strftime(o_orderdate, '%Y-%m-%d') AS run_date, o_orderkey AS k FROM orders)
+SELECT run_date, 'c_giftNote' AS path, 'unknown' AS problem, 'STRING' AS found, count(*) AS n
+FROM c WHERE k % {NEW_KEY_OF} = 3 GROUP BY 1
+UNION ALL
+SELECT run_date, 'customer_info.c_tier', 'unknown', 'BIGINT', count(*) FROM c WHERE k % {NESTED_KEY_OF} = 3 GROUP BY 1
+UNION ALL
+SELECT run_date, 'order_total', 'retyped', 'STRING', count(*) FROM c WHERE k % {RETYPED_OF} = 3 GROUP BY 1
+""")
+def q_key_drift(spark, d):
+    """Unknown and retyped keys of landed order documents, per day (PRJ1, PRJ5)."""
+    docs = _docs(spark, d).drop("doc_parts")
+    of = lambda n: F.col("order_no").cast("bigint") % n == 3
+    tier = F.when(of(NESTED_KEY_OF), F.lit(2))
+    docs = (docs.withColumn("customer_info", F.col("customer_info").withField("c_tier", tier))
+            .withColumn("c_giftNote", F.when(of(NEW_KEY_OF), F.lit("a note"))))
+    texts = docs.withColumn("order_total", F.col("order_total").cast("string"))
+    path = scratch_path(spark, "drifted-responses")
+    for name, rows in (("a", docs.filter(~of(RETYPED_OF))), ("b", texts.filter(of(RETYPED_OF)))):
+        data = F.struct(*[F.col(c) for c in rows.columns])
+        rows.select(F.lit(1).alias("total"), F.array(F.struct(data.alias("data"))).alias("hits")).write.json(f"{path}/{name}")
+    landed = read_variants(spark, f"{path}/*").withColumn(
+        "run_date", F.substring(F.try_variant_get("data", "$.creation_date", "string"), 1, 10))
+    return key_drift(document_keys(landed, ["run_date"]), ORDER_DOCUMENT)
+
+
 @register("slice_files_merge", SQL_RUN_DAY)
 def q_slice_files_merge(spark, d):
     """The file-based flow for one day: both stamp fields extracted into one folder per
@@ -1230,6 +1305,28 @@ def q_log_metrics(spark, d):
                         metric_name("line").alias("metric"), metric_value("line").alias("value"))
 
 
+@register("log_metrics_scan", f"""
+WITH {SQL_HEADERS},
+{SQL_DAY_ROWS},
+{SQL_DAY_COUNTS},
+y AS (SELECT strftime(d, '%Y') || '-01-01' AS run, {", ".join(f"sum({c}) AS {c}" for c, _ in LOG_METRICS)} FROM dc GROUP BY 1)
+{" UNION ALL ".join(f"SELECT run, '{name}' AS metric, CAST({col} AS BIGINT) AS value, CAST(2 AS BIGINT) AS n_values FROM y"
+                    for col, name in LOG_METRICS)}
+""")
+def q_log_metrics_scan(spark, d):
+    """Yearly counts logged by two runs as text files, scanned back: the second run's counts
+    win (FUN14)."""
+    dc = _day_counts(spark, d)
+    year = F.concat(F.date_format("run_date", "yyyy"), F.lit("-01-01"))
+    sums = dc.groupBy(year.alias("run_date")).agg(*[F.sum(c).alias(n) for c, n in LOG_METRICS])
+    path = scratch_path(spark, "run-logs")
+    for wrong in (1, 0):
+        run = sums.select("run_date", *[(F.col(n) + wrong).alias(n) for _, n in LOG_METRICS])
+        lines = metric_lines(run, ["run_date"], [n for _, n in LOG_METRICS])
+        lines.repartition("run_date").write.mode("append").partitionBy("run_date").text(path)
+    return read_run_metrics(spark, path)
+
+
 @register("slice_labels", """
 WITH s AS (SELECT DISTINCT time_bucket(INTERVAL '15 minutes', ts) AS slice_start FROM events),
 e AS (SELECT slice_start,
@@ -1466,6 +1563,58 @@ def q_slice_adaptive_compat(spark, d):
     return s.select("level_seconds", "slice_start", "slice_end", "n", "n_captured")
 
 
+def sql_closed(ladder, cap: int, select: str) -> str:
+    """Oracle for closed bounds: every event with all requests that return it, level by level;
+    an event exactly on a boundary belongs to both parts."""
+    levels, day = [], 86400
+    for k, w in enumerate(ladder):
+        if k == 0:
+            source, start, parts = "(SELECT * FROM e WHERE us - d <= 86399000000)", "d", day // w
+        else:
+            source, start, parts = f"(SELECT * FROM m{k - 1} WHERE c >= {cap})", "s", ladder[k - 1] // w
+        if k == 1:
+            parts = f"CASE WHEN s - d = {(day - ladder[0]) * 10**6} THEN {(ladder[0] - 1) // w} ELSE {parts} END"
+        u = w * 10**6
+        levels.append(f"""m{k} AS (
+  SELECT *, count(*) OVER (PARTITION BY s) AS c FROM (
+    SELECT event_id, ts, us, d, {start} + i * {u} AS s FROM (
+      SELECT *, {parts} AS parts, unnest(CASE WHEN (us - {start}) % {u} = 0
+        THEN [(us - {start}) // {u}, (us - {start}) // {u} - 1] ELSE [(us - {start}) // {u}] END) AS i
+      FROM {source}) WHERE i >= 0 AND i < parts))""")
+    last = len(ladder) - 1
+    chosen = " UNION ALL ".join(
+        f"SELECT event_id, ts, {w} AS level_seconds, make_timestamp(s) AS slice_start, c AS n FROM m{k}"
+        + (f" WHERE c < {cap}" if k < last else "") for k, w in enumerate(ladder))
+    return f"""
+WITH e AS (SELECT event_id, ts, epoch_us(ts) AS us, epoch_us(CAST(CAST(ts AS DATE) AS TIMESTAMP)) AS d FROM events),
+{", ".join(levels)},
+r AS ({chosen})
+{select}
+"""
+
+
+@register("slice_adaptive_closed", sql_closed(CUSTOMER_LADDER, TEST_CAP, """
+SELECT level_seconds, slice_start, slice_start + to_seconds(level_seconds) AS slice_end, count(*) AS n
+FROM r GROUP BY ALL"""))
+def q_slice_adaptive_closed(spark, d):
+    """The customer ladder with the closed ranges of the requests: a stamp on a boundary counts
+    in both slices (WIN4, FLT1, N1-N3)."""
+    s = SL.adaptive_slices(Tables(spark, d).events, "ts", CUSTOMER_LADDER, cap=TEST_CAP, compat=True, closed=True)
+    return s.select("level_seconds", "slice_start", "slice_end", "n")
+
+
+@register("closed_capture", sql_closed(ORDER_LADDER, TEST_CAP, f"""
+SELECT event_id, level_seconds, slice_start FROM r
+QUALIFY level_seconds > {ORDER_LADDER[-1]}
+  OR row_number() OVER (PARTITION BY level_seconds, slice_start ORDER BY ts, event_id) <= {TEST_CAP}"""))
+def q_closed_capture(spark, d):
+    """Every event as often as the order requests return it, with closed ranges and full
+    seconds cut to the cap (WIN3, FLT1, N1-N3, N5)."""
+    e = Tables(spark, d).events.select("event_id", "ts")
+    got = SL.closed_capture(e, "ts", ORDER_LADDER, cap=TEST_CAP, sort=["ts", "event_id"])
+    return got.select("event_id", "level_seconds", "slice_start")
+
+
 def sql_assignment(ladder, cap: int) -> str:
     """Oracle for slice assignment: each event with its second's chosen slice."""
     k = len(ladder)

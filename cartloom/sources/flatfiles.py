@@ -6,7 +6,12 @@ columns such as customer numbers keep their leading zeros.
 
 from __future__ import annotations
 
+import csv
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 NTZ_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
@@ -42,3 +47,41 @@ def read_pipe_csv(spark: SparkSession, path: str, schema: T.StructType,
     if path_glob:
         reader = reader.option("pathGlobFilter", path_glob)
     return reader.csv(path)
+
+
+def header_catalogue(spark: SparkSession, path: str, path_glob: str | None = "*.csv") -> DataFrame:
+    """The header line of every file below a folder: ``file_path, header`` (SRC3).
+
+    A text scan from whose first split of each file only the least row leaves the task
+    (partial aggregate); a file without a line has no row.
+    """
+    reader = spark.read.option("recursiveFileLookup", "true")
+    if path_glob:
+        reader = reader.option("pathGlobFilter", path_glob)
+    lines = reader.text(path).select("value", F.col("_metadata.file_path").alias("file_path"),
+                                     F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("row"))
+    return lines.filter("at = 0").groupBy("file_path").agg(F.min_by("value", "row").alias("header"))
+
+
+def read_pipe_csv_by_name(spark: SparkSession, path: str, schema: T.StructType,
+                          path_glob: str | None = "*.csv", extra: bool = True) -> DataFrame:
+    """Union by column name of all ``|`` files of a folder, whatever their headers (SRC3, SET1).
+
+    Files are scanned once per distinct header, with the types of ``schema``, and the scans are
+    united by name: columns that a file lacks are null. Columns that ``schema`` does not name
+    come last, as text and in order of name (with ``extra=False`` they are left out). The driver
+    holds the file names, as the file listing of any scan does.
+    """
+    known = {f.name: f.dataType for f in schema.fields}
+    files: dict[str, list[str]] = {}
+    for file_path, header in header_catalogue(spark, path, path_glob).collect():
+        files.setdefault(header, []).append(re.sub(r"([][{}*?\\])", r"\\\1", unquote(file_path)))
+    names = {h: next(csv.reader([h], delimiter="|")) for h in files}
+    more = sorted({n for found in names.values() for n in found} - set(known)) if extra else []
+    out = T.StructType([*[T.StructField(n, t) for n, t in known.items()], *[T.StructField(n, T.StringType()) for n in more]])
+    rows = spark.createDataFrame([], out)
+    for header, paths in sorted(files.items()):
+        own = T.StructType([T.StructField(n, known.get(n, T.StringType())) for n in names[header]])
+        scan = spark.read.schema(own).options(**READ_OPTIONS).csv(paths)
+        rows = rows.unionByName(scan.select(*[F.col(f"`{n}`") for n in names[header] if n in known or n in more]), allowMissingColumns=True)
+    return rows
