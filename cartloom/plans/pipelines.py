@@ -23,6 +23,7 @@ from cartloom.operators import conform as C
 from cartloom.operators import flatten as FL
 from cartloom.operators import merge as M
 from cartloom.operators import quality as Q
+from cartloom.session import scratch_path
 from cartloom.sinks.publish import commit_days, land_verdicts, new_version, publish_days
 from cartloom.sources.envelope import broken_responses, request_audit
 
@@ -267,6 +268,10 @@ def extract_day(docs: DataFrame, run_date: str, out: str, field: str = "creation
     day = docs.withColumn("_ts", stamp).filter(F.to_date("_ts") == F.to_date(F.lit(run_date)))
     sliced = SL.assign_slices(day, "_ts", ladder, cap, sort=["creation_date", "order_no"])
     sliced = sliced.withColumn("slice_start", F.date_format("slice_start", "HH_mm_ss"))
+    # Four tables are cut from the same slices: they are assigned and landed once.
+    path = scratch_path(docs.sparkSession, "sliced-documents")
+    sliced.write.parquet(path)
+    sliced = docs.sparkSession.read.schema(sliced.schema).parquet(path)
     carry = ["slice_start"]
     tables = {"orders": FL.order_rows(sliced, sep=".", carry=carry),
               "products": FL.product_rows(sliced, sep=".", carry=carry),
