@@ -287,9 +287,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     size: int = SHINGLE, threshold: float = THRESHOLD,
-                    recall: float = RECALL, with_text: bool = False) -> DataFrame:
+                    recall: float = RECALL, with_text: bool = False, links: bool = True) -> DataFrame:
     """``doc_id, class_id, n_links, n_copies``, one row per document; ``with_text`` adds ``th``,
-    a hash of its text that tells documents of one id apart."""
+    a hash of its text that tells documents of one id apart. Without ``links`` the classes are
+    the same, but the links within them are not counted (no ``n_links``)."""
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                         F.col(f"`{text_col}`").cast("string").alias("text"))
     signed = landed(signatures(texts.withColumn("th", F.xxhash64("text")), *banding(threshold, recall), size), "join-signatures")
@@ -326,8 +327,8 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     star = bucket.where("sid <> pivot").select(F.least("pivot", "sid").alias("a"),
                                                F.greatest("pivot", "sid").alias("b")).distinct()
     star = landed(star, "join-star")
-    links = landed(_verified(star, full, threshold), "join-links")
-    label = landed(components(links), "join-labels")
+    paired = landed(_verified(star, full, threshold), "join-links")
+    label = landed(components(paired), "join-labels")
     # Sets of one bucket in different classes, in blocks of signatures.
     placed = bucket.select("key", "sid").join(label.withColumnRenamed("node", "sid"), "sid", "left").select(
         "key", "sid", F.coalesce("label", "sid").alias("label"))
@@ -366,14 +367,15 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     across = (sided.groupBy("key", "x", "y").applyInArrow(meet, "a binary, b binary").distinct()
               .join(star, ["a", "b"], "left_anti"))
     more = landed(_verified(across, full, threshold), "join-links-across")
-    every = links.unionByName(more)
+    every = paired.unionByName(more)
     label = landed(components(every), "join-classes")
-    degree = landed(degrees(label, full, threshold), "join-degrees")
+    degree = landed(degrees(label, full, threshold), "join-degrees") if links else None
     classed = (sets.select("sid", "rep", "copies").join(label.withColumnRenamed("node", "sid"), "sid", "left")
                .withColumn("label", F.coalesce("label", "sid")))
     least = landed(classed.groupBy("label").agg(F.min("rep").alias("class_id")), "join-least")
-    known = landed(landed(classed, "join-classed").join(least, "label").join(degree, "sid", "left")
-                   .select("sid", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), "copies"), "join-known")
+    known = landed(classed, "join-classed").join(least, "label")
+    known = known.join(degree, "sid", "left") if links else known.withColumn("n_links", F.lit(0).cast("long"))
+    known = landed(known.select("sid", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), "copies"), "join-known")
     # Rows without an id or a word take no part and must not all meet on the null key.
     out = use.select("doc_id", "th", "sid").join(known, "sid").select(
         "doc_id", "class_id", "n_links", (F.col("copies") - 1).alias("n_copies"), "th")
@@ -381,7 +383,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"),
         F.lit(0).cast("long").alias("n_copies"), "th")
     every = out.unionByName(alone)
-    return every if with_text else every.drop("th")
+    return every.drop(*([] if with_text else ["th"]), *([] if links else ["n_links"]))
 
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

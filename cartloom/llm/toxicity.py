@@ -4,17 +4,19 @@ A word is the sum of three hashed embeddings (two hashes of the word, so that a
 of one hash is outvoted by the other, and its first four bytes). Filters of widths 1 to 3 run
 over the words, each keeps its largest value in the text, and a logistic layer gives the
 score. The network is trained in numpy with AdaGrad on a bounded sample of labelled texts
-(``SAMPLE`` per class, chosen by hash), then its output is fitted to the labels' real rate on
-labelled texts outside the training sample (``CALIBRATE`` at most); the same texts give every
-language its own threshold (the best F1). Training data goes to the driver as hashed words of
-that bounded sample; every document is scored inside Spark tasks.
+(``SAMPLE`` per class, chosen by hash; one text of an id, at most ``LETTERS`` characters
+together), then its output is fitted to the labels' real rate on labelled texts outside the
+training sample (``CALIBRATE`` at most). Every language has its own threshold, the best F1 over
+all its labelled texts that did not train, from a histogram of their scores. Training data goes
+to the driver as hashed words of the bounded sample; every document is scored inside Spark tasks.
 
 Words are lower-cased runs of letters, digits and non-ASCII characters.
 
 Edge cases: a null or wordless text gets the score of a text without any filter response;
 without labelled texts of both classes every score is the share of class 1 (0 without labels);
-a label repeated for an id counts once (the larger); texts are used whole, in groups of about
-2 MB. Repeated rows are scored alike; extra columns are ignored; an empty table gives an empty
+a label repeated for an id counts once (the larger), and of the texts of a drawn id the one of
+least hash trains; a language without labelled texts of both classes has the threshold 0.3; texts
+are used whole, in groups of about 2 MB. Repeated rows are scored alike; extra columns are ignored; an empty table gives an empty
 result.
 """
 
@@ -24,10 +26,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cartloom.llm.common import table
+from cartloom.llm.common import landed, table
 from cartloom.llm.tokens import PUNCTUATION, Words, groups, mix64, span_hashes
 
 SLOTS = 1 << 16
@@ -37,6 +39,10 @@ FILTERS = 8
 #: Labelled texts per class that train the network, and that calibrate its output.
 SAMPLE = 2500
 CALIBRATE = 2500
+#: Characters of all texts of one use and class that go to the driver, as hashed words.
+LETTERS = 1 << 25
+#: Steps of the score histogram that thresholds are found on, and the threshold without labels.
+STEPS, DEFAULT_AT = 1000, 0.3
 EPOCHS = 8
 BATCH = 32
 STEP = 0.15
@@ -182,21 +188,24 @@ def calibrate(net: Network, z: np.ndarray, labels: np.ndarray) -> None:
     net.scale, net.offset = float(max(a, 1e-3)), float(b)
 
 
-def best_threshold(scores: np.ndarray, labels: np.ndarray) -> float:
-    """The score from which on F1 is best; 0.3 if a class is missing."""
-    if labels.min(initial=1) == labels.max(initial=0):
-        return 0.3
-    order = np.argsort(-scores, kind="stable")
-    hit = np.cumsum(labels[order])
-    f1 = 2 * hit / (np.arange(1, len(order) + 1) + labels.sum())
-    k = int(np.argmax(f1))
-    below = scores[order[k + 1]] if k + 1 < len(order) else 0.0
-    return float((scores[order[k]] + below) / 2)
-
-
-def fit(docs: DataFrame, labels: DataFrame) -> tuple[Network, dict[str | None, float]]:
-    """Network and thresholds by language from ``docs`` (doc_id, text, lang) and ``labels``
-    (doc_id, toxic)."""
+def best_thresholds(scored: DataFrame) -> DataFrame:
+    """``lang, at``: the threshold of the best F1 of every language with both classes, from
+    ``lang, score, toxic`` rows. Rows are counted by language and step of the score, pre-aggregated;
+    a language is a group of at most ``STEPS`` + 1 rows after that."""
+    steps = scored.groupBy("lang", F.floor(F.col("score") * STEPS).alias("step")).agg(
+        F.count("*").alias("n"), F.sum(F.col("toxic").cast("long")).alias("hits"))
+    above = Window.partitionBy("lang").orderBy(F.desc("step")).rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy("lang")
+    sums = steps.select("lang", "step", F.sum("n").over(above).alias("taken"), F.sum("hits").over(above).alias("found"),
+                        F.sum("n").over(whole).alias("n"), F.sum("hits").over(whole).alias("hits"))
+    f1 = 2 * F.col("found") / (F.col("taken") + F.col("hits"))
+    return (sums.where("hits > 0 AND hits < n").groupBy("lang")
+            .agg((F.max_by("step", F.struct(f1, "step")) / STEPS).alias("at")))
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[Network, DataFrame]:
+    """Network from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic), and the labels of the
+    ids that did not train it (one per id)."""
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.withColumn("draw", F.xxhash64("doc_id"))
     # Bounded: SAMPLE rows per class and CALIBRATE more of both, as they come in hash order.
@@ -213,12 +222,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Network, dict[str | None, f
             for _, _, raws in groups(t and t.lower() for t in part["text"]):
                 slots, of = word_slots(raws)
                 found += [slots[:, a:b].tobytes() for a, b in zip(of[:-1], of[1:], strict=True)]
-            yield pd.DataFrame({"doc_id": part["doc_id"], "lang": part["lang"], "toxic": part["toxic"],
-                                "use": part["use"], "slots": found})
-
-    rows = (docs.select("doc_id", "text", "lang").join(F.broadcast(picks.drop("draw")), "doc_id")
-            .select("doc_id", "text", "lang", F.col("toxic").cast("int"), "use")
-            .mapInPandas(hashed, "doc_id long, lang string, toxic int, use string, slots binary").collect())
+            yield pd.DataFrame({"doc_id": part["doc_id"], "toxic": part["toxic"], "use": part["use"], "slots": found})
+
+    # One text of a drawn id, so there are no more rows than draws; then as many as fit.
+    drawn = docs.select("doc_id", "text").join(F.broadcast(picks), "doc_id")
+    one = landed(drawn.groupBy("doc_id", "toxic", "use", "draw").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t"))
+                 .select("doc_id", F.col("toxic").cast("int").alias("toxic"), "use", "draw", "t.text"), "toxicity-drawn")
+    fill = Window.partitionBy("use", "toxic").orderBy("draw", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    within = one.select("doc_id", F.sum(F.coalesce(F.length("text"), F.lit(0))).over(fill).alias("letters")).where(F.col("letters") <= LETTERS)
+    rows = (one.join(within, "doc_id", "left_semi").select("doc_id", "text", "toxic", "use")
+            .mapInPandas(hashed, "doc_id long, toxic int, use string, slots binary").collect())
     rows.sort(key=lambda r: (r["doc_id"], r["slots"]))
     read = lambda r: np.frombuffer(r["slots"], np.uint16).reshape(3, -1)
     fitting = [r for r in rows if r["use"] == "train"]
@@ -227,16 +240,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Network, dict[str | None, f
         net = Network()
         net.out[:] = 0
         net.offset = -500.0 if not y.any() else 500.0
-        return net, {}
+        return net, known.select("doc_id", "toxic")
     net = train([read(r) for r in fitting], y)
     held = [r for r in rows if r["use"] == "calibrate"] or fitting
     z = np.array([net.logits(s, np.array([0, s.shape[1]]))[0] for s in map(read, held)])
     truth = np.array([r["toxic"] for r in held], np.float64)
     calibrate(net, z, truth)
-    p = 1 / (1 + np.exp(-np.clip(z * net.scale + net.offset, -500, 500)))
-    langs = np.array([r["lang"] or "" for r in held])
-    thresholds = {lang or None: best_threshold(p[langs == lang], truth[langs == lang]) for lang in sorted(set(langs))}
-    return net, thresholds
+    trained = F.broadcast(picks.where("use = 'train'").select("doc_id"))
+    return net, known.join(trained, "doc_id", "left_anti").select("doc_id", "toxic")
 
 
 def score(net: Network, text: Column) -> Column:
@@ -256,10 +267,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
     fold = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(4))
-    net, thresholds = fit(docs, labels.where(fold != 2))
-    own = F.lit(0.3)
-    for lang, at in thresholds.items():
-        own = F.when(F.col("lang").eqNullSafe(F.lit(lang)), F.lit(at)).otherwise(own)
-    scored = docs.select("doc_id", (fold == 2).alias("held_out"), "lang", score(net, F.col("text")).alias("score"))
-    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"),
-                         (F.col("score") >= own).alias("toxic_by_language"))
+    net, others = fit(docs, labels.where(fold != 2))
+    scored = landed(docs.select("doc_id", (fold == 2).alias("held_out"), "lang", score(net, F.col("text")).alias("score")), "toxicity-scores")
+    by_lang = best_thresholds(scored.join(others, "doc_id")).select(F.col("lang").alias("of_lang"), "at")
+    own = F.coalesce("at", F.lit(DEFAULT_AT))
+    return scored.join(by_lang, F.col("lang").eqNullSafe(F.col("of_lang")), "left").select(
+        "doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        (F.col("score") >= own).alias("toxic_by_language"))

@@ -71,6 +71,32 @@ def test_toxicity_odd_inputs(spark, tmp_path):
     assert net.scores(["anything", None]).tolist() == [1.0, 1.0]
 
 
+def test_toxicity_trains_on_one_text_of_an_id_and_a_bounded_sample(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, y: seen.append(len(texts)) or toxicity.Network())
+    docs = spark.range(3000).selectExpr("id % 2 AS doc_id", "concat('text ', id) AS text", "'en' AS lang")
+    docs = docs.unionByName(spark.range(2, 60).selectExpr("id AS doc_id", "'some more words' AS text", "'de' AS lang"))
+    labels = spark.range(60).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS toxic")
+    _, others = toxicity.fit(docs, labels)
+    assert 40 < seen[-1] <= 60 and others.count() == 60 - seen[-1]
+    monkeypatch.setattr(toxicity, "LETTERS", 100)
+    toxicity.fit(docs, labels)
+    assert 2 <= seen[-1] <= 20
+
+
+def test_thresholds_come_from_all_scores_of_a_language(spark):
+    rng = np.random.default_rng(3)
+    rows = [(lang, float(np.round(rng.uniform() * 0.7 + 0.3 * hit * (lang == "a"), 3)), int(hit)) for lang in ("a", None) for hit in rng.integers(0, 2, 300)]
+    rows += [("none", 0.5, 0)] * 5 + [("all", 0.5, 1)] * 5
+    df = spark.createDataFrame(rows, "lang string, score double, toxic int")
+    got = {r["lang"]: r["at"] for r in toxicity.best_thresholds(df).collect()}
+    assert set(got) == {"a", None}
+    for lang, at in got.items():
+        own = [(s, y) for name, s, y in rows if name == lang]
+        f1 = lambda t: 2 * sum(y for s, y in own if s >= t) / (sum(s >= t for s, _ in own) + sum(y for _, y in own))
+        assert f1(at) > max(f1(k / 1000) for k in range(1001)) - 0.01
+
+
 def test_pooling_never_crosses_texts():
     net = toxicity.Network()
     net.bias = [np.full(toxicity.FILTERS, 1.0, np.float32) for _ in toxicity.WIDTHS]
