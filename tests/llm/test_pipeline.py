@@ -81,3 +81,13 @@ def test_another_text_of_a_dropped_id_stays(spark):
     got = P.near_duplicates(spark, df, "")
     assert got.columns == df.columns
     assert sorted(tuple(r) for r in got.collect()) == [rows[0], rows[2]]
+
+
+def test_survivors_of_repeated_rows_are_fixed(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, text, "es", "s2", 1), (1, text, "de", "s9", 1), (1, text, "de", "s1", 1),
+            (None, text, "en", "s", 1), (None, text, "en", "s", 1), (None, None, "en", "s", 1)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    for order in (rows, rows[::-1]):
+        got = P.near_duplicates(spark, spark.createDataFrame(order, schema).repartition(3), "")
+        assert sorted((tuple(r) for r in got.collect()), key=str) == sorted([rows[2], *rows[3:]], key=str)
