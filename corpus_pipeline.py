@@ -4,7 +4,7 @@ last returns the columns of ``documents``."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartloom.llm.common import table
@@ -30,13 +30,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     spare = (jaccard_classes(docs, with_text=True, links=False).where("doc_id <> class_id")
              .select("doc_id", "th").distinct().alias("s"))
     same = (F.col("d.doc_id") == F.col("s.doc_id")) & (F.xxhash64("d.text") == F.col("s.th"))
-    kept = docs.alias("d").join(spare, same, "left_anti")
-    # Only the rows of ids that repeat are compared with each other.
-    again = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    order = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
-    rank = F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("text"), "text").orderBy(*order))
-    first = kept.join(again, "doc_id", "left_semi").select(*docs.columns).withColumn("_rank", rank).where("_rank = 1").drop("_rank")
-    return kept.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(first)
+    kept = docs.where("doc_id IS NOT NULL").alias("d").join(spare, same, "left_anti")
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    least = kept.groupBy("doc_id", "text").agg(F.min(F.struct(*[F.col(f"`{c}`") for c in rest])).alias("_least"))
+    first = least.select("doc_id", "text", *[F.col("_least").getField(c).alias(c) for c in rest])
+    return first.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
