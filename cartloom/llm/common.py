@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from cartloom.session import scratch_path
 
+#: Removes the shuffle files of a SQL execution at its end.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -17,10 +20,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def landed(df: DataFrame, name: str) -> DataFrame:
     """``df`` written under the shared scratch folder and read back: cuts the lineage
-    in files that survive a lost executor."""
+    in files that survive a lost executor. Nothing reads the shuffle files of the write
+    again, so Spark removes them at its end instead of at some later garbage collection."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
