@@ -50,7 +50,8 @@ from cartloom.llm.tokens import SPACES, Words, groups, mix64, slide
 SHINGLE = 5
 THRESHOLD = 0.8
 RECALL = 0.999
-#: Most MinHash values that bands may use, and how many a signature keeps a byte of.
+#: MinHash values that bands should use at most (more where the recall needs them), and how many
+#: a signature keeps a byte of.
 MAX_HASHES = 128
 HASHES = 512
 DEVIATIONS = 4.5
@@ -63,14 +64,15 @@ LINK_BYTES = 1 << 25
 
 def banding(threshold: float = THRESHOLD, recall: float = RECALL, most: int = MAX_HASHES) -> tuple[int, int]:
     """(bands, rows): the most rows per band, hence the fewest chance meetings, that reach
-    ``recall`` at the threshold with at most ``most`` hashes."""
-    best = (most, 1)
+    ``recall`` at the threshold with at most ``most`` hashes; if bands of one row need more than
+    these, as many of them as it takes."""
+    best = None
     for rows in range(1, most + 1):
         chance = threshold ** rows
-        if chance < 1e-9:
+        if best and chance < 1e-9:
             break
         bands = math.ceil(math.log(1 - recall) / math.log1p(-chance)) if chance < 1 else 1
-        if bands * rows <= most:
+        if best is None or bands * rows <= most:
             best = (bands, rows)
     return best
 

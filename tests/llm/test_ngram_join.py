@@ -58,6 +58,8 @@ def test_banding_reaches_its_recall():
     for threshold in (0.6, 0.8, 0.9):
         bands, rows = banding(threshold, 0.99, 256)
         assert bands * rows <= 256 and 1 - (1 - threshold ** rows) ** bands >= 0.99
+    bands, rows = banding(0.02, 0.999, 128)  # more than 128 hashes are needed
+    assert rows == 1 and 1 - (1 - 0.02) ** bands >= 0.999
 
 
 def test_components_of_chains_and_stars(spark):
