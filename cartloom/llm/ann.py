@@ -5,21 +5,24 @@ hold about ``LEAF`` vectors of the table. It is fitted on a bounded sample (``FI
 hash); every vector of the table is then put into its leaf. A query walks the tree with a
 priority queue: the unexplored node with the nearest centre comes first, and leaves are visited
 until their calibrated number is reached. The number is the least one that finds ``RECALL`` of
-the true neighbours of held-back sample vectors. Visited leaves are compared exactly.
+the true neighbours among held-back vectors (one in ``HELD_BACK`` of the sample, which the tree
+is not fitted on). Visited leaves are compared exactly. Vectors of every length have a tree of
+their own, fitted on their share of the sample; a length that the sample misses is one leaf.
 
 Nearness is the cosine in double precision, ties go to the smaller id. Queries are the rows
-whose id is divisible by ``EVERY``; a query's own row is no candidate.
+whose id is divisible by ``EVERY``; a query's own row is no candidate, all other rows of its length are.
 
 Scale: leaves and the queries that visit them are compared in blocks of about ``CHUNK`` vectors
 (several small leaves or a part of a large one) and ``QUERIES`` queries, so a leaf that holds a
 third of all vectors is spread over many tasks; each block hands on only the best of each query. The driver holds the sample, the tree and one
-count per leaf (leaves are at most ``FIT`` / 16).
-
-Edge cases: vectors that are null, empty, zero or hold null or non-finite components, rows with
-a null id, and vectors of another length than most take no part; of rows that repeat an id the
-least vector counts. A query with fewer candidates than ``k`` gets all of them; a query is
-given more leaves than calibrated if these hold too few vectors. Extra columns are ignored;
-an empty table gives an empty result.
+count per leaf (leaves are at most ``FIT`` / 16, and one more per length).
+
+Edge cases: vectors that are null, empty, zero or hold null or non-finite components, and rows
+with a null id take no part. Rows that repeat an id count one by one: each is a candidate, and
+each is a query with ranks of its own (under the same ``query_id``) for which the others are
+candidates. A query with fewer candidates than ``k`` gets all of them, without any it has no
+row; a query is given more leaves than calibrated if these hold too few vectors. Extra columns
+are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -35,8 +38,10 @@ from pyspark.sql import functions as F
 from cartloom.llm.common import landed, table
 
 FIT = 16_384
-#: The sample's vectors together hold at most this many components.
+#: The sample's vectors together hold about this many components at most.
 FIT_VALUES = 1 << 21
+#: Every so many sample vectors one is kept out of the fit, for the calibration.
+HELD_BACK = 4
 BRANCH = 8
 LEAF = 256
 PROBES = 256
@@ -116,34 +121,74 @@ class Tree:
                     heapq.heappush(queue, (d, c))
 
 
-def calibrated_visits(tree: Tree, sample: np.ndarray, probes: int, recall: float, k: int) -> int:
-    """Least number of visited leaves that finds ``recall`` of the ``k`` nearest sample vectors
-    of ``probes`` of them."""
-    n = min(probes, len(sample))
+def calibrated_visits(tree: Tree, held: np.ndarray, probes: int, recall: float, k: int) -> int:
+    """Least number of visited leaves that finds ``recall`` of the ``k`` nearest among the
+    vectors ``held`` for ``probes`` of them."""
+    n = min(probes, len(held))
     if n == 0 or tree.leaves == 1:
         return 1
-    leaf = tree.assign(sample)
+    leaf = tree.assign(held)
     depth = []
     for i in range(n):
-        close = sample @ sample[i]
+        close = held @ held[i]
         close[i] = -np.inf
         best = np.argsort(-close, kind="stable")[:k]
-        when = {leaf_id: t for t, leaf_id in enumerate(tree.search(sample[i]), 1)}
+        when = {leaf_id: t for t, leaf_id in enumerate(tree.search(held[i]), 1)}
         depth += [when[x] for x in leaf[best[close[best] > -np.inf]]]
-    return int(np.quantile(depth, recall, method="higher")) if depth else 1
+    # Too few vectors to tell: all leaves.
+    return int(np.quantile(depth, recall, method="higher")) if depth else tree.leaves
+
+
+class Forest:
+    """A calibrated tree for every length of vectors; leaves are numbered over all trees."""
+
+    def __init__(self, lengths: list[int], sample: list[list[float]], total: int, recall: float, k: int):
+        self.trees: dict[int, Tree] = {}
+        self.first: dict[int, int] = {}
+        self.visits: dict[int, int] = {}
+        self.leaves = 0
+        leaf_rows = max(16, round(LEAF * len(sample) / max(1, total)))
+        of: dict[int, list[list[float]]] = {n: [] for n in lengths}
+        for v in sample:
+            of[len(v)].append(v)
+        for n in lengths:
+            x = normalised(np.array(of[n])) if of[n] else np.zeros((0, n))
+            back = np.arange(len(x)) % HELD_BACK == HELD_BACK - 1
+            tree = self.trees[n] = Tree(x[~back], max(1, leaf_rows - leaf_rows // HELD_BACK))
+            self.first[n] = self.leaves
+            self.visits[n] = calibrated_visits(tree, x[back], PROBES, recall, k)
+            self.leaves += tree.leaves
+
+    def assign(self, vectors: pd.Series) -> np.ndarray:
+        lengths = vectors.map(len).to_numpy()
+        leaf = np.zeros(len(vectors), np.int32)
+        for n in np.unique(lengths).tolist():
+            at = np.flatnonzero(lengths == n)
+            leaf[at] = self.first[n] + self.trees[n].assign(normalised(_matrix(vectors.iloc[at])))
+        return leaf
+
+    def visited(self, vector: np.ndarray, sizes: np.ndarray, least: int) -> Iterator[int]:
+        """Leaves that a query visits: the calibrated number, and more until they hold more
+        than ``least`` vectors; those without vectors are left out."""
+        n, held = len(vector), 0
+        q = np.asarray(vector, np.float64)
+        for seen, leaf in enumerate(self.trees[n].search(q / np.linalg.norm(q))):
+            if seen >= self.visits[n] and held > least:
+                break
+            leaf += self.first[n]
+            held += sizes[leaf]
+            if sizes[leaf]:
+                yield leaf
 
 
 def valid_vectors(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """``vec_id, v`` (doubles): one usable vector per id, of the most common length."""
+    """``row, vec_id, v`` (doubles): every row with a usable vector; land it to fix ``row``."""
     v = F.col(f"`{vector_col}`").cast("array<double>")
     good = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    usable = (rows.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), v.alias("v"))
-              .where("vec_id IS NOT NULL AND v IS NOT NULL").where(good)
-              .where(F.exists("v", lambda x: x != 0)))
-    length = usable.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    if length is not None:
-        usable = usable.where(F.size("v") == length["n"])
-    return usable.groupBy("vec_id").agg(F.min("v").alias("v"))
+    return (rows.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), v.alias("v"))
+            .where("vec_id IS NOT NULL AND v IS NOT NULL").where(good)
+            .where(F.exists("v", lambda x: x != 0))
+            .select(F.monotonically_increasing_id().alias("row"), "vec_id", "v"))
 
 
 def parts_of(sizes: np.ndarray) -> np.ndarray:
@@ -158,15 +203,15 @@ def parts_of(sizes: np.ndarray) -> np.ndarray:
     return np.array(out, np.int64)
 
 
-def best(query: np.ndarray, vec: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
-    """The ``k`` rows of every query with the largest scores, ties to smaller ids."""
-    order = np.lexsort((vec, -score, query))
-    query, vec, score = query[order], vec[order], score[order]
-    new = np.ones(len(query), bool)
-    new[1:] = query[1:] != query[:-1]
+def best(row: np.ndarray, query: np.ndarray, vec: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """The ``k`` entries of every query row with the largest scores, ties to smaller ids."""
+    order = np.lexsort((vec, -score, row))
+    row, query, vec, score = row[order], query[order], vec[order], score[order]
+    new = np.ones(len(row), bool)
+    new[1:] = row[1:] != row[:-1]
     at = np.flatnonzero(new)
-    keep = np.arange(len(query)) - at[np.cumsum(new) - 1] < k if len(query) else new
-    return query[keep], vec[keep], score[keep]
+    keep = np.arange(len(row)) - at[np.cumsum(new) - 1] < k if len(row) else new
+    return row[keep], query[keep], vec[keep], score[keep]
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -177,43 +222,34 @@ def nearest_neighbours(rows: DataFrame, id_col: str = "vec_id", vector_col: str
                        k: int = K, every: int = EVERY, recall: float = RECALL) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the ``k`` nearest found for every query."""
     vectors = landed(valid_vectors(rows, id_col, vector_col), "ann-vectors")
-    total = vectors.count()
-    dims = len(vectors.first()["v"]) if total else 1
-    fit = min(FIT, max(256, FIT_VALUES // dims))
-    sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(fit).select("v").collect()
-    x = normalised(np.array([r["v"] for r in sample])) if sample else np.zeros((0, dims))
-    tree = Tree(x, max(16, round(LEAF * len(x) / max(1, total))))
-    visits = calibrated_visits(tree, x, PROBES, recall, k)
+    counts = {r["n"]: r["count"] for r in vectors.groupBy(F.size("v").alias("n")).count().collect()}
+    total = sum(counts.values())
+    dims = sum(n * c for n, c in counts.items()) // max(1, total)
+    fit = min(FIT, max(256, FIT_VALUES // max(1, dims)))
+    sample = vectors.orderBy(F.xxhash64("vec_id", "v", "row"), "row").limit(fit).select("v").collect()
+    forest = Forest(sorted(counts), [r["v"] for r in sample], total, recall, k)
 
     def place(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             if len(part):
-                yield part.assign(leaf=tree.assign(normalised(_matrix(part["v"]))).astype("int32"))
+                yield part.assign(leaf=forest.assign(part["v"]))
 
-    placed = landed(vectors.mapInPandas(place, "vec_id long, v array<double>, leaf int"), "ann-leaves")
-    sizes = np.zeros(tree.leaves, np.int64)  # one count per leaf
+    placed = landed(vectors.mapInPandas(place, "row long, vec_id long, v array<double>, leaf int"), "ann-leaves")
+    sizes = np.zeros(forest.leaves, np.int64)  # one count per leaf
     for r in placed.groupBy("leaf").count().collect():
         sizes[r["leaf"]] = r["count"]
 
     def walk(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            where, leaves = [], []
-            for i, q in enumerate(normalised(_matrix(part["v"])) if len(part) else ()):
-                held = 0
-                for seen, leaf in enumerate(tree.search(q)):
-                    if seen >= visits and held > k:
-                        break
-                    held += sizes[leaf]
-                    if sizes[leaf]:
-                        where.append(i)
-                        leaves.append(leaf)
-            yield pd.DataFrame({"query_id": part["vec_id"].to_numpy()[where], "v": part["v"].to_numpy()[where],
-                                "leaf": np.array(leaves, "int32")})
-
-    walked = placed.where(F.pmod("vec_id", F.lit(every)) == 0).select("vec_id", "v").mapInPandas(
-        walk, "query_id long, v array<double>, leaf int")
+            visits = [(i, leaf) for i, v in enumerate(part["v"]) for leaf in forest.visited(v, sizes, k)]
+            where = [i for i, _ in visits]
+            yield pd.DataFrame({"q_row": part["row"].to_numpy()[where], "query_id": part["vec_id"].to_numpy()[where],
+                                "v": part["v"].to_numpy()[where], "leaf": np.array([x for _, x in visits], "int32")})
+
+    walked = placed.where(F.pmod("vec_id", F.lit(every)) == 0).select("row", "vec_id", "v").mapInPandas(
+        walk, "q_row long, query_id long, v array<double>, leaf int")
     walked = landed(walked, "ann-visits")
-    asked = np.zeros(tree.leaves, np.int64)
+    asked = np.zeros(forest.leaves, np.int64)
     for r in walked.groupBy("leaf").count().collect():
         asked[r["leaf"]] = r["count"]
     # Every block of vectors meets every block of the queries that visit its leaves.
@@ -225,35 +261,35 @@ def nearest_neighbours(rows: DataFrame, id_col: str = "vec_id", vector_col: str
     part = F.get(per_leaf(parts), F.col("leaf"))
     up_to = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
     index = (placed.join(walked.select("leaf").distinct(), "leaf", "left_semi")
-             .withColumn("part", part).withColumn("chunk", F.pmod(F.xxhash64("vec_id"), n_chunks))
+             .withColumn("part", part).withColumn("chunk", F.pmod(F.xxhash64("row"), n_chunks))
              .withColumn("block", up_to(n_blocks)))
-    asking = (walked.withColumn("part", part).withColumn("block", F.pmod(F.xxhash64("query_id"), n_blocks).cast("int"))
+    asking = (walked.withColumn("part", part).withColumn("block", F.pmod(F.xxhash64("q_row"), n_blocks).cast("int"))
               .withColumn("chunk", up_to(n_chunks)).withColumn("chunk", F.col("chunk").cast("long")))
 
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
-        left = left.sort_values("vec_id")
+        found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+        left = left.sort_values(["vec_id", "row"])
         for leaf in np.intersect1d(left["leaf"], right["leaf"]):
             here, asks = left[left["leaf"] == leaf], right[right["leaf"] == leaf]
-            ids, v = here["vec_id"].to_numpy(np.int64), _matrix(here["v"])
-            q_ids, q = asks["query_id"].to_numpy(np.int64), _matrix(asks["v"])
+            ids, own, v = here["vec_id"].to_numpy(np.int64), here["row"].to_numpy(np.int64), _matrix(here["v"])
+            q_ids, q_own, q = asks["query_id"].to_numpy(np.int64), asks["q_row"].to_numpy(np.int64), _matrix(asks["v"])
             vv, qq, unit = (v * v).sum(1), (q * q).sum(1), normalised(v).T
             for at in range(0, len(q), 16):
                 rough = normalised(q[at:at + 16]) @ unit
-                rough[q_ids[at:at + 16, None] == ids[None, :]] = -np.inf
+                rough[q_own[at:at + 16, None] == own[None, :]] = -np.inf
                 n = min(k, len(ids))
                 # The matrix product may round equal vectors apart: score its best again.
                 least = np.partition(rough, len(ids) - n, axis=1)[:, len(ids) - n, None] - 1e-9
                 i, j = np.nonzero((rough >= least) & (rough > -np.inf))
                 exact = (v[j] * q[at + i]).sum(1) / np.sqrt(vv[j] * qq[at + i])
-                found.append(best(q_ids[at + i], ids[j], exact, k))
-        query, vec, score = best(*[np.concatenate(c) for c in zip(*found, strict=True)], k)
-        return pd.DataFrame({"query_id": query, "vec_id": vec, "score": score})
+                found.append(best(q_own[at + i], q_ids[at + i], ids[j], exact, k))
+        row, query, vec, score = best(*[np.concatenate(c) for c in zip(*found, strict=True)], k)
+        return pd.DataFrame({"q_row": row, "query_id": query, "vec_id": vec, "score": score})
 
     keys = ["part", "chunk", "block"]
     found = index.groupBy(*keys).cogroup(asking.groupBy(*keys)).applyInPandas(
-        compare, "query_id long, vec_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+        compare, "q_row long, query_id long, vec_id long, score double")
+    rank = F.row_number().over(Window.partitionBy("q_row").orderBy(F.desc("score"), "vec_id"))
     return (found.withColumn("rank", rank).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 

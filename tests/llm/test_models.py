@@ -152,6 +152,39 @@ def test_ann_few_rows(spark, rows):
     assert len(got) == sum(len(rows) - 1 for i, _ in rows if i % 50 == 0)
 
 
+def test_ann_every_row_and_length_counts(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(300)]
+    rows += [(i, rng.normal(size=4).tolist()) for i in range(300, 360)] + [(400, [2.0])]
+    rows += [(0, rng.normal(size=6).tolist()), (0, rows[0][1]), (7, rng.normal(size=6).tolist())]  # ids that repeat
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    want = []
+    for a, (q, x) in enumerate(rows):
+        if q % 50 == 0:
+            found = [(-np.dot(x, y) / np.sqrt(np.dot(x, x) * np.dot(y, y)), j) for b, (j, y) in enumerate(rows)
+                     if b != a and len(y) == len(x)]
+            want += [(q, r, j, round(-s, 9)) for r, (s, j) in enumerate(sorted(found)[:5], 1)]
+    got = ann.nearest_neighbours(df, recall=1.0).toPandas()
+    got = [(q, r, j, round(s, 9)) for q, r, j, s in got.itertuples(index=False)]
+    assert len(got) == len(want) and {g[0] for g in got} == {w[0] for w in want}
+    assert len(set(got) & set(want)) >= 0.95 * len(set(want))
+
+
+def test_ann_calibrates_outside_the_fit(spark):
+    rng = np.random.default_rng(3)
+    sample = rng.normal(size=(800, 4)).tolist()
+    forest = ann.Forest([3, 4], sample, 8000, 0.9, 5)
+    assert forest.visits[4] <= forest.trees[4].leaves and forest.trees[3].leaves == 1
+    fresh = ann.normalised(rng.normal(size=(400, 4)))
+    leaf, tree, hit = forest.trees[4].assign(fresh), forest.trees[4], []
+    for i in range(100):
+        close = fresh @ fresh[i]
+        close[i] = -9
+        seen = list(tree.search(fresh[i]))[:forest.visits[4]]
+        hit += [x in seen for x in leaf[np.argsort(-close)[:5]]]
+    assert np.mean(hit) >= 0.8
+
+
 def fit_parts(spark, rows):
     return language_id.fit(spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, lang string"))
 
