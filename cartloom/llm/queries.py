@@ -14,7 +14,7 @@ from cartloom.llm.mixing import op4_mixing
 from cartloom.llm.ngram_join import op2_ngram_jaccard
 from cartloom.llm.secret_scan import OP13_SQL, op13_secret_scan
 from cartloom.llm.substring_dedup import OP10_SQL, op10_substring_dedup
-from cartloom.llm.suffix_dedup import op9_suffix_dedup
+from cartloom.llm.suffix_ranks import op9_suffix_dedup
 from cartloom.llm.token_alignment import op12_token_alignment
 from cartloom.llm.toxicity import op8_toxicity
 from cartloom.llm.url_filter import op5_url_filter
