@@ -16,8 +16,8 @@ and lengths do not double. Strings are found by their hashes in three rounds:
   end, the single 50-byte windows are ranked.
 
 "Ranks" are hashes that Spark brings together bucket by bucket, where they are sorted;
-the rounds are described in ``repeats``. Ranking every byte position would shuffle more than
-twenty bytes for each byte of text.
+the rounds are described in ``repeats``. Prefix doubling over every byte position is in
+``suffix_ranks``, with the same results; README gives its measured figures.
 
 Edge cases: null is the empty text; texts shorter than the width keep all; rows with a null id
 are neither removed from nor a source; rows that share an id are not each other's source;
