@@ -21,9 +21,9 @@ Derivation (every rule is data-driven, so the work grows with the tables):
 Bounded documents are a matter of storage only: every query gives the same rows whether
 an order comes as one document or as several (lines and adjustments are summed, header
 values counted once). An order's lines are grouped into documents of at most about
-``max_items`` lines (``doc_part``), using the per-order line count from a
-partial aggregate, and rows are re-partitioned on ``(order, doc_part)`` before
-``collect_list``. A hot order therefore becomes many bounded documents spread
+``max_items`` lines (``doc_part``), using the line counts of the large orders from a
+partial aggregate, and the plain lines are re-partitioned once on ``(order, doc_part)`` before
+``collect_list``; the nested items are built after the join with the orders. A hot order therefore becomes many bounded documents spread
 over many tasks, like the pages a search service returns; at the test scales
 every order is one document.
 """
@@ -104,109 +104,111 @@ def card_struct_type() -> str:
     return "struct<_type:string,card_type:string,masked_number:string>"
 
 
-def _option_items(item_id: Column, product_id: Column) -> Column:
-    n = (F.col("l_linenumber") % 3) + 1
+def _option_items(line: Column, item_id: Column, product_id: Column) -> Column:
+    n = (line["l_linenumber"] % 3) + 1
     opts = F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(
         F.lit("option_item").alias("_type"),
         F.concat(item_id, F.lit("-"), i.cast("string")).alias("item_id"),
         F.concat(F.lit("opt-"), i.cast("string")).alias("option_id"),
-        F.concat(F.lit("val-"), F.col("l_partkey").cast("string")).alias("option_value_id"),
-        (F.col("l_tax") * i).alias("price"),
+        F.concat(F.lit("val-"), line["l_partkey"].cast("string")).alias("option_value_id"),
+        (line["l_tax"] * i).alias("price"),
         F.concat(product_id, F.lit("-"), i.cast("string")).alias("product_id"),
         F.lit(1.0).alias("quantity"),
-        (F.col("l_linenumber") * 100).cast("double").alias("tax_basis"),
+        (line["l_linenumber"] * 100).cast("double").alias("tax_basis"),
         F.lit("option").alias("c_OptionType")))
-    return F.when(F.col("l_discount") > 0.05, opts)
+    return F.when(line["l_discount"] > 0.05, opts)
 
 
-def _product_item() -> Column:
+def _product_item(line: Column) -> Column:
     no = F.col("l_orderkey").cast("string")
-    item_id = F.concat(no, F.lit("-"), F.col("l_linenumber").cast("string"))
-    product_id = F.col("l_partkey").cast("string")
+    item_id = F.concat(no, F.lit("-"), line["l_linenumber"].cast("string"))
+    product_id = line["l_partkey"].cast("string")
     return F.struct(
         F.lit("product_item").alias("_type"),
         item_id.alias("item_id"),
         product_id.alias("product_id"),
         F.concat(F.lit("Part#"), product_id).alias("product_name"),
-        F.col("l_quantity").alias("quantity"),
-        F.col("l_extendedprice").alias("price"),
-        (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("price_after_item_discount"),
-        F.col("l_tax").alias("tax"),
-        F.concat(F.lit("S"), (F.col("l_suppkey") % 3).cast("string")).alias("shipment_id"),
-        F.col("l_returnflag").alias("c_Type"),
-        (F.col("l_linestatus") == F.lit("O")).alias("c_isBackorder"),
+        line["l_quantity"].alias("quantity"),
+        line["l_extendedprice"].alias("price"),
+        (line["l_extendedprice"] * (1 - line["l_discount"])).alias("price_after_item_discount"),
+        line["l_tax"].alias("tax"),
+        F.concat(F.lit("S"), _group(line)).alias("shipment_id"),
+        line["l_returnflag"].alias("c_Type"),
+        (line["l_linestatus"] == F.lit("O")).alias("c_isBackorder"),
         F.lit("{}").alias("c_personalizationJson"),
-        _option_items(item_id, product_id).alias("option_items"))
+        _option_items(line, item_id, product_id).alias("option_items"))
 
 
-def _adjustment() -> Column:
+def _adjustment(line: Column) -> Column:
     no = F.col("l_orderkey").cast("string")
-    adj = F.struct(
+    return F.struct(
         F.lit("price_adjustment").alias("_type"),
-        F.concat(no, F.lit("-"), F.col("l_linenumber").cast("string"), F.lit("-"),
-                 F.col("l_partkey").cast("string")).alias("price_adjustment_id"),
-        F.concat(F.lit("PROMO-"), F.round(F.col("l_discount") * 100).cast("int").cast("string"))
+        F.concat(no, F.lit("-"), line["l_linenumber"].cast("string"), F.lit("-"),
+                 line["l_partkey"].cast("string")).alias("price_adjustment_id"),
+        F.concat(F.lit("PROMO-"), F.round(line["l_discount"] * 100).cast("int").cast("string"))
         .alias("promotion_id"),
-        (-(F.col("l_extendedprice") * F.col("l_discount"))).alias("price"),
+        (-(line["l_extendedprice"] * line["l_discount"])).alias("price"),
         F.lit("line discount").alias("item_text"),
-        F.struct(F.lit("discount").alias("_type"), F.col("l_discount").alias("amount"),
+        F.struct(F.lit("discount").alias("_type"), line["l_discount"].alias("amount"),
                  F.lit("percentage").alias("type")).alias("applied_discount"))
-    return F.when(F.col("l_discount") > 0.05, adj)
+
+
+def _group(line: Column) -> Column:
+    """The shipment group of a line."""
+    return (line["l_suppkey"] % 3).cast("string")
+
+
+def large_orders(lineitem: DataFrame, max_items: int = MAX_ITEMS) -> DataFrame:
+    """Orders of more than ``max_items`` lines: key, number of documents, latest ship date.
+
+    At most one row per ``max_items`` lines, so it is broadcast: only a few bytes per line
+    (the partial counts) are shuffled for it.
+    """
+    counts = lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_n"), F.max("l_shipdate").alias("large_lm"))
+    return F.broadcast(counts.filter((F.col("_n") > max_items) & F.col("l_orderkey").isNotNull())
+                       .select(F.col("l_orderkey").alias("large_key"), "large_lm",
+                               F.ceil(F.col("_n") / F.lit(int(max_items))).cast("bigint").alias("doc_parts")))
 
 
 def document_parts(lineitem: DataFrame, max_items: int = MAX_ITEMS) -> DataFrame:
     """Lines tagged with ``doc_part`` so that no document exceeds ~``max_items``
-    lines; re-partitioned on (order, part) for the document aggregation.
+    lines; re-partitioned on (order, part) for the document aggregation, which is the only
+    exchange of the lines.
 
     A large order's lines are spread by a hash of a row id taken at the scan
     (deterministic per file split), so even identical copies of one line are
     split across parts.
     """
-    lines = lineitem.select(*LINE_COLS).withColumn("_rid", F.monotonically_increasing_id())
-    counts = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_n"),
-                                             F.max("l_shipdate").alias("_lm_order"))
-    tagged = lines.join(counts, "l_orderkey")
-    n_parts = F.ceil(F.col("_n") / F.lit(int(max_items)))
-    part = F.when(F.col("_n") <= max_items, F.lit(0).cast("bigint")) \
-        .otherwise(F.pmod(F.xxhash64("_rid"), n_parts))
-    return (tagged.withColumn("doc_part", part).withColumn("doc_parts", n_parts.cast("bigint")).drop("_n", "_rid")
-            .repartition("l_orderkey", "doc_part"))
-
-
-def line_arrays(lineitem: DataFrame, max_items: int = MAX_ITEMS, products: bool = True,
-                shipping: bool = True) -> DataFrame:
-    """Per (order, doc_part): ``product_items``, ``shipments``, ``shipping_items``.
-
-    With shipping, two aggregation levels (per shipment group, then per document)
-    share the one exchange made by :func:`document_parts`; products alone take
-    one level. Arrays are sorted with ``sort_array`` (a native comparison, not a
-    lambda comparator).
-    """
-    parts = document_parts(lineitem, max_items)
-    if not shipping:
-        return parts.groupBy("l_orderkey", "doc_part").agg(
-            F.max("_lm_order").alias("_lm"), F.max("doc_parts").alias("doc_parts"),
-            F.sort_array(F.collect_list(_product_item())).alias("product_items"))
-    grp = (F.col("l_suppkey") % 3).cast("string")
-    # last_modified is the whole order's latest ship date, even for a split order
-    level1 = [F.max("_lm_order").alias("_lm"), F.max("doc_parts").alias("doc_parts"),
-              F.collect_list(_adjustment()).alias("_adjs")]
-    if products:
-        level1.append(F.collect_list(_product_item()).alias("_prods"))
-    g = parts.groupBy("l_orderkey", "doc_part", grp.alias("grp")).agg(*level1)
-    adjs = F.when(F.size("_adjs") > 0, F.sort_array("_adjs"))
-    item = F.struct(F.lit("shipping_item").alias("_type"),
-                    F.concat(F.lit("SI"), F.col("grp")).alias("item_id"),
-                    F.concat(F.lit("S"), F.col("grp")).alias("shipment_id"),
-                    adjs.alias("price_adjustments"))
-    ship = F.struct(F.lit("shipment").alias("_type"),
-                    F.concat(F.lit("S"), F.col("grp")).alias("shipment_id"))
-    level2 = [F.max("_lm").alias("_lm"), F.max("doc_parts").alias("doc_parts"),
-              F.sort_array(F.collect_list(ship)).alias("shipments"),
-              F.sort_array(F.collect_list(item)).alias("shipping_items")]
-    if products:
-        level2.append(F.sort_array(F.flatten(F.collect_list("_prods"))).alias("product_items"))
-    return g.groupBy("l_orderkey", "doc_part").agg(*level2)
+    lines = (lineitem.select(*LINE_COLS).withColumn("_rid", F.monotonically_increasing_id())
+             .filter(F.col("l_orderkey").isNotNull()))
+    large = large_orders(lineitem, max_items).drop("large_lm")
+    part = F.coalesce(F.pmod(F.xxhash64("_rid"), "doc_parts"), F.lit(0).cast("bigint"))
+    return (lines.join(large, F.col("l_orderkey") == F.col("large_key"), "left")
+            .select(*LINE_COLS, part.alias("doc_part")).repartition("l_orderkey", "doc_part"))
+
+
+def line_arrays(lineitem: DataFrame, max_items: int = MAX_ITEMS) -> DataFrame:
+    """Per (order, doc_part): the plain columns of its lines (``_lines``) and their latest
+    ship date (``_lm``). The wide nested items are built from them when the document is, so
+    that neither the aggregation nor the join with the orders sorts or moves them."""
+    line = F.struct(*[F.col(c) for c in LINE_COLS if c not in ("l_orderkey", "l_shipdate")])
+    return document_parts(lineitem, max_items).groupBy("l_orderkey", "doc_part").agg(
+        F.max("l_shipdate").alias("_lm"), F.collect_list(line).alias("_lines"))
+
+
+def _shipping(lines: str = "_lines") -> tuple[Column, Column]:
+    """Shipments and shipping items: one per group, with the group's adjustments. Arrays are
+    sorted with ``sort_array`` (a native comparison, not a lambda comparator)."""
+    groups = F.array_distinct(F.transform(lines, _group))
+
+    def item(group: Column) -> Column:
+        hits = F.filter(lines, lambda line: _group(line).eqNullSafe(group) & (line["l_discount"] > 0.05))
+        return F.struct(F.lit("shipping_item").alias("_type"), F.concat(F.lit("SI"), group).alias("item_id"),
+                        F.concat(F.lit("S"), group).alias("shipment_id"),
+                        F.when(F.size(hits) > 0, F.sort_array(F.transform(hits, _adjustment))).alias("price_adjustments"))
+
+    ship = F.transform(groups, lambda g: F.struct(F.lit("shipment").alias("_type"), F.concat(F.lit("S"), g).alias("shipment_id")))
+    return F.sort_array(ship), F.sort_array(F.transform(groups, item))
 
 
 def _default_shipping() -> tuple[Column, Column]:
@@ -237,15 +239,22 @@ def order_documents(orders: DataFrame, lineitem: DataFrame, *, products: bool =
     if payments:
         tail.append(_payments().alias("payment_instruments"))
     if products or shipping:
-        arrays = line_arrays(lineitem, max_items, products, shipping)
-        docs = orders.join(arrays, orders.o_orderkey == arrays.l_orderkey, "left")
-        cols = head + [F.col("_lm").alias("last_modified"), F.coalesce("doc_parts", F.lit(1)).alias("doc_parts")] + tail
+        # An order is repeated per part, so that it meets its lines where they are; a part
+        # of a large order that got no line is no document.
+        parts = F.coalesce(F.sequence(F.lit(0).cast("bigint"), F.col("doc_parts") - 1), F.array(F.lit(0).cast("bigint")))
+        heads = (orders.join(large_orders(lineitem, max_items), F.col("o_orderkey") == F.col("large_key"), "left")
+                 .withColumn("_part", F.explode(parts)))
+        docs = (heads.join(line_arrays(lineitem, max_items),
+                           (F.col("o_orderkey") == F.col("l_orderkey")) & (F.col("_part") == F.col("doc_part")), "left")
+                .filter(F.col("doc_parts").isNull() | F.col("l_orderkey").isNotNull()))
+        # last_modified is the whole order's latest ship date, even for a split order
+        cols = head + [F.coalesce("large_lm", "_lm").alias("last_modified"), F.coalesce("doc_parts", F.lit(1)).alias("doc_parts")] + tail
         if shipping:
+            ship, item = _shipping()
             d_ship, d_item = _default_shipping()
-            cols += [F.coalesce(F.col("shipments"), d_ship).alias("shipments"),
-                     F.coalesce(F.col("shipping_items"), d_item).alias("shipping_items")]
+            cols += [F.coalesce(ship, d_ship).alias("shipments"), F.coalesce(item, d_item).alias("shipping_items")]
         if products:
-            cols.append(F.col("product_items"))
+            cols.append(F.sort_array(F.transform("_lines", _product_item)).alias("product_items"))
         return docs.select(*cols)
     headers = order_headers(orders, lineitem)
     return headers.select(*head, F.col("last_modified"), *tail)
