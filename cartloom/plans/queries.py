@@ -1230,6 +1230,9 @@ def q_publish_manifest(spark, d):
 #: Drift put into landed order documents: a new key, a new nested key and a retyped one, for
 #: orders of a remainder class each.
 NEW_KEY_OF, NESTED_KEY_OF, RETYPED_OF = 97, 89, 83
+#: The text of whole documents is many times their Parquet size and repeats its keys, so it is
+#: landed compressed; such a file is one task of the scan, so it holds a bounded number of rows.
+LANDED_JSON = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": 100_000}
 
 
 @register("key_drift", f"""
@@ -1252,7 +1255,7 @@ def q_key_drift(spark, d):
     path = scratch_path(spark, "drifted-responses")
     for name, rows in (("a", docs.filter(~of(RETYPED_OF))), ("b", texts.filter(of(RETYPED_OF)))):
         data = F.struct(*[F.col(c) for c in rows.columns])
-        rows.select(F.lit(1).alias("total"), F.array(F.struct(data.alias("data"))).alias("hits")).write.json(f"{path}/{name}")
+        rows.select(F.lit(1).alias("total"), F.array(F.struct(data.alias("data"))).alias("hits")).write.options(**LANDED_JSON).json(f"{path}/{name}")
     landed = read_variants(spark, f"{path}/*").withColumn(
         "run_date", F.substring(F.try_variant_get("data", "$.creation_date", "string"), 1, 10))
     return key_drift(document_keys(landed, ["run_date"]), ORDER_DOCUMENT)
