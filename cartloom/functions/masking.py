@@ -14,7 +14,10 @@ def sha256_text(col, compat: bool = False) -> Column:
     Default: null stays null. ``compat=True`` hashes a missing value as the
     text ``nan``, as the published files do.
     """
+    return F.sha2(masked_text(col, compat), 256)
+
+
+def masked_text(col, compat: bool = False) -> Column:
+    """The text that :func:`sha256_text` hashes."""
     text = (F.col(col) if isinstance(col, str) else col).cast("string")
-    if compat:
-        text = F.coalesce(text, F.lit(MISSING_EMAIL_TEXT))
-    return F.sha2(text, 256)
+    return F.coalesce(text, F.lit(MISSING_EMAIL_TEXT)) if compat else text

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartloom import schemas
-from cartloom.functions.masking import sha256_text
+from cartloom.functions.masking import masked_text, sha256_text
 from cartloom.functions.timefmt import parse_utc
 from cartloom.operators.conform import as_text, conform, ref, rename_separator
 
@@ -150,22 +150,41 @@ def order_rows(docs: DataFrame, sep: str = "_", compat: bool = False,
     e-mail hashed into ``customer_emails``, personal fields dropped, conformed to
     the 32 slice columns, distinct (AGG5). Payments, shipments, adjustments and
     products never multiply the rows: the product is not built."""
+    flat = order_headers(docs, sep, compat, strict, carry)
+    out = published_orders(flat, sep, carry)
+    return out.dropDuplicates() if dedup else out
+
+
+def _email(sep: str) -> str:
+    return f"order_customer_info{sep}email"
+
+
+def order_headers(docs: DataFrame, sep: str = "_", compat: bool = False, strict: bool = False,
+                  carry: Iterable[str] = ()) -> DataFrame:
+    """What the documents say of the order columns, and the plain e-mail: the narrow rows that
+    :func:`published_orders` completes, as many and as different as the published ones."""
     carry = list(carry)
     docs = valid_documents(docs, strict)
     header = [f.name for f in docs.schema.fields
               if not isinstance(f.dataType, T.ArrayType) and f.name != "source_file"
               and f.name not in carry]
     flat = flatten(docs.select(*header, *carry), prefix="order_", sep=sep, keep=carry)
-    email = f"order_customer_info{sep}email"
-    src = ref(email) if _has(flat, email) else F.lit(None).cast("string")
-    flat = flat.withColumn("customer_emails", sha256_text(src, compat))
-    # Personal fields go with the conform step: only the listed columns are published.
+    email = ref(_email(sep)) if _has(flat, _email(sep)) else F.lit(None).cast("string")
+    flat = flat.withColumn(_email(sep), masked_text(email, compat))
     flat = _stamps_to_ntz(flat, ["order_creation_date", "order_last_modified"])
-    cols = rename_separator(ORDER_SLICE_COLUMNS, sep) + carry
-    out = conform(flat, cols, {"order_creation_date": T.TimestampNTZType(),
+    # Personal fields go here: only the listed columns are published.
+    cols = [c for c in rename_separator(ORDER_SLICE_COLUMNS, sep) if _has(flat, c) and c != "customer_emails"]
+    number = f"order_customer_info{sep}customer_no"
+    flat = flat.select(*[ref(c) for c in [*cols, _email(sep), *carry]])
+    return as_text(flat, [number]) if number in cols else flat
+
+
+def published_orders(headers: DataFrame, sep: str = "_", carry: Iterable[str] = ()) -> DataFrame:
+    """The slice columns from :func:`order_headers`: e-mail hashed, absent columns null."""
+    cols = rename_separator(ORDER_SLICE_COLUMNS, sep) + list(carry)
+    out = headers.withColumn("customer_emails", sha256_text(ref(_email(sep))))
+    return conform(out, cols, {"order_creation_date": T.TimestampNTZType(),
                                "order_last_modified": T.TimestampNTZType()})
-    out = as_text(out, [f"order_customer_info{sep}customer_no"])
-    return out.dropDuplicates() if dedup else out
 
 
 def product_rows(docs: DataFrame, sep: str = "_", strict: bool = False,

@@ -64,18 +64,20 @@ def order_tables(docs: DataFrame, sep: str = ".", compat: bool = False,
     * option items and payments: lineage, distinct.
     """
     stamps = ["order_creation_date", "order_last_modified"]
-    orders = FL.order_rows(docs, sep=sep, compat=compat, strict=strict, dedup=False)
+    orders = FL.order_headers(docs, sep=sep, compat=compat, strict=strict)
+    orders = C.conform(orders, [*[c for c in orders.columns if c not in stamps], *stamps],
+                       {c: T.TimestampNTZType() for c in stamps})
     orders = _with_run_date(orders, *stamps, run_dates)
+    # The rows are told apart by what the documents say, before the columns that follow from it.
+    subset = [c for c in orders.columns if c not in stamps]
+    orders = M.dedup_first(orders, subset, [("order_last_modified", True),
+                                            ("order_creation_date", True)])
+    orders = FL.published_orders(orders, sep=sep, carry=["run_date"])
     orders = (orders
               .withColumn("order_creation_pst_date", to_pacific("order_creation_date"))
               .withColumn("order_last_modified_pst_date", to_pacific("order_last_modified"))
               .withColumn("file_name", _file_name(schemas.ORDERS_FILE_WORD)))
-    order_cols = ["run_date"] + C.rename_separator(schemas.ORDER_COLUMNS, sep)
-    orders = C.conform(orders, order_cols)
-    subset = [c for c in order_cols
-              if c not in C.rename_separator(schemas.ORDER_STAMP_COLUMNS, sep)]
-    orders = M.dedup_first(orders, subset, [("order_last_modified", True),
-                                            ("order_creation_date", True)])
+    orders = C.conform(orders, ["run_date"] + C.rename_separator(schemas.ORDER_COLUMNS, sep))
 
     # The product, option and payment tables are keyed by the order's run days
     # too: the days ride along from the document and are exploded in the same
