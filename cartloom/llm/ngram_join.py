@@ -30,7 +30,9 @@ another text as documents of the same id. Texts are used whole. Extra columns ar
 empty table gives an empty result.
 
 Scale: every step is a join or aggregate on hashes; hot sides are landed, so Spark can split
-the joins on them; the driver only sees counts that end the star rounds.
+the joins on them; the driver only sees counts that end the star rounds. What is kept of every
+document are its band hashes; signatures and full sets are kept of those sets alone that share
+a bucket.
 """
 
 from __future__ import annotations
@@ -101,19 +103,27 @@ class Hasher:
         self.mul = rng.integers(0, 1 << 32, n, dtype=np.uint32) | np.uint32(1)
         self.add = rng.integers(0, 1 << 32, n, dtype=np.uint32)
 
-    def __call__(self, values: np.ndarray) -> tuple[np.ndarray, bytes]:
-        """One 64-bit key per band, and the signature."""
+    def least(self, values: np.ndarray, n: int) -> np.ndarray:
+        """The first ``n`` MinHash values."""
         x = (values >> np.uint64(32)).astype(np.uint32)
-        least = np.full(len(self.mul), 0xFFFFFFFF, np.uint32)
+        least = np.full(n, 0xFFFFFFFF, np.uint32)
         for at in range(0, len(x), 4096):
-            part = np.multiply.outer(x[at:at + 4096], self.mul)
-            part += self.add
+            part = np.multiply.outer(x[at:at + 4096], self.mul[:n])
+            part += self.add[:n]
             np.minimum(least, part.min(axis=0), out=least)
+        return least
+
+    def keys(self, values: np.ndarray) -> np.ndarray:
+        """One 64-bit key per band."""
         key = np.arange(self.bands, dtype=np.uint64)
-        banded = least[:self.bands * self.rows]
+        banded = self.least(values, self.bands * self.rows)
         for r in range(self.rows):
             key = mix64(key + banded[r::self.rows].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        return key, mix64(least.astype(np.uint64)).astype(np.uint8).tobytes()
+        return key
+
+    def signature(self, values: np.ndarray) -> bytes:
+        """One byte of every MinHash value."""
+        return mix64(self.least(values, len(self.mul)).astype(np.uint64)).astype(np.uint8).tobytes()
 
 
 def alike(a: np.ndarray, b: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -222,26 +232,22 @@ def degrees(label: DataFrame, full: DataFrame, threshold: float) -> DataFrame:
             .groupBy("sid").agg(F.sum("n").alias("n_links")))
 
 
-def signatures(docs: DataFrame, bands: int, rows: int, size: int) -> DataFrame:
-    """``doc_id, th`` (as given), ``sid`` (digest of the set; null without words), ``bands`` and
-    ``signature`` of every document."""
-    hasher = Hasher(bands, rows)
+def band_keys(docs: DataFrame, hasher: Hasher, size: int) -> DataFrame:
+    """``doc_id, th`` (as given), ``sid`` (digest of the set; null without words) and ``bands``
+    of every document."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sids, keys, signs = [], [], []
+            sids, keys = [], []
             for _, _, raws in groups(batch.column("text").to_pylist()):
                 for values in shingle_sets(raws, size):
-                    key, signature = hasher(values) if len(values) else (None, None)
-                    sids.append(None if key is None else set_digest(values))
-                    keys.append(None if key is None else key.view(np.int64).tolist())
-                    signs.append(signature)
+                    sids.append(set_digest(values) if len(values) else None)
+                    keys.append(hasher.keys(values).view(np.int64).tolist() if len(values) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("th"), pa.array(sids, pa.binary()),
-                 pa.array(keys, pa.list_(pa.int64())), pa.array(signs, pa.binary())],
-                names=["doc_id", "th", "sid", "bands", "signature"])
+                 pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "th", "sid", "bands"])
 
-    return docs.mapInArrow(sign, "doc_id long, th long, sid binary, bands array<long>, signature binary")
+    return docs.mapInArrow(sign, "doc_id long, th long, sid binary, bands array<long>")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -295,11 +301,11 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     the same, but the links within them are not counted (no ``n_links``)."""
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                         F.col(f"`{text_col}`").cast("string").alias("text"))
-    signed = landed(signatures(texts.withColumn("th", F.xxhash64("text")), *banding(threshold, recall), size), "join-signatures")
+    hasher = Hasher(*banding(threshold, recall))
+    signed = landed(band_keys(texts.withColumn("th", F.xxhash64("text")), hasher, size), "join-signatures")
     use = signed.where("doc_id IS NOT NULL AND sid IS NOT NULL")
     sets = landed(use.groupBy("sid").agg(F.min("doc_id").alias("rep"), F.countDistinct("doc_id").alias("copies"),
-                                         F.first("bands").alias("bands"),
-                                         F.first("signature").alias("signature")), "join-sets")
+                                         F.first("bands").alias("bands")), "join-sets")
     member = sets.select("sid", F.explode("bands").alias("key"))
     shared = landed(member.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "join-buckets")
     meeting = landed(member.join(shared, "key"), "join-meeting")
@@ -308,23 +314,27 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pivots = landed(scored.groupBy("key").agg(F.max(F.struct("score", "sid")).alias("m"))
                     .select("key", F.col("m.sid").alias("pivot")), "join-pivots")
     bucket = landed(scored.join(pivots, "key").select("key", "sid", "pivot"), "join-members")
-    # Full n-gram sets of everything that shares a bucket.
+    # Full n-gram sets and signatures of everything that shares a bucket.
     wanted = bucket.select("sid").distinct().join(sets.select("sid", "rep"), "sid")
 
     def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sids, blobs = [], []
+            sids, blobs, keys, signs = [], [], [], []
             wanted_sids = batch.column("sid").to_pylist()
             for first, _, raws in groups(batch.column("text").to_pylist()):
                 for i, values in enumerate(shingle_sets(raws, size), first):
                     if len(values) and set_digest(values) == wanted_sids[i]:  # ids may repeat
                         sids.append(wanted_sids[i])
                         blobs.append(pack_set(values))
-            yield pa.RecordBatch.from_arrays([pa.array(sids, pa.binary()), pa.array(blobs, pa.binary())],
-                                             names=["sid", "blob"])
+                        keys.append(hasher.keys(values).view(np.int64).tolist())
+                        signs.append(hasher.signature(values))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(sids, pa.binary()), pa.array(blobs, pa.binary()), pa.array(keys, pa.list_(pa.int64())),
+                 pa.array(signs, pa.binary())], names=["sid", "blob", "bands", "signature"])
 
     found = (texts.join(wanted.withColumnRenamed("rep", "doc_id"), "doc_id")
-             .select("sid", "text").mapInArrow(full_sets, "sid binary, blob binary"))
+             .select("sid", "text")
+             .mapInArrow(full_sets, "sid binary, blob binary, bands array<long>, signature binary"))
     full = landed(found, "join-full-sets")
     star = bucket.where("sid <> pivot").select(F.least("pivot", "sid").alias("a"),
                                                F.greatest("pivot", "sid").alias("b")).distinct()
@@ -338,8 +348,9 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                              F.count(F.lit(1)).alias("n")).where("lo <> hi")
                    .select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "join-mixed")
     block = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
+    marks = full.groupBy("sid").agg(F.first("signature").alias("signature"), F.first("bands").alias("bands"))
     sided = (landed(placed.join(mixed, "key"), "join-placed").withColumn("own", block)
-             .join(sets.select("sid", "signature", "bands"), "sid")
+             .join(marks, "sid")
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
                      "own", "sid", "label", "signature", "bands"))
@@ -366,9 +377,11 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     found_b.append(max(a, b))
         return pa.table({"a": pa.array(found_a, pa.binary()), "b": pa.array(found_b, pa.binary())})
 
-    across = (sided.groupBy("key", "x", "y").applyInArrow(meet, "a binary, b binary").distinct()
-              .join(star, ["a", "b"], "left_anti"))
-    more = landed(_verified(across, full, threshold), "join-links-across")
+    across = landed(sided.groupBy("key", "x", "y").applyInArrow(meet, "a binary, b binary").distinct()
+                    .join(star, ["a", "b"], "left_anti"), "join-across")
+    # Most sets are in no such pair, and their full sets need not move.
+    named = across.select(F.col("a").alias("sid")).union(across.select("b"))
+    more = landed(_verified(across, full.join(named, "sid", "left_semi"), threshold), "join-links-across")
     every = paired.unionByName(more)
     label = landed(components(every), "join-classes")
     degree = landed(degrees(label, full, threshold), "join-degrees") if links else None

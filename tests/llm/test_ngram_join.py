@@ -1,9 +1,13 @@
 """Classes of near copies against brute force."""
 
+import os
 import random
 
+import numpy as np
+
 from cartloom.llm import ngram_join
-from cartloom.llm.ngram_join import banding, components, jaccard_classes
+from cartloom.llm.ngram_join import Hasher, banding, components, jaccard_classes
+from cartloom.session import local_path
 from tests.llm import brute
 
 SCHEMA = "doc_id long, text string, sid string, label int"
@@ -81,3 +85,35 @@ def test_links_are_all_links_of_a_set(spark, monkeypatch):
     want = {i: sum(len(a & b) / len(a | b) >= 0.8 for b in different if b != a) for i, a in sets.items()}
     assert {r["doc_id"]: r["n_links"] for r in jaccard_classes(df).collect()} == want
     assert max(want.values()) >= 55
+
+
+def test_documents_without_company_are_kept_as_band_hashes_alone(spark, monkeypatch):
+    """Signatures and full sets of sets that share no bucket are neither written nor moved."""
+    rng = random.Random(7)
+    rows = [(i, " ".join(f"w{rng.randrange(10 ** 9)}" for _ in range(12))) for i in range(2000)]
+    rows += [(2000, rows[0][1] + " x"), (2001, rows[1][1])]
+    sizes, counts = {}, {}
+    write = ngram_join.landed
+
+    def landed(df, name):
+        out = write(df, name)
+        sizes[name] = sum(os.path.getsize(local_path(f)) for f in out.inputFiles())
+        counts[name] = out.count()
+        return out
+
+    monkeypatch.setattr(ngram_join, "landed", landed)
+    df = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], SCHEMA)
+    got = {r["doc_id"]: r["class_id"] for r in jaccard_classes(df).collect()}
+    assert got == {i: i for i, _ in rows} | {2000: 0, 2001: 1}
+    assert counts["join-full-sets"] < 20
+    for name in ("join-signatures", "join-sets"):  # 18 band hashes of 8 bytes, and the digest
+        assert sizes[name] < 300 * len(rows), name
+
+
+def test_band_keys_are_of_the_first_values_of_the_signature():
+    hasher = Hasher(*banding())
+    values = np.unique(np.random.default_rng(3).integers(0, 1 << 63, 9000).astype(np.uint64))
+    whole = hasher.least(values, len(hasher.mul))
+    part = hasher.least(values, hasher.bands * hasher.rows)
+    assert (whole[:len(part)] == part).all() and len(hasher.signature(values)) == ngram_join.HASHES
+    assert len(hasher.keys(values)) == hasher.bands
