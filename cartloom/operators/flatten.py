@@ -281,8 +281,8 @@ def _by_parts(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """Documents that are a whole order, and those that are a part of one (``doc_parts``)."""
     if "doc_parts" not in docs.columns:
         return docs, None
-    part = F.coalesce(F.col("doc_parts") > 1, F.lit(False))
-    return docs.filter(~part), docs.filter(part)
+    part = F.col("doc_parts") > 1
+    return docs.filter(~F.coalesce(part, F.lit(False))), docs.filter(part)
 
 
 def first_item_adjustments(docs: DataFrame, sep: str = "_", strict: bool = False) -> DataFrame:
@@ -316,34 +316,70 @@ def _joined_adjustments(docs: DataFrame) -> DataFrame:
 
 
 def entity_product(docs: DataFrame, strict: bool = False) -> DataFrame:
-    """The full per-document product order x payments x shipments x shipping items
+    """The full per-order product order x payments x shipments x shipping items
     x first-item adjustments x products (JON1), as chained ``explode_outer``.
 
     Columns: ``order_no`` and one struct column per entity. Row count per order is
-    the product of ``max(1, size)`` of each array.
+    the product of ``max(1, size)`` of each array (:func:`entity_product_size`). Only orders
+    that come as several documents are put together first, so their lines and adjustments
+    meet across documents; all others are narrow.
     """
-    docs = valid_documents(docs, strict)
+    whole, parts = _by_parts(valid_documents(docs, strict))
     first_adj = F.get(F.col("shipping_items"), 0).getField("price_adjustments")
-    return (docs
-            .select("order_no", "payment_instruments", "shipments", "shipping_items",
-                    first_adj.alias("first_adjustments"), "product_items")
+    rows = _exploded(whole.select("order_no", "payment_instruments", "shipments", "shipping_items",
+                                  first_adj.alias("first_adjustments"), "product_items")
+                     .withColumn("product_item", F.explode_outer("product_items")))
+    return rows if parts is None else rows.unionByName(_exploded(_joined_arrays(parts)))
+
+
+def _exploded(rows: DataFrame) -> DataFrame:
+    """Every combination of the arrays beside a product line."""
+    return (rows
             .withColumn("payment", F.explode_outer("payment_instruments"))
             .withColumn("shipment", F.explode_outer("shipments"))
             .withColumn("shipping_item", F.explode_outer("shipping_items"))
             .withColumn("price_adjustment", F.explode_outer("first_adjustments"))
-            .withColumn("product_item", F.explode_outer("product_items"))
             .select("order_no", "payment", "shipment", "shipping_item", "price_adjustment",
                     "product_item"))
 
 
+def _joined_arrays(docs: DataFrame) -> DataFrame:
+    """Orders in parts, a row per product line: their payments, shipments and shipping items
+    (each id once, with the adjustments of all parts) and first-item adjustments. The lines are
+    joined to them, not gathered."""
+    version = _version(docs)
+    orders = docs.groupBy(*version).agg(
+        F.count(F.lit(1)).alias("parts"),
+        F.max_by("payment_instruments", F.size("payment_instruments")).alias("payment_instruments"),
+        F.collect_set("shipments").alias("ships"), F.collect_list("shipping_items").alias("items"))
+    adjustments = lambda items: F.flatten(F.transform(F.filter(
+        items, lambda i: i.getField("price_adjustments").isNotNull()), lambda i: i.getField("price_adjustments")))
+    of_id = lambda rows, name, id_: F.filter(rows, lambda r: r.getField(name).eqNullSafe(id_))
+
+    def together(arrays: str, name: str, one) -> Column:
+        """Each id once if the order has several documents, the array as it is if not."""
+        rows = F.flatten(F.col(arrays))
+        each = F.transform(F.sort_array(F.array_distinct(F.transform(rows, lambda r: r.getField(name)))),
+                           lambda id_: one(of_id(rows, name, id_)))
+        return F.when(F.col("parts") == 1, F.get(F.col(arrays), 0)).otherwise(each)
+
+    firsts = F.transform(F.filter("items", lambda a: F.size(a) > 0), lambda a: F.get(a, 0))
+    least = F.get(F.sort_array(F.transform(firsts, lambda i: i.getField("item_id"))), 0)
+    found = orders.select(
+        *version, "payment_instruments", together("ships", "shipment_id", lambda same: F.get(same, 0)).alias("shipments"),
+        together("items", "item_id", lambda same: F.get(same, 0).withField("price_adjustments", adjustments(same))).alias("shipping_items"),
+        adjustments(of_id(firsts, "item_id", least)).alias("first_adjustments"))
+    lines = docs.select(*version, F.explode("product_items").alias("product_item"))
+    return found.alias("o").join(lines.alias("l"), _same_version(docs, "o", "l"), "left").select("o.*", "product_item")
+
+
 def entity_product_size(docs: DataFrame, strict: bool = False) -> DataFrame:
     """Rows each order (each version of it) contributes to :func:`entity_product`, without
     building them: the product of ``max(1, size)`` of each array (``order_no``, ``n_rows``).
 
     A large order may come as several documents: lines and first-item adjustments are summed
     over them, payments and the ids of shipments and shipping items are the order's, each
-    counted once. Use this to size or audit the full product; the product itself emits every
-    combination inside a document and is meant for single slices.
+    counted once. Use this to size or audit the full product.
     """
     whole, parts = _by_parts(valid_documents(docs, strict))
     size = lambda arr: F.greatest(F.coalesce(F.size(arr), F.lit(0)), F.lit(1)).cast("bigint")

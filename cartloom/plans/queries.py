@@ -53,7 +53,6 @@ BACKFILL_FIRST, BACKFILL_LAST = "2024-01-10", "2024-01-26"
 SEARCH_LO, SEARCH_HI = "2024-01-10 00:00:00", "2024-01-11 00:00:00"
 SEARCH_START = 200
 RUN_DAY = "1996-09-17"
-PRODUCT_DAY = "1996-09-17"
 #: Conversation turns of one remainder class are taken as lost in landing.
 LOST_TURNS = 17
 
@@ -309,8 +308,8 @@ def q_order_entity_product(spark, d):
     return FL.entity_product_size(_docs(spark, d))
 
 
-@register("entity_product_slice", f"""
-WITH o AS (SELECT * FROM orders WHERE CAST(o_orderdate AS DATE) = DATE '{PRODUCT_DAY}'),
+@register("entity_product_slice", """
+WITH o AS (SELECT * FROM orders),
 l AS (SELECT l.*, l_suppkey % 3 AS g FROM lineitem l JOIN o ON o.o_orderkey = l.l_orderkey),
 g AS (SELECT DISTINCT l_orderkey, 'S' || CAST(g AS VARCHAR) AS ship, 'SI' || CAST(g AS VARCHAR) AS item
       FROM l),
@@ -332,9 +331,8 @@ LEFT JOIN l ON l.l_orderkey = o.o_orderkey
 """)
 def q_entity_product_slice(spark, d):
     """The full product payments x shipments x shipping items x first-item adjustments x
-    products, built for the orders of one day (JON1)."""
-    day = F.to_date("creation_date") == F.to_date(F.lit(PRODUCT_DAY))
-    rows = FL.entity_product(_docs(spark, d).filter(day))
+    products, built for every order (JON1)."""
+    rows = FL.entity_product(_docs(spark, d))
     return rows.select("order_no", F.col("payment.payment_instrument_id").alias("payment"),
                        F.col("shipment.shipment_id").alias("shipment"),
                        F.col("shipping_item.item_id").alias("shipping_item"),

@@ -68,3 +68,44 @@ def test_order_queries_do_not_depend_on_the_split(spark, tmp_path):
         cur = con.execute(oracle_queries()[name])
         want = digest([c[0] for c in cur.description], cur.fetchall())[0]
         assert digest(df.columns, [tuple(r) for r in df.collect()])[0] == want, name
+
+
+def _order_tables(spark, path=None):
+    """Four orders (two days, none, and none with lines) of 0 to 5 lines in two or three groups."""
+    day = dt.datetime(2024, 1, 1)
+    lines = [(o, 10 * o + n, n % 3, n, 1.0, 100.0, 0.06 if n % 2 else 0.01, 0.01, "A", "O", day)
+             for o, count in ((1, 5), (2, 2), (4, 4)) for n in range(1, count + 1)]
+    lines = spark.createDataFrame(lines, ", ".join(f"{c} {t}" for c, t in zip(
+        D.LINE_COLS, ["long", "long", "long", "int", *["double"] * 4, "string", "string", "timestamp_ntz"])))
+    orders = spark.createDataFrame([(o, 7, "O", 10.0, when, "1-URGENT") for o, when in (
+        (1, day), (2, dt.datetime(1996, 9, 17)), (3, day), (4, None))],
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string")
+    if path is not None:
+        for name, table in (("orders", orders), ("lineitem", lines)):
+            table.coalesce(1).write.parquet(f"{path}/{name}.parquet")
+    return orders, lines
+
+
+def test_entity_product_has_the_orders_of_every_day(spark, tmp_path):
+    import duckdb
+
+    from cartloom.plans.queries import oracle_queries, spark_queries
+    from tools.oracle_check import digest
+
+    _order_tables(spark, tmp_path)
+    rows = spark_queries()["entity_product_slice"](spark, str(tmp_path))
+    con = duckdb.connect()
+    for name in ("orders", "lineitem"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    cur = con.execute(oracle_queries()["entity_product_slice"])
+    found = [tuple(r) for r in rows.collect()]
+    assert {r[0] for r in found} == {"1", "2", "3", "4"}
+    assert digest(rows.columns, found) == digest([c[0] for c in cur.description], cur.fetchall())
+
+
+def test_entity_product_does_not_depend_on_the_split(spark):
+    whole, parts = (FL.entity_product(D.order_documents(*_order_tables(spark), max_items=n)) for n in (100, 2))
+    assert parts.count() > 0 == whole.exceptAll(parts).count() == parts.exceptAll(whole).count()
+    for n in (100, 2):
+        sizes = FL.entity_product_size(D.order_documents(*_order_tables(spark), max_items=n))
+        assert sizes.agg(F.sum("n_rows")).first()[0] == whole.count()
