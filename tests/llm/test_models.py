@@ -1,6 +1,8 @@
 """Trained operators: held-out accuracy and odd inputs."""
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 
 from cartloom.llm import ann, language_id, toxicity
@@ -185,6 +187,41 @@ def test_ann_calibrates_outside_the_fit(spark):
     assert np.mean(hit) >= 0.8
 
 
+def test_ann_visits_come_in_pieces(monkeypatch):
+    """Many queries that visit many leaves: no piece grows with the batch or with the leaves."""
+    monkeypatch.setattr(ann, "PIECE", 50)
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(3000, 4)).astype(np.float32)
+    forest = ann.Forest([4], x[:2000].tolist(), 40_000, 1.0, 5)
+    sizes = np.bincount(forest.assign(pd.Series(list(x))), minlength=forest.leaves)
+    parts = ann.parts_of(sizes, 500)
+    batch = pd.DataFrame({"row": range(1000), "vec_id": range(1000), "v": list(x[:1000])})
+    pieces = list(ann.visits(iter([batch, batch[:0]]), forest, parts, sizes.tolist(), 5))
+    assert forest.leaves > 50 and max(map(len, pieces)) < 50 + 1 + parts.max()
+    got = pd.concat(pieces)
+    assert set(got.q_row) == set(range(1000)) and not got.duplicated(["q_row", "part"]).any()
+    for row, leaves in got.groupby("q_row").leaves:
+        assert set(np.concatenate(leaves.to_list())) == set(forest.visited(x[row], sizes.tolist(), 5))
+
+
+def test_ann_blocks_find_the_best_of_the_visited_leaves():
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(400, 4)).astype(np.float32)
+    x[100:300] = x[100]  # more equal vectors than a query returns
+    leaf = (np.arange(400) // 20).astype(np.int32)
+    left = pa.table({"row": np.arange(400), "vec_id": np.arange(400)[::-1], "v": list(x), "leaf": leaf})
+    leaves = [np.sort(rng.choice(20, n, replace=False)).astype(np.int32) for n in range(1, 21)]
+    own = np.arange(90, 110)
+    right = pa.table({"q_row": own, "query_id": own, "v": list(x[own]), "leaves": leaves})
+    got = ann.compared(left, right, 5).to_pandas()
+    for i, row in enumerate(own):
+        here = np.flatnonzero(np.isin(leaf, leaves[i]) & (np.arange(400) != row))
+        y, q = x[here].astype(float), x[row].astype(float)
+        near = (y * q).sum(1) / np.sqrt((y * y).sum(1) * (q * q).sum())
+        want = [399 - j for j in here[np.lexsort((399 - here, -near))][:5]]
+        assert got[got.q_row == row].sort_values(["score", "vec_id"], ascending=[False, True]).vec_id.tolist() == want
+
+
 def fit_parts(spark, rows):
     return language_id.fit(spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, lang string"))
 
