@@ -92,11 +92,16 @@ def order_tables(docs: DataFrame, sep: str = ".", compat: bool = False,
         cols = [c for c in rows.columns if c != "_days"]
         return rows.select(F.explode("_days").alias("run_date"), *[C.ref(c) for c in cols])
 
-    products = FL.product_rows(dated, sep=sep, strict=strict, carry=["_days"])
-    products = C.override_constant(products, "product_item_c_personalizationJson")
-    products = M.drop_missing_key(products, "product_item_product_id")
-    products = by_day(products).withColumn("file_name", _file_name(schemas.PRODUCTS_FILE_WORD))
-    products = M.dedup_all(C.conform(products, ["run_date"] + schemas.PRODUCT_COLUMNS))
+    def product_lines(docs: DataFrame) -> DataFrame:
+        rows = FL.product_rows(docs, sep=sep, strict=strict, carry=["_days"])
+        rows = C.override_constant(rows, "product_item_c_personalizationJson")
+        return by_day(M.drop_missing_key(rows, "product_item_product_id"))
+
+    # Equal lines are of one order: only the lines of orders that may have some are shuffled.
+    again = _may_repeat_lines(dated, strict)
+    products = product_lines(dated.filter(~again)).unionByName(M.dedup_all(product_lines(dated.filter(again))))
+    products = products.withColumn("file_name", _file_name(schemas.PRODUCTS_FILE_WORD))
+    products = C.conform(products, ["run_date"] + schemas.PRODUCT_COLUMNS)
 
     options = by_day(FL.option_item_rows(dated, sep=sep, strict=strict, carry=["_days"]))
     options = options.withColumn("file_name", _file_name(schemas.OPTION_ITEMS_FILE_WORD))
@@ -111,6 +116,34 @@ def order_tables(docs: DataFrame, sep: str = ".", compat: bool = False,
             "payments": payments}
 
 
+#: Words of 64 bits that mark, by hash of its number, an order whose lines may repeat.
+REPEAT_WORDS = 1 << 16
+
+
+def _may_repeat_lines(docs: DataFrame, strict: bool = False) -> F.Column:
+    """Whether a document's product rows may equal others: its order has several documents, or
+    two of its lines agree in the plain published fields. True for some orders more (hashes that
+    share a bit), never false for one that repeats. What is shuffled for it is a count per order;
+    the marks have a fixed size."""
+    valid = FL.valid_documents(docs, strict)
+    own = F.lit(False)
+    if "product_items" in docs.columns:
+        published = {f"product_item_{f.name}": f for f in docs.schema["product_items"].dataType.elementType.fields}
+        plain = [f.name for n, f in published.items() if n in schemas.PRODUCT_COLUMNS and isinstance(f.dataType, T.AtomicType)
+                 and n != "product_item_c_personalizationJson"]
+        lines = F.transform("product_items", lambda i: F.xxhash64(*[i.getField(n) for n in plain] or [F.lit(0)]))
+        own = F.coalesce(F.size(F.array_distinct(lines)) < F.size(lines), F.lit(False))
+    slot = F.pmod(F.xxhash64("order_no"), F.lit(64 * REPEAT_WORDS))
+    bit = (slot % 64).cast("int")
+    repeated = (valid.groupBy("order_no").agg(F.count(F.lit(1)).alias("n"), F.max(own).alias("own")).filter("n > 1 OR own")
+                .select((slot / 64).cast("long").alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bits")))
+    every = docs.sparkSession.range(REPEAT_WORDS).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("bits"))
+    words = repeated.unionByName(every).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    marks = words.agg(F.transform(F.sort_array(F.collect_list(F.struct("word", "bits"))), lambda w: w["bits"]).alias("marks")).scalar()
+    word = F.get(marks, (slot / 64).cast("int"))
+    return F.call_function("shiftright", word, bit).bitwiseAND(F.lit(1)) == 1
+
+
 def _stamp(docs: DataFrame, name: str) -> F.Column:
     dtype = docs.schema[name].dataType if name in docs.columns else T.StringType()
     c = F.col(name) if name in docs.columns else F.lit(None).cast("string")
