@@ -1328,7 +1328,8 @@ def q_log_metrics_scan(spark, d):
         run = sums.select("run_date", *[(F.col(n) + wrong).alias(n) for _, n in LOG_METRICS])
         lines = metric_lines(run, ["run_date"], [n for _, n in LOG_METRICS])
         lines.repartition("run_date").write.mode("append").partitionBy("run_date").text(path)
-    return read_run_metrics(spark, path)
+    # The folder's own name may hold digits that look like a day.
+    return read_run_metrics(spark, path, r"run_date=(\d{4}-\d{2}-\d{2})")
 
 
 @register("slice_labels", """

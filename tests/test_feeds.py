@@ -137,3 +137,14 @@ def test_cap_per_group_is_a_group_limit(spark):
     df = spark.range(1000).select(F.col("id"), (F.col("id") % 3).alias("g"))
     plan = SL.cap_per_group(df, ["g"], ["id"], 5)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_log_scan_takes_the_run_from_its_folder(spark, tmp_path, monkeypatch):
+    """A scratch folder whose name looks like a day is not the run."""
+    from cartloom.plans import queries
+    from tests.conftest import SF001
+
+    days = queries.spark_queries()["log_metrics_scan"](spark, SF001).select("run").distinct().count()
+    monkeypatch.setattr(queries, "scratch_path", lambda spark, name: f"{tmp_path}/a4281-9434/{name}")
+    found = [r["run"] for r in queries.spark_queries()["log_metrics_scan"](spark, SF001).select("run").distinct().collect()]
+    assert len(found) == days > 1 and all(run.endswith("-01-01") for run in found)
